@@ -54,3 +54,26 @@ REVIEW_SAMPLE_ROWS = 50
 # Tier names and alert prefixes.
 TIERS = ("auto_resolve", "review_queue", "senior_escalation")
 ALERT_PREFIX = {"warning": "[ALERT]", "critical": "[CRITICAL ALERT]"}
+
+# Drift bands by descending lower bound, and the band below them all.
+PSI_BANDS = [
+    (PSI_MAJOR, "MAJOR shift -- investigate immediately, do not wait for labels"),
+    (PSI_MODERATE, "MODERATE shift -- early warning"),
+]
+PSI_STABLE = "stable"
+
+# Gate actions and alert messages (printf formats).
+ACTION_PASS = "PASS"
+ACTION_QUARANTINE = "%d rows ROUTED TO DEAD LETTER QUEUE, batch proceeds"
+ACTION_BLOCKED = "BATCH BLOCKED -- quarantine rate exceeds tolerance"
+ACTION_VOLUME = "ALERT: volume drop beyond threshold"
+MESSAGE_VOLUME = "Ingestion volume down %.1f%% vs 7-day rolling average."
+MESSAGE_TRANSFORMATION = "Transformation gate FAILED -- downstream training DAG blocked."
+MESSAGE_DATA_DRIFT = "Data drift detected on features: [%s]. Consider moving the next retrain up sooner."
+MESSAGE_PSI = "Score PSI = %.4f (%s)"
+MESSAGE_BACKFILL = (
+    "Backfilled F1 = %.4f on %d matched predictions -- this is a concept-drift signal, "
+    "not just a data-drift one. Consider retraining soon."
+)
+MESSAGE_PROMOTED = "Promoted %s to production (champion-challenger gate passed)."
+MESSAGE_NOT_PROMOTED = "Champion-challenger gate FAILED for %s -- staged, not promoted."

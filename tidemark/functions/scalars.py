@@ -83,11 +83,10 @@ def label_available_at(event_time: Column, days: int = config.LABEL_DELAY_DAYS)
 
 
 def psi_band(psi: Column) -> Column:
-    return (
-        F.when(psi > config.PSI_MAJOR, F.lit("major"))
-        .when(psi > config.PSI_MODERATE, F.lit("moderate"))
-        .otherwise(F.lit("stable"))
-    )
+    band = F.lit(config.PSI_STABLE)
+    for least, name in reversed(config.PSI_BANDS):
+        band = F.when(psi > least, F.lit(name)).otherwise(band)
+    return band
 
 
 def sticky_bucket(key: Column) -> Column:

@@ -32,14 +32,14 @@ def drop_share(rows: Column, baseline: Column) -> Column:
 
 def quarantine_action(nulls: Column, passed: Column) -> Column:
     return (
-        F.when(nulls == 0, F.lit("PASS"))
-        .when(passed, F.format_string("%d rows ROUTED TO DEAD LETTER QUEUE, batch proceeds", nulls))
-        .otherwise(F.lit("BATCH BLOCKED -- quarantine rate exceeds tolerance"))
+        F.when(nulls == 0, F.lit(config.ACTION_PASS))
+        .when(passed, F.format_string(config.ACTION_QUARANTINE, nulls))
+        .otherwise(F.lit(config.ACTION_BLOCKED))
     )
 
 
 def volume_action(passed: Column) -> Column:
-    return F.when(passed, F.lit("PASS")).otherwise(F.lit("ALERT: volume drop beyond threshold"))
+    return F.when(passed, F.lit(config.ACTION_PASS)).otherwise(F.lit(config.ACTION_VOLUME))
 
 
 def ingestion_gate(

@@ -101,9 +101,9 @@ def promotion(per_slice: DataFrame, version: str, dry_run: bool = False) -> Data
     passed = F.col("passed")
     stage = F.when(~passed, F.lit("staging")).when(F.lit(not dry_run), F.lit("production"))
     severity = F.when(passed, F.lit("warning")).otherwise(F.lit("critical"))
-    message = F.when(
-        passed, F.lit(f"Promoted {version} to production (champion-challenger gate passed).")
-    ).otherwise(F.lit(f"Champion-challenger gate FAILED for {version} -- staged, not promoted."))
+    message = F.when(passed, F.lit(config.MESSAGE_PROMOTED % version)).otherwise(
+        F.lit(config.MESSAGE_NOT_PROMOTED % version)
+    )
     silent = passed & F.lit(dry_run)
     return gate_verdict(per_slice).select(
         F.lit(version).alias("version"),

@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.functions import scalars as S
-from tidemark.operators import asof, drift, gates, metrics, registry, routing, running, sampling, store
+from tidemark.operators import asof, drift, gates, metrics, models, registry, routing, running, sampling, store
+from tidemark.operators.skew import lookup_join
 from tidemark.plans import jobs
 from tidemark.session import scratch_dir
 from tidemark.sources import sinks, views
-from tidemark.sources.tables import table
+from tidemark.sources.tables import stream_table, table
+from tidemark.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -359,12 +362,12 @@ def _champion_challenger(spark, folder) -> DataFrame:
     return registry.champion_challenger(_two_model_scores(spark, folder), "challenger", "champion")
 
 
-AP_COLUMNS = ("champion_ap", "champion_auc", "challenger_ap", "challenger_auc", "regression")
+AP_COLUMNS = ("champion_ap", "champion_auc", "challenger_ap", "challenger_auc")
 
 
 @query("champion_challenger")
 def champion_challenger(spark, folder):
-    return rounded(_champion_challenger(spark, folder), *AP_COLUMNS)
+    return rounded(rounded(_champion_challenger(spark, folder), *AP_COLUMNS), "regression", digits=5)
 
 
 @query("route_requests")
@@ -385,8 +388,6 @@ def route_requests(spark, folder):
 
 @query("hash_equi_merge")
 def hash_equi_merge(spark, folder):
-    from tidemark.operators.skew import lookup_join
-
     labels = views.labels_delayed(spark, folder).select("entity_id", "label")
     return lookup_join(_predictions(spark, folder), labels, ["entity_id"], "inner")
 
@@ -496,8 +497,6 @@ def quantile_bins(spark, folder):
 
 @query("ks_two_sample")
 def ks_two_sample(spark, folder):
-    from pyspark.sql import Window as W
-
     out = drift.ks_drift(_events_long(spark, folder), ["feature"])
     return out.withColumn("any_drift", F.bool_or("drifted").over(W.partitionBy(F.lit(0))))
 
@@ -751,3 +750,211 @@ def gate_chain(spark, folder):
         [("transformation_gate", verdict(features)), ("train", trainable), ("promotion_gate", promoted)],
     )
     return full.unionByName(retrain)
+
+
+# ---- models ------------------------------------------------------------------------------------
+
+# Fewer rounds than the default of 200: the catalogue shows the job, not the best model.
+ROUNDS = 20
+
+
+def _folds(spark, folder) -> DataFrame:
+    return models.folds(views.features_clean(spark, folder))
+
+
+@query("linear_l1_l2")
+def linear_l1_l2(spark, folder):
+    folds = _folds(spark, folder)
+    train, test = models.fold(folds, "train"), models.fold(folds, "calibration", "test")
+    out = None
+    for penalty in ("l1", "l2"):
+        scored = models.raw_scores(models.fit_linear(train, penalty), test)
+        part = metrics.ranking_metrics(scored, score="raw").withColumn("penalty", F.lit(penalty))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("boosted_trees")
+def boosted_trees(spark, folder):
+    folds = _folds(spark, folder)
+    model = models.fit_boosted(models.fold(folds, "train"), ROUNDS)
+    scored = models.raw_scores(model, models.fold(folds, "calibration", "test"))
+    return metrics.ranking_metrics(scored, score="raw")
+
+
+def _raw_folds(spark, folder) -> DataFrame:
+    """Calibration and test rows with a linear model's raw score."""
+    folds = _folds(spark, folder)
+    model = models.fit_linear(models.fold(folds, "train"), "l2")
+    return models.raw_scores(model, models.fold(folds, "calibration", "test"))
+
+
+@query("platt_scaling")
+def platt_scaling(spark, folder):
+    rows = _raw_folds(spark, folder)
+    platt = models.fit_platt(models.fold(rows, "calibration"))
+    return models.fold(rows, "test").select(
+        "entity_id", "label", "raw", platt.column(F.col("raw")).alias("calibrated_score")
+    )
+
+
+@query("isotonic")
+def isotonic(spark, folder):
+    rows = _raw_folds(spark, folder)
+    model = models.fit_isotonic(models.fold(rows, "calibration"))
+    return model.transform(models.fold(rows, "test")).select("entity_id", "label", "raw", "calibrated_score")
+
+
+@query("batch_score")
+def batch_score(spark, folder):
+    folds = _folds(spark, folder)
+    bundle = models.train_bundle(folds, ROUNDS)
+    return bundle.score(folds).select("entity_id", "raw", "calibrated_score", "tier", "low_confidence")
+
+
+@query("evaluate_on")
+def evaluate_on(spark, folder):
+    folds = _folds(spark, folder)
+    return models.evaluate(models.train_bundle(folds, ROUNDS), models.fold(folds, "calibration", "test"))
+
+
+def _registered(spark, folder) -> tuple[str, str]:
+    root = scratch_dir(spark, "registry")
+    return root, models.train_and_register(views.features_clean(spark, folder), root, folder, ROUNDS)
+
+
+@query("train_and_register")
+def train_and_register(spark, folder):
+    root, _ = _registered(spark, folder)
+    return spark.read.parquet(f"{root}/cards").select("version", "data_version", "thresholds.*", "metrics.*", "stage")
+
+
+@query("registry_append")
+def registry_append(spark, folder):
+    """Registers a version, loads it back and scores with it."""
+    root, version = _registered(spark, folder)
+    bundle = models.load(spark, root, version)
+    scored = bundle.score(views.features_clean(spark, folder))
+    return metrics.tier_distribution(scored).withColumn("version", F.lit(version))
+
+
+@query("baseline_gaps")
+def baseline_gaps(spark, folder):
+    return models.baseline_gaps(models.baseline_metrics(_folds(spark, folder), ROUNDS))
+
+
+@query("feature_importance")
+def feature_importance(spark, folder):
+    folds = _folds(spark, folder)
+    return models.importances(spark, models.fit_boosted(models.fold(folds, "train"), ROUNDS))
+
+
+# ---- streams -----------------------------------------------------------------------------------
+
+# Delays and widths of the streams; the SQL counterparts close windows by the same delay.
+STREAM_DELAY = "10 minutes"
+DRIFT_WIDTH = "6 hours"
+
+
+@query("stream_ingestion_gate")
+def stream_ingestion_gate(spark, folder):
+    root = scratch_dir(spark, "stream-gate")
+    streams.ingestion_gate(views.raw_landing_of(stream_table(spark, folder, "events")), root)
+    return spark.read.parquet(f"{root}/checks")
+
+
+@query("stream_dual_write")
+def stream_dual_write(spark, folder):
+    root = scratch_dir(spark, "stream-store")
+    streams.dual_write(views.feature_history_of(stream_table(spark, folder, "events")), root)
+    return sinks.read_online(spark, f"{root}/online")
+
+
+def _log_stream(spark, folder) -> DataFrame:
+    return views.inference_log_of(stream_table(spark, folder, "events"))
+
+
+@query("stream_error_alarm")
+def stream_error_alarm(spark, folder):
+    log = _log_stream(spark, folder).select("request_ts", "is_error")
+    return streams.error_alarm(log, scratch_dir(spark, "stream-alarm"), STREAM_DELAY)
+
+
+@query("stream_hourly_drift")
+def stream_hourly_drift(spark, folder):
+    split = F.lit(views.DRIFT_SPLIT).cast("timestamp_ntz")
+    baseline = table(spark, folder, "events").filter(F.col("ts") < split).select("value")
+    live = stream_table(spark, folder, "events").filter(F.col("ts") >= split).select("ts", "value")
+    root = scratch_dir(spark, "stream-drift")
+    return streams.windowed_drift(baseline, live, "value", "ts", root, STREAM_DELAY, DRIFT_WIDTH)
+
+
+def _prediction_rows(lineitem: DataFrame) -> DataFrame:
+    return views.scored_of(lineitem).select(
+        "entity_id", F.col("score").alias("calibrated_score"), F.col("ts").alias("predicted_at")
+    )
+
+
+def _label_rows(orders: DataFrame) -> DataFrame:
+    return orders.select(
+        views.order_key("o_orderkey").alias("entity_id"),
+        (F.col("o_orderstatus") == "F").cast("int").alias("label"),
+        S.label_available_at(F.col("o_orderdate")).alias("label_observed_at"),
+    )
+
+
+@query("stream_label_delay_join")
+def stream_label_delay_join(spark, folder):
+    return streams.label_delay_join(
+        _prediction_rows(stream_table(spark, folder, "lineitem")),
+        _label_rows(stream_table(spark, folder, "orders")),
+        scratch_dir(spark, "stream-labels"),
+    )
+
+
+@query("stream_canary_sla")
+def stream_canary_sla(spark, folder):
+    log = _log_stream(spark, folder).select("request_ts", "served_by", "is_error")
+    return rounded(streams.canary_windows(log, scratch_dir(spark, "stream-canary"), STREAM_DELAY), "error_rate")
+
+
+def request_rows(lineitem: DataFrame) -> DataFrame:
+    """Requests with all six features; high prices put the spend out of bounds."""
+    return lineitem.select(
+        views.order_key("l_orderkey").alias("entity_id"),
+        F.col("l_linenumber").cast("double").alias("support_tickets_30d"),
+        (F.col("l_extendedprice") / 10.0).alias("avg_message_length"),
+        (1.0 + F.col("l_discount") * 40.0).alias("satisfaction_score"),
+        F.col("l_quantity").alias("days_since_last_login"),
+        F.col("l_suppkey").cast("double").alias("tenure_days"),
+        (F.col("l_extendedprice") * 12.0).alias("monthly_spend"),
+        views.request_score(0.15).alias("calibrated_score"),
+    )
+
+
+@query("stream_validate_route")
+def stream_validate_route(spark, folder):
+    root = scratch_dir(spark, "stream-requests")
+    streams.validate_and_route(
+        request_rows(stream_table(spark, folder, "lineitem")),
+        root,
+        views.CANARY_PCT,
+        views.SERVING_T_LOW,
+        views.SERVING_T_HIGH,
+    )
+    rows = spark.read.parquet(f"{root}/rows").drop("batch_id", *config.FEATURES)
+    return rows.withColumn("valid", F.col("valid").cast("boolean"))
+
+
+@query("stream_dedup_log")
+def stream_dedup_log(spark, folder):
+    """Every event delivered twice."""
+    log = stream_table(spark, folder, "events").select("event_id", "ts", "value")
+    return streams.dedup_log(log.unionByName(log), scratch_dir(spark, "stream-dedup"), "event_id", "ts")
+
+
+@query("late_label_audit")
+def late_label_audit(spark, folder):
+    return streams.label_arrival(
+        _prediction_rows(table(spark, folder, "lineitem")), _label_rows(table(spark, folder, "orders"))
+    )

@@ -62,16 +62,14 @@ def gate_chain(name: str, steps: list[tuple[str, DataFrame]]) -> DataFrame:
 
 def ingestion_alerts(checks: DataFrame) -> DataFrame:
     volume = checks.filter(F.col("check_name") == "row_count_volume_check")
-    message = F.format_string(
-        "Ingestion volume down %.1f%% vs 7-day rolling average.", F.col("share") * 100
-    )
+    message = F.format_string(config.MESSAGE_VOLUME, F.col("share") * 100)
     return gates.gate_alerts(volume, "ingestion_gate", "warning", message)
 
 
 def transformation_alerts(tests: DataFrame) -> DataFrame:
     """One alert for the gate, however many of its tests failed."""
     verdict = tests.agg(F.bool_and("passed").alias("passed"))
-    message = F.lit("Transformation gate FAILED -- downstream training DAG blocked.")
+    message = F.lit(config.MESSAGE_TRANSFORMATION)
     return gates.gate_alerts(verdict, "transformation_gate", "warning", message)
 
 
@@ -79,11 +77,8 @@ def drift_alerts(per_feature: DataFrame) -> DataFrame:
     drifted = F.sort_array(F.collect_list(F.when(F.col("drifted"), F.col("feature"))))
     names = per_feature.agg(drifted.alias("names"))
     verdict = names.select((F.size("names") == 0).alias("passed"), "names")
-    message = F.concat(
-        F.lit("Data drift detected on features: "),
-        F.array_join("names", ", "),
-        F.lit(". Consider moving the next retrain up sooner."),
-    )
+    quoted = F.array_join(F.transform("names", lambda n: F.concat(F.lit("'"), n, F.lit("'"))), ", ")
+    message = F.format_string(config.MESSAGE_DATA_DRIFT, quoted)
     return gates.gate_alerts(verdict, "data_drift", "critical", message)
 
 
@@ -91,7 +86,7 @@ def psi_alerts(psi: DataFrame) -> DataFrame:
     checked = psi.filter(F.col("status") == "checked").withColumn(
         "passed", F.col("psi") <= config.PSI_MODERATE
     )
-    message = F.format_string("Score PSI = %.4f (%s)", F.col("psi"), F.col("interpretation"))
+    message = F.format_string(config.MESSAGE_PSI, F.col("psi"), F.col("interpretation"))
     return gates.gate_alerts(checked, "score_psi", "warning", message)
 
 
@@ -99,10 +94,5 @@ def backfill_alerts(backfill: DataFrame) -> DataFrame:
     checked = backfill.filter(F.col("status") == "checked").withColumn(
         "passed", F.col("f1") >= config.F1_ALERT
     )
-    message = F.format_string(
-        "Backfilled F1 = %.4f on %d matched predictions -- this is a concept-drift signal, "
-        "not just a data-drift one. Consider retraining soon.",
-        F.col("f1"),
-        F.col("n_matched"),
-    )
+    message = F.format_string(config.MESSAGE_BACKFILL, F.col("f1"), F.col("n_matched"))
     return gates.gate_alerts(checked, "label_backfill", "critical", message)

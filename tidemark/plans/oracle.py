@@ -89,10 +89,8 @@ def ks_view(source: str) -> str:
 
 
 def band_sql(psi: str) -> str:
-    return (
-        f"CASE WHEN {psi} > {num(config.PSI_MAJOR)} THEN 'major' "
-        f"WHEN {psi} > {num(config.PSI_MODERATE)} THEN 'moderate' ELSE 'stable' END"
-    )
+    cases = " ".join(f"WHEN {psi} > {num(least)} THEN '{name}'" for least, name in config.PSI_BANDS)
+    return f"CASE {cases} ELSE '{config.PSI_STABLE}' END"
 
 
 def psi_view(source: str) -> str:
@@ -310,8 +308,8 @@ CONCEPT_PREDS = f"""(SELECT {PERIOD} AS is_live, pred,
 
 
 def promotion_sql(version: str, passed: str, dry: bool) -> str:
-    yes = f"[ALERT] Promoted {version} to production (champion-challenger gate passed)."
-    no = f"[CRITICAL ALERT] Champion-challenger gate FAILED for {version} -- staged, not promoted."
+    yes = "[ALERT] " + config.MESSAGE_PROMOTED % version
+    no = "[CRITICAL ALERT] " + config.MESSAGE_NOT_PROMOTED % version
     stage = "NULL" if dry else "'production'"
     line = "NULL" if dry else f"'{yes}'"
     return f"""SELECT '{version}' AS version, passed, {str(dry).lower()} AS dry_run,
@@ -345,9 +343,9 @@ ALERTS = f"""SELECT 'ingestion_gate' AS source, 'warning' AS severity, '[ALERT]
     UNION ALL SELECT 'transformation_gate', 'warning',
         '[ALERT] Transformation gate FAILED -- downstream training DAG blocked.'
     FROM (SELECT bool_and(passed) AS passed FROM tests) WHERE NOT passed
-    UNION ALL SELECT 'data_drift', 'critical', '[CRITICAL ALERT] Data drift detected on features: ' || names ||
-        '. Consider moving the next retrain up sooner.'
-    FROM (SELECT string_agg(feature, ', ' ORDER BY feature) AS names FROM ({ks_view('shifted_long')}) WHERE drifted)
+    UNION ALL SELECT 'data_drift', 'critical', '[CRITICAL ALERT] Data drift detected on features: [' || names ||
+        ']. Consider moving the next retrain up sooner.'
+    FROM (SELECT string_agg('''' || feature || '''', ', ' ORDER BY feature) AS names FROM ({ks_view('shifted_long')}) WHERE drifted)
     WHERE names IS NOT NULL
     UNION ALL SELECT 'score_psi', 'warning', '[ALERT] Score PSI = ' || printf('%.4f', psi) || ' (' || interpretation || ')'
     FROM ({psi_view('shifted_long')}) WHERE feature = 'value' AND psi > {num(config.PSI_MODERATE)}
@@ -447,7 +445,7 @@ BODIES: dict[str, str] = {
         LEFT JOIN model_cards b ON s.model = b.model AND s.challenger_version = b.version""",
     "champion_challenger": """SELECT slice, round(champion_ap, 6) AS champion_ap, round(champion_auc, 6) AS champion_auc,
         round(challenger_ap, 6) AS challenger_ap, round(challenger_auc, 6) AS challenger_auc,
-        round(regression, 6) AS regression, passed FROM contest""",
+        round(regression, 5) AS regression, passed FROM contest""",
     "route_requests": f"""SELECT request_id, entity_id, served_by, calibrated_score,
             {tier_sql('calibrated_score', 't_low', 't_high')} AS tier,
             {near_sql('calibrated_score', 't_low', 't_high')} AS low_confidence
@@ -597,6 +595,66 @@ BODIES: dict[str, str] = {
     ),
 }
 
+CLOSED = "window_end <= (SELECT max(request_ts) FROM inference_log) - INTERVAL 10 MINUTE"
+DRIFT_BASE = f"(SELECT value FROM events WHERE ts < TIMESTAMP '{views.DRIFT_SPLIT}')"
+DRIFT_BINS = f"""(SELECT ts, is_live, len([e for e in edges if value >= e]) AS bin FROM (SELECT ts, value,
+    ts >= TIMESTAMP '{views.DRIFT_SPLIT}' AS is_live FROM events),
+    (SELECT quantile_cont(value, {numbers(DECILES)}) AS edges FROM {DRIFT_BASE}))"""
+PREDICTION_ROWS = "(SELECT entity_id, score AS calibrated_score, ts AS predicted_at FROM scored)"
+LABEL_ROWS = f"""(SELECT printf('ord_%09d', o_orderkey) AS entity_id, CAST(o_orderstatus = 'F' AS INTEGER) AS label,
+    o_orderdate + INTERVAL {config.LABEL_DELAY_DAYS} DAY AS label_observed_at FROM orders)"""
+REQUESTS = f"""(SELECT printf('ord_%09d', l_orderkey) AS entity_id, CAST(l_linenumber AS DOUBLE) AS support_tickets_30d,
+    l_extendedprice / 10.0e0 AS avg_message_length, 1.0e0 + l_discount * 40.0e0 AS satisfaction_score,
+    l_quantity AS days_since_last_login, CAST(l_suppkey AS DOUBLE) AS tenure_days,
+    l_extendedprice * 12.0e0 AS monthly_spend, {score_sql(0.15)} AS calibrated_score FROM lineitem)"""
+
+BODIES |= {
+    "stream_ingestion_gate": "SELECT CAST(0 AS INTEGER) AS batch_id, * FROM checks",
+    "stream_dual_write": f"SELECT {HISTORY} FROM by_write",
+    "stream_error_alarm": f"""SELECT * FROM (SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, errors
+        FROM (SELECT time_bucket(INTERVAL 5 MINUTE, request_ts) AS window_start, CAST(sum(is_error) AS BIGINT) AS errors
+            FROM inference_log GROUP BY 1)) WHERE errors > 0 AND {CLOSED}""",
+    "stream_canary_sla": f"""SELECT *, round(errors / CAST(requests AS DOUBLE), 6) AS error_rate,
+            CASE WHEN errors / CAST(requests AS DOUBLE) > {num(config.CANARY_ERROR_SLA)} THEN 'BREACH' ELSE 'OK' END AS status
+        FROM (SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, served_by, requests, errors
+            FROM (SELECT time_bucket(INTERVAL 1 HOUR, request_ts) AS window_start, served_by, count(*) AS requests,
+                CAST(sum(is_error) AS BIGINT) AS errors FROM inference_log GROUP BY 1, 2)) WHERE {CLOSED}""",
+    "stream_hourly_drift": f"""SELECT window_start, window_end,
+            CASE WHEN enough THEN 'checked' ELSE 'insufficient_data' END AS status, n_live,
+            CASE WHEN enough THEN round(psi, 4) END AS psi, CASE WHEN enough THEN round(ks, 4) END AS ks_binned,
+            CASE WHEN enough THEN {band_sql('psi')} END AS interpretation
+        FROM (SELECT window_start, window_start + INTERVAL 6 HOUR AS window_end, n_live,
+            n_live >= {config.MIN_LOGGED_ROWS} AS enough, sum((ca - ce) * ln(ca / ce)) AS psi, max(gap) AS ks
+            FROM (SELECT *, greatest(1e-6, a) AS ca, greatest(1e-6, e) AS ce,
+                abs(sum(a) OVER (PARTITION BY window_start ORDER BY bin) - sum(e) OVER
+                    (PARTITION BY window_start ORDER BY bin)) AS gap
+                FROM (SELECT w.window_start, w.n_live, b.bin, coalesce(c.n, 0) / CAST(w.n_live AS DOUBLE) AS a,
+                    b.n / CAST(sum(b.n) OVER (PARTITION BY w.window_start) AS DOUBLE) AS e
+                    FROM (SELECT time_bucket(INTERVAL 6 HOUR, ts) AS window_start, count(*) AS n_live
+                        FROM {DRIFT_BINS} WHERE is_live GROUP BY 1) w
+                    CROSS JOIN (SELECT g.bin, coalesce(h.n, 0) AS n FROM (SELECT unnest(range(0, 10)) AS bin) g
+                        LEFT JOIN (SELECT bin, count(*) AS n FROM {DRIFT_BINS} WHERE NOT is_live GROUP BY bin) h
+                        ON g.bin = h.bin) b
+                    LEFT JOIN (SELECT time_bucket(INTERVAL 6 HOUR, ts) AS window_start, bin, count(*) AS n
+                        FROM {DRIFT_BINS} WHERE is_live GROUP BY 1, 2) c
+                    ON c.window_start = w.window_start AND c.bin = b.bin))
+            GROUP BY window_start, n_live) WHERE {CLOSED}""",
+    "stream_label_delay_join": f"""SELECT p.entity_id, calibrated_score, predicted_at, label, label_observed_at
+        FROM {PREDICTION_ROWS} p JOIN {LABEL_ROWS} l ON p.entity_id = l.entity_id AND label_observed_at >= predicted_at
+            AND label_observed_at <= predicted_at + INTERVAL {config.LABEL_DELAY_DAYS} DAY""",
+    "stream_validate_route": f"""SELECT entity_id, calibrated_score, violations, violations = '' AS valid,
+            CASE WHEN {bucket_sql('entity_id')} < {views.CANARY_PCT} THEN 'challenger' ELSE 'champion' END AS served_by,
+            {tier_sql('calibrated_score', T_LOW, T_HIGH)} AS tier,
+            {near_sql('calibrated_score', T_LOW, T_HIGH)} AS low_confidence
+        FROM (SELECT *, concat_ws(',', {VIOLATIONS}) AS violations FROM {REQUESTS})""",
+    "stream_dedup_log": "SELECT event_id, ts, value FROM events",
+    "late_label_audit": f"""SELECT CASE WHEN label_observed_at IS NULL THEN 'no_label'
+            WHEN label_observed_at < predicted_at THEN 'before_prediction'
+            WHEN label_observed_at <= predicted_at + INTERVAL {config.LABEL_DELAY_DAYS} DAY THEN 'in_time'
+            ELSE 'late' END AS arrival, count(*) AS predictions
+        FROM {PREDICTION_ROWS} p LEFT JOIN {LABEL_ROWS} l ON p.entity_id = l.entity_id GROUP BY 1""",
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: sql(body) for name, body in BODIES.items()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, app: str = "tidemark", memory: str = "16g") -> SparkSession:
@@ -41,3 +41,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def split_count(spark: SparkSession, most: int = 256) -> int:
     """How many pieces to cut a global order or a hot key into: follows the cluster's parallelism."""
     return max(8, min(most, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a written table: for results that several later jobs read.
+
+    It survives lost executors, cuts the lineage, and later reads prune its columns.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import config
@@ -119,19 +119,19 @@ def labels_delayed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def request_score(flag_weight: float = 0.15) -> Column:
+    """Score of a line, 0 to 1 in steps of a thousandth."""
+    returned = F.when(F.col("l_returnflag") == "R", F.lit(flag_weight)).otherwise(F.lit(0.0))
+    raw = F.round(F.col("l_quantity") / 50.0 * 0.5 + F.col("l_discount") * 3.0 + returned, 3)
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), raw))
+
+
 def scored_of(lineitem: DataFrame, flag_weight: float = 0.15) -> DataFrame:
     """Scored requests: several per entity. A lower weight makes a weaker model."""
-    returned = F.col("l_returnflag") == "R"
-    raw = F.round(
-        F.col("l_quantity") / 50.0 * 0.5
-        + F.col("l_discount") * 3.0
-        + F.when(returned, F.lit(flag_weight)).otherwise(F.lit(0.0)),
-        3,
-    )
     return lineitem.select(
         order_key("l_orderkey").alias("entity_id"),
-        F.least(F.lit(1.0), F.greatest(F.lit(0.0), raw)).alias("score"),
-        returned.cast("int").alias("label"),
+        request_score(flag_weight).alias("score"),
+        (F.col("l_returnflag") == "R").cast("int").alias("label"),
         F.col("l_shipdate").alias("ts"),
         F.col("l_quantity").alias("quantity"),
     )
