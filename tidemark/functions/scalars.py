@@ -20,31 +20,30 @@ def predict_at(value: Column, cut: Column | float = 0.5) -> Column:
     return F.coalesce(at_least(value, cut), F.lit(False)).cast("int")
 
 
-def bin_index(value: Column, edges: Sequence[float]) -> Column:
-    """How many of the sorted ``edges`` are <= value, as a balanced tree of comparisons.
+def count_passed(value: Column, edges: Sequence[Column], strict: bool = False) -> Column:
+    """How many of the ascending ``edges`` are <= value (< if strict).
 
-    log2(len) comparisons per row, all inside generated code.
+    A balanced tree of comparisons: log2(len) of them per row, all inside generated code.
     """
 
     def tree(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(value >= F.lit(float(edges[mid])), tree(mid + 1, hi)).otherwise(tree(lo, mid))
+        passed = value > edges[mid] if strict else value >= edges[mid]
+        return F.when(passed, tree(mid + 1, hi)).otherwise(tree(lo, mid))
 
     return tree(0, len(edges))
 
 
+def bin_index(value: Column, edges: Sequence[float]) -> Column:
+    """As :func:`count_passed`, for edges known beforehand."""
+    return count_passed(value, [F.lit(float(e)) for e in edges])
+
+
 def edges_passed(value: Column, edges: Column, n: int, strict: bool = False) -> Column:
-    """How many of the ``n`` values of the array column ``edges`` are <= value (< if strict)."""
-    hits = [
-        (F.get(edges, F.lit(i)) < value) if strict else (value >= F.get(edges, F.lit(i)))
-        for i in range(n)
-    ]
-    out = F.lit(0)
-    for hit in hits:
-        out = out + hit.cast("int")
-    return out
+    """As :func:`count_passed`, for the ``n`` values of an array column."""
+    return count_passed(value, [F.get(edges, F.lit(i)) for i in range(n)], strict)
 
 
 def request_violations(key: str = "entity_id") -> Column:

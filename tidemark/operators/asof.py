@@ -2,71 +2,92 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import hot_keys, prefixed, same_key
+from tidemark.operators.skew import hot_keys, lookup_join, prefixed, same_key, split_by_heat
 from tidemark.session import split_count
 
+TIMELINE = ["_t", "_side", "_seq"]
 
-def cut_hot_keys(rows: DataFrame, by: list[str], order: str, min_hot_rows: int | None) -> DataFrame:
-    """Adds ``_seg``: 0 for ordinary keys, the slice of the order column for hot ones.
 
-    Slices are cut at the hot key's own quantiles and depend on the value only, so equal order
-    values never part and a recomputed task cuts the same way. ``_hot`` flags the hot keys; there
-    are fewer of them than partitions, which bounds every broadcast here.
+def slices(rows: DataFrame, by: list[str], order: str) -> DataFrame:
+    """Adds ``_seg``, the slice of ``order`` a row is in, cut at the key's own quantiles.
+
+    Meant for the rows of hot keys: fewer than n keys, so the cut points are small to broadcast.
+    The slice depends on the value only: equal values never part, and a task that is run again
+    cuts the same way.
     """
     n = split_count(rows.sparkSession)
-    hot = prefixed(hot_keys(rows, by, min_hot_rows), by, "_h_")
     probs = F.array(*[F.lit(i / n) for i in range(1, n)])
-    keys = rows.select(*by, order)
-    cuts = (
-        keys.join(F.broadcast(hot), same_key(keys, hot, by, "_h_"), "left_semi")
-        .groupBy(*by)
-        .agg(F.percentile_approx(order, probs).alias("_cuts"))
-    )
+    cuts = rows.groupBy(*by).agg(F.percentile_approx(order, probs, max(10_000, 10 * n)).alias("_cuts"))
     cuts = prefixed(cuts, by, "_c_")
     out = rows.join(F.broadcast(cuts), same_key(rows, cuts, by, "_c_"), "left")
     slice_no = F.size(F.filter("_cuts", lambda c: F.col(order) >= c))
-    return (
-        out.withColumn("_hot", F.col("_cuts").isNotNull())
-        .withColumn("_seg", F.when(F.col("_hot"), slice_no).otherwise(F.lit(0)))
-        .drop("_cuts", *[f"_c_{c}" for c in by])
-    )
+    return out.withColumn("_seg", slice_no).drop("_cuts", *[f"_c_{c}" for c in by])
 
 
-def running_last(
-    rows: DataFrame,
-    by: list[str],
-    order: list[str],
-    value: str,
-    keep: Column,
-    min_hot_rows: int | None = None,
-) -> DataFrame:
-    """For the ``keep`` rows, the last non-null ``value`` up to and including each row.
+def inherit(rows: DataFrame, ends: DataFrame, by: list[str]) -> DataFrame:
+    """``_here``, or where that is null the ``_carry`` of the slice (fewer than n * n rows)."""
+    ends = prefixed(ends, [*by, "_seg"], "_e_")
+    out = rows.join(F.broadcast(ends), same_key(rows, ends, [*by, "_seg"], "_e_"), "left")
+    return out.withColumn("_here", F.coalesce("_here", "_carry"))
 
-    ``order`` starts with the column hot keys are cut on. Every slice is a window partition of
-    its own; what a slice inherits is the last value of the slices before it, one row per slice.
+
+def last_in_window(rows: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
+    """Replaces ``value`` by its last non-null one up to the row; one window per key."""
+    upto = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    return rows.withColumn(value, F.last(value, ignorenulls=True).over(upto))
+
+
+def last_in_slices(rows: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
+    """The same for hot keys: a window per slice, and one inherited value per slice.
+
+    ``order`` starts with the column the slices are cut on.
     """
-    cut = cut_hot_keys(rows, by, order[0], min_hot_rows)
+    cut = slices(rows, by, order[0])
     local = W.partitionBy(*by, "_seg").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    here = cut.withColumn("_here", F.last(value, ignorenulls=True).over(local)).filter(keep)
+    here = cut.withColumn("_here", F.last(value, ignorenulls=True).over(local))
+    known = F.when(F.col(value).isNotNull(), F.struct(*order))
+    ends = cut.groupBy(*by, "_seg").agg(F.max_by(value, known).alias("_end"))
+    before = W.partitionBy(*by).orderBy("_seg").rowsBetween(W.unboundedPreceding, -1)
+    carry = ends.select(*by, "_seg", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+    return inherit(here, carry, by).withColumn(value, F.col("_here")).select(*rows.columns)
 
-    ends = (
-        cut.filter(F.col("_hot"))
-        .groupBy(*by, "_seg")
-        .agg(
-            F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_end"),
-        )
+
+def running_last(
+    rows: DataFrame, by: list[str], order: list[str], value: str, min_hot_rows: int | None = None
+) -> DataFrame:
+    """``value`` replaced by its last non-null one up to and including each row, per key."""
+    heat = hot_keys(rows, by, min_hot_rows)
+    if heat is None:
+        return last_in_window(rows, by, order, value)
+    cold, hot = split_by_heat(rows, by, heat)
+    return last_in_window(cold, by, order, value).unionByName(last_in_slices(hot, by, order, value))
+
+
+def _timeline(
+    probes: DataFrame, history: DataFrame, by: list[str], left_on: str, right_on: str, right_seq: str,
+    values: list[str], inclusive: bool,
+) -> DataFrame:
+    """Both sides as one event list per key; at equal times the looked-for side sorts first."""
+    first, second = (0, 1) if inclusive else (1, 0)
+    snaps = history.select(
+        *by,
+        F.col(right_on).alias("_t"),
+        F.lit(first).alias("_side"),
+        F.col(right_seq).cast("bigint").alias("_seq"),
+        F.struct(*values).alias("_snap"),
     )
-    before = W.partitionBy(*by).orderBy("_seg").rowsBetween(W.unboundedPreceding, -1)
-    inherited = ends.select(*by, "_seg", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
-    inherited = prefixed(inherited, [*by, "_seg"], "_e_")
-    out = here.join(F.broadcast(inherited), same_key(here, inherited, [*by, "_seg"], "_e_"), "left")
-    return out.withColumn(value, F.coalesce("_here", "_carry")).drop(
-        "_here", "_carry", "_hot", "_seg", *[f"_e_{c}" for c in [*by, "_seg"]]
+    own = probes.select(
+        *by,
+        F.col(left_on).alias("_t"),
+        F.lit(second).alias("_side"),
+        F.lit(None).cast("bigint").alias("_seq"),
+        F.struct(*probes.columns).alias("_own"),
     )
+    return snaps.unionByName(own, allowMissingColumns=True)
 
 
 def asof_join(
@@ -83,34 +104,37 @@ def asof_join(
     """Every left row with the newest right row of its key at or before its own time.
 
     Left rows without one get nulls. ``right_seq`` decides between right rows of the same time:
-    the last write wins. ``inclusive=False`` looks strictly before. Both sides go through one
-    shuffle by key as one union; nothing pairs a left row with its whole history.
+    the last write wins. ``inclusive=False`` looks strictly before.
+
+    Both sides go through one shuffle by key as one event list, then a running last value; no
+    left row is paired with its history. For hot keys only the last write of a time and the
+    distinct left times enter that list, which is cut into slices, and the left rows look their
+    time up in the result, so neither a heavy key nor a heap of equal rows lands in one task.
     """
-    snap = F.struct(*[F.col(c) for c in values])
-    own = F.struct(*[F.col(c) for c in left.columns])
-    first, second = (0, 1) if inclusive else (1, 0)
-    history = right.select(
-        *by,
-        F.col(right_on).alias("_t"),
-        F.lit(first).alias("_side"),
-        F.col(right_seq).cast("bigint").alias("_seq"),
-        snap.alias("_snap"),
-    )
-    probes = left.select(
-        *by,
-        F.col(left_on).alias("_t"),
-        F.lit(second).alias("_side"),
-        F.lit(None).cast("bigint").alias("_seq"),
-        own.alias("_own"),
-    )
-    rows = history.unionByName(probes, allowMissingColumns=True)
-    out = running_last(
-        rows, by, ["_t", "_side", "_seq"], "_snap", F.col("_own").isNotNull(), min_hot_rows
-    )
-    return out.select(
-        *[F.col("_own")[c].alias(c) for c in left.columns],
-        *[F.col("_snap")[c].alias(c) for c in values],
-    )
+    spec = (by, left_on, right_on, right_seq, values, inclusive)
+
+    def result(rows: DataFrame, columns: list[str]) -> DataFrame:
+        return rows.filter(F.col("_own").isNotNull()).select(
+            *[F.col("_own")[c].alias(c) for c in columns],
+            *[F.col("_snap")[c].alias(c) for c in values],
+        )
+
+    def plain(probes: DataFrame, history: DataFrame) -> DataFrame:
+        rows = last_in_window(_timeline(probes, history, *spec), by, TIMELINE, "_snap")
+        return result(rows, left.columns)
+
+    hot = hot_keys(left.select(*by).unionByName(right.select(*by)), by, min_hot_rows)
+    if hot is None:
+        return plain(left, right)
+    cold_left, hot_left = split_by_heat(left, by, hot)
+    cold_right, hot_right = split_by_heat(right, by, hot)
+    needed = list(dict.fromkeys([*by, right_on, right_seq, *values]))
+    history = latest(hot_right.select(*needed), [*by, right_on], [right_seq])
+    times = hot_left.select(*by, left_on).distinct()
+    sliced = last_in_slices(_timeline(times, history, *spec), by, TIMELINE, "_snap")
+    found = result(sliced, [*by, left_on])
+    hot_out = lookup_join(hot_left, found, [*by, left_on], "left", True, min_hot_rows)
+    return plain(cold_left, cold_right).unionByName(hot_out)
 
 
 def latest(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
@@ -148,21 +172,17 @@ def dedupe_last_write(history: DataFrame, by: list[str], seq: str = "write_seq")
 def previous_value(
     df: DataFrame, by: list[str], order: str, seq: str, value: str, alias: str, min_hot_rows: int | None = None
 ) -> DataFrame:
-    """``value`` of the row before, per key, in (order, seq) order; null for the first.
-
-    The same as ``lag`` over the key, except that a hot key's window is cut into slices.
-    """
-    cut = cut_hot_keys(df, by, order, min_hot_rows)
+    """``value`` of the row before, per key, in (order, seq) order; null for the first."""
+    per_key = W.partitionBy(*by).orderBy(order, seq)
+    heat = hot_keys(df, by, min_hot_rows)
+    if heat is None:
+        return df.withColumn(alias, F.lag(value).over(per_key))
+    cold, hot = split_by_heat(df, by, heat)
+    cut = slices(hot, by, order)
     local = W.partitionBy(*by, "_seg").orderBy(order, seq)
     here = cut.withColumn("_here", F.lag(F.struct(value)).over(local))
-    ends = (
-        cut.filter(F.col("_hot"))
-        .groupBy(*by, "_seg")
-        .agg(F.max_by(F.struct(value), F.struct(order, seq)).alias("_end"))
-    )
+    ends = cut.groupBy(*by, "_seg").agg(F.max_by(F.struct(value), F.struct(order, seq)).alias("_end"))
     before = W.partitionBy(*by).orderBy("_seg")
-    inherited = ends.select(*by, "_seg", F.lag("_end").over(before).alias("_carry"))
-    inherited = prefixed(inherited, [*by, "_seg"], "_e_")
-    out = here.join(F.broadcast(inherited), same_key(here, inherited, [*by, "_seg"], "_e_"), "left")
-    prior = F.coalesce("_here", "_carry")[value]
-    return out.select(*df.columns, prior.alias(alias))
+    carry = ends.select(*by, "_seg", F.lag("_end").over(before).alias("_carry"))
+    sliced = inherit(here, carry, by).select(*df.columns, F.col("_here")[value].alias(alias))
+    return cold.withColumn(alias, F.lag(value).over(per_key)).unionByName(sliced)

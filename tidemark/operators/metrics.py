@@ -119,32 +119,39 @@ def cost_curve(
     )
 
 
-def cost_threshold(
-    curve: DataFrame, cost_fn: float, cost_fp: float, by: list[str] | None = None
-) -> DataFrame:
-    """The cheapest grid threshold; the first among equals."""
-    by = by or []
-    cost = (F.col("fn") * cost_fn + F.col("fp") * cost_fp).cast("double")
-    best = curve.groupBy(*by).agg(F.min(F.struct(cost.alias("cost"), "i", "threshold")).alias("b"))
-    return best.select(*by, "b.threshold", "b.cost")
+def cheapest(curve: DataFrame, cases: dict[str, tuple[float, float]]) -> DataFrame:
+    """Per named (false negative, false positive) cost pair, the cheapest grid threshold.
+
+    The first among equals. All cases come from one reading of the curve.
+    """
+    options = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("boundary"),
+                (F.col("fn") * fn + F.col("fp") * fp).cast("double").alias("cost"),
+                F.col("i"),
+                F.col("threshold"),
+            )
+            for name, (fn, fp) in cases.items()
+        ]
+    )
+    best = curve.select(F.inline(options)).groupBy("boundary")
+    return best.agg(F.min(F.struct("cost", "i", "threshold")).alias("b")).select(
+        "boundary", "b.threshold", "b.cost"
+    )
 
 
 def cascade_thresholds(
     df: DataFrame, score: str = "score", label: str = "label", grid: list[float] = COST_GRID
 ) -> DataFrame:
     """Both tier boundaries from one cost curve. Thresholds are put in order; costs stay put."""
-    curve = cost_curve(df, grid, score, label)
-
-    def best(costs: tuple[int, int]) -> Column:
-        cost = (F.col("fn") * costs[0] + F.col("fp") * costs[1]).cast("double")
-        return F.min(F.struct(cost.alias("cost"), "i", "threshold"))
-
-    both = curve.agg(best(config.COST_LOW).alias("l"), best(config.COST_HIGH).alias("h"))
-    return both.select(
-        F.least("l.threshold", "h.threshold").alias("t_low"),
-        F.greatest("l.threshold", "h.threshold").alias("t_high"),
-        F.col("l.cost").alias("cost_low"),
-        F.col("h.cost").alias("cost_high"),
+    best = cheapest(cost_curve(df, grid, score, label), {"low": config.COST_LOW, "high": config.COST_HIGH})
+    of = lambda name, c: F.max(F.when(F.col("boundary") == name, F.col(c)))
+    return best.agg(
+        F.min("threshold").alias("t_low"),
+        F.max("threshold").alias("t_high"),
+        of("low", "cost").alias("cost_low"),
+        of("high", "cost").alias("cost_high"),
     )
 
 

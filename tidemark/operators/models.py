@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark import config
 from tidemark.functions import scalars as S
 from tidemark.operators import metrics, sampling
+from tidemark.operators.routing import as_struct
 from tidemark.session import materialized
 
 # The tree ensemble and the linear baselines.
@@ -148,8 +149,7 @@ def evaluate(bundle: Bundle, df: DataFrame) -> DataFrame:
 def model_card(table: DataFrame, bundle: Bundle, data_version: str, rounds: int) -> DataFrame:
     """One row: version, thresholds, metrics on the untouched test fold, stage ``none``."""
     test = evaluate(bundle, fold(table, "test"))
-    train = metrics.class_balance(fold(table, "train"))
-    one = lambda df, c: df.select(c).scalar()
+    train = as_struct(metrics.class_balance(fold(table, "train"))).scalar()
     now = F.current_timestamp()
     numbers = F.struct(
         F.lit(bundle.t_low).alias("t_low"),
@@ -164,7 +164,7 @@ def model_card(table: DataFrame, bundle: Bundle, data_version: str, rounds: int)
             for x in pair
         ]
     )
-    return test.select(
+    return test.withColumn("_train", train).select(
         S.version_id(now).alias("version"),
         now.alias("created_at"),
         F.lit(data_version).alias("data_version"),
@@ -173,9 +173,9 @@ def model_card(table: DataFrame, bundle: Bundle, data_version: str, rounds: int)
         F.struct(
             F.col("average_precision").alias("pr_auc"),
             F.col("roc_auc"),
-            one(train, "n_rows").alias("n_train"),
+            F.col("_train.n_rows").alias("n_train"),
             F.col("n_rows").alias("n_final_test"),
-            one(train, "positive_rate").alias("positive_rate_train"),
+            F.col("_train.positive_rate").alias("positive_rate_train"),
         ).alias("metrics"),
         F.lit("none").alias("stage"),
     )

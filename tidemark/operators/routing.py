@@ -19,15 +19,16 @@ def route_requests(
     """
     served = S.pick_variant(S.sticky_bucket(F.col("entity_id")), canary_pct)
     is_new = F.col("served_by") == "challenger"
-    pick = lambda c: F.when(is_new, F.col(f"_new_{c}")).otherwise(F.col(f"_old_{c}"))
     rows = requests.select(
         "request_id",
         "entity_id",
         served.alias("served_by"),
         "champion_score",
         "challenger_score",
-        *[f.select(c).scalar().alias(f"_{tag}_{c}") for tag, f in (("old", champion), ("new", challenger)) for c in ("t_low", "t_high")],
+        as_struct(champion).scalar().alias("_old"),
+        as_struct(challenger).scalar().alias("_new"),
     )
+    pick = lambda c: F.when(is_new, F.col("_new")[c]).otherwise(F.col("_old")[c])
     rows = rows.select(
         "request_id",
         "entity_id",
@@ -47,11 +48,9 @@ def route_requests(
     )
 
 
-def error_rate(df: DataFrame, by: list[str], error: str = "is_error") -> DataFrame:
-    sums = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("requests"), F.sum(F.col(error).cast("bigint")).alias("errors")
-    )
-    return sums.withColumn("error_rate", S.ratio_or_zero(F.col("errors"), F.col("requests")))
+def as_struct(one_row: DataFrame) -> DataFrame:
+    """A one-row frame as one struct column, to be read as a scalar in a single subquery."""
+    return one_row.select(F.struct(*one_row.columns).alias("one"))
 
 
 def canary_sla(log: DataFrame, stage: Column, sla: float = config.CANARY_ERROR_SLA) -> DataFrame:

@@ -7,32 +7,46 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import split_count
+from tidemark.session import materialized, split_count
 
 MIN_HOT_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, by: list[str], min_rows: int | None = None) -> DataFrame:
-    """Keys (nulls included) holding more than an even share of one partition.
+def hot_keys(df: DataFrame, by: list[str], min_rows: int | None = None) -> DataFrame | None:
+    """Keys (nulls included) holding more than an even share of one partition; None if no key does.
 
-    A key is hot when it has over 1/n of all rows, n being the number of partitions, and at
-    least ``min_rows``. Fewer than n keys can be, so the result is always small to broadcast.
+    A key is hot when it has over 1/n of all rows, n being the number of partitions, and more
+    than ``min_rows``. Fewer than n keys can be, so the result is always small to broadcast.
+
+    This looks at the data when called: a row count, and for tables above ``min_rows`` one
+    map-side-combined count per key. Plans without hot keys then carry no trace of the question.
+    Hand in written tables, not long plans.
     """
     n = split_count(df.sparkSession)
-    floor = MIN_HOT_ROWS if min_rows is None else min_rows
+    total = df.count()
+    least = max(total / n, MIN_HOT_ROWS if min_rows is None else min_rows)
+    if total <= least:
+        return None
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1)).alias("_n"))
-    share = F.greatest(total.scalar() / F.lit(n), F.lit(floor))
-    return counts.withColumn("_least", share).filter(F.col("_n") > F.col("_least")).select(*by)
+    hot = materialized(counts.filter(F.col("_n") > least).select(*by), "hot-keys")
+    return None if hot.isEmpty() else hot
+
 
+def prefixed(df: DataFrame, columns: list[str], tag: str) -> DataFrame:
+    return df.withColumnsRenamed({c: f"{tag}{c}" for c in columns})
 
-def same_key(left: DataFrame, right: DataFrame, by: list[str], tag: str) -> Column:
-    """Null-safe equality of ``by`` against the columns ``tag + name``."""
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"{tag}{c}"]) for c in by])
 
+def same_key(left: DataFrame, right: DataFrame, by: list[str], tag: str, null_safe: bool = True) -> Column:
+    """Equality of ``by`` on the left against the columns ``tag + name`` on the right."""
+    pairs = [(left[c], right[f"{tag}{c}"]) for c in by]
+    return reduce(lambda a, b: a & b, [x.eqNullSafe(y) if null_safe else x == y for x, y in pairs])
 
-def prefixed(df: DataFrame, by: list[str], tag: str) -> DataFrame:
-    return df.withColumnsRenamed({c: f"{tag}{c}" for c in by})
+
+def split_by_heat(df: DataFrame, by: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ordinary keys and the rows of ``hot`` keys; neither is shuffled for it."""
+    keys = F.broadcast(prefixed(hot, by, "_h_"))
+    on = same_key(df, keys, by, "_h_")
+    return df.join(keys, on, "left_anti"), df.join(keys, on, "left_semi")
 
 
 def lookup_join(
@@ -43,24 +57,22 @@ def lookup_join(
     null_safe: bool = False,
     min_hot_rows: int | None = None,
 ) -> DataFrame:
-    """Join many ``rows`` to a ``lookup`` with one row per key.
+    """Join many ``rows`` to a ``lookup`` with one row per key, ``how`` being inner or left.
 
-    Hot keys of ``rows`` are spread over n salts and only their single lookup rows are repeated
-    n times; all other keys take salt 0. One scan of each side, one shuffle, no result dropped.
+    Rows of ordinary keys meet their lookup row in a shuffle. Rows of hot keys are not moved at
+    all: fewer than n keys are hot, so their lookup rows are broadcast. Copies of one row, however
+    many, stay spread over the tasks that read them.
     """
-    n = split_count(rows.sparkSession)
-    hot = prefixed(hot_keys(rows, by, min_hot_rows), by, "_h_").withColumn("_hot", F.lit(True))
-
-    def flagged(df: DataFrame) -> DataFrame:
-        on = same_key(df, hot, by, "_h_")
-        return df.join(F.broadcast(hot), on, "left").drop(*[f"_h_{c}" for c in by])
-
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(n)).cast("int")
-    left = flagged(rows).withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0)))
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
-    right = flagged(lookup).withColumn("_salt", F.explode(salts)).drop("_hot")
-    right = prefixed(right, [*by, "_salt"], "_r_")
-    on = left["_salt"] == right["_r__salt"]
-    for c in by:
-        on = on & (left[c].eqNullSafe(right[f"_r_{c}"]) if null_safe else left[c] == right[f"_r_{c}"])
-    return left.join(right, on, how).drop("_salt", "_hot", "_r__salt", *[f"_r_{c}" for c in by])
+
+    def joined(left: DataFrame, right: DataFrame, small: bool) -> DataFrame:
+        right = prefixed(right, by, "_r_")
+        on = same_key(left, right, by, "_r_", null_safe)
+        right = F.broadcast(right) if small else right
+        return left.join(right, on, how).drop(*[f"_r_{c}" for c in by])
+
+    hot = hot_keys(rows, by, min_hot_rows)
+    if hot is None:
+        return joined(rows, lookup, False)
+    cold_rows, hot_rows = split_by_heat(rows, by, hot)
+    _, hot_lookup = split_by_heat(lookup, by, hot)
+    return joined(cold_rows, lookup, False).unionByName(joined(hot_rows, hot_lookup, True))

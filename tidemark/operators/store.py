@@ -10,6 +10,7 @@ from tidemark.functions.scalars import predict_at
 from tidemark.operators.asof import latest, pit_join, previous_value
 from tidemark.operators.metrics import precision_recall_f1, ranking_metrics
 from tidemark.operators.skew import lookup_join
+from tidemark.session import materialized
 
 
 def newest_log_rows(log: DataFrame, limit: int = config.LOG_READ_LIMIT) -> DataFrame:
@@ -23,8 +24,8 @@ def log_to_predictions(log: DataFrame) -> DataFrame:
 
 def within_retention(df: DataFrame, ts: str, days: int = config.RETENTION_DAYS) -> DataFrame:
     """Rows of the last ``days`` days, counted from the newest day present."""
-    newest = df.agg(F.max(F.to_date(ts)).alias("d")).scalar()
-    return df.filter(F.to_date(ts) >= F.date_sub(newest, days))
+    newest = F.date_sub(F.to_date(F.max(ts)), days).cast(df.schema[ts].dataType)
+    return df.filter(F.col(ts) >= df.agg(newest.alias("since")).scalar())
 
 
 def reconcile(
@@ -77,9 +78,11 @@ def latest_value_join(labels: DataFrame, history: DataFrame, how: str = "left")
 
 def leakage_report(labels: DataFrame, history: DataFrame) -> DataFrame:
     """How far the leaky join departs from the point-in-time join, and the AUC of each."""
-    joined = latest_value_join(pit_join(labels, history), history)
+    pit = pit_join(labels, history).select("entity_id", "label", "label_timestamp", "spend")
+    joined = materialized(
+        latest_value_join(materialized(pit, "pit"), history).drop("entity_id"), "leakage"
+    )
     leaky_known = F.col("current_spend").isNotNull()
-    right_known = F.col("spend").isNotNull()
     counts = joined.agg(
         F.count(F.lit(1)).alias("n_labels"),
         F.count_if(leaky_known & ~F.col("spend").eqNullSafe(F.col("current_spend"))).alias("n_differ"),
@@ -90,17 +93,10 @@ def leakage_report(labels: DataFrame, history: DataFrame) -> DataFrame:
         F.struct(F.lit("pit").alias("view"), F.col("spend").alias("score")),
     )
     long = joined.select("label", F.inline(views)).filter(F.col("score").isNotNull())
-    auc = ranking_metrics(long, by=["view"])
     either_way = F.greatest("roc_auc", 1.0 - F.col("roc_auc"))
-    aucs = auc.agg(
-        F.max(F.when(F.col("view") == "leaky", either_way)).alias("auc_leaky"),
-        F.max(F.when(F.col("view") == "pit", either_way)).alias("auc_pit"),
-    )
-    return counts.select(
-        "*",
-        aucs.select("auc_leaky").scalar().alias("auc_leaky"),
-        aucs.select("auc_pit").scalar().alias("auc_pit"),
-    )
+    auc = lambda view: F.max(F.when(F.col("view") == view, either_way)).alias(f"auc_{view}")
+    aucs = ranking_metrics(long, by=["view"]).agg(F.struct(auc("leaky"), auc("pit")).alias("a"))
+    return counts.withColumn("_a", aucs.scalar()).select("n_labels", "n_differ", "n_future", "_a.*")
 
 
 def backfill_counts(predictions: DataFrame, labels: DataFrame, cut: float = 0.5) -> DataFrame:

@@ -13,7 +13,7 @@ from tidemark.functions import scalars as S
 from tidemark.operators import asof, drift, gates, metrics, models, registry, routing, running, sampling, store
 from tidemark.operators.skew import lookup_join
 from tidemark.plans import jobs
-from tidemark.session import scratch_dir
+from tidemark.session import materialized, scratch_dir
 from tidemark.sources import sinks, views
 from tidemark.sources.tables import stream_table, table
 from tidemark.streaming import streams
@@ -346,15 +346,15 @@ def serving_state(spark, folder):
 def _two_model_scores(spark, folder) -> DataFrame:
     """(version, slice, label, score) of the stronger and the weaker model, from one scan."""
     lineitem = table(spark, folder, "lineitem")
-    strong = views.scored_of(lineitem, 0.15)
-    weak = views.scored_of(lineitem, 0.05)
-    edge = running.exact_quantiles(strong, "quantity", [0.75], alias="q").select(F.col("q")[0]).scalar()
-    both = strong.withColumn("version", F.lit("champion")).unionByName(
-        weak.withColumn("version", F.lit("challenger"))
+    edge = running.exact_quantiles(lineitem, "l_quantity", [0.75], alias="q").select(F.col("q")[0]).scalar()
+    both = F.array(
+        F.struct(F.lit("champion").alias("version"), views.request_score(0.15).alias("score")),
+        F.struct(F.lit("challenger").alias("version"), views.request_score(0.05).alias("score")),
     )
-    sliced = registry.slices_of(
-        both.withColumn("_edge", edge), F.col("quantity") >= F.col("_edge"), SLICES
+    rows = lineitem.select(
+        (F.col("l_returnflag") == "R").cast("int").alias("label"), "l_quantity", edge.alias("_edge"), F.inline(both)
     )
+    sliced = registry.slices_of(rows, F.col("l_quantity") >= F.col("_edge"), SLICES)
     return sliced.select("version", "slice", "label", "score")
 
 
@@ -445,17 +445,9 @@ def confusion_at_threshold(spark, folder):
 def cost_threshold(spark, folder):
     """Both tier boundaries on the fine grid, and the 10:1 search on the coarse one."""
     scored = views.scored(spark, folder)
-    fine, coarse = metrics.cost_curve(scored), metrics.cost_curve(scored, metrics.COARSE_GRID)
-    cases = [
-        ("low", metrics.cost_threshold(fine, *config.COST_LOW)),
-        ("high", metrics.cost_threshold(fine, *config.COST_HIGH)),
-        ("ten_to_one", metrics.cost_threshold(coarse, 10, 1)),
-    ]
-    out = None
-    for name, best in cases:
-        part = best.select(F.lit(name).alias("boundary"), "threshold", "cost")
-        out = part if out is None else out.unionByName(part)
-    return rounded(out, "threshold", digits=9)
+    fine = metrics.cheapest(metrics.cost_curve(scored), {"low": config.COST_LOW, "high": config.COST_HIGH})
+    coarse = metrics.cheapest(metrics.cost_curve(scored, metrics.COARSE_GRID), {"ten_to_one": (10, 1)})
+    return rounded(fine.unionByName(coarse), "threshold", digits=9)
 
 
 @query("precision_recall_f1")
@@ -539,11 +531,9 @@ def concept_vs_data_drift(spark, folder):
 
 def _tiered(spark, folder) -> DataFrame:
     scored = views.scored(spark, folder)
-    cuts = metrics.cascade_thresholds(scored)
-    rows = scored.withColumns(
-        {"_t_low": cuts.select("t_low").scalar(), "_t_high": cuts.select("t_high").scalar()}
-    )
-    return rows.select("label", S.tier(F.col("score"), F.col("_t_low"), F.col("_t_high")).alias("tier"))
+    cuts = routing.as_struct(metrics.cascade_thresholds(scored)).scalar()
+    rows = scored.select("label", "score", cuts.alias("_t"))
+    return rows.select("label", S.tier(F.col("score"), F.col("_t.t_low"), F.col("_t.t_high")).alias("tier"))
 
 
 @query("tier_distribution")
@@ -603,6 +593,7 @@ def online_offline_mismatch_summary(spark, folder):
 def eval_slices(spark, folder):
     folds = sampling.split_folds(views.features_clean(spark, folder))
     holdout = folds.filter(F.col("fold") != "train").select("entity_id", "support_tickets_30d", "label")
+    holdout = materialized(holdout, "holdout")
     edge = running.exact_quantiles(holdout, "support_tickets_30d", [0.75], alias="q")
     tagged = holdout.withColumn("_edge", edge.select(F.col("q")[0]).scalar())
     heavy = F.col("support_tickets_30d") >= F.col("_edge")
@@ -626,7 +617,7 @@ def asof_frame(spark, folder):
     """The running last known high spend of each entity, at every snapshot."""
     history = views.feature_history(spark, folder)
     marked = history.withColumn("last_high", F.when(F.col("spend") >= 50, F.col("spend")))
-    return asof.running_last(marked, ["entity_id"], ["ts", "write_seq"], "last_high", F.lit(True)).select(
+    return asof.running_last(marked, ["entity_id"], ["ts", "write_seq"], "last_high").select(
         "entity_id", "ts", "write_seq", "last_high"
     )
 
@@ -646,7 +637,8 @@ def cumulative_counts(spark, folder):
 
 @query("rollback_target")
 def rollback_target(spark, folder):
-    return store.previous_pointer(views.pointer_log(spark, folder), ["model", "stage"])
+    pointers = materialized(views.pointer_log(spark, folder), "pointers")
+    return store.previous_pointer(pointers, ["model", "stage"])
 
 
 @query("duplicate_rows")

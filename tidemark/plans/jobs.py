@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark import config
 from tidemark.functions import scalars as S
 from tidemark.operators import drift, gates, metrics
+from tidemark.session import materialized
 
 
 def concept_drift_report(df: DataFrame, is_live: Column, flipped: Column, feature: str) -> DataFrame:
@@ -17,25 +18,22 @@ def concept_drift_report(df: DataFrame, is_live: Column, flipped: Column, featur
     Live labels are turned over where ``flipped`` holds, which leaves every input as it was.
     """
     label = F.when(is_live & flipped, 1 - F.col("label")).otherwise(F.col("label"))
-    rows = df.select(
-        is_live.alias("is_live"),
-        F.lit(feature).alias("feature"),
-        F.col(feature).alias("value"),
-        S.heuristic_flag().alias("pred"),
-        label.alias("label"),
+    rows = materialized(
+        df.select(
+            is_live.alias("is_live"),
+            F.lit(feature).alias("feature"),
+            F.col(feature).alias("value"),
+            S.heuristic_flag().alias("pred"),
+            label.alias("label"),
+        ),
+        "concept",
     )
     ks = drift.ks_drift(rows, ["feature"])
-    f1 = metrics.precision_recall_f1(rows, by=["is_live"]).agg(
-        F.max(F.when(~F.col("is_live"), F.col("f1"))).alias("f1_before"),
-        F.max(F.when(F.col("is_live"), F.col("f1"))).alias("f1_after"),
-    )
-    both = ks.select(
-        "feature",
-        "ks_stat",
-        "drifted",
-        f1.select("f1_before").scalar().alias("f1_before"),
-        f1.select("f1_after").scalar().alias("f1_after"),
+    f1 = lambda side: F.max(F.when(F.col("is_live") == side, F.col("f1")))
+    scores = metrics.precision_recall_f1(rows, by=["is_live"]).agg(
+        F.struct(f1(False).alias("f1_before"), f1(True).alias("f1_after")).alias("f")
     )
+    both = ks.withColumn("_f", scores.scalar()).select("feature", "ks_stat", "drifted", "_f.*")
     return both.select(
         "*",
         drift.concept_verdict(F.col("drifted"), F.col("f1_before"), F.col("f1_after")).alias("verdict"),

@@ -38,7 +38,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
-def split_count(spark: SparkSession, most: int = 256) -> int:
+def split_count(spark: SparkSession, most: int = 2048) -> int:
     """How many pieces to cut a global order or a hot key into: follows the cluster's parallelism."""
     return max(8, min(most, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 

@@ -38,10 +38,12 @@ def append_features(df: DataFrame, path: str, ts: str = "ts") -> None:
     by_day(df, ts).write.mode("append").partitionBy("date").parquet(path)
 
 
-def append_log(df: DataFrame, path: str, ts: str = "request_ts") -> None:
-    """Append-only inference log, partitioned by day and hour."""
-    out = by_day(df, ts).withColumn("hour", F.hour(ts))
-    out.write.mode("append").partitionBy("date", "hour").parquet(path)
+def append_log(df: DataFrame, path: str, ts: str = "request_ts", hourly: bool = False) -> None:
+    """Append-only inference log, partitioned by day; by hour too where a day is heavy."""
+    out = by_day(df, ts)
+    parts = ["date", "hour"] if hourly else ["date"]
+    out = out.withColumn("hour", F.hour(ts)) if hourly else out
+    out.write.mode("append").partitionBy(*parts).parquet(path)
 
 
 def append_online(df: DataFrame, path: str, batch_id: str, key: str = "entity_id", seq: str = "write_seq") -> None:
