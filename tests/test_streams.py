@@ -14,10 +14,13 @@ from tidemark.streaming import streams
 
 @pytest.fixture(scope="module")
 def pieces(spark, folder, tmp_path_factory):
-    """The events in three files, one micro-batch each, cut by time."""
+    """The events in three files, written and so read one after the other, cut by time."""
     path = str(tmp_path_factory.mktemp("events"))
-    events = table(spark, folder, "events").repartitionByRange(3, "ts").sortWithinPartitions("ts")
-    events.write.mode("overwrite").parquet(path)
+    events = table(spark, folder, "events")
+    ends = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"]
+    for start, end in zip(ends, ends[1:]):
+        inside = (F.col("ts") >= F.lit(start).cast("timestamp_ntz")) & (F.col("ts") < F.lit(end).cast("timestamp_ntz"))
+        events.filter(inside).coalesce(1).write.mode("append").parquet(path)
     return path
 
 

@@ -46,21 +46,23 @@ def ranking_metrics(
     )
 
 
-def _origin(curve: DataFrame, **values: float | None) -> DataFrame:
-    """One extra curve point, present when the curve has any."""
-    one = curve.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 0)
-    return one.select(*[F.lit(v).cast("double").alias(k) for k, v in values.items()])
+def _curve(ranked: DataFrame, point: dict[str, Column], extra: dict[str, float | None]) -> DataFrame:
+    """One row per distinct score, and the curve's fixed end point next to the highest score."""
+    own = F.struct(*[c.cast("double").alias(k) for k, c in point.items()])
+    end = F.struct(*[F.lit(v).cast("double").alias(k) for k, v in extra.items()])
+    highest = (F.col("cum_pos") + F.col("cum_neg")) == (F.col("pos") + F.col("neg"))
+    return ranked.select(F.inline(F.when(highest, F.array(own, end)).otherwise(F.array(own))))
 
 
 def roc_curve(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """False and true positive rate at every distinct threshold, from (inf, 0, 0) on."""
     ranked = running_totals(score_counts(df, score, label), score, ["pos", "neg"], descending=True)
-    points = ranked.select(
-        F.col(score).alias("threshold"),
-        S.ratio_or_zero(F.col("cum_neg"), F.col("all_neg")).alias("fpr"),
-        S.ratio_or_zero(F.col("cum_pos"), F.col("all_pos")).alias("tpr"),
-    )
-    return points.unionByName(_origin(points, threshold=float("inf"), fpr=0.0, tpr=0.0))
+    point = {
+        "threshold": F.col(score),
+        "fpr": S.ratio_or_zero(F.col("cum_neg"), F.col("all_neg")),
+        "tpr": S.ratio_or_zero(F.col("cum_pos"), F.col("all_pos")),
+    }
+    return _curve(ranked, point, {"threshold": float("inf"), "fpr": 0.0, "tpr": 0.0})
 
 
 def youden_threshold(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
@@ -73,12 +75,12 @@ def youden_threshold(df: DataFrame, score: str = "score", label: str = "label")
 def pr_curve(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Precision and recall at every distinct threshold, and the closing point (1, 0)."""
     ranked = running_totals(score_counts(df, score, label), score, ["pos", "neg"], descending=True)
-    points = ranked.select(
-        F.col(score).alias("threshold"),
-        S.ratio_or_zero(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
-        S.ratio_or_zero(F.col("cum_pos"), F.col("all_pos")).alias("recall"),
-    )
-    return points.unionByName(_origin(points, threshold=None, precision=1.0, recall=0.0))
+    point = {
+        "threshold": F.col(score),
+        "precision": S.ratio_or_zero(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")),
+        "recall": S.ratio_or_zero(F.col("cum_pos"), F.col("all_pos")),
+    }
+    return _curve(ranked, point, {"threshold": None, "precision": 1.0, "recall": 0.0})
 
 
 def cost_curve(

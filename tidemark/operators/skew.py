@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialized, split_count
 
-MIN_HOT_ROWS = 1_000_000
+# Up to this many rows of one key are no burden to a task.
+MIN_HOT_ROWS = 5_000_000
 
 
 def hot_keys(df: DataFrame, by: list[str], min_rows: int | None = None) -> DataFrame | None:

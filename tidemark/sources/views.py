@@ -17,12 +17,18 @@ SERVING_T_LOW = 0.2
 SERVING_T_HIGH = 0.6
 
 
-def customer_key(user: str = "user_id"):
-    return F.format_string("cust_%06d", F.col(user))
+def _padded(prefix: str, number: str, width: int) -> Column:
+    """``prefix`` and the number, zero-padded to ``width``; longer numbers keep all their digits."""
+    digits = F.col(number).cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
 
 
-def order_key(order: str):
-    return F.format_string("ord_%09d", F.col(order))
+def customer_key(user: str = "user_id") -> Column:
+    return _padded("cust_", user, 6)
+
+
+def order_key(order: str) -> Column:
+    return _padded("ord_", order, 9)
 
 
 def raw_landing_of(events: DataFrame) -> DataFrame:
