@@ -135,7 +135,8 @@ def test_reconcile_at_the_tolerance_and_future_history(spark):
 
 
 def scores(spark, rows):
-    return spark.createDataFrame(rows, "version string, slice string, label int, score double")
+    table = spark.createDataFrame(rows, "version string, slice string, label int, score double")
+    return registry.slice_metrics(table)
 
 
 def test_first_model_passes_without_champion(spark):

@@ -15,13 +15,19 @@ TIMELINE = ["_t", "_side", "_seq"]
 def slices(rows: DataFrame, by: list[str], order: str) -> DataFrame:
     """Adds ``_seg``, the slice of ``order`` a row is in, cut at the key's own quantiles.
 
-    Meant for the rows of hot keys: fewer than n keys, so the cut points are small to broadcast.
-    The slice depends on the value only: equal values never part, and a task that is run again
-    cuts the same way.
+    Meant for the rows of hot keys, fewer than n of them. A key gets slices by its share of these
+    rows, fewer than 2 * n in all, so cut points and slice ends are small to broadcast. The slice
+    depends on the value only: equal values never part, and a task run again cuts the same way.
     """
     n = split_count(rows.sparkSession)
     probs = F.array(*[F.lit(i / n) for i in range(1, n)])
-    cuts = rows.groupBy(*by).agg(F.percentile_approx(order, probs, max(10_000, 10 * n)).alias("_cuts"))
+    per_key = rows.groupBy(*by).agg(
+        F.percentile_approx(order, probs, max(10_000, 10 * n)).alias("_all"), F.count(F.lit(1)).alias("_n")
+    )
+    stride = F.floor(F.sum("_n").over(W.partitionBy(F.lit(0))) / F.col("_n")).cast("int")
+    cuts = per_key.withColumn("_stride", stride).select(
+        *by, F.filter("_all", lambda c, i: (i + 1) % F.col("_stride") == 0).alias("_cuts")
+    )
     cuts = prefixed(cuts, by, "_c_")
     out = rows.join(F.broadcast(cuts), same_key(rows, cuts, by, "_c_"), "left")
     slice_no = F.size(F.filter("_cuts", lambda c: F.col(order) >= c))
@@ -29,7 +35,7 @@ def slices(rows: DataFrame, by: list[str], order: str) -> DataFrame:
 
 
 def inherit(rows: DataFrame, ends: DataFrame, by: list[str]) -> DataFrame:
-    """``_here``, or where that is null the ``_carry`` of the slice (fewer than n * n rows)."""
+    """``_here``, or where that is null the ``_carry`` of the slice (fewer than 2 * n rows)."""
     ends = prefixed(ends, [*by, "_seg"], "_e_")
     out = rows.join(F.broadcast(ends), same_key(rows, ends, [*by, "_seg"], "_e_"), "left")
     return out.withColumn("_here", F.coalesce("_here", "_carry"))

@@ -9,6 +9,7 @@ from tidemark import config
 from tidemark.functions import scalars as S
 from tidemark.operators.metrics import DECILES
 from tidemark.operators.running import exact_quantiles, running_totals
+from tidemark.operators.skew import join_group_values
 
 SERIES_TERMS = 100
 PSI_FLOOR = 1e-6
@@ -81,7 +82,10 @@ def psi(long: DataFrame, by: list[str] | None = None, value: str = "value", live
     """
     by = by or []
     edges = exact_quantiles(long.filter(~F.col(live)), value, DECILES, by, alias="_edges")
-    rows = long.join(F.broadcast(edges), by) if by else long.withColumn("_edges", edges.scalar())
+    if by:
+        rows = join_group_values(long, edges, by, "edges")
+    else:
+        rows = long.withColumn("_edges", edges.scalar())
     bins = len(DECILES) + 1
     usable = F.col(value).isNotNull() & ~F.isnan(value)
     bin_no = F.when(usable, S.edges_passed(F.col(value), F.col("_edges"), len(DECILES)))

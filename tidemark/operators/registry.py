@@ -67,19 +67,23 @@ def serving_state(pointers: DataFrame, cards: DataFrame, canary_pct: int) -> Dat
     )
 
 
+def slice_metrics(scores: DataFrame) -> DataFrame:
+    """Ranking metrics of every (version, slice) of (version, slice, label, score), in one plan."""
+    return ranking_metrics(scores, by=["version", "slice"])
+
+
 def champion_challenger(
-    scores: DataFrame, challenger: str, champion: str | None, limit: float = config.MAX_AP_REGRESSION
+    metrics: DataFrame, challenger: str, champion: str | None, limit: float = config.MAX_AP_REGRESSION
 ) -> DataFrame:
     """Per slice, whether the challenger's average precision holds up against the champion's.
 
-    ``scores`` has (version, slice, label, score); all versions and slices are ranked in one plan.
+    ``metrics`` comes from :func:`slice_metrics`. Without a champion every slice passes.
     """
-    metrics = ranking_metrics(scores, by=["version", "slice"])
     of = lambda version, c: F.max(F.when(F.col("version") == version, F.col(c)))
-    none = F.lit(None).cast("double")
+    none = F.max(F.lit(None).cast("double"))
     per_slice = metrics.groupBy("slice").agg(
-        (of(champion, "average_precision") if champion else F.max(none)).alias("champion_ap"),
-        (of(champion, "roc_auc") if champion else F.max(none)).alias("champion_auc"),
+        (of(champion, "average_precision") if champion else none).alias("champion_ap"),
+        (of(champion, "roc_auc") if champion else none).alias("champion_auc"),
         of(challenger, "average_precision").alias("challenger_ap"),
         of(challenger, "roc_auc").alias("challenger_auc"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import count_passed
+from tidemark.operators.skew import join_group_values
 from tidemark.session import split_count
 
 
@@ -32,27 +33,19 @@ def running_totals(
     """Adds ``cum_<s>`` (inclusive, in value order) and ``all_<s>`` for each column in ``sums``.
 
     ``counts`` has one row per (by, value): ties are collapsed before, so no value is split and
-    none is hot. Values are cut into ``pieces`` ranges at approximate quantiles; each range keeps
-    its own running sum and adds the total of the ranges before it. The range totals are
-    ``pieces`` rows per group, and ``by`` stands for a fixed list (features, slices, variants),
-    so the broadcasts are bounded whatever the data.
+    none is hot. Values are cut into ``pieces`` ranges at approximate quantiles over all groups,
+    which leaves at most one range's share of the rows in any (by, range), however the groups
+    are sized. Each range keeps its own running sum and adds the total of the group's ranges
+    before it. The cut points are one row; the totals join on the key the rows are shuffled by
+    for their running sum anyway.
     """
     by = by or []
     n = (pieces or split_count(counts.sparkSession)) - 1
     probs = F.array(*[F.lit((i + 1) / (n + 1)) for i in range(n)])
     cut_points = F.percentile_approx(value, probs, max(10_000, 10 * n)).alias("cuts")
-    whole = F.struct(cut_points, *[F.sum(s).alias(s) for s in sums]).alias("_whole")
-    # Left joins throughout, though every row has its match: inner ones would put null tests on
-    # the raw rows, and the branches below would no longer share one shuffle of ``counts``.
-    if by:
-        rows = counts.join(F.broadcast(counts.groupBy(*by).agg(whole)), by, "left")
-    else:
-        rows = counts.withColumn("_whole", counts.agg(whole).scalar())
-    rows = rows.select(
-        *counts.columns,
-        *[F.col("_whole")[s].alias(f"all_{s}") for s in sums],
-        F.col("_whole")["cuts"].alias("_cuts"),
-    )
+    # The sums are taken along so that all three readers of ``counts`` share one shuffle of it.
+    whole = counts.agg(F.struct(cut_points, *[F.sum(s).alias(s) for s in sums]).alias("whole")).scalar()
+    rows = counts.withColumn("_cuts", whole["cuts"])
     rows = rows.withColumn("_piece", bucket_of(F.col(value), "_cuts", n)).drop("_cuts")
 
     groups = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
@@ -60,11 +53,16 @@ def running_totals(
     before = groups.orderBy(piece_order).rowsBetween(W.unboundedPreceding, -1)
     totals = rows.groupBy(*by, "_piece").agg(*[F.sum(s).alias(s) for s in sums])
     offsets = totals.select(
-        *by, "_piece", *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"_off_{s}") for s in sums]
+        *by,
+        "_piece",
+        *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"_off_{s}") for s in sums],
+        *[F.sum(s).over(groups).alias(f"all_{s}") for s in sums],
     )
     value_order = F.col(value).desc() if descending else F.col(value).asc()
     local = W.partitionBy(*by, "_piece").orderBy(value_order).rowsBetween(W.unboundedPreceding, 0)
-    out = rows.join(F.broadcast(offsets), [*by, "_piece"], "left")
+    # A left join, though every row has its match: an inner one would put null tests on the raw
+    # rows, and the branches would no longer share the shuffle.
+    out = rows.join(offsets, [*by, "_piece"], "left")
     return out.select(
         *counts.columns,
         *[(F.sum(s).over(local) + F.col(f"_off_{s}")).alias(f"cum_{s}") for s in sums],
@@ -87,7 +85,7 @@ def exact_quantiles(
     little is shuffled. The sketch is accurate to a tenth of the band's half width; should a rank
     fall outside its band, the query fails rather than answer wrongly. Few values (up to
     SKETCH_ACCURACY, where a band may be under one rank wide) are all counted one by one.
-    NaN and null values are left out. ``by`` stands for a fixed list of groups.
+    NaN and null values are left out.
     """
     by = by or []
     clean = df.select(*by, value).filter(F.col(value).isNotNull() & ~F.isnan(value))
@@ -95,7 +93,7 @@ def exact_quantiles(
     edges = F.percentile_approx(value, F.array(*[F.lit(e) for e in ends]), SKETCH_ACCURACY)
     sketch = F.struct(edges.alias("edges"), F.count(value).alias("n")).alias("_band")
     if by:
-        rows = clean.join(F.broadcast(clean.groupBy(*by).agg(sketch)), by, "left")
+        rows = join_group_values(clean, clean.groupBy(*by).agg(sketch), by, "sketch")
     else:
         rows = clean.withColumn("_band", clean.agg(sketch).scalar())
     v = F.col(value)

@@ -11,6 +11,7 @@ from tidemark.session import materialized, split_count
 
 # Up to this many rows of one key are no burden to a task.
 MIN_HOT_ROWS = 5_000_000
+MAX_BROADCAST_ROWS = 50_000
 
 
 def hot_keys(df: DataFrame, by: list[str], min_rows: int | None = None) -> DataFrame | None:
@@ -77,3 +78,15 @@ def lookup_join(
     cold_rows, hot_rows = split_by_heat(rows, by, hot)
     _, hot_lookup = split_by_heat(lookup, by, hot)
     return joined(cold_rows, lookup, False).unionByName(joined(hot_rows, hot_lookup, True))
+
+
+def join_group_values(rows: DataFrame, values: DataFrame, by: list[str], name: str) -> DataFrame:
+    """``rows`` with the ``values`` of their group (one row per group), all rows kept.
+
+    Groups are usually a few features or slices; then the values are broadcast and the rows stay
+    where they are. The values are written and counted first, and beyond MAX_BROADCAST_ROWS
+    the two sides meet in a shuffle instead.
+    """
+    small = materialized(values, name)
+    few = small.count() <= MAX_BROADCAST_ROWS
+    return rows.join(F.broadcast(small) if few else small, by, "left")

@@ -359,7 +359,8 @@ def _two_model_scores(spark, folder) -> DataFrame:
 
 
 def _champion_challenger(spark, folder) -> DataFrame:
-    return registry.champion_challenger(_two_model_scores(spark, folder), "challenger", "champion")
+    metrics_of = registry.slice_metrics(_two_model_scores(spark, folder))
+    return registry.champion_challenger(metrics_of, "challenger", "champion")
 
 
 AP_COLUMNS = ("champion_ap", "champion_auc", "challenger_ap", "challenger_auc")
@@ -705,10 +706,10 @@ def hash_sample_n(spark, folder):
 @query("promote")
 def promote(spark, folder):
     """The weaker model against the stronger one and the other way round, dry and for real."""
-    scores = _two_model_scores(spark, folder)
+    metrics_of = materialized(registry.slice_metrics(_two_model_scores(spark, folder)), "slice-metrics")
     out = None
     for version, champion in (("challenger", "champion"), ("champion", "challenger")):
-        per_slice = registry.champion_challenger(scores, version, champion)
+        per_slice = registry.champion_challenger(metrics_of, version, champion)
         for dry in (False, True):
             part = registry.promotion(per_slice, version, dry)
             out = part if out is None else out.unionByName(part)
@@ -727,7 +728,7 @@ def gate_chain(spark, folder):
         (F.count_if(F.col("label") == 1) > 0).alias("_p"), (F.count_if(F.col("label") == 0) > 0).alias("_n")
     )
     trainable = balance.select((F.col("_p") & F.col("_n")).alias("passed"))
-    promoted = registry.gate_verdict(_champion_challenger(spark, folder))
+    promoted = materialized(registry.gate_verdict(_champion_challenger(spark, folder)), "verdict")
     full = jobs.gate_chain(
         "full",
         [
