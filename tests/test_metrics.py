@@ -186,3 +186,17 @@ def test_reliability_bins_are_left_open(spark):
     assert {b: r["n_rows"] for b, r in got.items()} == {int(b): int((want == b).sum()) for b in set(want)}
     for b, r in got.items():
         assert r["observed_rate"] == pytest.approx(label[want == b].mean())
+
+
+def test_missing_scores_reach_no_threshold(spark):
+    df = spark.createDataFrame([(float("nan"), 1), (None, 0), (0.5, 1)], "score double, label int")
+    curve = metrics.cost_curve(df).orderBy("i").collect()
+    assert (curve[0]["fn"], curve[0]["fp"]) == (1, 0)
+    assert (curve[-1]["fn"], curve[-1]["fp"]) == (2, 0)
+
+
+def test_two_samples_take_the_shared_features(spark):
+    a = spark.createDataFrame([(1.0, 2.0)], "x double, y double")
+    b = spark.createDataFrame([(3.0, 4.0)], "x double, z double")
+    got = {tuple(r) for r in drift.two_samples(a, b, ["x", "y", "z"]).select("feature", "value", "is_live").collect()}
+    assert got == {("x", 1.0, False), ("x", 3.0, True)}

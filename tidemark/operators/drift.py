@@ -22,6 +22,16 @@ def unpivot(df: DataFrame, ids: list[str], columns: list[str]) -> DataFrame:
     return df.select(*ids, F.inline(cells))
 
 
+def two_samples(baseline: DataFrame, live: DataFrame, columns: list[str]) -> DataFrame:
+    """Both tables as (feature, value, is_live) rows, for the features they share."""
+    shared = [c for c in columns if c in baseline.columns and c in live.columns]
+    tagged = [
+        unpivot(df.withColumn("is_live", F.lit(side)), ["is_live"], shared)
+        for df, side in ((baseline, False), (live, True))
+    ]
+    return tagged[0].unionByName(tagged[1])
+
+
 def kolmogorov_p(d: Column, n1: Column, n2: Column) -> Column:
     """Asymptotic p-value. Below 0.2 the alternating series has no accuracy and p is 1."""
     root = F.sqrt(n1.cast("double") * n2.cast("double") / (n1 + n2).cast("double"))

@@ -93,11 +93,13 @@ def cost_curve(
     """False negatives and positives at each grid threshold, from one pass over the rows.
 
     Rows are counted per grid cell; the cumulation then runs over the len(grid) + 1 cells only.
+    A missing or NaN score reaches no threshold.
     """
     by = by or []
+    known = F.col(score).isNotNull() & ~F.isnan(score)
+    cell = F.when(known, S.bin_index(F.col(score), grid)).otherwise(F.lit(0))
     cells = (
-        df.filter(~F.isnan(score))
-        .groupBy(*by, S.bin_index(F.col(score), grid).alias("i"))
+        df.groupBy(*by, cell.alias("i"))
         .agg(
             F.sum(F.col(label).cast("bigint")).alias("pos"),
             F.sum((1 - F.col(label)).cast("bigint")).alias("neg"),

@@ -146,6 +146,17 @@ def evaluate(bundle: Bundle, df: DataFrame) -> DataFrame:
     return metrics.ranking_metrics(bundle.score(df), score="calibrated_score")
 
 
+def score_versions(bundles: dict[str, Bundle], sliced: DataFrame) -> DataFrame:
+    """(version, slice, label, score) of several versions over the same sliced rows."""
+    out = None
+    for version, bundle in bundles.items():
+        part = bundle.score(sliced).select(
+            F.lit(version).alias("version"), "slice", "label", F.col("calibrated_score").alias("score")
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def model_card(table: DataFrame, bundle: Bundle, data_version: str, rounds: int) -> DataFrame:
     """One row: version, thresholds, metrics on the untouched test fold, stage ``none``."""
     test = evaluate(bundle, fold(table, "test"))

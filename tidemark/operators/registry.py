@@ -9,6 +9,7 @@ from tidemark import config
 from tidemark.functions import scalars as S
 from tidemark.operators.asof import latest
 from tidemark.operators.metrics import ranking_metrics
+from tidemark.operators.running import exact_quantiles
 
 
 def list_versions(versions: DataFrame, cards: DataFrame) -> DataFrame:
@@ -123,3 +124,11 @@ def slices_of(df: DataFrame, in_slice: Column, names: tuple[str, str]) -> DataFr
     whole, hard = names
     tags = F.when(in_slice, F.array(F.lit(whole), F.lit(hard))).otherwise(F.array(F.lit(whole)))
     return df.withColumn("slice", F.explode(tags))
+
+
+def eval_slices(holdout: DataFrame, feature: str = "support_tickets_30d") -> DataFrame:
+    """The whole holdout, and its rows at or above the 75th percentile of ``feature``."""
+    edge = exact_quantiles(holdout, feature, [0.75], alias="q").select(F.col("q")[0])
+    tagged = holdout.withColumn("_edge", edge.scalar())
+    heavy = F.col(feature) >= F.col("_edge")
+    return slices_of(tagged, heavy, ("held_out", "high_ticket_volume_slice")).drop("_edge")

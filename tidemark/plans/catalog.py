@@ -513,7 +513,9 @@ def roc_curve_youden(spark, folder):
 
 @query("roc_curve")
 def roc_curve(spark, folder):
-    return rounded(metrics.roc_curve(views.scored(spark, folder)), "fpr", "tpr")
+    """The origin's infinite threshold is shown as null."""
+    curve = rounded(metrics.roc_curve(views.scored(spark, folder)), "fpr", "tpr")
+    return curve.withColumn("threshold", F.nullif("threshold", F.lit(float("inf"))))
 
 
 @query("pr_curve")
@@ -594,11 +596,7 @@ def online_offline_mismatch_summary(spark, folder):
 def eval_slices(spark, folder):
     folds = sampling.split_folds(views.features_clean(spark, folder))
     holdout = folds.filter(F.col("fold") != "train").select("entity_id", "support_tickets_30d", "label")
-    holdout = materialized(holdout, "holdout")
-    edge = running.exact_quantiles(holdout, "support_tickets_30d", [0.75], alias="q")
-    tagged = holdout.withColumn("_edge", edge.select(F.col("q")[0]).scalar())
-    heavy = F.col("support_tickets_30d") >= F.col("_edge")
-    return registry.slices_of(tagged, heavy, ("held_out", "high_ticket_volume_slice")).drop("_edge")
+    return registry.eval_slices(materialized(holdout, "holdout"))
 
 
 # ---- windows -----------------------------------------------------------------------------------
@@ -807,8 +805,15 @@ def batch_score(spark, folder):
 
 @query("evaluate_on")
 def evaluate_on(spark, folder):
+    """On the whole holdout, whose first half set calibrator and thresholds, and on the rest alone."""
     folds = _folds(spark, folder)
-    return models.evaluate(models.train_bundle(folds, ROUNDS), models.fold(folds, "calibration", "test"))
+    bundle = models.train_bundle(folds, ROUNDS)
+    parts = {"holdout": ("calibration", "test"), "untouched": ("test",)}
+    out = None
+    for name, names in parts.items():
+        part = models.evaluate(bundle, models.fold(folds, *names)).withColumn("eval_set", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _registered(spark, folder) -> tuple[str, str]:

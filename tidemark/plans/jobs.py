@@ -1,15 +1,19 @@
-"""Jobs made of several operators: alerts, gate chains, drift reports."""
+"""Jobs made of several operators: alerts, gate chains, drift reports, promotion, a full run."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.functions import scalars as S
-from tidemark.operators import drift, gates, metrics
+from tidemark.operators import drift, gates, metrics, models, registry
 from tidemark.session import materialized
+from tidemark.sources import sinks
 
 
 def concept_drift_report(df: DataFrame, is_live: Column, flipped: Column, feature: str) -> DataFrame:
@@ -94,3 +98,97 @@ def backfill_alerts(backfill: DataFrame) -> DataFrame:
     )
     message = F.format_string(config.MESSAGE_BACKFILL, F.col("f1"), F.col("n_matched"))
     return gates.gate_alerts(checked, "label_backfill", "critical", message)
+
+
+# ---- promotion ---------------------------------------------------------------------------------
+
+_POINTERS = "stage string, version string, pointed_at timestamp, seq bigint"
+
+
+def pointer_log(spark: SparkSession, root: str) -> DataFrame:
+    """The registry's promotions; empty before the first one."""
+    try:
+        return spark.read.schema(_POINTERS).parquet(f"{root}/pointers")
+    except AnalysisException:
+        return spark.createDataFrame([], _POINTERS)
+
+
+def pointer(spark: SparkSession, root: str, stage: str) -> str | None:
+    """The version a stage points at, or None."""
+    at_stage = pointer_log(spark, root).filter(F.col("stage") == stage)
+    return at_stage.agg(F.max_by("version", F.struct("pointed_at", "seq"))).first()[0]
+
+
+def evaluate_and_promote(
+    folds: DataFrame, root: str, version: str | None = None, dry_run: bool = False
+) -> DataFrame:
+    """Champion against challenger on both slices of the holdout; appends the pointer move.
+
+    The challenger is the newest registered version unless one is named. Returns the decision.
+    """
+    spark = folds.sparkSession
+    newest = spark.read.parquet(f"{root}/cards").agg(F.max("version")).first()[0]
+    challenger, champion = version or newest, pointer(spark, root, "production")
+    wanted = [challenger] if champion is None else list(dict.fromkeys([champion, challenger]))
+    holdout = materialized(models.fold(folds, "calibration", "test"), "holdout")
+    bundles = {v: models.load(spark, root, v) for v in wanted}
+    scores = models.score_versions(bundles, registry.eval_slices(holdout))
+    contest = registry.champion_challenger(registry.slice_metrics(scores), challenger, champion)
+    decision = materialized(registry.promotion(contest, challenger, dry_run), "decision")
+    move = decision.filter(F.col("stage").isNotNull()).select(
+        "stage", "version", F.current_timestamp().alias("pointed_at"), F.lit(0).cast("bigint").alias("seq")
+    )
+    sinks.append_rows(move, f"{root}/pointers")
+    return decision
+
+
+def check_score_psi(features: DataFrame, log: DataFrame, root: str) -> DataFrame:
+    """PSI of the logged scores against the champion's scores of the training features."""
+    spark = features.sparkSession
+    champion = pointer(spark, root, "production")
+    if champion is None:
+        return spark.createDataFrame([("no_production_model",)], "status string")
+    expected = materialized(models.load(spark, root, champion).score(features).select("calibrated_score"), "expected")
+    return drift.psi(drift.two_samples(expected, log, ["calibrated_score"]))
+
+
+# ---- a full run --------------------------------------------------------------------------------
+
+
+def run_steps(spark: SparkSession, steps: list[tuple[str, Callable[[], bool]]]) -> DataFrame:
+    """Runs the steps in order up to the first that fails; one status row per step."""
+    status, failed = [], False
+    for position, (name, step) in enumerate(steps):
+        state = "blocked" if failed else ("passed" if step() else "failed")
+        failed = failed or state == "failed"
+        status.append((position, name, state))
+    return spark.createDataFrame(status, "position int, step string, status string")
+
+
+def full_run(
+    landed: DataFrame, labels: DataFrame, root: str, batch_id: str, rounds: int = models.BOOSTED["rounds"]
+) -> DataFrame:
+    """Landed rows to a promoted model: gate one, gate two, training, promotion.
+
+    ``landed`` has the key, the features and the label. Gate one's clean rows are what gate two
+    and the training read; its quarantined rows go to the dead letters.
+    """
+    spark = landed.sparkSession
+    passed = lambda checks, column: bool(checks.agg(F.bool_and(column)).first()[0])
+    clean_path = f"{root}/clean/batch_id={batch_id}"
+    clean = lambda: spark.read.parquet(clean_path)
+
+    def ingestion() -> bool:
+        sinks.write_dlq(landed, f"{root}/dead_letters", batch_id)
+        sinks.write_clean(landed, clean_path)
+        return passed(gates.ingestion_gate(landed), "batch_passed")
+
+    return run_steps(
+        spark,
+        [
+            ("ingestion_gate", ingestion),
+            ("transformation_gate", lambda: passed(gates.transformation_gate(clean(), labels), "passed")),
+            ("train", lambda: bool(models.train_and_register(clean(), root, batch_id, rounds))),
+            ("promotion_gate", lambda: passed(evaluate_and_promote(models.folds(clean()), root), "passed")),
+        ],
+    )

@@ -506,7 +506,7 @@ BODIES: dict[str, str] = {
         FROM scored, (SELECT quantile_cont(score, {numbers(DECILES)}) AS edges FROM scored) GROUP BY 1""",
     "roc_curve_youden": """SELECT threshold, round(j, 6) AS j, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr
         FROM (SELECT *, tpr - fpr AS j FROM roc_points ORDER BY j DESC, threshold DESC LIMIT 1)""",
-    "roc_curve": "SELECT threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM roc_points",
+    "roc_curve": "SELECT nullif(threshold, CAST('inf' AS DOUBLE)) AS threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM roc_points",
     "pr_curve": f"""SELECT score AS threshold, round(cum_pos / CAST(cum_pos + cum_neg AS DOUBLE), 6) AS precision,
         round(cum_pos / CAST(all_pos AS DOUBLE), 6) AS recall FROM ({ranked('scored')})
         UNION ALL SELECT CAST(NULL AS DOUBLE), 1.0e0, 0.0e0""",
