@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import hot_keys, lookup_join, prefixed, same_key, split_by_heat
-from tidemark.session import split_count
+from tidemark.operators.skew import hot_keys, prefixed, same_key, split_by_heat
+from tidemark.session import materialized, split_count
 
 TIMELINE = ["_t", "_side", "_seq"]
 
@@ -18,6 +18,8 @@ def slices(rows: DataFrame, by: list[str], order: str) -> DataFrame:
     Meant for the rows of hot keys, fewer than n of them. A key gets slices by its share of these
     rows, fewer than 2 * n in all, so cut points and slice ends are small to broadcast. The slice
     depends on the value only: equal values never part, and a task run again cuts the same way.
+    ``_heavy`` marks values that fill a slice of their own: those cut at more than once.
+    The result is written, as its several readers should not each place the rows anew.
     """
     n = split_count(rows.sparkSession)
     probs = F.array(*[F.lit(i / n) for i in range(1, n)])
@@ -28,16 +30,41 @@ def slices(rows: DataFrame, by: list[str], order: str) -> DataFrame:
     cuts = per_key.withColumn("_stride", stride).select(
         *by, F.filter("_all", lambda c, i: (i + 1) % F.col("_stride") == 0).alias("_cuts")
     )
-    cuts = prefixed(cuts, by, "_c_")
+    again = F.filter("_cuts", lambda c, i: (i > 0) & (c == F.get(F.col("_cuts"), i - 1)))
+    cuts = prefixed(cuts.withColumn("_again", again), by, "_c_")
     out = rows.join(F.broadcast(cuts), same_key(rows, cuts, by, "_c_"), "left")
-    slice_no = F.size(F.filter("_cuts", lambda c: F.col(order) >= c))
-    return out.withColumn("_seg", slice_no).drop("_cuts", *[f"_c_{c}" for c in by])
+    value = F.col(order)
+    placed = out.withColumns(
+        {
+            "_seg": F.size(F.filter("_cuts", lambda c: value >= c)),
+            "_heavy": F.coalesce(F.exists("_again", lambda c: value == c), F.lit(False)),
+        }
+    )
+    return materialized(placed.drop("_cuts", "_again", *[f"_c_{c}" for c in by]), "hot-rows")
+
+
+def slice_ends(cut: DataFrame, by: list[str], order: list[str], value: Column) -> DataFrame:
+    """The last non-null ``value`` of every slice, null where it has none.
+
+    Times first, which combine in a hash table; only rows at a slice's newest time are compared
+    as a whole.
+    """
+    known = value.isNotNull()
+    newest = cut.groupBy(*by, "_seg").agg(F.max(F.when(known, F.col(order[0]))).alias("_at"))
+    side = prefixed(newest, [*by, "_seg"], "_n_")
+    at = same_key(cut, side, [*by, "_seg"], "_n_") & (cut[order[0]] == side["_at"])
+    last = cut.join(F.broadcast(side), at).filter(known).groupBy(*by, "_seg")
+    ends = prefixed(last.agg(F.max_by(value, F.struct(*order)).alias("_end")), [*by, "_seg"], "_l_")
+    on = same_key(newest, ends, [*by, "_seg"], "_l_")
+    return newest.join(F.broadcast(ends), on, "left").select(*by, "_seg", "_end")
 
 
 def inherit(rows: DataFrame, ends: DataFrame, by: list[str]) -> DataFrame:
-    """``_here``, or where that is null the ``_carry`` of the slice (fewer than 2 * n rows)."""
-    ends = prefixed(ends, [*by, "_seg"], "_e_")
-    out = rows.join(F.broadcast(ends), same_key(rows, ends, [*by, "_seg"], "_e_"), "left")
+    """``_here``, or where that is null what the slices before the row's own end with."""
+    before = W.partitionBy(*by).orderBy("_seg").rowsBetween(W.unboundedPreceding, -1)
+    carry = ends.select(*by, "_seg", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+    carry = prefixed(carry, [*by, "_seg"], "_e_")
+    out = rows.join(F.broadcast(carry), same_key(rows, carry, [*by, "_seg"], "_e_"), "left")
     return out.withColumn("_here", F.coalesce("_here", "_carry"))
 
 
@@ -47,19 +74,12 @@ def last_in_window(rows: DataFrame, by: list[str], order: list[str], value: str)
     return rows.withColumn(value, F.last(value, ignorenulls=True).over(upto))
 
 
-def last_in_slices(rows: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
-    """The same for hot keys: a window per slice, and one inherited value per slice.
-
-    ``order`` starts with the column the slices are cut on.
-    """
-    cut = slices(rows, by, order[0])
+def last_in_slices(cut: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
+    """The same for hot keys, cut on ``order[0]``: a window per slice, and one inherited value."""
     local = W.partitionBy(*by, "_seg").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     here = cut.withColumn("_here", F.last(value, ignorenulls=True).over(local))
-    known = F.when(F.col(value).isNotNull(), F.struct(*order))
-    ends = cut.groupBy(*by, "_seg").agg(F.max_by(value, known).alias("_end"))
-    before = W.partitionBy(*by).orderBy("_seg").rowsBetween(W.unboundedPreceding, -1)
-    carry = ends.select(*by, "_seg", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
-    return inherit(here, carry, by).withColumn(value, F.col("_here")).select(*rows.columns)
+    ends = slice_ends(cut, by, order, F.col(value))
+    return inherit(here, ends, by).withColumn(value, F.col("_here")).select(*cut.columns)
 
 
 def running_last(
@@ -70,7 +90,8 @@ def running_last(
     if heat is None:
         return last_in_window(rows, by, order, value)
     cold, hot = split_by_heat(rows, by, heat)
-    return last_in_window(cold, by, order, value).unionByName(last_in_slices(hot, by, order, value))
+    sliced = last_in_slices(slices(hot, by, order[0]), by, order, value).select(*rows.columns)
+    return last_in_window(cold, by, order, value).unionByName(sliced)
 
 
 def _timeline(
@@ -113,9 +134,10 @@ def asof_join(
     the last write wins. ``inclusive=False`` looks strictly before.
 
     Both sides go through one shuffle by key as one event list, then a running last value; no
-    left row is paired with its history. For hot keys only the last write of a time and the
-    distinct left times enter that list, which is cut into slices, and the left rows look their
-    time up in the result, so neither a heavy key nor a heap of equal rows lands in one task.
+    left row is paired with its history. The list of a hot key is cut into slices. Where one time
+    fills a slice of its own, its last write and one probe stand for all rows of that time, and
+    the left rows get the probe's answer: neither a heavy key nor a heap of equal rows lands in
+    one task.
     """
     spec = (by, left_on, right_on, right_seq, values, inclusive)
 
@@ -134,13 +156,26 @@ def asof_join(
         return plain(left, right)
     cold_left, hot_left = split_by_heat(left, by, hot)
     cold_right, hot_right = split_by_heat(right, by, hot)
-    needed = list(dict.fromkeys([*by, right_on, right_seq, *values]))
-    history = latest(hot_right.select(*needed), [*by, right_on], [right_seq])
-    times = hot_left.select(*by, left_on).distinct()
-    sliced = last_in_slices(_timeline(times, history, *spec), by, TIMELINE, "_snap")
-    found = result(sliced, [*by, left_on])
-    hot_out = lookup_join(hot_left, found, [*by, left_on], "left", True, min_hot_rows)
-    return plain(cold_left, cold_right).unionByName(hot_out)
+
+    cut = slices(_timeline(hot_left, hot_right, *spec), by, "_t")
+    is_probe = F.col("_own").isNotNull()
+    heap = cut.filter(F.col("_heavy"))
+    at = [*by, "_t", "_side", "_seg"]
+    writes = heap.filter(~is_probe).groupBy(*at).agg(
+        F.max_by("_snap", "_seq").alias("_snap"), F.max("_seq").alias("_seq")
+    )
+    probes = heap.filter(is_probe).select(*at).distinct()
+    rows = cut.filter(~F.col("_heavy")).drop("_heavy")
+    for part in (writes, probes):
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    filled = last_in_slices(rows, by, TIMELINE, "_snap")
+
+    asked = heap.filter(is_probe).select(*by, "_t", "_own")
+    stand_in = F.col("_own").isNull() & (F.col("_side") == (1 if inclusive else 0))
+    answers = prefixed(filled.filter(stand_in).select(*by, "_t", "_snap"), [*by, "_t"], "_f_")
+    answered = asked.join(F.broadcast(answers), same_key(asked, answers, [*by, "_t"], "_f_"), "left")
+    parts = (plain(cold_left, cold_right), result(filled, left.columns), result(answered, left.columns))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def latest(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
@@ -187,8 +222,6 @@ def previous_value(
     cut = slices(hot, by, order)
     local = W.partitionBy(*by, "_seg").orderBy(order, seq)
     here = cut.withColumn("_here", F.lag(F.struct(value)).over(local))
-    ends = cut.groupBy(*by, "_seg").agg(F.max_by(F.struct(value), F.struct(order, seq)).alias("_end"))
-    before = W.partitionBy(*by).orderBy("_seg")
-    carry = ends.select(*by, "_seg", F.lag("_end").over(before).alias("_carry"))
-    sliced = inherit(here, carry, by).select(*df.columns, F.col("_here")[value].alias(alias))
+    ends = slice_ends(cut, by, [order, seq], F.struct(value))
+    sliced = inherit(here, ends, by).select(*df.columns, F.col("_here")[value].alias(alias))
     return cold.withColumn(alias, F.lag(value).over(per_key)).unionByName(sliced)
