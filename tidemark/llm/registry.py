@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import simhash
+from tidemark.llm import quality, simhash
 
 QUERIES = {
     "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
+    "op8_quality_rules": quality.op8_quality_rules,
 }
 SQL: dict[str, str] = {}
