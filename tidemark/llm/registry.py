@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from tidemark.llm import quality, simhash
+from tidemark.llm import mixing, quality, sharding, simhash
 
 QUERIES = {
     "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
+    "op3_mixing": mixing.op3_mixing,
     "op8_quality_rules": quality.op8_quality_rules,
+    "op10_sharding": sharding.op10_sharding,
+    "sharding_fine": sharding.sharding_fine,
+}
+SQL = {
+    "op3_mixing": mixing.MIXING_SQL,
+    "op10_sharding": sharding.sql(sharding.SHARD_BYTES),
+    "sharding_fine": sharding.sql(64 << 10),
 }
-SQL: dict[str, str] = {}
