@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import byte_repeats, mixing, quality, sharding, simhash, token_store, word_repeats
+from tidemark.llm import byte_repeats, mixing, quality, sharding, simhash, token_counts, token_store, word_repeats
 
 QUERIES = {
     "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
     "op3_mixing": mixing.op3_mixing,
     "op4_suffix_array_dedup": byte_repeats.op4_suffix_array_dedup,
     "op5_token_id_output": token_store.op5_token_id_output,
+    "op6_token_counts": token_counts.op6_token_counts,
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_substring_dedup": word_repeats.op9_substring_dedup,
     "op10_sharding": sharding.op10_sharding,
