@@ -12,8 +12,8 @@ windows always have equal triggers, and most of the rest follows from phrases:
 3. What is left is to compare *different* phrases with the same trigger, once each. They go to
    shards by trigger, and a shard compares the windows of its phrases exactly.
 
-A trigger with very many different phrases is not kept together: its windows go to shards one by one,
-by their content. Positions are counted in units from the start of the text. Rows that agree in id
+A trigger with very many different phrases is not kept together: its phrases are cut into single
+windows, and those are a dictionary of their own, combined on the map side like the first. Positions are counted in units from the start of the text. Rows that agree in id
 and text are treated alike.
 """
 
@@ -24,6 +24,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -35,6 +36,7 @@ from tidemark.session import materialized
 PIECE = 1 << 20  # units hashed at once
 SLICE_BYTES = 8 << 20  # text looked at in one go
 SHARD_PHRASES = 1 << 13
+ASKED_AT_ONCE = 1 << 12  # phrases cut out in one go
 # With more different phrases than this, a trigger's windows are dealt out one by one.
 CROWDED = 1 << 11
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -163,6 +165,22 @@ def same_row(a: DataFrame, b: DataFrame):
     return (a["key"] == b["_key"]) & a["id"].eqNullSafe(b["_id"])
 
 
+def dictionary(found: DataFrame) -> DataFrame:
+    """Every different phrase with its first place and its number of places."""
+    place = F.min(F.struct("id", "key", "start", "n")).alias("first")
+    return found.groupBy("trigger", "phrase").agg(place, F.count(F.lit(1)).alias("c"))
+
+
+def copies(found: DataFrame, entries: DataFrame, keep_first: bool) -> DataFrame:
+    """The stretches of phrases that occur more than once, but for the first if that is to stay."""
+    copied = entries.filter("c > 1").select("trigger", "phrase", "first")
+    out = found.join(copied, ["trigger", "phrase"])
+    if keep_first:
+        here, there = F.struct("id", "key", "start"), F.struct("first.id", "first.key", "first.start")
+        out = out.filter(~here.eqNullSafe(there))
+    return out.select("id", "key", "start", "n")
+
+
 def tagged(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({"key": "_key", "id": "_id"})
 
@@ -188,23 +206,22 @@ def removed_runs(
     found = materialized(seen.join(again, "trigger", "left_semi"), "phrases")
 
     # The dictionary, with the first place and the number of places of each phrase.
-    place = F.min(F.struct("id", "key", "start", "n")).alias("first")
-    entries = found.groupBy("trigger", "phrase").agg(place, F.count(F.lit(1)).alias("c"))
-    entries = materialized(entries, "dictionary")
-    copied = entries.filter("c > 1").select("trigger", "phrase", "first")
-    settled = found.join(copied, ["trigger", "phrase"])
-    if keep_first:
-        settled = settled.filter(~F.struct("id", "key", "start").eqNullSafe(F.struct("first.id", "first.key", "first.start")))
-    settled = settled.select("id", "key", "start", "n")
+    entries = materialized(dictionary(found), "dictionary")
+    settled = copies(found, entries, keep_first)
 
     crowd = entries.groupBy("trigger").agg(F.count(F.lit(1)).alias("crowd")).filter("crowd > 1")
     unsettled = entries.join(crowd, "trigger").select("first.*", "trigger", (F.col("crowd") > CROWDED).alias("crowded"))
     unsettled = materialized(unsettled, "unsettled")
-    shards = max(1, unsettled.count() // SHARD_PHRASES)
+    shards = max(1, unsettled.filter("not crowded").count() // SHARD_PHRASES)
     asked = unsettled.groupBy("key", "id").agg(F.collect_list(F.struct("start", "n", "trigger", "crowded")).alias("asked"))
     asked = sized(materialized(tagged(asked), "asked"), 512)
     texts = rows.join(asked, same_row(rows, asked)).select("id", "key", "text", "asked").dropDuplicates(["id", "key"])
-    flagged = cut_out(texts, kind, shards).groupBy("shard").applyInArrow(compare, stretch_schema(rows))
+    cuts = materialized(cut_out(texts, kind), "cut-out")
+    together = cuts.filter("units is not null").withColumn("shard", F.pmod("trigger", F.lit(shards)))
+    flagged = together.groupBy("shard").applyInArrow(compare, stretch_schema(rows))
+    # Different windows have nothing in common: their dictionary settles them.
+    single = cuts.filter("units is null").drop("units")
+    settled = settled.union(copies(single, dictionary(single), keep_first))
 
     # Stretches of windows become stretches of units, and those that touch become one.
     covers = settled.union(flagged).distinct()
@@ -226,35 +243,49 @@ def stretch_schema(rows: DataFrame) -> T.StructType:
     return T.StructType([rows.schema["id"], long("key"), long("start"), T.StructField("n", T.IntegerType())])
 
 
-def cut_out(texts: DataFrame, kind: Kind, shards: int) -> DataFrame:
-    """The asked phrases' units, with the shard that compares them."""
+def cut_out(texts: DataFrame, kind: Kind) -> DataFrame:
+    """The asked phrases with their units; those of crowded triggers as single windows by their hash alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 units, lengths = kind.read(part.column("text"))
-                begin = np.cumsum(lengths) - lengths
-                out: list[list] = [[] for _ in range(5)]
-                for i, asked in enumerate(part.column("asked").to_pylist()):
-                    for a in asked:
-                        at, many = int(begin[i]) + a["start"], a["n"] + kind.window - 1
-                        cut = units[at : at + many]
-                        if a["crowded"]:
-                            hashes = Rolling(kind.lift(cut)).every(kind.window)
-                            pieces = [(k, 1, cut[k : k + kind.window], int(h)) for k, h in enumerate(hashes)]
-                        else:
-                            pieces = [(0, a["n"], cut, a["trigger"])]
-                        for k, n, piece, by in pieces:
-                            for column, value in zip(out, (i, a["start"] + k, n, piece.tobytes(), by % shards)):
-                                column.append(value)
-                who = pa.array(out[0], pa.int64())
-                columns = [part.column("id").take(who), part.column("key").take(who)]
-                columns += [pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32())]
-                columns += [pa.array(out[3], pa.binary()), pa.array(out[4], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "key", "start", "n", "units", "shard"])
-
-    fields = list(stretch_schema(texts)) + [T.StructField("units", T.BinaryType()), T.StructField("shard", T.LongType())]
-    return texts.mapInArrow(run, T.StructType(fields))
+                lists = part.column("asked")
+                owner = np.repeat(np.arange(part.num_rows), pc.list_value_length(lists).to_numpy())
+                asked = [lists.flatten().field(i).to_numpy(zero_copy_only=False) for i in range(4)]
+                at = (np.cumsum(lengths) - lengths)[owner] + asked[0]
+                for k in range(0, len(owner), ASKED_AT_ONCE):
+                    some = slice(k, k + ASKED_AT_ONCE)
+                    yield pieces(kind, part, units, at[some], owner[some], *[x[some] for x in asked])
+
+    more = [T.StructField("trigger", T.LongType()), T.StructField("phrase", T.LongType()), T.StructField("units", T.BinaryType())]
+    return texts.mapInArrow(run, T.StructType([*stretch_schema(texts), *more]))
+
+
+def pieces(kind: Kind, part: pa.RecordBatch, units, at, owner, start, n, trigger, crowded) -> pa.RecordBatch:
+    """What :func:`cut_out` gives for some phrases, which are ``at`` these places of ``units``."""
+    many = n + kind.window - 1
+    whole, single = np.flatnonzero(~crowded), np.flatnonzero(crowded)
+    cuts = [units[at[i] : at[i] + many[i]] for i in single]
+    rolling = Rolling(kind.lift(np.concatenate(cuts) if cuts else units[:0]))
+    counts = n[single]
+    each = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    begin = np.repeat(np.cumsum(many[single]) - many[single], counts) + each
+    hashes = rolling.at(begin, np.full(len(begin), kind.window)).view(np.int64)
+    of = np.repeat(single, counts)
+    row = np.r_[whole, of]
+    who = pa.array(owner[row])
+    contents = [units[at[i] : at[i] + many[i]].tobytes() for i in whole] + [None] * len(of)
+    columns = [
+        part.column("id").take(who),
+        part.column("key").take(who),
+        pa.array(np.r_[start[whole], start[of] + each]),
+        pa.array(np.r_[n[whole], np.ones(len(of), n.dtype)].astype(np.int32)),
+        pa.array(trigger[row]),
+        pa.array(np.r_[np.zeros(len(whole), np.int64), hashes]),
+        pa.array(contents, pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["id", "key", "start", "n", "trigger", "phrase", "units"])
 
 
 def stretches(table: pa.Table, owner: np.ndarray, offset: np.ndarray) -> pa.Table:
