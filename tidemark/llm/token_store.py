@@ -35,7 +35,8 @@ END_ID = 0
 MAX_CODE_BITS = 18
 BLOCK_TOKENS = 1 << 18
 CHECKPOINT = 256
-CACHED_PIECES = 400_000
+CACHED_PIECES = 700_000
+JOINED = 500  # pieces encoded as one text
 
 
 class Encoder:
@@ -55,6 +56,14 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        # How many bytes of text each id stands for.
+        words = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.width = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for word, i in words.items():
+            self.width[i] = len(word)
+        for i, added in self.tokenizer.get_added_tokens_decoder().items():
+            self.width[i] = len(added.content.encode())
+        self.dtype = "<u2" if len(self.width) <= 1 << 16 else "<u4"
         self.forget()
 
     def forget(self) -> None:
@@ -62,30 +71,49 @@ class Encoder:
         self.lengths = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def numbers(self, pieces: list[str]) -> np.ndarray:
-        """Where the pieces are in the cache; new ones are encoded."""
-        new = [p for p in pieces if p not in self.number]
-        if new:
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, got), np.int64, len(got))])
-            self.ids = np.concatenate([self.ids, np.array([i for ids in got for i in ids], np.uint32)])
-        return np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+    def library(self, joined: list[str], alone: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each piece has, and all ids in a row.
+
+        The pieces of ``joined`` begin with a space and end without white space, and are encoded
+        many in one text: the widths of the ids tell where each ends.
+        """
+        texts = ["".join(joined[k : k + JOINED]) for k in range(0, len(joined), JOINED)]
+        got = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.concatenate([np.zeros(0, np.uint32), *got])
+        ends = np.cumsum(pc.binary_length(pa.array(joined, pa.string())).to_numpy().astype(np.int64))
+        stops = np.searchsorted(np.cumsum(self.width[flat]), ends) + 1
+        rest = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)]
+        counts = np.r_[np.diff(np.r_[0, stops]), np.fromiter(map(len, rest), np.int64, len(rest))]
+        return counts, np.concatenate([flat, *rest])
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of every text (none null)."""
         if len(self.number) > CACHED_PIECES:
             self.forget()
         whole = pc.match_substring_regex(texts, self.after_space).to_numpy(zero_copy_only=False)
-        lists = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
+        lists = pc.split_pattern(pc.if_else(pa.array(whole), "", texts) if whole.any() else texts, " ")
         flat = lists.flatten()
         count = pc.list_value_length(lists).to_numpy()
         first = np.cumsum(count) - count
         coded = flat.dictionary_encode()
+        code = coded.indices.to_numpy().astype(np.int64)
         # All pieces but a text's first have their space back.
-        at = self.numbers([" " + p for p in coded.dictionary.to_pylist()])[coded.indices.to_numpy()]
-        begins = flat.take(pa.array(first)).to_pylist()
-        at[first] = self.numbers(list(dict.fromkeys(begins)))[unique_places(begins)]
+        begins = flat.take(pa.array(first)).dictionary_encode()
+        code[first] = begins.indices.to_numpy() + len(coded.dictionary)
+        pieces = pc.binary_join_element_wise(" ", coded.dictionary, "").to_pylist() + begins.dictionary.to_pylist()
+
+        at = np.fromiter((self.number.get(p, -1) for p in pieces), np.int64, len(pieces))
+        new = np.flatnonzero(at < 0)
+        joins = np.array([pieces[i][:1] == " " and not pieces[i][-1].isspace() for i in new], bool)
+        new = np.r_[new[joins], new[~joins]]
+        names = [pieces[i] for i in new]
+        many = int(joins.sum())
+        at[new] = len(self.number) + np.arange(len(new))
+        self.number.update(zip(names, range(len(self.number), len(self.number) + len(new))))
+        lengths, ids = self.library(names[:many], names[many:])
+        self.lengths, self.ids = np.r_[self.lengths, lengths], np.r_[self.ids, ids]
+
+        at = at[code]
         lengths = self.lengths[at]
         begin = (np.cumsum(self.lengths) - self.lengths)[at]
         ends = np.cumsum(lengths)
@@ -96,12 +124,6 @@ class Encoder:
         return out
 
 
-def unique_places(values: list[str]) -> np.ndarray:
-    """For each value its number among the distinct ones, in order of first sight."""
-    seen: dict[str, int] = {}
-    return np.array([seen.setdefault(v, len(seen)) for v in values], np.int64)
-
-
 ENCODERS: dict[str, Encoder] = {}
 
 
@@ -115,10 +137,12 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for part in slices(batch):
-                packed = [
-                    packer.compress(np.r_[ids, np.uint32(end_id)].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+                wide = np.dtype(encoder.dtype).itemsize
+                planes = [
+                    np.r_[ids, np.uint32(end_id)].astype(encoder.dtype).view(np.uint8).reshape(-1, wide).T.tobytes()
                     for ids in encoder.encode(part.column("text"))
                 ]
+                packed = [bytes([wide]) + packer.compress(p) for p in planes]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("row"), pa.array(packed, pa.binary())], ["id", "row", "packed"]
                 )
@@ -128,10 +152,15 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
 
 
 def unpacked(batch: pa.RecordBatch) -> list[np.ndarray]:
-    """Packed ids are byte planes, which compress better."""
-    reader = zstandard.ZstdDecompressor()
-    planes = [np.frombuffer(reader.decompress(x.as_py()), np.uint8).reshape(4, -1) for x in batch.column("packed")]
-    return [np.ascontiguousarray(p.T).view("<u4").ravel() for p in planes]
+    """Packed ids are byte planes, which compress better, after a byte for their number."""
+    reader, out = zstandard.ZstdDecompressor(), []
+    for packed in batch.column("packed").to_pylist():
+        planes = np.frombuffer(reader.decompress(memoryview(packed)[1:]), np.uint8).reshape(packed[0], -1)
+        ids = planes[0].astype(np.uint32)
+        for k in range(1, packed[0]):
+            ids |= planes[k].astype(np.uint32) << np.uint32(8 * k)
+        out.append(ids)
+    return out
 
 
 def counted(ids: DataFrame) -> dict[int, int]:
@@ -140,8 +169,8 @@ def counted(ids: DataFrame) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
         for batch in batches:
-            for one in unpacked(batch):
-                more = np.bincount(one)
+            for part in slices(batch, "packed"):
+                more = np.bincount(np.concatenate(unpacked(part)))
                 if len(more) > len(counts):
                     counts, more = more, counts
                 counts[: len(more)] += more
@@ -243,8 +272,8 @@ def write_tokens(
                 [pa.array(c, type=t) for c, t in zip(columns, arrow_types)], [f.name for f in fields]
             )
 
-        for batch in batches:
-            for name, one in zip(batch.column("id").to_pylist(), unpacked(batch)):
+        for part_of in (p for batch in batches for p in slices(batch, "packed")):
+            for name, one in zip(part_of.column("id").to_pylist(), unpacked(part_of)):
                 held.append(one)
                 names.append(name)
                 if sum(map(len, held)) >= BLOCK_TOKENS:
