@@ -26,11 +26,12 @@ def sized(side: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(side) if side.count() * row_bytes <= BROADCAST_BYTES else side
 
 
-def without_rows(docs: DataFrame, unwanted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` minus the rows whose (``_key``, ``_id``) is in ``unwanted``, a written table."""
+def without_rows(docs: DataFrame, unwanted: DataFrame, key: Column, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` minus the rows whose ``key`` and id are ``_key`` and ``_id`` of ``unwanted``, a written table."""
+    rows = docs.select(F.struct("*").alias("_row"), key.alias("_row_key"), F.col(id_col).alias("_row_id"))
     side = sized(unwanted.select("_key", "_id"), 32)
-    on = (row_key(id_col, text_col) == side["_key"]) & docs[id_col].eqNullSafe(side["_id"])
-    return docs.join(side, on, "left_anti")
+    on = (rows["_row_key"] == side["_key"]) & rows["_row_id"].eqNullSafe(side["_id"])
+    return rows.join(side, on, "left_anti").select("_row.*")
 
 
 def components(edges: DataFrame) -> DataFrame:

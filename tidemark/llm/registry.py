@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import byte_repeats, mixing, quality, sharding, simhash, token_counts, token_store, word_repeats
+from tidemark.llm import byte_repeats, langid, mixing, quality, sharding, simhash, token_counts, token_store, word_repeats
 
 QUERIES = {
+    "op1_language_id": langid.op1_language_id,
+    "language_id_pages": langid.language_id_pages,
     "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
     "op3_mixing": mixing.op3_mixing,
     "op4_suffix_array_dedup": byte_repeats.op4_suffix_array_dedup,

@@ -128,14 +128,17 @@ def one_of_each_group(
     stays = (F.col("key") == F.col("kept")) & F.col("id").eqNullSafe(F.col("component"))
     rest = judged.filter(~stays).select(F.col("key").alias("_key"), F.col("id").alias("_id"))
     # A key is either kept or not, wherever it occurs.
-    out = without_rows(docs, materialized(rest.distinct(), "near-copies"), id_col, text_col)
+    key = row_key(id_col, text_col)
+    out = without_rows(docs, materialized(rest.distinct(), "near-copies"), key, id_col)
     again = judged.filter(stays).groupBy("key", "id").count().filter("count > 1")
     again = materialized(again.select(F.col("key").alias("_key"), F.col("id").alias("_id")), "repeated-rows")
     if again.isEmpty():
         return out
-    once = without_rows(out, again, id_col, text_col)
-    same = (row_key(id_col, text_col) == again["_key"]) & out[id_col].eqNullSafe(again["_id"])
-    return once.unionByName(out.join(again, same, "left_semi").dropDuplicates([id_col, text_col]))
+    once = without_rows(out, again, key, id_col)
+    rows = out.select(F.struct("*").alias("_row"), key.alias("_row_key"), F.col(id_col).alias("_row_id"))
+    same = (rows["_row_key"] == again["_key"]) & rows["_row_id"].eqNullSafe(again["_id"])
+    repeated = rows.join(again, same, "left_semi").dropDuplicates(["_row_key", "_row_id"])
+    return once.unionByName(repeated.select("_row.*"))
 
 
 def op2_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
