@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import byte_repeats, langid, mixing, quality, sharding, simhash, token_counts, token_store, word_repeats
+import corpus_pipeline
+from tidemark.llm import byte_repeats, decontam, langid, mixing, quality, sharding, simhash, token_counts, token_store, word_repeats
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -12,13 +13,17 @@ QUERIES = {
     "op4_suffix_array_dedup": byte_repeats.op4_suffix_array_dedup,
     "op5_token_id_output": token_store.op5_token_id_output,
     "op6_token_counts": token_counts.op6_token_counts,
+    "op7_benchmark_decontamination": decontam.op7_benchmark_decontamination,
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_substring_dedup": word_repeats.op9_substring_dedup,
     "op10_sharding": sharding.op10_sharding,
     "sharding_fine": sharding.sharding_fine,
+    "pipeline": corpus_pipeline.run,
 }
 SQL = {
     "op3_mixing": mixing.MIXING_SQL,
     "op10_sharding": sharding.sql(sharding.SHARD_BYTES),
     "sharding_fine": sharding.sql(64 << 10),
 }
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -97,10 +97,21 @@ def sharded(
     return rows.select("row", "n_bytes", *SHARD_COLUMNS[:-1], (F.col("shard_bytes") <= limit).alias("fits"))
 
 
+def with_shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
+    """``docs`` with the columns of their shard; a name that is taken gets underscores."""
+    taken, names = {c.lower() for c in docs.columns}, []
+    for name in SHARD_COLUMNS:
+        while name in taken:
+            name += "_"
+        names.append(name)
+    columns = [F.col(c).alias(name) for c, name in zip(SHARD_COLUMNS, names, strict=True)]
+    return sharded(docs, limit).select("row.*", *columns)
+
+
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
-    """``docs`` written below ``path``, a folder for each shard, each from one task."""
-    rows = sharded(docs, limit).select("row.*", F.concat(F.lit("b"), "shard").alias("shard"))
-    rows.repartition("shard").write.partitionBy("shard").parquet(path)
+    """The columns of ``docs`` written below ``path``, a folder for each shard, each from one task."""
+    rows = sharded(docs, limit).select("row.*", F.concat(F.lit("b"), "shard").alias("shard_bits"))
+    rows.repartition("shard_bits").write.partitionBy("shard_bits").parquet(path)
 
 
 def op10_sharding(spark, sf_dir: str) -> DataFrame:

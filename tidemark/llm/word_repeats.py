@@ -16,7 +16,7 @@ document they are. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +44,12 @@ def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(real), kept[ends] - kept[ends - sizes]
 
 
-def read_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for each word."""
+def read_words(texts: pa.Array, fold: Callable[[bytes], bytes] = bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for each word, after ``fold``."""
     flat, lengths = words_in(texts)
     coded = flat.dictionary_encode()
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(w) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+    digest, words = xxhash.xxh64_intdigest, coded.dictionary.cast(pa.large_binary()).to_pylist()
+    hashes = np.fromiter((digest(fold(w)) for w in words), np.uint64, len(words))
     return hashes[coded.indices.to_numpy(zero_copy_only=False)] if len(flat) else np.zeros(0, np.uint64), lengths
 
 
