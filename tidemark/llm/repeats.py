@@ -33,9 +33,9 @@ from pyspark.sql import types as T
 from tidemark.llm.common import BROADCAST_BYTES, row_key, sized
 from tidemark.session import materialized
 
-PIECE = 1 << 20  # units hashed at once
-SLICE_BYTES = 8 << 20  # text looked at in one go
-SHARD_PHRASES = 1 << 13
+PIECE = 1 << 19  # units hashed at once
+SLICE_BYTES = 4 << 20  # text looked at in one go
+SHARD_PHRASES = 1 << 11
 ASKED_AT_ONCE = 1 << 12  # phrases cut out in one go
 # With more different phrases than this, a trigger's windows are dealt out one by one.
 CROWDED = 1 << 11
