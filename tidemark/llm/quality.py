@@ -12,6 +12,8 @@ and repeated or missing ids change nothing. An empty table gives an empty result
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,49 +35,53 @@ def words_of(text: str) -> Column:
     return F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), f"{SPACE}+", -1), "")
 
 
-def high_bits(words: str) -> Column:
-    """A mask without the low bits that a place in the array ``words`` needs."""
-    return F.call_function("shiftleft", F.lit(-1).cast("bigint"), F.length(F.bin(F.size(words))).cast("int"))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, wherever the optimizer moves the expression."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def repeat_words(words: str, mask: str) -> Column:
-    """Words inside three-word windows that occur twice or more in the array column ``words``.
+def repeat_words(words: str) -> Column:
+    """How many words lie in three-word windows that occur twice or more in the array column ``words``.
 
     Each window is one long: its hash, with the low bits holding its place. Sorting these puts equal
-    windows side by side. Only as many bits as the places need are taken from the hash: ``mask`` has the rest.
+    windows side by side. Only as many bits as the places need are taken from the hash.
     """
-    n, w, mask = F.size(words), F.col(words), F.col(mask)
 
-    def window(i: Column) -> Column:
-        h = F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
-        return h.bitwiseAND(mask).bitwiseOR(i.cast("bigint"))
+    def counted(w: Column, mask: Column) -> Column:
+        def window(i: Column) -> Column:
+            h = F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+            return h.bitwiseAND(mask).bitwiseOR(i.cast("bigint"))
 
-    return F.when(n >= 3, F.sort_array(F.transform(F.sequence(F.lit(0), n - 3), window)))
+        def covered(x: Column) -> Column:
+            i = x.bitwiseAND(F.bitwise_not(mask)).cast("int")
+            return F.array(i, i + 1, i + 2)
 
+        def repeated(ordered: Column) -> Column:
+            def twin(x: Column, j: Column) -> Column:
+                same = [F.coalesce(F.get(ordered, k).bitwiseXOR(x).bitwiseAND(mask) == 0, F.lit(False)) for k in (j - 1, j + 1)]
+                return same[0] | same[1]
 
-def repeats(ordered: str, mask: str) -> Column:
-    """How many words the equal neighbours in ``ordered`` (from :func:`repeat_words`) cover."""
-    o, mask = F.col(ordered), F.col(mask)
+            return F.size(F.array_distinct(F.flatten(F.transform(F.filter(ordered, twin), covered))))
 
-    def twin(x: Column, j: Column) -> Column:
-        same = [F.coalesce(F.get(o, k).bitwiseXOR(x).bitwiseAND(mask) == 0, F.lit(False)) for k in (j - 1, j + 1)]
-        return same[0] | same[1]
+        windows = F.transform(F.sequence(F.lit(0), F.size(w) - 3), window)
+        return F.when(F.size(w) >= 3, let(F.sort_array(windows), repeated)).otherwise(F.lit(0)).cast("bigint")
 
-    def covers(x: Column) -> Column:
-        i = x.bitwiseAND(F.bitwise_not(mask)).cast("int")
-        return F.array(i, i + 1, i + 2)
+    def masked(w: Column) -> Column:
+        return let(F.call_function("shiftleft", F.lit(-1).cast("bigint"), F.length(F.bin(F.size(w)))), lambda m: counted(w, m))
 
-    covered = F.array_distinct(F.flatten(F.transform(F.filter(o, twin), covers)))
-    return F.coalesce(F.size(F.when(o.isNotNull(), covered)), F.lit(0)).cast("bigint")
+    return let(F.col(words), masked)
 
 
 def ngrams(words: str, buckets: int = BUCKETS) -> Column:
     """Buckets of all words and word pairs."""
-    w = F.col(words)
     size = F.lit(buckets).cast("bigint")
-    single = F.transform(w, lambda x: F.pmod(F.xxhash64(x), size).cast("int"))
-    pair = F.transform(w, lambda x, i: F.pmod(F.xxhash64(x, F.get(w, i + 1)), size).cast("int"))
-    return F.concat(single, F.slice(pair, 1, F.greatest(F.size(w) - 1, F.lit(0))))
+
+    def both(w: Column) -> Column:
+        single = F.transform(w, lambda x: F.pmod(F.xxhash64(x), size).cast("int"))
+        pair = F.transform(w, lambda x, i: F.pmod(F.xxhash64(x, F.get(w, i + 1)), size).cast("int"))
+        return F.concat(single, F.slice(pair, 1, F.greatest(F.size(w) - 1, F.lit(0))))
+
+    return let(F.col(words), both)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -117,7 +123,7 @@ def base_rules(docs: DataFrame) -> DataFrame:
         (F.length(text) - F.regexp_count(text, F.lit(SPACE))).cast("bigint").alias("word_chars"),
         F.regexp_count(text, F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
         lines.alias("lines"),
-    ).withColumn("_mask", high_bits("words"))
+    )
     rows = rows.select(
         "doc_id",
         "words",
@@ -125,10 +131,8 @@ def base_rules(docs: DataFrame) -> DataFrame:
         "word_chars",
         "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
-        "_mask",
-        repeat_words("words", "_mask").alias("_ordered"),
+        repeat_words("words").alias("n_repeat_words"),
     )
-    rows = rows.withColumn("n_repeat_words", repeats("_ordered", "_mask")).drop("_ordered", "_mask")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return rows.withColumn("base_failed", failed)
 
