@@ -128,10 +128,10 @@ def phrases(kind: Kind, units: np.ndarray, lengths: np.ndarray) -> Iterator[tupl
         yield owner, starts, count, grams[trigger[first]], rolling.at(first, count + extra)
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about SLICE_BYTES of text each."""
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``size`` bytes of text each."""
     sizes = np.array([x.as_buffer().size if x.is_valid else 0 for x in batch.column(column)])
-    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_BYTES)) + 1
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // size)) + 1
     bounds = [0, *cuts.tolist(), batch.num_rows]
     for a, b in zip(bounds, bounds[1:]):
         if b > a:

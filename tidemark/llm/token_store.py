@@ -36,6 +36,7 @@ MAX_CODE_BITS = 18
 BLOCK_TOKENS = 1 << 18
 CHECKPOINT = 256
 CACHED_PIECES = 700_000
+SLICE_BYTES = 16 << 20  # of text looked at in one go
 JOINED = 500  # pieces encoded as one text
 
 
@@ -48,6 +49,8 @@ class Encoder:
     """
 
     after_space = r"[\s\pZ\x0b\x1c-\x1f\x{85}] "
+    # Full stops and commas after such a letter begin a token of their own.
+    stop = r"[A-Za-z\x{e0}-\x{f6}\x{f8}-\x{ff}][.,]+$"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -86,6 +89,19 @@ class Encoder:
         counts = np.r_[np.diff(np.r_[0, stops]), np.fromiter(map(len, rest), np.int64, len(rest))]
         return counts, np.concatenate([flat, *rest])
 
+    def places(self, pieces: list[str]) -> np.ndarray:
+        """Where the pieces are in the cache; new ones are encoded."""
+        at = np.fromiter((self.number.get(p, -1) for p in pieces), np.int64, len(pieces))
+        names = [pieces[i] for i in np.flatnonzero(at < 0)]
+        joined = [p for p in names if p[:1] == " " and not p[-1].isspace()]
+        alone = [p for p in names if p[:1] != " " or p[-1].isspace()]
+        begin = len(self.number)
+        self.number.update(zip([*joined, *alone], range(begin, begin + len(names))))
+        lengths, ids = self.library(joined, alone)
+        self.lengths, self.ids = np.r_[self.lengths, lengths], np.r_[self.ids, ids]
+        at[at < 0] = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
+        return at
+
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of every text (none null)."""
         if len(self.number) > CACHED_PIECES:
@@ -97,28 +113,31 @@ class Encoder:
         first = np.cumsum(count) - count
         coded = flat.dictionary_encode()
         code = coded.indices.to_numpy().astype(np.int64)
-        # All pieces but a text's first have their space back.
+        # All pieces but a text's first have their space back, and full stops and commas apart.
         begins = flat.take(pa.array(first)).dictionary_encode()
-        code[first] = begins.indices.to_numpy() + len(coded.dictionary)
-        pieces = pc.binary_join_element_wise(" ", coded.dictionary, "").to_pylist() + begins.dictionary.to_pylist()
-
-        at = np.fromiter((self.number.get(p, -1) for p in pieces), np.int64, len(pieces))
-        new = np.flatnonzero(at < 0)
-        joins = np.array([pieces[i][:1] == " " and not pieces[i][-1].isspace() for i in new], bool)
-        new = np.r_[new[joins], new[~joins]]
-        names = [pieces[i] for i in new]
-        many = int(joins.sum())
-        at[new] = len(self.number) + np.arange(len(new))
-        self.number.update(zip(names, range(len(self.number), len(self.number) + len(new))))
-        lengths, ids = self.library(names[:many], names[many:])
-        self.lengths, self.ids = np.r_[self.lengths, lengths], np.r_[self.ids, ids]
+        spaced = pc.binary_join_element_wise(" ", coded.dictionary, "")
+        code[first] = begins.indices.to_numpy() + len(spaced)
+        stopped = pc.match_substring_regex(spaced, self.stop)
+        bare = pc.if_else(stopped, pc.utf8_rtrim(spaced, ".,"), spaced)
+        stops = pc.replace_substring_regex(spaced.filter(stopped), r"^(?s:.*?)([.,]+)$", r"\1").dictionary_encode()
+        bases = pa.concat_arrays([bare.cast(pa.string()), begins.dictionary.cast(pa.string())]).dictionary_encode()
+        pieces = bases.dictionary.to_pylist() + stops.dictionary.to_pylist()
+
+        at = self.places(pieces)
+        base = at[bases.indices.to_numpy()]
+        stop = np.full(len(base), -1)
+        stop[np.flatnonzero(stopped.to_numpy(zero_copy_only=False))] = at[len(bases.dictionary) + stops.indices.to_numpy()]
+        many = 1 + (stop[code] >= 0)
+        last = np.cumsum(many) - 1
+        at = np.repeat(base[code], many)
+        split = many == 2
+        at[last[split]] = stop[code[split]]
 
-        at = at[code]
         lengths = self.lengths[at]
         begin = (np.cumsum(self.lengths) - self.lengths)[at]
         ends = np.cumsum(lengths)
         ids = self.ids[np.repeat(begin - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        out = np.split(ids, ends[np.cumsum(count) - 1][:-1])
+        out = np.split(ids, ends[last[np.cumsum(count) - 1]][:-1])
         for i in np.flatnonzero(whole):
             out[i] = np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, np.uint32)
         return out
@@ -136,7 +155,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
         encoder = ENCODERS.get(path) or ENCODERS.setdefault(path, Encoder(path))
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=SLICE_BYTES):
                 wide = np.dtype(encoder.dtype).itemsize
                 planes = [
                     np.r_[ids, np.uint32(end_id)].astype(encoder.dtype).view(np.uint8).reshape(-1, wide).T.tobytes()
