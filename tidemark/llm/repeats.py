@@ -202,8 +202,8 @@ def removed_runs(
     rows = keyed(docs, id_col, text_col)
     seen = occurrences(rows, kind)
     again = seen.groupBy("trigger").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("trigger")
-    again = sized(materialized(again, "triggers"), 16)
-    found = materialized(seen.join(again, "trigger", "left_semi"), "phrases")
+    # Repeated triggers grow with the corpus: a plain join, split where a trigger is hot.
+    found = materialized(seen.join(materialized(again, "triggers"), "trigger", "left_semi"), "phrases")
 
     # The dictionary, with the first place and the number of places of each phrase.
     entries = materialized(dictionary(found), "dictionary")
