@@ -14,6 +14,7 @@ fixed order among themselves, and null ids come first. An empty table gives empt
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +36,8 @@ END_ID = 0
 MAX_CODE_BITS = 18
 BLOCK_TOKENS = 1 << 18
 CHECKPOINT = 256
-CACHED_PIECES = 700_000
-SLICE_BYTES = 16 << 20  # of text looked at in one go
+CACHED_PIECES = 500_000
+SLICE_BYTES = 12 << 20  # of text looked at in one go
 JOINED = 500  # pieces encoded as one text
 
 
@@ -74,6 +75,9 @@ class Encoder:
         self.lengths = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def library(self, joined: list[str], alone: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """How many ids each piece has, and all ids in a row.
 
@@ -81,11 +85,11 @@ class Encoder:
         many in one text: the widths of the ids tell where each ends.
         """
         texts = ["".join(joined[k : k + JOINED]) for k in range(0, len(joined), JOINED)]
-        got = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        flat = np.concatenate([np.zeros(0, np.uint32), *got])
+        # A few at a time: what the library returns is much larger than the ids.
+        flat = np.concatenate([np.zeros(0, np.uint32), *[x for k in range(0, len(texts), 16) for x in self.ids_of(texts[k : k + 16])]])
         ends = np.cumsum(pc.binary_length(pa.array(joined, pa.string())).to_numpy().astype(np.int64))
         stops = np.searchsorted(np.cumsum(self.width[flat]), ends) + 1
-        rest = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)]
+        rest = self.ids_of(alone)
         counts = np.r_[np.diff(np.r_[0, stops]), np.fromiter(map(len, rest), np.int64, len(rest))]
         return counts, np.concatenate([flat, *rest])
 
@@ -153,7 +157,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ENCODERS.get(path) or ENCODERS.setdefault(path, Encoder(path))
-        packer = zstandard.ZstdCompressor(level=3)
+        packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for part in slices(batch, size=SLICE_BYTES):
                 wide = np.dtype(encoder.dtype).itemsize
@@ -316,8 +320,11 @@ def write_tokens(
     ordered.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """Per document of the files: ``id``, ``start``, ``n_tokens`` and ``tokens`` (little-endian 32-bit ids)."""
+def read_tokens(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
+    """Per document of the files: ``id``, ``start``, ``n_tokens`` and ``tokens`` (little-endian 32-bit ids).
+
+    With ``digest``, the CRC-32 of these bytes (``crc32``) in their place.
+    """
     code = Code({r["token"]: r["bits"] for r in spark.read.parquet(f"{path}/lengths").collect()})
     blocks = spark.read.parquet(f"{path}/blocks")
     sizes = blocks.select("part", "block", F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n"))
@@ -338,17 +345,18 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 offsets = np.frombuffer(one.column("offsets")[0].as_py(), "<u8").astype(np.int64)
                 ids = code.read(one.column("bits")[0].as_py(), offsets, int(counts.sum())).astype("<u4")
                 ends = np.cumsum(counts)
-                tokens = [ids[e - n : e].tobytes() for e, n in zip(ends, counts)]
+                each = (ids[e - n : e].tobytes() for e, n in zip(ends, counts))
+                tokens = pa.array(map(zlib.crc32, each), pa.int64()) if digest else pa.array(each, pa.binary())
                 start = one.column("start")[0].as_py() + ends - counts
-                columns = [one.column("ids").flatten(), pa.array(start), pa.array(counts), pa.array(tokens, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "start", "n_tokens", "tokens"])
+                columns = [one.column("ids").flatten(), pa.array(start), pa.array(counts), tokens]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "start", "n_tokens", "crc32" if digest else "tokens"])
 
     schema = T.StructType(
         [
             T.StructField("id", blocks.schema["ids"].dataType.elementType),
             T.StructField("start", T.LongType()),
             T.StructField("n_tokens", T.LongType()),
-            T.StructField("tokens", T.BinaryType()),
+            T.StructField("crc32", T.LongType()) if digest else T.StructField("tokens", T.BinaryType()),
         ]
     )
     return blocks.join(starts, ["part", "block"]).mapInArrow(run, schema)
@@ -358,5 +366,5 @@ def op5_token_id_output(spark, sf_dir: str) -> DataFrame:
     """All documents, written as ids and read back."""
     path = scratch_dir(spark, "token-files")
     write_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, public_tokenizers.path("byte_bpe_50k.json"))
-    rows = read_tokens(spark, path)
-    return rows.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
+    rows = read_tokens(spark, path, digest=True)
+    return rows.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.col("crc32").alias("ids_crc32"))
