@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import BROADCAST_BYTES, row_key, sized
+from tidemark.llm.common import BROADCAST_BYTES, row_key
 from tidemark.session import materialized
 
 PIECE = 1 << 19  # units hashed at once
@@ -214,7 +214,7 @@ def removed_runs(
     unsettled = materialized(unsettled, "unsettled")
     shards = max(1, unsettled.filter("not crowded").count() // SHARD_PHRASES)
     asked = unsettled.groupBy("key", "id").agg(F.collect_list(F.struct("start", "n", "trigger", "crowded")).alias("asked"))
-    asked = sized(materialized(tagged(asked), "asked"), 512)
+    asked = by_size(materialized(tagged(asked), "asked"), "asked", 24)
     texts = rows.join(asked, same_row(rows, asked)).select("id", "key", "text", "asked").dropDuplicates(["id", "key"])
     cuts = materialized(cut_out(texts, kind), "cut-out")
     together = cuts.filter("units is not null").withColumn("shard", F.pmod("trigger", F.lit(shards)))
@@ -233,11 +233,16 @@ def removed_runs(
     runs = numbered.groupBy("key", "id", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
     runs = runs.groupBy("key", "id").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("runs"))
     runs = materialized(tagged(runs), "runs")
-    size = runs.agg(F.coalesce(F.sum(F.size("runs") * 16 + 64), F.lit(0)).alias("n")).first()["n"]
-    side = F.broadcast(runs) if size <= BROADCAST_BYTES else runs
+    side = by_size(runs, "runs", 16)
     return rows.join(side, same_row(rows, side), "left").select("id", "text", "runs")
 
 
+def by_size(lists: DataFrame, column: str, entry_bytes: int) -> DataFrame:
+    """A written table with a list in each row, marked for broadcast if all its entries are few enough."""
+    total = lists.agg(F.coalesce(F.sum(F.size(column) * entry_bytes + 64), F.lit(0)).alias("n")).first()["n"]
+    return F.broadcast(lists) if total <= BROADCAST_BYTES else lists
+
+
 def stretch_schema(rows: DataFrame) -> T.StructType:
     long = lambda name: T.StructField(name, T.LongType())
     return T.StructType([rows.schema["id"], long("key"), long("start"), T.StructField("n", T.IntegerType())])
