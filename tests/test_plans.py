@@ -57,13 +57,33 @@ def test_gate_is_one_aggregation_over_one_scan(spark, folder):
 
 def test_aggregates_combine_before_the_shuffle(spark, folder):
     for df in (
-        asof.latest(views.feature_history(spark, folder), ["entity_id"], ["write_seq"]),
         gates.unique_not_null(views.raw_landing(spark, folder), "entity_id"),
         metrics.cost_curve(views.scored(spark, folder)),
     ):
         assert "partial_" in plan(df)
 
 
+def test_latest_rows_are_found_without_sorting_the_input(spark, folder):
+    """The greatest order value combines in a hash table; nothing aggregates whole rows by sorting."""
+    from tidemark.plans.catalog import QUERIES
+
+    for name in ("latest_per_entity", "reconcile", "sink_offline_append", "sink_online_upsert", "serving_state"):
+        assert "SortAggregate" not in plan(QUERIES[name](spark, folder)), name
+
+
+def test_point_in_time_join_reads_its_inputs_once(spark, folder):
+    text = plan(asof.pit_join(views.label_events(spark, folder), views.feature_history(spark, folder)))
+    assert "events.parquet" not in text  # both sides were written as one time line
+
+
+def test_cost_curves_read_the_rows_once(spark, folder):
+    rows = views.scored(spark, folder)
+    grid = metrics.COST_GRID
+    curves = metrics.cost_curves(rows, {"a": (F.col("score"), grid), "b": (F.col("quantity") / 50, grid)})
+    for df in (metrics.cost_curve(rows), curves, metrics.cascade_thresholds(rows)):
+        assert plan(df).count("FileScan") == 1
+
+
 def test_no_python_rows_and_no_cross_joins(spark, folder):
     from tidemark.plans.catalog import QUERIES
 

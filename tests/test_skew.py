@@ -38,8 +38,25 @@ def history(spark, folder):
 
 
 def test_hot_keys_are_few_and_found(spark, labels):
-    assert hot_keys(labels, ["entity_id"]) is None
-    assert [r["entity_id"] for r in hot_keys(labels, ["entity_id"], 100).collect()] == [HOT]
+    assert [r["entity_id"] for r in hot_keys(labels, ["entity_id"]).collect()] == [HOT]
+    assert hot_keys(labels.filter(F.col("entity_id") != HOT), ["entity_id"]) is None
+
+
+def test_a_key_below_an_even_share_is_hot_above_the_task_limit(spark, same):
+    """12 % of the rows with eight partitions: no even share, but more than a task may carry."""
+    rows = spark.range(1000).select(
+        F.when(F.col("id") < 120, F.lit(0)).otherwise(F.col("id") % 80 + 1).alias("k"),
+        F.col("id").alias("t"),
+        F.when(F.col("id") % 7 == 0, F.col("id")).alias("v"),
+    )
+    assert hot_keys(rows, ["k"]) is None
+    assert [r["k"] for r in hot_keys(rows, ["k"], 50).collect()] == [0]
+    args = (rows, ["k"], ["t"], "v")
+    same(asof.running_last(*args, task_rows=50), asof.running_last(*args))
+    probes = rows.select("k", F.col("t").alias("at"))
+    history = rows.select("k", "t", F.col("t").alias("seq"), F.col("t").alias("seen"))
+    args = (probes, history, ["k"], "at", "t", "seq", ["seen"])
+    same(asof.asof_join(*args, task_rows=50), asof.asof_join(*args))
 
 
 def test_null_can_be_hot(spark):
@@ -50,25 +67,25 @@ def test_null_can_be_hot(spark):
 @pytest.mark.parametrize("inclusive", [True, False])
 def test_asof(labels, history, same, inclusive):
     args = (labels, history, ["entity_id"], "label_timestamp", "ts", "write_seq", ["spend"], inclusive)
-    same(asof.asof_join(*args, min_hot_rows=10), asof.asof_join(*args))
+    same(asof.asof_join(*args, task_rows=10), asof.asof_join(*args))
 
 
 def test_running_last(history, same):
     marked = history.withColumn("high", F.when(F.col("spend") >= 50, F.col("spend")))
     args = (marked, ["entity_id"], ["ts", "write_seq"], "high")
-    same(asof.running_last(*args, min_hot_rows=10), asof.running_last(*args))
+    same(asof.running_last(*args, task_rows=10), asof.running_last(*args))
 
 
 def test_previous_value(history, same):
     args = (history, ["entity_id"], "ts", "write_seq", "spend", "before")
-    same(asof.previous_value(*args, min_hot_rows=10), asof.previous_value(*args))
+    same(asof.previous_value(*args, task_rows=10), asof.previous_value(*args))
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_lookup_join(labels, history, same, how):
     current = asof.latest(history, ["entity_id"], ["write_seq"]).select("entity_id", "spend")
     plain = labels.join(current, "entity_id", how).select(*labels.columns, "spend")
-    same(lookup_join(labels, current, ["entity_id"], how, min_hot_rows=10), plain)
+    same(lookup_join(labels, current, ["entity_id"], how), plain)
 
 
 def test_lookup_join_with_copies_and_nulls(spark, same):
@@ -77,11 +94,10 @@ def test_lookup_join_with_copies_and_nulls(spark, same):
     for null_safe, how in ((True, "left"), (False, "left"), (True, "inner"), (False, "inner")):
         on = left["k"].eqNullSafe(right["k"]) if null_safe else left["k"] == right["k"]
         want = left.join(right, on, how).select(left["k"], "x", "name")
-        same(lookup_join(left, right, ["k"], how, null_safe, min_hot_rows=10), want)
+        same(lookup_join(left, right, ["k"], how, null_safe), want)
 
 
 def test_duplicate_rows(labels, same):
-    same(
-        gates.duplicate_rows(labels, "entity_id", "label_id", min_hot_rows=10),
-        gates.duplicate_rows(labels, "entity_id", "label_id"),
-    )
+    first = labels.groupBy("entity_id").agg(F.min("label_id").alias("first"))
+    want = labels.join(first, "entity_id").filter("label_id > first").select(*labels.columns)
+    same(gates.duplicate_rows(labels, "entity_id", "label_id"), want)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import hot_keys, prefixed, same_key, split_by_heat
+from tidemark.operators.skew import TASK_ROWS, hot_keys, prefixed, same_key, split_by_heat
 from tidemark.session import materialized, split_count
 
 TIMELINE = ["_t", "_side", "_seq"]
@@ -83,10 +83,10 @@ def last_in_slices(cut: DataFrame, by: list[str], order: list[str], value: str)
 
 
 def running_last(
-    rows: DataFrame, by: list[str], order: list[str], value: str, min_hot_rows: int | None = None
+    rows: DataFrame, by: list[str], order: list[str], value: str, task_rows: int = TASK_ROWS
 ) -> DataFrame:
     """``value`` replaced by its last non-null one up to and including each row, per key."""
-    heat = hot_keys(rows, by, min_hot_rows)
+    heat = hot_keys(rows, by, task_rows)
     if heat is None:
         return last_in_window(rows, by, order, value)
     cold, hot = split_by_heat(rows, by, heat)
@@ -126,7 +126,7 @@ def asof_join(
     right_seq: str,
     values: list[str],
     inclusive: bool = True,
-    min_hot_rows: int | None = None,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Every left row with the newest right row of its key at or before its own time.
 
@@ -147,17 +147,15 @@ def asof_join(
             *[F.col("_snap")[c].alias(c) for c in values],
         )
 
-    def plain(probes: DataFrame, history: DataFrame) -> DataFrame:
-        rows = last_in_window(_timeline(probes, history, *spec), by, TIMELINE, "_snap")
-        return result(rows, left.columns)
-
-    hot = hot_keys(left.select(*by).unionByName(right.select(*by)), by, min_hot_rows)
+    # Written once: the keys are counted on it, and both sides are read no more.
+    timeline = materialized(_timeline(left, right, *spec), "timeline")
+    hot = hot_keys(timeline, by, task_rows)
     if hot is None:
-        return plain(left, right)
-    cold_left, hot_left = split_by_heat(left, by, hot)
-    cold_right, hot_right = split_by_heat(right, by, hot)
+        return result(last_in_window(timeline, by, TIMELINE, "_snap"), left.columns)
+    cold, heated = split_by_heat(timeline, by, hot)
+    plain = result(last_in_window(cold, by, TIMELINE, "_snap"), left.columns)
 
-    cut = slices(_timeline(hot_left, hot_right, *spec), by, "_t")
+    cut = slices(heated, by, "_t")
     is_probe = F.col("_own").isNotNull()
     heap = cut.filter(F.col("_heavy"))
     at = [*by, "_t", "_side", "_seg"]
@@ -174,18 +172,24 @@ def asof_join(
     stand_in = F.col("_own").isNull() & (F.col("_side") == (1 if inclusive else 0))
     answers = prefixed(filled.filter(stand_in).select(*by, "_t", "_snap"), [*by, "_t"], "_f_")
     answered = asked.join(F.broadcast(answers), same_key(asked, answers, [*by, "_t"], "_f_"), "left")
-    parts = (plain(cold_left, cold_right), result(filled, left.columns), result(answered, left.columns))
+    parts = (plain, result(filled, left.columns), result(answered, left.columns))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def latest(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the one with the greatest ``order``. Combined on the map side."""
-    rest = [c for c in df.columns if c not in by]
-    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return df.groupBy(*by).agg(best).select(*by, *[F.col("_row")[c].alias(c) for c in rest])
+    """One row per key: the one with the greatest ``order``. Null keys are a key of their own.
+
+    The greatest first order value of each key combines in a hash table, row by row. Only the rows
+    that have it are compared as a whole, with a null order last.
+    """
+    newest = prefixed(df.groupBy(*by).agg(F.max(order[0]).alias("_at")), by, "_n_")
+    at = same_key(df, newest, by, "_n_") & df[order[0]].eqNullSafe(newest["_at"])
+    rows = df.join(newest, at, "left_semi")
+    first = W.partitionBy(*by).orderBy(*[F.desc_nulls_last(c) for c in order])
+    return rows.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
 
 
-def pit_join(labels: DataFrame, history: DataFrame, min_hot_rows: int | None = None) -> DataFrame:
+def pit_join(labels: DataFrame, history: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     """Labels with the feature snapshot that was true at label time."""
     stamped = history.withColumn("feature_ts", F.col("ts"))
     return asof_join(
@@ -196,7 +200,7 @@ def pit_join(labels: DataFrame, history: DataFrame, min_hot_rows: int | None = N
         right_on="ts",
         right_seq="write_seq",
         values=["feature_ts", "spend", "k"],
-        min_hot_rows=min_hot_rows,
+        task_rows=task_rows,
     )
 
 
@@ -211,11 +215,11 @@ def dedupe_last_write(history: DataFrame, by: list[str], seq: str = "write_seq")
 
 
 def previous_value(
-    df: DataFrame, by: list[str], order: str, seq: str, value: str, alias: str, min_hot_rows: int | None = None
+    df: DataFrame, by: list[str], order: str, seq: str, value: str, alias: str, task_rows: int = TASK_ROWS
 ) -> DataFrame:
     """``value`` of the row before, per key, in (order, seq) order; null for the first."""
     per_key = W.partitionBy(*by).orderBy(order, seq)
-    heat = hot_keys(df, by, min_hot_rows)
+    heat = hot_keys(df, by, task_rows)
     if heat is None:
         return df.withColumn(alias, F.lag(value).over(per_key))
     cold, hot = split_by_heat(df, by, heat)

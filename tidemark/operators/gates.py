@@ -153,9 +153,7 @@ def transformation_gate(features: DataFrame, labels: DataFrame, key: str = "enti
     return tests.withColumn("gate_passed", F.bool_and("passed").over(every))
 
 
-def duplicate_rows(
-    df: DataFrame, key: str, order: str, min_hot_rows: int | None = None
-) -> DataFrame:
+def duplicate_rows(df: DataFrame, key: str, order: str) -> DataFrame:
     """The rows after the first of their key (null keys included), in ``order``.
 
     The first row per key is a map-side-combined minimum; a key that repeats very often is
@@ -167,7 +165,7 @@ def duplicate_rows(
         .filter(F.col("_n") > 1)
         .drop("_n")
     )
-    joined = lookup_join(df, firsts, [key], "inner", True, min_hot_rows)
+    joined = lookup_join(df, firsts, [key], "inner", True)
     return joined.filter(F.col(order) > F.col("_first")).drop("_first")
 
 

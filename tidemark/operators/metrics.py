@@ -96,31 +96,42 @@ def cost_curve(
     A missing or NaN score reaches no threshold.
     """
     by = by or []
-    known = F.col(score).isNotNull() & ~F.isnan(score)
-    cell = F.when(known, S.bin_index(F.col(score), grid)).otherwise(F.lit(0))
-    cells = (
-        df.groupBy(*by, cell.alias("i"))
-        .agg(
-            F.sum(F.col(label).cast("bigint")).alias("pos"),
-            F.sum((1 - F.col(label)).cast("bigint")).alias("neg"),
-        )
-    )
-    thresholds = F.array(*[F.lit(float(t)) for t in grid])
-    frame = (
-        cells.groupBy(*by)
-        .agg(F.sum("neg").alias("all_neg"))
-        .select(*by, "all_neg", F.posexplode(thresholds).alias("i", "threshold"))
+    cells = df.select(*by, F.col(label).alias("_label"), cell_of(F.col(score), grid).alias("i"))
+    return _cumulated(cells, F.array(*[F.lit(float(t)) for t in grid]), by)
+
+
+def cell_of(score: Column, grid: list[float]) -> Column:
+    known = score.isNotNull() & ~F.isnan(score)
+    return F.when(known, S.bin_index(score, grid)).otherwise(F.lit(0))
+
+
+def _cumulated(rows: DataFrame, thresholds: Column, by: list[str]) -> DataFrame:
+    """Cost curves from the label and grid cell of every row."""
+    cells = rows.groupBy(*by, "i").agg(
+        F.sum(F.col("_label").cast("bigint")).alias("pos"), F.sum((1 - F.col("_label")).cast("bigint")).alias("neg")
     )
-    base = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-    upto = base.orderBy("i").rowsBetween(W.unboundedPreceding, 0)
-    zero = lambda c: F.coalesce(F.sum(c).over(upto), F.lit(0))
-    return frame.join(cells, [*by, "i"], "left").select(
-        *by,
-        "i",
-        "threshold",
-        zero("pos").alias("fn"),
-        (F.col("all_neg") - zero("neg")).alias("fp"),
+    # At most one cell more than thresholds in a group: one small array, so nothing reads the rows twice.
+    packed = cells.groupBy(*by).agg(F.sum("neg").alias("all_neg"), F.collect_list(F.struct("i", "pos", "neg")).alias("cells"))
+    frame = packed.select(*by, "all_neg", "cells", F.posexplode(thresholds).alias("i", "threshold"))
+
+    def upto(part: str) -> Column:
+        below = F.filter("cells", lambda c: c["i"] <= F.col("i"))
+        return F.aggregate(below, F.lit(0).cast("bigint"), lambda acc, c: acc + c[part])
+
+    return frame.select(*by, "i", "threshold", upto("pos").alias("fn"), (F.col("all_neg") - upto("neg")).alias("fp"))
+
+
+def cost_curves(df: DataFrame, curves: dict[str, tuple[Column, list[float]]], label: str = "label") -> DataFrame:
+    """Several cost curves (column ``curve``), each of a score and a grid, from one pass over the rows."""
+    sides = F.array(
+        *[
+            F.struct(F.lit(name).alias("curve"), cell_of(score, grid).alias("i"))
+            for name, (score, grid) in curves.items()
+        ]
     )
+    cells = df.select(F.col(label).alias("_label"), F.inline(sides))
+    grids = F.create_map(*[x for n, (_, g) in curves.items() for x in (F.lit(n), F.array(*[F.lit(float(t)) for t in g]))])
+    return _cumulated(cells, grids[F.col("curve")], ["curve"])
 
 
 def cheapest(curve: DataFrame, cases: dict[str, tuple[float, float]]) -> DataFrame:
@@ -149,7 +160,12 @@ def cascade_thresholds(
     df: DataFrame, score: str = "score", label: str = "label", grid: list[float] = COST_GRID
 ) -> DataFrame:
     """Both tier boundaries from one cost curve. Thresholds are put in order; costs stay put."""
-    best = cheapest(cost_curve(df, grid, score, label), {"low": config.COST_LOW, "high": config.COST_HIGH})
+    return boundaries(cost_curve(df, grid, score, label))
+
+
+def boundaries(curve: DataFrame) -> DataFrame:
+    """Both tier boundaries of a cost curve, in order; costs stay put."""
+    best = cheapest(curve, {"low": config.COST_LOW, "high": config.COST_HIGH})
     of = lambda name, c: F.max(F.when(F.col("boundary") == name, F.col(c)))
     return best.agg(
         F.min("threshold").alias("t_low"),

@@ -34,10 +34,9 @@ def serving_state(pointers: DataFrame, cards: DataFrame, canary_pct: int) -> Dat
     There is a challenger only if one is staged and the canary share is above zero; without a
     production version the model cannot serve.
     """
-    at = lambda stage: F.max(F.when(F.col("stage") == stage, F.col("version")))
-    staged = current_pointers(pointers).groupBy("model").agg(
-        at("production").alias("champion_version"), at("staging").alias("_staging")
-    )
+    current = current_pointers(pointers)
+    at = lambda stage, name: current.filter(F.col("stage") == stage).select("model", F.col("version").alias(name))
+    staged = at("production", "champion_version").join(at("staging", "_staging"), "model", "full")
     if canary_pct > 0:
         challenger = F.when(F.col("champion_version").isNotNull(), F.col("_staging"))
     else:

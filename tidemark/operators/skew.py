@@ -1,4 +1,4 @@
-"""Joins that stay balanced when one key holds a large share of the rows."""
+"""Joins and windows that stay balanced when one key holds a large share of the rows."""
 
 from __future__ import annotations
 
@@ -9,29 +9,22 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialized, split_count
 
-# Up to this many rows of one key are no burden to a task.
-MIN_HOT_ROWS = 5_000_000
-MAX_BROADCAST_ROWS = 50_000
+# As many rows of one key as a task may carry, however large the table is.
+TASK_ROWS = 5_000_000
 
 
-def hot_keys(df: DataFrame, by: list[str], min_rows: int | None = None) -> DataFrame | None:
-    """Keys (nulls included) holding more than an even share of one partition; None if no key does.
+def hot_keys(df: DataFrame, by: list[str], task_rows: int = TASK_ROWS) -> DataFrame | None:
+    """Keys (nulls included) that would overload a task; None if no key does.
 
-    A key is hot when it has over 1/n of all rows, n being the number of partitions, and more
-    than ``min_rows``. Fewer than n keys can be, so the result is always small to broadcast.
-
-    This looks at the data when called: a row count, and for tables above ``min_rows`` one
-    map-side-combined count per key. Plans without hot keys then carry no trace of the question.
-    Hand in written tables, not long plans.
+    A key is hot above ``task_rows`` rows, or above an even share of one partition if that is less.
+    So there are at most as many hot keys as the table has such loads. The rows are counted per key
+    once, combined on the map side; hand in written tables, not long plans.
     """
     n = split_count(df.sparkSession)
-    total = df.count()
-    least = max(total / n, MIN_HOT_ROWS if min_rows is None else min_rows)
-    if total <= least:
-        return None
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    hot = materialized(counts.filter(F.col("_n") > least).select(*by), "hot-keys")
-    return None if hot.isEmpty() else hot
+    counts = materialized(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    hot = counts.filter(F.col("_n") > min(total / n, task_rows)).select(*by)
+    return None if hot.isEmpty() else materialized(hot, "hot-keys")
 
 
 def prefixed(df: DataFrame, columns: list[str], tag: str) -> DataFrame:
@@ -45,48 +38,28 @@ def same_key(left: DataFrame, right: DataFrame, by: list[str], tag: str, null_sa
 
 
 def split_by_heat(df: DataFrame, by: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows of ordinary keys and the rows of ``hot`` keys; neither is shuffled for it."""
-    keys = F.broadcast(prefixed(hot, by, "_h_"))
+    """The rows of ordinary keys and the rows of ``hot`` keys, a written table: Spark knows its size."""
+    keys = prefixed(hot, by, "_h_")
     on = same_key(df, keys, by, "_h_")
     return df.join(keys, on, "left_anti"), df.join(keys, on, "left_semi")
 
 
 def lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    by: list[str],
-    how: str = "inner",
-    null_safe: bool = False,
-    min_hot_rows: int | None = None,
+    rows: DataFrame, lookup: DataFrame, by: list[str], how: str = "inner", null_safe: bool = False
 ) -> DataFrame:
     """Join many ``rows`` to a ``lookup`` with one row per key, ``how`` being inner or left.
 
-    Rows of ordinary keys meet their lookup row in a shuffle. Rows of hot keys are not moved at
-    all: fewer than n keys are hot, so their lookup rows are broadcast. Copies of one row, however
-    many, stay spread over the tasks that read them.
+    A plain equi-join: adaptive execution splits the rows of a key that is too large for a task.
     """
-
-    def joined(left: DataFrame, right: DataFrame, small: bool) -> DataFrame:
-        right = prefixed(right, by, "_r_")
-        on = same_key(left, right, by, "_r_", null_safe)
-        right = F.broadcast(right) if small else right
-        return left.join(right, on, how).drop(*[f"_r_{c}" for c in by])
-
-    hot = hot_keys(rows, by, min_hot_rows)
-    if hot is None:
-        return joined(rows, lookup, False)
-    cold_rows, hot_rows = split_by_heat(rows, by, hot)
-    _, hot_lookup = split_by_heat(lookup, by, hot)
-    return joined(cold_rows, lookup, False).unionByName(joined(hot_rows, hot_lookup, True))
+    right = prefixed(lookup, by, "_r_")
+    on = same_key(rows, right, by, "_r_", null_safe)
+    return rows.join(right, on, how).drop(*[f"_r_{c}" for c in by])
 
 
 def join_group_values(rows: DataFrame, values: DataFrame, by: list[str], name: str) -> DataFrame:
     """``rows`` with the ``values`` of their group (one row per group), all rows kept.
 
-    Groups are usually a few features or slices; then the values are broadcast and the rows stay
-    where they are. The values are written and counted first, and beyond MAX_BROADCAST_ROWS
-    the two sides meet in a shuffle instead.
+    The values are written first, so Spark knows how many bytes they are: a few are broadcast and the
+    rows stay where they are, many meet the rows in a shuffle.
     """
-    small = materialized(values, name)
-    few = small.count() <= MAX_BROADCAST_ROWS
-    return rows.join(F.broadcast(small) if few else small, by, "left")
+    return rows.join(materialized(values, name), by, "left")

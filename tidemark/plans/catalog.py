@@ -379,12 +379,17 @@ def route_requests(spark, folder):
         F.least(F.lit(1.0), F.col("value") / 200.0).alias("champion_score"),
         F.least(F.lit(1.0), F.col("value") / 250.0).alias("challenger_score"),
     )
-    return routing.route_requests(
-        requests,
-        metrics.cascade_thresholds(views.scored(spark, folder)),
-        metrics.cascade_thresholds(views.scored(spark, folder, 0.05)),
-        views.CANARY_PCT,
+    rows = table(spark, folder, "lineitem").select(
+        views.request_score(0.15).alias("old"),
+        views.request_score(0.05).alias("new"),
+        (F.col("l_returnflag") == "R").cast("int").alias("label"),
     )
+    grid = metrics.COST_GRID
+    # A row for each threshold of both models, read for either one.
+    curves = metrics.cost_curves(rows, {"old": (F.col("old"), grid), "new": (F.col("new"), grid)})
+    curves = materialized(curves, "cost-curves")
+    cuts = [metrics.boundaries(curves.filter(F.col("curve") == name)) for name in ("old", "new")]
+    return routing.route_requests(requests, *cuts, views.CANARY_PCT)
 
 
 @query("hash_equi_merge")
@@ -445,9 +450,14 @@ def confusion_at_threshold(spark, folder):
 @query("cost_threshold")
 def cost_threshold(spark, folder):
     """Both tier boundaries on the fine grid, and the 10:1 search on the coarse one."""
-    scored = views.scored(spark, folder)
-    fine = metrics.cheapest(metrics.cost_curve(scored), {"low": config.COST_LOW, "high": config.COST_HIGH})
-    coarse = metrics.cheapest(metrics.cost_curve(scored, metrics.COARSE_GRID), {"ten_to_one": (10, 1)})
+    score = F.col("score")
+    curves = metrics.cost_curves(
+        views.scored(spark, folder), {"fine": (score, metrics.COST_GRID), "coarse": (score, metrics.COARSE_GRID)}
+    )
+    curves = materialized(curves, "cost-curves")
+    of = lambda name: curves.filter(F.col("curve") == name)
+    fine = metrics.cheapest(of("fine"), {"low": config.COST_LOW, "high": config.COST_HIGH})
+    coarse = metrics.cheapest(of("coarse"), {"ten_to_one": (10, 1)})
     return rounded(fine.unionByName(coarse), "threshold", digits=9)
 
 
