@@ -22,6 +22,34 @@ def bucket_of(value: Column, cuts: str, n: int) -> Column:
     return passed + F.size(F.filter(fine, lambda c: value >= c))
 
 
+# Slices that the rows are sketched in, and points that each sketch hands on.
+SKETCHES = 64
+SKETCH_POINTS = 2_000
+SKETCH_ACCURACY = 10_000
+# A rough quantile is off by half a point and the sketch's own error; twice that is left over.
+BAND = 10 / SKETCH_ACCURACY
+# With fewer values a band would be about one rank wide.
+FEW = int(2 / BAND)
+
+
+def rough_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None) -> DataFrame:
+    """Approximate quantiles (``points``) and the number of values ``n``, one row (per group).
+
+    Scan tasks sketch their rows, and sketches meet in SKETCHES places, not in one. Each hands on a fixed
+    number of points, the ends included, with its weight; only these, whatever the table's size, are put in one order.
+    """
+    by = by or []
+    grid = F.array(*[F.lit(i / (SKETCH_POINTS - 1)) for i in range(SKETCH_POINTS)])
+    places = df.groupBy(*by, F.pmod(F.spark_partition_id(), F.lit(SKETCHES)).alias("_place")).agg(
+        F.percentile_approx(value, grid, SKETCH_ACCURACY).alias("_grid"), F.count(value).alias("_n")
+    )
+    spread = places.filter("_n > 0").select(*by, "_n", F.explode("_grid").alias("_v"))
+    ends = F.array(*[F.lit(float(p)) for p in probs])
+    # Every point stands for the share of its place: its weight is that place's count.
+    total = F.floor(F.sum("_n") / SKETCH_POINTS).alias("n")
+    return spread.groupBy(*by).agg(F.percentile("_v", ends, F.col("_n")).alias("points"), total)
+
+
 def running_totals(
     counts: DataFrame,
     value: str,
@@ -41,11 +69,8 @@ def running_totals(
     """
     by = by or []
     n = (pieces or split_count(counts.sparkSession)) - 1
-    probs = F.array(*[F.lit((i + 1) / (n + 1)) for i in range(n)])
-    cut_points = F.percentile_approx(value, probs, max(10_000, 10 * n)).alias("cuts")
-    # The sums are taken along so that all three readers of ``counts`` share one shuffle of it.
-    whole = counts.agg(F.struct(cut_points, *[F.sum(s).alias(s) for s in sums]).alias("whole")).scalar()
-    rows = counts.withColumn("_cuts", whole["cuts"])
+    cuts = rough_quantiles(counts, value, [(i + 1) / (n + 1) for i in range(n)])
+    rows = counts.withColumn("_cuts", cuts.select("points").scalar())
     rows = rows.withColumn("_piece", bucket_of(F.col(value), "_cuts", n)).drop("_cuts")
 
     groups = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
@@ -70,10 +95,6 @@ def running_totals(
     )
 
 
-SKETCH_ACCURACY = 10_000
-BAND = 10 / SKETCH_ACCURACY
-
-
 def exact_quantiles(
     df: DataFrame, value: str, probs: list[float], by: list[str] | None = None, alias: str = "quantiles"
 ) -> DataFrame:
@@ -82,25 +103,25 @@ def exact_quantiles(
     A quantile sketch first brackets each quantile in a narrow band of ranks. Only the values
     inside the bands (2 * BAND of the rows each) are then counted one by one; all values between
     two bands are counted as one. So the exact ranks are known, the bands hold the answers, and
-    little is shuffled. The sketch is accurate to a tenth of the band's half width; should a rank
-    fall outside its band, the query fails rather than answer wrongly. Few values (up to
-    SKETCH_ACCURACY, where a band may be under one rank wide) are all counted one by one.
+    little is shuffled. The sketch is accurate to less than half of the band's half width; should a
+    rank fall outside its band, the query fails rather than answer wrongly. Few values (up to FEW,
+    where a band may be under one rank wide) are all counted one by one.
     NaN and null values are left out.
     """
     by = by or []
     clean = df.select(*by, value).filter(F.col(value).isNotNull() & ~F.isnan(value))
     ends = [max(0.0, min(1.0, p + side)) for p in sorted(probs) for side in (-BAND, BAND)]
-    edges = F.percentile_approx(value, F.array(*[F.lit(e) for e in ends]), SKETCH_ACCURACY)
-    sketch = F.struct(edges.alias("edges"), F.count(value).alias("n")).alias("_band")
+    sketch = rough_quantiles(clean, value, ends, by)
+    sketch = sketch.select(*by, F.struct(F.col("points").alias("edges"), "n").alias("_band"))
     if by:
-        rows = join_group_values(clean, clean.groupBy(*by).agg(sketch), by, "sketch")
+        rows = join_group_values(clean, sketch, by, "sketch")
     else:
-        rows = clean.withColumn("_band", clean.agg(sketch).scalar())
+        rows = clean.withColumn("_band", sketch.select("_band").scalar())
     v = F.col(value)
     band = F.col("_band")["edges"]
     lows = [F.get(band, F.lit(i)) for i in range(0, len(ends), 2)]
     rows = rows.withColumn("_no", count_passed(v, lows))
-    few = (F.col("_band")["n"] <= SKETCH_ACCURACY).alias("_few")
+    few = (F.col("_band")["n"] <= FEW).alias("_few")
     rows = rows.select(*by, value, few, F.get(band, 2 * F.col("_no") - 1).alias("_top"))
     inside = F.col("_few") | F.coalesce(v <= F.col("_top"), F.lit(False))
     kept = F.when(inside, v).otherwise(F.coalesce("_top", F.lit(float("-inf"))))

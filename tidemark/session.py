@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, app: str = "tidemark", memory: str = "16g") -> SparkSession:
-    """A local session for tests and the benchmark; clusters bring their own."""
+    """A local session for tests and the benchmark, with a scratch folder; clusters bring their own."""
+    scratch = os.environ.get("TIDEMARK_SCRATCH") or tempfile.mkdtemp(prefix="tidemark-")
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -18,6 +20,7 @@ def local_session(cores: int | str = 8, app: str = "tidemark", memory: str = "16
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.checkpoint.dir", scratch)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -27,20 +30,21 @@ def local_session(cores: int | str = 8, app: str = "tidemark", memory: str = "16
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder for one run, below the shared folder the session names.
 
-    Only a local session that names none falls back to a temporary folder: on a cluster the
-    executors would not see it.
+    A local session that was made elsewhere and names none gets a temporary folder, once: on a
+    cluster the executors would not see it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
-def split_count(spark: SparkSession, most: int = 2048) -> int:
-    """How many pieces to cut a global order or a hot key into: follows the cluster's parallelism."""
-    return max(8, min(most, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+def split_count(spark: SparkSession) -> int:
+    """How many pieces to cut a global order or a hot key into: as many as the session has shuffle partitions."""
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def materialized(df: DataFrame, name: str) -> DataFrame:
