@@ -16,7 +16,7 @@ from tidemark import config
 from tidemark.functions import scalars as S
 from tidemark.operators import metrics, sampling
 from tidemark.operators.routing import as_struct
-from tidemark.session import materialized
+from tidemark.session import materialized, scratch_dir
 
 # The tree ensemble and the linear baselines.
 BOOSTED = {"rounds": 200, "depth": 4, "step": 0.05, "seed": 42}
@@ -51,7 +51,13 @@ def fit_linear(train: DataFrame, penalty: str, c: float = LINEAR_C, iterations:
 
 
 def fit_boosted(train: DataFrame, rounds: int = BOOSTED["rounds"]) -> GBTClassificationModel:
-    """Boosted trees with the positives weighted up to balance the classes."""
+    """Boosted trees with the positives weighted up to balance the classes.
+
+    The lineage of the residuals is cut every ten rounds, in the shared folder.
+    """
+    context = train.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(scratch_dir(train.sparkSession, "boosting"))
     _, weight = balance(train)
     weighted = with_vector(train).withColumn(
         "weight", F.when(F.col("label") == 1, F.lit(float(weight))).otherwise(F.lit(1.0))
@@ -91,11 +97,24 @@ def fit_platt(scored: DataFrame) -> Platt:
     return Platt(float(fitted.coefficients[0]), float(fitted.intercept))
 
 
-def fit_isotonic(scored: DataFrame) -> IsotonicRegressionModel:
-    """Monotone fit; scores outside the fitted range take the nearest end."""
-    return IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="calibrated_score").fit(
-        scored.select("raw", "label")
+# Raw scores are probabilities; a fit on so many equal cells is as fine as a plot of it can be.
+ISOTONIC_CELLS = 10_000
+
+
+def fit_isotonic(scored: DataFrame, cells: int = ISOTONIC_CELLS) -> IsotonicRegressionModel:
+    """Monotone fit; scores outside the fitted range take the nearest end.
+
+    The rows are first reduced to the mean score and label of each cell of the score, weighted by their
+    number: the pooled points that Spark gathers on the driver are then at most ``cells``.
+    """
+    cell = F.floor(F.col("raw") * cells)
+    points = scored.groupBy(cell.alias("cell")).agg(
+        F.avg("raw").alias("raw"), F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight")
+    )
+    regression = IsotonicRegression(
+        featuresCol="raw", labelCol="label", predictionCol="calibrated_score", weightCol="weight"
     )
+    return regression.fit(points)
 
 
 @dataclass(frozen=True)
@@ -217,8 +236,8 @@ def train_and_register(features: DataFrame, root: str, data_version: str, rounds
     return register(model_card(table, bundle, data_version, rounds), bundle, root)
 
 
-def baseline_metrics(table: DataFrame, rounds: int) -> DataFrame:
-    """Average precision and ROC-AUC of the rule, both linear models and the trees on the holdout."""
+def baseline_metrics(table: DataFrame, boosted: GBTClassificationModel) -> DataFrame:
+    """Average precision and ROC-AUC of the rule, both linear models and fitted trees on the holdout."""
     train, test = fold(table, "train"), fold(table, "calibration", "test")
     parts = [
         test.select(F.lit("heuristic").alias("model"), S.heuristic_flag().cast("double").alias("score"), "label")
@@ -226,7 +245,7 @@ def baseline_metrics(table: DataFrame, rounds: int) -> DataFrame:
     fitted = {
         "linear_l1": fit_linear(train, "l1"),
         "linear_l2": fit_linear(train, "l2"),
-        "boosted_trees": fit_boosted(train, rounds),
+        "boosted_trees": boosted,
     }
     for name, model in fitted.items():
         parts.append(raw_scores(model, test).select(F.lit(name).alias("model"), F.col("raw").alias("score"), "label"))

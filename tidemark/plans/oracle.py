@@ -245,6 +245,7 @@ VIEWS: dict[str, str] = {
         UNION ALL SELECT 'relationships(entity_id, features -> labels)', count(*) = 0, NULL, NULL, count(*) FROM orphans""",
     "folds": folds_sql("features_clean"),
     "holdout": "SELECT * FROM folds WHERE fold <> 'train'",
+    "held_flagged": "SELECT pred, flagged.label FROM flagged JOIN (SELECT entity_id FROM holdout) USING (entity_id)",
     "drift_long": long_view(1.0),
     "shifted_long": long_view(1.35),
     "predictions": "SELECT entity_id, score AS calibrated_score FROM scored",
@@ -656,5 +657,33 @@ BODIES |= {
 }
 
 
+TRAIN, HELD = "(SELECT * FROM folds WHERE fold = 'train')", "(SELECT * FROM folds WHERE fold <> 'train')"
+FOLD_SIZE = "count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_pos"
+RANKED_FACTS = "true AS beats_chance, true AS in_range"
+
+BODIES |= {
+    "linear_l1_l2": f"""SELECT penalty, {FOLD_SIZE}, {RANKED_FACTS}
+        FROM {HELD}, (SELECT unnest(['l1', 'l2']) AS penalty) GROUP BY penalty""",
+    "boosted_trees": f"""SELECT h.*, {RANKED_FACTS}, 200 AS trees, true AS shallow, t.n_train, t.scale_pos_weight
+        FROM (SELECT {FOLD_SIZE} FROM {HELD}) h, (SELECT count(*) AS n_train,
+            round(CAST(count(*) - sum(label) AS DOUBLE) / sum(label), 6) AS scale_pos_weight FROM {TRAIN}) t""",
+    "platt_scaling": f"""SELECT {FOLD_SIZE}, true AS in_range, true AS adds_up, true AS increasing
+        FROM folds WHERE fold = 'calibration'""",
+    "isotonic": f"""SELECT {FOLD_SIZE}, true AS pools_are_means, true AS increasing FROM folds WHERE fold = 'calibration'""",
+    "batch_score": """SELECT entity_id, true AS in_range, true AS tier_agrees, true AS flag_agrees FROM features_clean""",
+    "evaluate_on": f"""SELECT 'holdout' AS eval_set, {FOLD_SIZE}, {RANKED_FACTS} FROM {HELD}
+        UNION ALL SELECT 'untouched', {FOLD_SIZE}, {RANKED_FACTS} FROM folds WHERE fold = 'test'""",
+    "train_and_register": """SELECT 'catalogue' AS data_version, 'none' AS stage, 200 AS rounds,
+        count(*) FILTER (WHERE fold = 'train') AS n_train, count(*) FILTER (WHERE fold = 'test') AS n_final_test,
+        round(sum(label) FILTER (WHERE fold = 'train') / CAST(count(*) FILTER (WHERE fold = 'train') AS DOUBLE), 6)
+            AS positive_rate_train, true AS thresholds_ordered, true AS in_range FROM folds""",
+    "registry_append": """SELECT count(*) AS n_scored, true AS scores_agree, CAST(1 AS BIGINT) AS versions FROM features_clean""",
+    "baseline_gaps": f"""SELECT round(average_precision, 6) AS heuristic_ap, true AS gaps_add_up, true AS trees_beat_the_rule
+        FROM ({ranking_sql('(SELECT CAST(pred AS DOUBLE) AS score, label FROM held_flagged)')})""",
+    "feature_importance": f"""SELECT unnest([{', '.join(repr(c) for c in config.FEATURES)}]) AS feature, true AS in_range,
+        1.0e0 AS total""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: sql(body) for name, body in BODIES.items()}
