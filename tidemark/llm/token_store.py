@@ -4,7 +4,7 @@ Texts become ids with a public tokenizer; ids are counted over the whole corpus;
 canonical, length-limited Huffman code, whose code lengths (one small number per id of the vocabulary)
 are all that is needed to read. The files are written through Spark, in ascending id order of the
 documents: parts in order, blocks in order within a part. A block holds whole documents and can be read
-alone: their ids and token counts, the code bits, and the bit offset of every 256th token. Reading
+alone: their ids and token counts, the code bits, and the bit offset of every 64th token. Reading
 decodes a block from all its offsets at once, a token a step, each with one table look-up.
 
 Defined cases: a null text is empty and has the end id alone. Rows with one document id keep some
@@ -35,8 +35,8 @@ from tidemark.session import materialized, scratch_dir
 END_ID = 0
 MAX_CODE_BITS = 18
 BLOCK_TOKENS = 1 << 18
-CHECKPOINT = 256
-CACHED_PIECES = 500_000
+CHECKPOINT = 64
+CACHED_PIECES = 800_000
 SLICE_BYTES = 12 << 20  # of text looked at in one go
 JOINED = 500  # pieces encoded as one text
 
@@ -67,12 +67,12 @@ class Encoder:
             self.width[i] = len(word)
         for i, added in self.tokenizer.get_added_tokens_decoder().items():
             self.width[i] = len(added.content.encode())
-        self.dtype = "<u2" if len(self.width) <= 1 << 16 else "<u4"
+        self.planes = 2 if len(self.width) <= 1 << 16 else 4
         self.forget()
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.lengths = np.zeros(0, np.int64)
+        self.lengths = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
     def ids_of(self, texts: list[str]) -> list[np.ndarray]:
@@ -90,12 +90,12 @@ class Encoder:
         ends = np.cumsum(pc.binary_length(pa.array(joined, pa.string())).to_numpy().astype(np.int64))
         stops = np.searchsorted(np.cumsum(self.width[flat]), ends) + 1
         rest = self.ids_of(alone)
-        counts = np.r_[np.diff(np.r_[0, stops]), np.fromiter(map(len, rest), np.int64, len(rest))]
+        counts = np.r_[np.diff(np.r_[0, stops]), np.fromiter(map(len, rest), np.int64, len(rest))].astype(np.int32)
         return counts, np.concatenate([flat, *rest])
 
     def places(self, pieces: list[str]) -> np.ndarray:
         """Where the pieces are in the cache; new ones are encoded."""
-        at = np.fromiter((self.number.get(p, -1) for p in pieces), np.int64, len(pieces))
+        at = np.fromiter((self.number.get(p, -1) for p in pieces), np.int32, len(pieces))
         names = [pieces[i] for i in np.flatnonzero(at < 0)]
         joined = [p for p in names if p[:1] == " " and not p[-1].isspace()]
         alone = [p for p in names if p[:1] != " " or p[-1].isspace()]
@@ -103,11 +103,11 @@ class Encoder:
         self.number.update(zip([*joined, *alone], range(begin, begin + len(names))))
         lengths, ids = self.library(joined, alone)
         self.lengths, self.ids = np.r_[self.lengths, lengths], np.r_[self.ids, ids]
-        at[at < 0] = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
+        at[at < 0] = np.fromiter(map(self.number.__getitem__, names), np.int32, len(names))
         return at
 
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """The ids of every text (none null)."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some texts (none null) in a row, and how many each text has."""
         if len(self.number) > CACHED_PIECES:
             self.forget()
         whole = pc.match_substring_regex(texts, self.after_space).to_numpy(zero_copy_only=False)
@@ -116,7 +116,7 @@ class Encoder:
         count = pc.list_value_length(lists).to_numpy()
         first = np.cumsum(count) - count
         coded = flat.dictionary_encode()
-        code = coded.indices.to_numpy().astype(np.int64)
+        code = coded.indices.to_numpy().copy()
         # All pieces but a text's first have their space back, and full stops and commas apart.
         begins = flat.take(pa.array(first)).dictionary_encode()
         spaced = pc.binary_join_element_wise(" ", coded.dictionary, "")
@@ -129,22 +129,26 @@ class Encoder:
 
         at = self.places(pieces)
         base = at[bases.indices.to_numpy()]
-        stop = np.full(len(base), -1)
+        stop = np.full(len(base), -1, np.int32)
         stop[np.flatnonzero(stopped.to_numpy(zero_copy_only=False))] = at[len(bases.dictionary) + stops.indices.to_numpy()]
-        many = 1 + (stop[code] >= 0)
-        last = np.cumsum(many) - 1
-        at = np.repeat(base[code], many)
-        split = many == 2
-        at[last[split]] = stop[code[split]]
-
-        lengths = self.lengths[at]
-        begin = (np.cumsum(self.lengths) - self.lengths)[at]
-        ends = np.cumsum(lengths)
-        ids = self.ids[np.repeat(begin - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        out = np.split(ids, ends[last[np.cumsum(count) - 1]][:-1])
+        apart = (stop >= 0)[code]
+        last = np.cumsum(apart, dtype=np.int32) + np.arange(len(code), dtype=np.int32)
+        places = np.empty(len(code) + int(apart.sum()), np.int32)
+        places[last[apart]] = stop[code[apart]]
+        places[last - apart] = base[code]
+
+        lengths = self.lengths[places]
+        begin = (np.cumsum(self.lengths, dtype=np.int32) - self.lengths)[places]
+        ends = np.cumsum(lengths, dtype=np.int32)
+        within = np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int32)
+        ids = self.ids[np.repeat(begin - (ends - lengths), lengths) + within]
+        counts = np.diff(np.r_[0, ends[last[np.cumsum(count) - 1]]])
+        if not whole.any():
+            return ids, counts
+        each = np.split(ids, np.cumsum(counts)[:-1])
         for i in np.flatnonzero(whole):
-            out[i] = np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, np.uint32)
-        return out
+            each[i] = self.ids_of([texts[i].as_py()])[0]
+        return np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))
 
 
 ENCODERS: dict[str, Encoder] = {}
@@ -160,12 +164,15 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for part in slices(batch, size=SLICE_BYTES):
-                wide = np.dtype(encoder.dtype).itemsize
-                planes = [
-                    np.r_[ids, np.uint32(end_id)].astype(encoder.dtype).view(np.uint8).reshape(-1, wide).T.tobytes()
-                    for ids in encoder.encode(part.column("text"))
+                ids, counts = encoder.encode(part.column("text"))
+                ends = np.cumsum(counts)
+                ids = np.insert(ids, ends, end_id)
+                planes = [(ids >> np.uint32(8 * k)).astype(np.uint8).tobytes() for k in range(encoder.planes)]
+                ends = (ends + np.arange(1, len(ends) + 1)).tolist()
+                head = bytes([encoder.planes])
+                packed = [
+                    head + packer.compress(b"".join([p[a:b] for p in planes])) for a, b in zip([0, *ends], ends)
                 ]
-                packed = [bytes([wide]) + packer.compress(p) for p in planes]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("row"), pa.array(packed, pa.binary())], ["id", "row", "packed"]
                 )
@@ -290,7 +297,8 @@ def write_tokens(
 
         def block() -> pa.RecordBatch:
             bits, offsets = code.write(np.concatenate(held))
-            columns = [[part], [number], [names], [[len(h) for h in held]], [offsets.astype("<u8").tobytes()], [bits]]
+            steps = np.diff(offsets).astype("<u2")  # at most CHECKPOINT codes of MAX_CODE_BITS
+            columns = [[part], [number], [names], [[len(h) for h in held]], [steps.tobytes()], [bits]]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, type=t) for c, t in zip(columns, arrow_types)], [f.name for f in fields]
             )
@@ -342,7 +350,8 @@ def read_tokens(spark: SparkSession, path: str, digest: bool = False) -> DataFra
             for i in range(batch.num_rows):
                 one = batch.slice(i, 1)
                 counts = one.column("counts").flatten().to_numpy()
-                offsets = np.frombuffer(one.column("offsets")[0].as_py(), "<u8").astype(np.int64)
+                steps = np.frombuffer(one.column("offsets")[0].as_py(), "<u2").astype(np.int64)
+                offsets = np.r_[0, np.cumsum(steps)]
                 ids = code.read(one.column("bits")[0].as_py(), offsets, int(counts.sum())).astype("<u4")
                 ends = np.cumsum(counts)
                 each = (ids[e - n : e].tobytes() for e, n in zip(ends, counts))
