@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import public_tokenizers
@@ -95,15 +96,17 @@ class Encoder:
 
     def places(self, pieces: list[str]) -> np.ndarray:
         """Where the pieces are in the cache; new ones are encoded."""
-        at = np.fromiter((self.number.get(p, -1) for p in pieces), np.int32, len(pieces))
-        names = [pieces[i] for i in np.flatnonzero(at < 0)]
-        joined = [p for p in names if p[:1] == " " and not p[-1].isspace()]
-        alone = [p for p in names if p[:1] != " " or p[-1].isspace()]
-        begin = len(self.number)
-        self.number.update(zip([*joined, *alone], range(begin, begin + len(names))))
-        lengths, ids = self.library(joined, alone)
+        at = np.fromiter(map(self.number.get, pieces, repeat(-1)), np.int32, len(pieces))
+        new = np.flatnonzero(at < 0)
+        names = [pieces[i] for i in new.tolist()]
+        single = np.fromiter((p[:1] != " " or p[-1].isspace() for p in names), bool, len(names))
+        new = np.r_[new[~single], new[single]]
+        names = [pieces[i] for i in new.tolist()]
+        begin, many = len(self.number), len(names) - int(single.sum())
+        self.number.update(zip(names, range(begin, begin + len(names))))
+        lengths, ids = self.library(names[:many], names[many:])
         self.lengths, self.ids = np.r_[self.lengths, lengths], np.r_[self.ids, ids]
-        at[at < 0] = np.fromiter(map(self.number.__getitem__, names), np.int32, len(names))
+        at[new] = np.arange(begin, begin + len(names))
         return at
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
