@@ -29,7 +29,7 @@ def statuses(df):
 def test_full_run_promotes_then_contests(spark, features, landed):
     root, labels = scratch_dir(spark, "t-run"), views.labels_delayed(spark, SF)
     assert jobs.pointer(spark, root, "production") is None
-    assert jobs.check_score_psi(features, features, root).first()["status"] == "no_production_model"
+    assert jobs.champion_score_psi(features, features, root).first()["status"] == "no_production_model"
 
     assert statuses(jobs.full_run(landed, labels, root, "b1", rounds=3)) == ["passed"] * 4
     first = jobs.pointer(spark, root, "production")
@@ -39,16 +39,16 @@ def test_full_run_promotes_then_contests(spark, features, landed):
     assert set(r["reason"] for r in lost.select("reason").distinct().collect()) == {"null entity_id"}
 
     folds = models.folds(features)
-    assert jobs.evaluate_and_promote(folds, root, dry_run=True).first()["stage"] is None
+    assert jobs.contest_and_promote(folds, root, dry_run=True).first()["stage"] is None
     assert jobs.pointer_log(spark, root).count() == 1
 
     models.train_and_register(landed.filter("entity_id is not null"), root, "b2", 3)
-    decision = jobs.evaluate_and_promote(folds, root).first()
+    decision = jobs.contest_and_promote(folds, root).first()
     assert decision["passed"] and decision["version"] > first
     assert jobs.pointer(spark, root, "production") == decision["version"]
 
     log = models.load(spark, root, decision["version"]).score(features)
-    row = jobs.check_score_psi(features, log, root).first()
+    row = jobs.champion_score_psi(features, log, root).first()
     assert (row["status"], row["psi"], row["interpretation"]) == ("checked", 0.0, "stable")
 
 
@@ -63,3 +63,19 @@ def test_too_many_lost_keys_block_everything(spark, landed):
     none = landed.withColumn("entity_id", F.when(F.col("label") == 1, F.col("entity_id")))
     run = jobs.full_run(none, views.labels_delayed(spark, SF), root, "b1", rounds=3)
     assert statuses(run) == ["failed", "blocked", "blocked", "blocked"]
+
+
+def test_an_unreadable_pointer_log_stops_the_gate(spark, tmp_path):
+    assert jobs.pointer_log(spark, str(tmp_path)).count() == 0
+    (tmp_path / "pointers").mkdir()
+    (tmp_path / "pointers" / "part-0.parquet").write_bytes(b"not a table")
+    with pytest.raises(Exception, match="part-0.parquet"):
+        jobs.pointer(spark, str(tmp_path), "production")
+
+
+def test_a_missing_score_has_no_tier(spark):
+    from tidemark.functions import scalars
+
+    df = spark.createDataFrame([(None,), (0.1,), (0.9,)], "s double")
+    rows = df.select(scalars.tier(F.col("s"), 0.2, 0.6).alias("t")).collect()
+    assert [r["t"] is None for r in rows] == [True, False, False]

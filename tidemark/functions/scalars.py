@@ -65,7 +65,7 @@ def heuristic_flag() -> Column:
 def tier(score: Column, t_low: Column | float, t_high: Column | float) -> Column:
     low, mid, high = config.TIERS
     return (
-        F.when(score < t_low, F.lit(low)).when(score < t_high, F.lit(mid)).otherwise(F.lit(high))
+        F.when(score < t_low, F.lit(low)).when(score < t_high, F.lit(mid)).when(score.isNotNull(), F.lit(high))
     )
 
 

@@ -12,9 +12,18 @@ from tidemark.operators.metrics import ranking_metrics
 from tidemark.operators.running import exact_quantiles
 
 
-def list_versions(versions: DataFrame, cards: DataFrame) -> DataFrame:
-    """Every card, oldest first; versions whose registration left no card are skipped."""
-    return versions.join(cards, ["model", "version"], "inner").orderBy("model", "version")
+def list_versions(versions: DataFrame, cards: DataFrame, pointers: DataFrame) -> DataFrame:
+    """Every card with its stage, oldest first; versions whose registration left no card are skipped.
+
+    The stage is what points at the version now, production before staging, else none.
+    """
+    now = current_pointers(pointers).select("model", "version", "stage")
+    at = lambda stage: now.filter(F.col("stage") == stage).select("model", "version", F.lit(stage).alias(f"_{stage}"))
+    out = versions.join(cards, ["model", "version"], "inner")
+    for stage in ("production", "staging"):
+        out = out.join(at(stage), ["model", "version"], "left")
+    stage = F.coalesce("_production", "_staging", F.lit("none")).alias("stage")
+    return out.select("*", stage).drop("_production", "_staging").orderBy("model", "version")
 
 
 def latest_version(cards: DataFrame, wanted: str | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from tidemark.operators.skew import lookup_join
 from tidemark.plans import jobs
 from tidemark.session import materialized, scratch_dir
 from tidemark.sources import sinks, views
-from tidemark.sources.tables import stream_table, table
+from tidemark.sources.tables import stream_folder, stream_table, table
 from tidemark.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,7 +30,11 @@ LOG_COLUMNS = [
     "tier",
     "served_by",
     "low_confidence",
+    "spend",
+    "k",
+    "model_version",
 ]
+LOG_ROWS_READ = 500
 SLICES = ("held_out", "high_quantity_slice")
 
 
@@ -103,12 +107,14 @@ def sink_inference_log(spark, folder):
 
 @query("scan_inference_log")
 def scan_inference_log(spark, folder):
-    return store.newest_log_rows(views.inference_log(spark, folder).select(*LOG_COLUMNS))
+    return store.newest_log_rows(views.inference_log(spark, folder).select(*LOG_COLUMNS), LOG_ROWS_READ)
 
 
 @query("scan_model_cards")
 def scan_model_cards(spark, folder):
-    return registry.list_versions(views.model_versions(spark, folder), views.model_cards(spark, folder))
+    return registry.list_versions(
+        views.model_versions(spark, folder), views.model_cards(spark, folder), views.pointer_log(spark, folder)
+    )
 
 
 @query("alerts_table")
@@ -267,6 +273,16 @@ def _events_long(spark, folder, factor: float = 1.0) -> DataFrame:
     return drift.unpivot(rows, ["is_live"], ["value", "k"])
 
 
+FEATURE_SPLIT = "1998-04-15"
+
+
+def _features_long(spark, folder) -> DataFrame:
+    """The six model features as (feature, value, is_live)."""
+    live = F.col("event_timestamp") >= F.lit(FEATURE_SPLIT).cast("timestamp_ntz")
+    rows = views.features_clean(spark, folder).withColumn("is_live", live)
+    return drift.unpivot(rows, ["is_live"], config.FEATURES).filter("value is not null")
+
+
 @query("scale_scenario")
 def scale_scenario(spark, folder):
     """One feature scaled by 1.35 in the live half; the other is the control."""
@@ -500,7 +516,8 @@ def quantile_bins(spark, folder):
 
 @query("ks_two_sample")
 def ks_two_sample(spark, folder):
-    out = drift.ks_drift(_events_long(spark, folder), ["feature"])
+    """All six features of the orders, before and after the middle of the period."""
+    out = drift.ks_drift(_features_long(spark, folder), ["feature"])
     return out.withColumn("any_drift", F.bool_or("drifted").over(W.partitionBy(F.lit(0))))
 
 
@@ -759,17 +776,54 @@ def gate_chain(spark, folder):
 # facts: sizes, class weights, settings read back, and whether scores, tiers and calibration are as they must be.
 
 DATA_VERSION = "catalogue"
-_FITTED: dict[tuple[str, str], tuple[str, str]] = {}
+_RUNS: dict[tuple[str, str], tuple[str, list]] = {}
 
 
-def _registered(spark, folder) -> tuple[str, str]:
-    """The registry folder and the version trained on ``folder``; fitted once a session, read by all."""
+def _run(spark, folder) -> tuple[str, list]:
+    """A full run over ``folder``, from landed rows to a promoted model, once a session: its root and steps."""
     name = (spark.sparkContext.applicationId, folder)
-    if name not in _FITTED:
+    if name not in _RUNS:
         root = scratch_dir(spark, "registry")
-        features = views.features_clean(spark, folder)
-        _FITTED[name] = root, models.train_and_register(features, root, DATA_VERSION, models.BOOSTED["rounds"])
-    return _FITTED[name]
+        landed = views.features_clean(spark, folder)
+        steps = jobs.full_run(landed, landed.select("entity_id", "label"), root, DATA_VERSION)
+        _RUNS[name] = root, [tuple(r) for r in steps.collect()]
+    return _RUNS[name]
+
+
+def _registered(spark, folder) -> tuple[str, str]:
+    """The registry folder and the version in production."""
+    root, _ = _run(spark, folder)
+    return root, jobs.pointer(spark, root, "production")
+
+
+@query("full_run")
+def full_run(spark, folder):
+    _, steps = _run(spark, folder)
+    return spark.createDataFrame(steps, "position int, step string, status string")
+
+
+@query("promote_registered")
+def promote_registered(spark, folder):
+    """The registered version contested once more, against itself in production, as a dry run."""
+    root, version = _registered(spark, folder)
+    decision = jobs.contest_and_promote(_folds(spark, folder), root, version, dry_run=True)
+    return decision.select(
+        "passed", "dry_run", "stage", "alert", (F.col("version") == version).alias("in_production")
+    )
+
+
+@query("score_psi")
+def score_psi(spark, folder):
+    """Logged scores against the scores that the version in production gives the training features."""
+    root, _ = _registered(spark, folder)
+    log = views.inference_log(spark, folder).select("calibrated_score")
+    out = jobs.champion_score_psi(views.features_clean(spark, folder), log, root)
+    return out.select(
+        "status",
+        "n_live",
+        (F.col("psi") >= 0).alias("not_negative"),
+        (F.col("interpretation") == S.psi_band(F.col("psi"))).alias("band_agrees"),
+    )
 
 
 def _bundle(spark, folder) -> models.Bundle:
@@ -960,8 +1014,12 @@ DRIFT_WIDTH = "6 hours"
 
 @query("stream_ingestion_gate")
 def stream_ingestion_gate(spark, folder):
+    """Two landings, the first half of the month and the rest, each a batch."""
     root = scratch_dir(spark, "stream-gate")
-    streams.ingestion_gate(views.raw_landing_of(stream_table(spark, folder, "events")), root)
+    landed, first = table(spark, folder, "events"), F.col("ts") < F.lit(views.DRIFT_SPLIT).cast("timestamp_ntz")
+    for part in (landed.filter(first), landed.filter(~first)):
+        part.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    streams.ingestion_gate(views.raw_landing_of(stream_folder(spark, f"{root}/landing", "events", 1)), root)
     return spark.read.parquet(f"{root}/checks")
 
 

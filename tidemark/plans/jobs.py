@@ -109,7 +109,10 @@ def pointer_log(spark: SparkSession, root: str) -> DataFrame:
     """The registry's promotions; empty before the first one."""
     try:
         return spark.read.schema(_POINTERS).parquet(f"{root}/pointers")
-    except AnalysisException:
+    except AnalysisException as missing:
+        # Only a log that was never written means no promotions; one that can't be read stops the gate.
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], _POINTERS)
 
 
@@ -119,7 +122,7 @@ def pointer(spark: SparkSession, root: str, stage: str) -> str | None:
     return at_stage.agg(F.max_by("version", F.struct("pointed_at", "seq"))).first()[0]
 
 
-def evaluate_and_promote(
+def contest_and_promote(
     folds: DataFrame, root: str, version: str | None = None, dry_run: bool = False
 ) -> DataFrame:
     """Champion against challenger on both slices of the holdout; appends the pointer move.
@@ -136,13 +139,13 @@ def evaluate_and_promote(
     contest = registry.champion_challenger(registry.slice_metrics(scores), challenger, champion)
     decision = materialized(registry.promotion(contest, challenger, dry_run), "decision")
     move = decision.filter(F.col("stage").isNotNull()).select(
-        "stage", "version", F.current_timestamp().alias("pointed_at"), F.lit(0).cast("bigint").alias("seq")
+        "stage", "version", F.current_timestamp().alias("pointed_at"), F.lit(pointer_log(spark, root).count()).cast("bigint").alias("seq")
     )
     sinks.append_rows(move, f"{root}/pointers")
     return decision
 
 
-def check_score_psi(features: DataFrame, log: DataFrame, root: str) -> DataFrame:
+def champion_score_psi(features: DataFrame, log: DataFrame, root: str) -> DataFrame:
     """PSI of the logged scores against the champion's scores of the training features."""
     spark = features.sparkSession
     champion = pointer(spark, root, "production")
@@ -189,6 +192,6 @@ def full_run(
             ("ingestion_gate", ingestion),
             ("transformation_gate", lambda: passed(gates.transformation_gate(clean(), labels), "passed")),
             ("train", lambda: bool(models.train_and_register(clean(), root, batch_id, rounds))),
-            ("promotion_gate", lambda: passed(evaluate_and_promote(models.folds(clean()), root), "passed")),
+            ("promotion_gate", lambda: passed(contest_and_promote(models.folds(clean()), root), "passed")),
         ],
     )

