@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.common import mapped
 from tidemark.llm import repeats
 
 WINDOW_BYTES = 200
@@ -89,7 +90,7 @@ def without_repeats(
                 yield pa.RecordBatch.from_arrays([part.column("id"), *columns], names)
 
     longs = [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
-    return rows.mapInArrow(run, T.StructType([rows.schema["id"], *longs, T.StructField("kept", T.BinaryType())]))
+    return mapped(rows, run, T.StructType([rows.schema["id"], *longs, T.StructField("kept", T.BinaryType())]))
 
 
 def left(units, runs: list[dict]):

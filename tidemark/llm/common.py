@@ -6,10 +6,16 @@ in id and text have the same key and are always treated alike.
 
 from __future__ import annotations
 
+import os
 import random
+import shutil
+import tempfile
+from collections.abc import Callable
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.session import materialized
 
@@ -21,6 +27,26 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hands this package to the Python workers through Spark, unless they find it by themselves."""
+    root, context = Path(__file__).resolve().parents[2], spark.sparkContext
+    found = [Path.cwd(), *map(Path, os.environ.get("PYTHONPATH", "").split(os.pathsep))]
+    if root in [p.resolve() for p in found] or context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    # Spark copies the archive to wherever the workers run.
+    context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/tidemark", "zip", root, "tidemark"))
+
+
+def mapped(rows: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """``rows`` through ``run``, an iterator over Arrow batches, on the Python workers."""
+    ship(rows.sparkSession)
+    return rows.mapInArrow(run, schema)
+
+
 def sized(side: DataFrame, row_bytes: int) -> DataFrame:
     """``side`` (a written table) marked for broadcast if its rows, counted here, are few enough."""
     return F.broadcast(side) if side.count() * row_bytes <= BROADCAST_BYTES else side

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import row_key, without_rows
+from tidemark.llm.common import mapped, row_key, without_rows
 from tidemark.llm.repeats import Rolling, slices
 from tidemark.llm.word_repeats import read_words
 from tidemark.session import materialized
@@ -233,7 +233,7 @@ def matches(
     last = [T.StructField("similarity", T.DoubleType()), T.StructField("distance", T.LongType())]
     schema = T.StructType([rows.schema["id"], T.StructField("key", T.LongType()), item_field, *longs, *last])
     item_type = pa.int64() if isinstance(item_field.dataType, T.LongType) else pa.string()
-    return rows.mapInArrow(run, schema)
+    return mapped(rows, run, schema)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

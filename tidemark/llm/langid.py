@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import without_rows
+from tidemark.llm.common import mapped, without_rows
 from tidemark.llm.repeats import slices
 from tidemark.session import materialized
 
@@ -112,7 +112,7 @@ def trained(rows: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(counts[cell])], ["cell", "n"])
 
     known = rows.filter("declared is not null").select("declared", "text")
-    cells = known.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    cells = mapped(known, run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     counts = np.full(n * BUCKETS, 0.5)
     counts[[r["cell"] for r in cells]] += [r["n"] for r in cells]
     counts = counts.reshape(n, BUCKETS)
@@ -136,7 +136,7 @@ def read_texts(rows: DataFrame, model: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(many), sums], [*FIELDS, "n_grams", "likelihood"])
 
     more = [T.StructField("n_grams", T.LongType()), T.StructField("likelihood", T.ArrayType(T.DoubleType()))]
-    return rows.mapInArrow(run, T.StructType([rows.schema[f] for f in FIELDS] + more))
+    return mapped(rows, run, T.StructType([rows.schema[f] for f in FIELDS] + more))
 
 
 def language_counts() -> list[Column]:

@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import BROADCAST_BYTES, row_key
+from tidemark.llm.common import BROADCAST_BYTES, mapped, row_key
 from tidemark.session import materialized
 
 PIECE = 1 << 19  # units hashed at once
@@ -158,7 +158,7 @@ def occurrences(rows: DataFrame, kind: Kind) -> DataFrame:
 
     long = lambda name: T.StructField(name, T.LongType())
     fields = [rows.schema["id"], long("key"), long("start"), T.StructField("n", T.IntegerType()), long("trigger"), long("phrase")]
-    return rows.mapInArrow(run, T.StructType(fields))
+    return mapped(rows, run, T.StructType(fields))
 
 
 def same_row(a: DataFrame, b: DataFrame):
@@ -264,7 +264,7 @@ def cut_out(texts: DataFrame, kind: Kind) -> DataFrame:
                     yield pieces(kind, part, units, at[some], owner[some], *[x[some] for x in asked])
 
     more = [T.StructField("trigger", T.LongType()), T.StructField("phrase", T.LongType()), T.StructField("units", T.BinaryType())]
-    return texts.mapInArrow(run, T.StructType([*stretch_schema(texts), *more]))
+    return mapped(texts, run, T.StructType([*stretch_schema(texts), *more]))
 
 
 def pieces(kind: Kind, part: pa.RecordBatch, units, at, owner, start, n, trigger, crowded) -> pa.RecordBatch:

@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import components, row_key, without_rows
+from tidemark.llm.common import components, mapped, row_key, without_rows
 from tidemark.session import materialized
 
 SHINGLE_WORDS = 3
@@ -66,7 +66,7 @@ def fingerprints(
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), fp], ["id", "key", "fp"])
 
     schema = T.StructType([rows.schema["id"], T.StructField("key", T.LongType()), T.StructField("fp", T.LongType())])
-    return materialized(rows.mapInArrow(run, schema), "fingerprints")
+    return materialized(mapped(rows, run, schema), "fingerprints")
 
 
 def ball(radius: int) -> list[int]:

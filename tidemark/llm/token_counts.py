@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.common import mapped
 from tidemark.llm.repeats import slices
 
 VOCABULARY = "word_bpe_49k.json"
@@ -308,7 +309,7 @@ def token_counts(
 
     longs = [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_tokens")]
     schema = T.StructType([rows.schema["id"], *longs, T.StructField("over_limit", T.BooleanType())])
-    return rows.mapInArrow(run, schema)
+    return mapped(rows, run, schema)
 
 
 def op6_token_counts(spark, sf_dir: str) -> DataFrame:

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from tidemark.llm.common import mapped
 from tidemark.llm.repeats import slices
 from tidemark.session import materialized, scratch_dir
 
@@ -181,7 +182,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
                 )
 
     schema = T.StructType([rows.schema["id"], T.StructField("row", T.LongType()), T.StructField("packed", T.BinaryType())])
-    return materialized(rows.mapInArrow(run, schema), "token-ids")
+    return materialized(mapped(rows, run, schema), "token-ids")
 
 
 def unpacked(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -210,7 +211,7 @@ def counted(ids: DataFrame) -> dict[int, int]:
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["token", "n"])
 
-    total = ids.select("packed").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    total = mapped(ids.select("packed"), run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     return {r["token"]: r["n"] for r in total.collect()}
 
 
@@ -327,7 +328,7 @@ def write_tokens(
     ]
     arrow_types = [to_arrow_type(f.dataType) for f in fields]
     # Code bits do not compress.
-    ordered = ids.orderBy("id", "row").select("id", "packed").mapInArrow(blocks, T.StructType(fields))
+    ordered = mapped(ids.orderBy("id", "row").select("id", "packed"), blocks, T.StructType(fields))
     ordered.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
 
@@ -371,7 +372,7 @@ def read_tokens(spark: SparkSession, path: str, digest: bool = False) -> DataFra
             T.StructField("crc32", T.LongType()) if digest else T.StructField("tokens", T.BinaryType()),
         ]
     )
-    return blocks.join(starts, ["part", "block"]).mapInArrow(run, schema)
+    return mapped(blocks.join(starts, ["part", "block"]), run, schema)
 
 
 def op5_token_id_output(spark, sf_dir: str) -> DataFrame:
