@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import BROADCAST_BYTES, mapped, row_key
-from tidemark.session import materialized
+from tidemark.session import materialized, split_count
 
 PIECE = 1 << 19  # units hashed at once
 SLICE_BYTES = 4 << 20  # text looked at in one go
@@ -212,7 +212,9 @@ def removed_runs(
     crowd = entries.groupBy("trigger").agg(F.count(F.lit(1)).alias("crowd")).filter("crowd > 1")
     unsettled = entries.join(crowd, "trigger").select("first.*", "trigger", (F.col("crowd") > CROWDED).alias("crowded"))
     unsettled = materialized(unsettled, "unsettled")
-    shards = max(1, unsettled.filter("not crowded").count() // SHARD_PHRASES)
+    # Enough shards for every task to have some, however many phrases there are.
+    spark = docs.sparkSession
+    shards = max(4 * split_count(spark), unsettled.filter("not crowded").count() // SHARD_PHRASES)
     asked = unsettled.groupBy("key", "id").agg(F.collect_list(F.struct("start", "n", "trigger", "crowded")).alias("asked"))
     asked = by_size(materialized(tagged(asked), "asked"), "asked", 24)
     texts = rows.join(asked, same_row(rows, asked)).select("id", "key", "text", "asked").dropDuplicates(["id", "key"])
