@@ -10,6 +10,7 @@ from tidemark.functions import scalars as S
 from tidemark.operators.metrics import DECILES
 from tidemark.operators.running import exact_quantiles, running_totals
 from tidemark.operators.skew import join_group_values
+from tidemark.session import materialized
 
 SERIES_TERMS = 100
 PSI_FLOOR = 1e-6
@@ -87,10 +88,11 @@ def psi_from_shares(expected: list[Column], actual: list[Column]) -> Column:
 def psi(long: DataFrame, by: list[str] | None = None, value: str = "value", live: str = "is_live") -> DataFrame:
     """Population stability index over the baseline's deciles, one row (per group).
 
-    Two passes: exact edges from the baseline, then one count per bin and side. A value on an
-    edge belongs above it, and repeated edges leave an empty bin.
+    Two passes over the values, written once: exact edges from the baseline, then one count per bin
+    and side. A value on an edge belongs above it, and repeated edges leave an empty bin.
     """
     by = by or []
+    long = materialized(long.select(*by, value, live), "psi")
     edges = exact_quantiles(long.filter(~F.col(live)), value, DECILES, by, alias="_edges")
     if by:
         rows = join_group_values(long, edges, by, "edges")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import config
 from tidemark.functions import scalars as S
 from tidemark.operators.running import exact_quantiles, running_totals
+from tidemark.session import materialized
 
 COST_GRID = np.linspace(0.01, 0.99, 98).tolist()
 COARSE_GRID = np.linspace(0.01, 0.99, 50).tolist()
@@ -17,22 +18,23 @@ DECILES = [i * 0.1 for i in range(1, 10)]
 
 
 def score_counts(
-    df: DataFrame, score: str = "score", label: str = "label", by: list[str] | None = None
+    df: DataFrame, score: str = "score", label: str = "label", by: list[str] | None = None, weight: str | None = None
 ) -> DataFrame:
-    """Positives and negatives per distinct score."""
+    """Positives and negatives per distinct score; a row may stand for ``weight`` rows."""
     by = by or []
+    w = F.col(weight) if weight else F.lit(1).cast("bigint")
     return df.groupBy(*by, score).agg(
-        F.sum(F.col(label).cast("bigint")).alias("pos"),
-        F.sum((1 - F.col(label)).cast("bigint")).alias("neg"),
+        F.sum(F.col(label).cast("bigint") * w).alias("pos"),
+        F.sum((1 - F.col(label)).cast("bigint") * w).alias("neg"),
     )
 
 
 def ranking_metrics(
-    df: DataFrame, score: str = "score", label: str = "label", by: list[str] | None = None
+    df: DataFrame, score: str = "score", label: str = "label", by: list[str] | None = None, weight: str | None = None
 ) -> DataFrame:
     """Average precision and ROC-AUC (ties counted half), one row (per group)."""
     by = by or []
-    ranked = running_totals(score_counts(df, score, label, by), score, ["pos", "neg"], by, True)
+    ranked = running_totals(score_counts(df, score, label, by, weight), score, ["pos", "neg"], by, True)
     d = lambda c: F.col(c).cast("double")
     no_zero = lambda c: F.nullif(c, F.lit(0.0))
     precision = d("cum_pos") / no_zero(d("cum_pos") + d("cum_neg"))
@@ -241,7 +243,11 @@ def class_balance(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def reliability_curve(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """Mean score against observed rate in decile bins; a score on an edge stays below it."""
+    """Mean score against observed rate in decile bins; a score on an edge stays below it.
+
+    Score and label are written once: edges and bins read them, not the table.
+    """
+    df = materialized(df.select(score, label), "reliability")
     edges = exact_quantiles(df, score, DECILES, alias="edges").scalar()
     binned = df.withColumn("edges", edges).withColumn(
         "bin", S.edges_passed(F.col(score), F.col("edges"), len(DECILES), strict=True)

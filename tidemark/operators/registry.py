@@ -76,9 +76,9 @@ def serving_state(pointers: DataFrame, cards: DataFrame, canary_pct: int) -> Dat
     )
 
 
-def slice_metrics(scores: DataFrame) -> DataFrame:
+def slice_metrics(scores: DataFrame, weight: str | None = None) -> DataFrame:
     """Ranking metrics of every (version, slice) of (version, slice, label, score), in one plan."""
-    return ranking_metrics(scores, by=["version", "slice"])
+    return ranking_metrics(scores, by=["version", "slice"], weight=weight)
 
 
 def champion_challenger(

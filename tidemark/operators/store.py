@@ -125,6 +125,31 @@ def label_backfill(predictions: DataFrame, labels: DataFrame, cut: float = 0.5)
     )
 
 
+def label_backfills(
+    predictions: DataFrame, labels: DataFrame, cutoffs: list[str], cut: float = 0.5
+) -> DataFrame:
+    """:func:`label_backfill` as of several times (column ``as_of``), from one join with all labels."""
+    counted = predictions.groupBy("entity_id", predict_at(F.col("calibrated_score"), cut).alias("pred")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    known = [F.col("label_observed_timestamp") <= F.lit(c).cast("timestamp_ntz") for c in cutoffs]
+    truth = labels.groupBy("entity_id", "label").agg(*[F.count_if(k).alias(f"_n{i}") for i, k in enumerate(known)])
+    each = F.array(
+        *[F.struct(F.lit(c).alias("as_of"), (F.col("n") * F.col(f"_n{i}")).alias("w")) for i, c in enumerate(cutoffs)]
+    )
+    rows = counted.join(truth, "entity_id").select("pred", "label", F.inline(each))
+    # A row of weight zero for each time, so that one without any label is reported too.
+    none = labels.sparkSession.createDataFrame([(0, 0, c, 0) for c in cutoffs], "pred int, label int, as_of string, w bigint")
+    out = precision_recall_f1(rows.unionByName(none), by=["as_of"], weight="w")
+    matched = F.col("n_rows") > 0
+    return out.select(
+        "as_of",
+        F.when(matched, F.lit("checked")).otherwise(F.lit("no_matching_labels")).alias("status"),
+        F.col("n_rows").alias("n_matched"),
+        *[F.when(matched, F.col(c)).alias(c) for c in ("precision", "recall", "f1")],
+    )
+
+
 def labels_known_at(labels: DataFrame, now: Column) -> DataFrame:
     return labels.filter(F.col("label_observed_timestamp") <= now)
 

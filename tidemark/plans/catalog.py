@@ -318,13 +318,7 @@ def _predictions(spark, folder) -> DataFrame:
 def label_backfill(spark, folder):
     """Against the labels that have arrived by the middle of the period, and by its end."""
     labels = views.labels_delayed(spark, folder)
-    out = None
-    for cutoff in ("1998-04-15", "2002-01-01"):
-        known = store.labels_known_at(labels, F.lit(cutoff).cast("timestamp_ntz"))
-        part = store.label_backfill(_predictions(spark, folder), known).select(
-            F.lit(cutoff).alias("as_of"), "*"
-        )
-        out = part if out is None else out.unionByName(part)
+    out = store.label_backfills(_predictions(spark, folder), labels, ["1998-04-15", "2002-01-01"])
     return rounded(out, "precision", "recall", "f1")
 
 
@@ -360,22 +354,28 @@ def serving_state(spark, folder):
 
 
 def _two_model_scores(spark, folder) -> DataFrame:
-    """(version, slice, label, score) of the stronger and the weaker model, from one scan."""
-    lineitem = table(spark, folder, "lineitem")
-    edge = running.exact_quantiles(lineitem, "l_quantity", [0.75], alias="q").select(F.col("q")[0]).scalar()
-    both = F.array(
-        F.struct(F.lit("champion").alias("version"), views.request_score(0.15).alias("score")),
-        F.struct(F.lit("challenger").alias("version"), views.request_score(0.05).alias("score")),
+    """(version, slice, label, score, n) of the stronger and the weaker model, from one scan.
+
+    Rows are counted before they are taken into their slices.
+    """
+    lineitem = table(spark, folder, "lineitem").select(
+        (F.col("l_returnflag") == "R").cast("int").alias("label"),
+        "l_quantity",
+        views.request_score(0.15).alias("champion"),
+        views.request_score(0.05).alias("challenger"),
     )
-    rows = lineitem.select(
-        (F.col("l_returnflag") == "R").cast("int").alias("label"), "l_quantity", edge.alias("_edge"), F.inline(both)
+    scored = materialized(lineitem, "two-models")
+    edge = running.exact_quantiles(scored, "l_quantity", [0.75], alias="q").select(F.col("q")[0]).scalar()
+    both = F.array(
+        *[F.struct(F.lit(v).alias("version"), F.col(v).alias("score")) for v in ("champion", "challenger")]
     )
-    sliced = registry.slices_of(rows, F.col("l_quantity") >= F.col("_edge"), SLICES)
-    return sliced.select("version", "slice", "label", "score")
+    rows = scored.select("label", (F.col("l_quantity") >= edge).alias("_hard"), F.inline(both))
+    counts = rows.groupBy("version", "_hard", "label", "score").agg(F.count(F.lit(1)).alias("n"))
+    return registry.slices_of(counts, F.col("_hard"), SLICES).select("version", "slice", "label", "score", "n")
 
 
 def _champion_challenger(spark, folder) -> DataFrame:
-    metrics_of = registry.slice_metrics(_two_model_scores(spark, folder))
+    metrics_of = registry.slice_metrics(_two_model_scores(spark, folder), "n")
     return registry.champion_challenger(metrics_of, "challenger", "champion")
 
 
