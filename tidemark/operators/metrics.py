@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark import config

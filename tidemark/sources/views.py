@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import config
 from tidemark.functions import scalars as S
 from tidemark.operators.asof import asof_join
 from tidemark.sources.tables import table
