@@ -95,7 +95,8 @@ def weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> list[
     trusted = sized(trusted_ids(labels), 16).select(F.col("doc_id").alias("_trusted"))
     text = docs.select("doc_id", words_of("text").alias("words"))
     marked = text.join(trusted, text["doc_id"] == trusted["_trusted"], "left")
-    grams = marked.select(F.col("_trusted").isNotNull().cast("bigint").alias("is_target"), ngrams("words", buckets).alias("grams"))
+    is_target = F.col("_trusted").isNotNull().cast("bigint").alias("is_target")
+    grams = marked.select(is_target, ngrams("words", buckets).alias("grams"))
     counts = (
         # Outer: a plain explode would put a test of the array on the scan, with its words split anew each time.
         grams.select("is_target", F.explode_outer("grams").alias("bucket"))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidemark.llm import byte_repeats, decontam, langid, mixing, quality, sharding, simhash, token_counts, token_store, word_repeats
+from tidemark.llm import byte_repeats, decontam, langid, mixing, quality
+from tidemark.llm import sharding, simhash, token_counts, token_store, word_repeats
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,

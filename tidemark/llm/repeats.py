@@ -13,8 +13,9 @@ windows always have equal triggers, and most of the rest follows from phrases:
    shards by trigger, and a shard compares the windows of its phrases exactly.
 
 A trigger with very many different phrases is not kept together: its phrases are cut into single
-windows, and those are a dictionary of their own, combined on the map side like the first. Positions are counted in units from the start of the text. Rows that agree in id
-and text are treated alike.
+windows, and those are a dictionary of their own, combined on the map side like the first.
+Positions are counted in units from the start of the text. Rows that agree in id and text are
+treated alike.
 """
 
 from __future__ import annotations

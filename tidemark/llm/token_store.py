@@ -88,7 +88,8 @@ class Encoder:
         """
         texts = ["".join(joined[k : k + JOINED]) for k in range(0, len(joined), JOINED)]
         # A few at a time: what the library returns is much larger than the ids.
-        flat = np.concatenate([np.zeros(0, np.uint32), *[x for k in range(0, len(texts), 16) for x in self.ids_of(texts[k : k + 16])]])
+        got = [ids for k in range(0, len(texts), 16) for ids in self.ids_of(texts[k : k + 16])]
+        flat = np.concatenate([np.zeros(0, np.uint32), *got])
         ends = np.cumsum(pc.binary_length(pa.array(joined, pa.string())).to_numpy().astype(np.int64))
         stops = np.searchsorted(np.cumsum(self.width[flat]), ends) + 1
         rest = self.ids_of(alone)
