@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import config
 from tidemark.functions import scalars as S
@@ -75,13 +76,19 @@ def ingestion_gate(stream: DataFrame, root: str) -> None:
 
 
 def dual_write(stream: DataFrame, root: str) -> None:
-    """History first, then the online delta, both under the batch's id."""
+    """History first, then the online delta, both under the batch's id.
+
+    The history lies by day and within a day by batch: a reader of some days lists only those, and a
+    replayed batch replaces its own folders.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        path = f"{root}/history/batch_id={batch_id}"
-        sinks.by_day(batch, "ts").write.mode("overwrite").partitionBy("date").parquet(path)
-        written = batch.sparkSession.read.schema(stream.schema).parquet(path).select(*stream.columns)
-        sinks.append_online(written, f"{root}/online", str(batch_id))
+        path = f"{root}/history"
+        rows = sinks.by_day(batch, "ts").withColumn("batch_id", F.lit(batch_id))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch_id").parquet(path)
+        schema = T.StructType([*stream.schema, T.StructField("date", T.DateType()), T.StructField("batch_id", T.IntegerType())])
+        written = batch.sparkSession.read.schema(schema).parquet(path).filter(F.col("batch_id") == batch_id)
+        sinks.append_online(written.select(*stream.columns), f"{root}/online", str(batch_id))
 
     run_batches(stream, root, write)
 
