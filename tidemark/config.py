@@ -77,3 +77,14 @@ MESSAGE_BACKFILL = (
 )
 MESSAGE_PROMOTED = "Promoted %s to production (champion-challenger gate passed)."
 MESSAGE_NOT_PROMOTED = "Champion-challenger gate FAILED for %s -- staged, not promoted."
+
+# Names of checks and tests (the latter with the key), slices and report statuses.
+CHECK_NOT_NULL = "not_null_entity_id"
+CHECK_VOLUME = "row_count_volume_check"
+TEST_UNIQUE = "unique_and_not_null(%s)"
+TEST_RELATED = "relationships(%s, features -> labels)"
+EVAL_SLICES = ("held_out", "high_ticket_volume_slice")
+STATUS_CHECKED = "checked"
+STATUS_FEW_ROWS = "insufficient_data"
+STATUS_NO_LABELS = "no_matching_labels"
+STATUS_NO_MODEL = "no_production_model"

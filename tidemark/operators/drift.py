@@ -68,7 +68,7 @@ def ks_drift(long: DataFrame, by: list[str]) -> DataFrame:
     p = kolmogorov_p(F.col("d"), F.col("n_baseline"), F.col("n_live"))
     return out.select(
         *by,
-        F.when(enough, F.lit("checked")).otherwise(F.lit("insufficient_data")).alias("status"),
+        F.when(enough, F.lit(config.STATUS_CHECKED)).otherwise(F.lit(config.STATUS_FEW_ROWS)).alias("status"),
         "n_live",
         F.when(enough, F.round("d", 4)).alias("ks_stat"),
         F.when(enough, F.round(p, 6)).alias("p_value"),
@@ -117,7 +117,7 @@ def psi(long: DataFrame, by: list[str] | None = None, value: str = "value", live
     enough = F.col("n_live") >= config.MIN_LOGGED_ROWS
     return sums.select(
         *by,
-        F.when(enough, F.lit("checked")).otherwise(F.lit("insufficient_data")).alias("status"),
+        F.when(enough, F.lit(config.STATUS_CHECKED)).otherwise(F.lit(config.STATUS_FEW_ROWS)).alias("status"),
         "n_live",
         F.when(enough, F.round(value_col, 4)).alias("psi"),
         F.when(enough, S.psi_band(value_col)).alias("interpretation"),

@@ -68,14 +68,14 @@ def ingestion_gate(
     )
     checks = F.array(
         row(
-            "not_null_entity_id",
+            config.CHECK_NOT_NULL,
             F.col("rate_ok"),
             F.col("nulls"),
             F.col("rate"),
             quarantine_action(F.col("nulls"), F.col("rate_ok")),
         ),
         row(
-            "row_count_volume_check",
+            config.CHECK_VOLUME,
             F.col("volume_ok"),
             F.col("rows"),
             F.col("drop"),
@@ -109,7 +109,7 @@ def unique_not_null(df: DataFrame, key: str) -> DataFrame:
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"),
     )
     return sums.select(
-        F.lit(f"unique_and_not_null({key})").alias("test"),
+        F.lit(config.TEST_UNIQUE % key).alias("test"),
         ((F.col("nulls") == 0) & (F.col("duplicates") == 0)).alias("passed"),
         "nulls",
         "duplicates",
@@ -132,7 +132,7 @@ def referential_integrity(features: DataFrame, labels: DataFrame, key: str, samp
     count = orphans.agg(F.count(F.lit(1)).alias("n"))
     first = orphans.orderBy(key).limit(sample).agg(F.sort_array(F.collect_list(key)).alias("s"))
     return count.select(
-        F.lit(f"relationships({key}, features -> labels)").alias("test"),
+        F.lit(config.TEST_RELATED % key).alias("test"),
         (F.col("n") == 0).alias("passed"),
         F.col("n").alias("orphaned_count"),
         F.array_join(first.scalar(), ",").alias("orphaned_sample"),

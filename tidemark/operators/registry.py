@@ -62,7 +62,7 @@ def serving_state(pointers: DataFrame, cards: DataFrame, canary_pct: int) -> Dat
 
     for role in ("champion", "challenger"):
         state = state.join(card(role), ["model", f"{role}_version"], "left")
-    status = F.when(F.col("champion_version").isNull(), F.lit("no_production_model")).otherwise(F.lit("ok"))
+    status = F.when(F.col("champion_version").isNull(), F.lit(config.STATUS_NO_MODEL)).otherwise(F.lit("ok"))
     return state.select(
         "model",
         status.alias("status"),
@@ -139,4 +139,4 @@ def eval_slices(holdout: DataFrame, feature: str = "support_tickets_30d") -> Dat
     edge = exact_quantiles(holdout, feature, [0.75], alias="q").select(F.col("q")[0])
     tagged = holdout.withColumn("_edge", edge.scalar())
     heavy = F.col(feature) >= F.col("_edge")
-    return slices_of(tagged, heavy, ("held_out", "high_ticket_volume_slice")).drop("_edge")
+    return slices_of(tagged, heavy, config.EVAL_SLICES).drop("_edge")

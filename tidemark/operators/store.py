@@ -119,7 +119,7 @@ def label_backfill(predictions: DataFrame, labels: DataFrame, cut: float = 0.5)
     out = precision_recall_f1(backfill_counts(predictions, labels, cut), weight="n")
     matched = F.col("n_rows") > 0
     return out.select(
-        F.when(matched, F.lit("checked")).otherwise(F.lit("no_matching_labels")).alias("status"),
+        F.when(matched, F.lit(config.STATUS_CHECKED)).otherwise(F.lit(config.STATUS_NO_LABELS)).alias("status"),
         F.col("n_rows").alias("n_matched"),
         *[F.when(matched, F.col(c)).alias(c) for c in ("precision", "recall", "f1")],
     )
@@ -144,7 +144,7 @@ def label_backfills(
     matched = F.col("n_rows") > 0
     return out.select(
         "as_of",
-        F.when(matched, F.lit("checked")).otherwise(F.lit("no_matching_labels")).alias("status"),
+        F.when(matched, F.lit(config.STATUS_CHECKED)).otherwise(F.lit(config.STATUS_NO_LABELS)).alias("status"),
         F.col("n_rows").alias("n_matched"),
         *[F.when(matched, F.col(c)).alias(c) for c in ("precision", "recall", "f1")],
     )

@@ -35,7 +35,7 @@ LOG_COLUMNS = [
     "model_version",
 ]
 LOG_ROWS_READ = 500
-SLICES = ("held_out", "high_quantity_slice")
+SLICES = (config.EVAL_SLICES[0], "high_quantity_slice")
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -425,7 +425,7 @@ def ingestion_gate(spark, folder):
 @query("volume_check")
 def volume_check(spark, folder):
     checks = gates.ingestion_gate(views.raw_landing(spark, folder))
-    return checks.filter(F.col("check_name") == "row_count_volume_check").select(
+    return checks.filter(F.col("check_name") == config.CHECK_VOLUME).select(
         F.col("observed").alias("row_count"), F.col("share").alias("drop_pct"), "passed"
     )
 

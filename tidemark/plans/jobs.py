@@ -63,7 +63,7 @@ def gate_chain(name: str, steps: list[tuple[str, DataFrame]]) -> DataFrame:
 
 
 def ingestion_alerts(checks: DataFrame) -> DataFrame:
-    volume = checks.filter(F.col("check_name") == "row_count_volume_check")
+    volume = checks.filter(F.col("check_name") == config.CHECK_VOLUME)
     message = F.format_string(config.MESSAGE_VOLUME, F.col("share") * 100)
     return gates.gate_alerts(volume, "ingestion_gate", "warning", message)
 
@@ -85,7 +85,7 @@ def drift_alerts(per_feature: DataFrame) -> DataFrame:
 
 
 def psi_alerts(psi: DataFrame) -> DataFrame:
-    checked = psi.filter(F.col("status") == "checked").withColumn(
+    checked = psi.filter(F.col("status") == config.STATUS_CHECKED).withColumn(
         "passed", F.col("psi") <= config.PSI_MODERATE
     )
     message = F.format_string(config.MESSAGE_PSI, F.col("psi"), F.col("interpretation"))
@@ -93,7 +93,7 @@ def psi_alerts(psi: DataFrame) -> DataFrame:
 
 
 def backfill_alerts(backfill: DataFrame) -> DataFrame:
-    checked = backfill.filter(F.col("status") == "checked").withColumn(
+    checked = backfill.filter(F.col("status") == config.STATUS_CHECKED).withColumn(
         "passed", F.col("f1") >= config.F1_ALERT
     )
     message = F.format_string(config.MESSAGE_BACKFILL, F.col("f1"), F.col("n_matched"))
@@ -150,7 +150,7 @@ def champion_score_psi(features: DataFrame, log: DataFrame, root: str) -> DataFr
     spark = features.sparkSession
     champion = pointer(spark, root, "production")
     if champion is None:
-        return spark.createDataFrame([("no_production_model",)], "status string")
+        return spark.createDataFrame([(config.STATUS_NO_MODEL,)], "status string")
     expected = materialized(models.load(spark, root, champion).score(features).select("calibrated_score"), "expected")
     return drift.psi(drift.two_samples(expected, log, ["calibrated_score"]))
 

@@ -181,7 +181,7 @@ def windowed_drift(
     return plain_time(table, "window_start", "window_end").select(
         "window_start",
         "window_end",
-        F.when(enough, F.lit("checked")).otherwise(F.lit("insufficient_data")).alias("status"),
+        F.when(enough, F.lit(config.STATUS_CHECKED)).otherwise(F.lit(config.STATUS_FEW_ROWS)).alias("status"),
         "n_live",
         F.when(enough, F.round(psi, 4)).alias("psi"),
         F.when(enough, F.round(F.greatest(*gaps), 4)).alias("ks_binned"),
