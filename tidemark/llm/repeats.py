@@ -224,7 +224,9 @@ def removed_runs(
     flagged = together.groupBy("shard").applyInArrow(compare, stretch_schema(rows))
     # Different windows have nothing in common: their dictionary settles them.
     single = cuts.filter("units is null").drop("units")
-    settled = settled.union(copies(single, dictionary(single), keep_first))
+    # Written, so that the join has a plain shuffle on both sides and a hot window can be split.
+    windows = materialized(dictionary(single), "windows")
+    settled = settled.union(copies(single, windows, keep_first))
 
     # Stretches of windows become stretches of units, and those that touch become one.
     covers = settled.union(flagged).distinct()
