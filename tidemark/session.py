@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Scratch folders of local sessions that name none, by application.
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def local_session(cores: int | str = 8, app: str = "tidemark", memory: str = "16g") -> SparkSession:
     """A local session for tests and the benchmark, with a scratch folder; clusters bring their own."""
     scratch = os.environ.get("TIDEMARK_SCRATCH") or tempfile.mkdtemp(prefix="tidemark-")
@@ -37,8 +41,8 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        name_of = spark.sparkContext.applicationId
+        root = _LOCAL_SCRATCH.get(name_of) or _LOCAL_SCRATCH.setdefault(name_of, tempfile.mkdtemp(prefix="tidemark-"))
     return f"{root.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
