@@ -71,7 +71,8 @@ def test_too_many_ids_for_the_limit():
 
 def test_pieces_encode_as_whole_texts():
     library, encoder = Tokenizer.from_file(BYTE_BPE), token_store.Encoder(BYTE_BPE)
-    for texts in (ODD, ODD[::-1]):
+    stops = [".", ". first. second, third", ",", ", and. so, on.,", "word.", "... more... words,,"]
+    for texts in (stops, ODD, ["new words here. and, there.", *stops], ODD[::-1], stops[::-1]):
         ids, counts = encoder.encode(pa.array(texts))
         for text, one in zip(texts, np.split(ids, np.cumsum(counts)[:-1])):
             assert one.tolist() == library.encode(text, add_special_tokens=False).ids, text

@@ -52,6 +52,7 @@ class Encoder:
     """
 
     after_space = r"[\s\pZ\x0b\x1c-\x1f\x{85}] "
+    space_at_end = r"[\s\pZ\x0b\x1c-\x1f\x{85}]$"
     # Full stops and commas after such a letter begin a token of their own.
     stop = r"[A-Za-z\x{e0}-\x{f6}\x{f8}-\x{ff}][.,]+$"
 
@@ -96,15 +97,16 @@ class Encoder:
         counts = np.r_[np.diff(np.r_[0, stops]), np.fromiter(map(len, rest), np.int64, len(rest))].astype(np.int32)
         return counts, np.concatenate([flat, *rest])
 
-    def places(self, pieces: list[str]) -> np.ndarray:
-        """Where the pieces are in the cache; new ones are encoded."""
+    def places(self, names: pa.Array) -> np.ndarray:
+        """Where some pieces are in the cache; new ones are encoded, also one that comes twice."""
+        pieces = names.to_pylist()
         at = np.fromiter(map(self.number.get, pieces, repeat(-1)), np.int32, len(pieces))
         new = np.flatnonzero(at < 0)
-        names = [pieces[i] for i in new.tolist()]
-        single = np.fromiter((p[:1] != " " or p[-1].isspace() for p in names), bool, len(names))
+        joins = pc.and_not(pc.starts_with(names, " "), pc.match_substring_regex(names, self.space_at_end))
+        single = ~joins.to_numpy(zero_copy_only=False)[new]
         new = np.r_[new[~single], new[single]]
         names = [pieces[i] for i in new.tolist()]
-        begin, many = len(self.number), len(names) - int(single.sum())
+        begin, many = len(self.lengths), len(names) - int(single.sum())
         self.number.update(zip(names, range(begin, begin + len(names))))
         lengths, ids = self.library(names[:many], names[many:])
         self.lengths, self.ids = np.r_[self.lengths, lengths], np.r_[self.ids, ids]
@@ -130,9 +132,7 @@ class Encoder:
         bare = pc.if_else(stopped, pc.utf8_rtrim(spaced, ".,"), spaced)
         stops = pc.replace_substring_regex(spaced.filter(stopped), r"^(?s:.*?)([.,]+)$", r"\1").dictionary_encode()
         bases = pa.concat_arrays([bare.cast(pa.string()), begins.dictionary.cast(pa.string())]).dictionary_encode()
-        pieces = bases.dictionary.to_pylist() + stops.dictionary.to_pylist()
-
-        at = self.places(pieces)
+        at = self.places(pa.concat_arrays([bases.dictionary, stops.dictionary.cast(pa.string())]))
         base = at[bases.indices.to_numpy()]
         stop = np.full(len(base), -1, np.int32)
         stop[np.flatnonzero(stopped.to_numpy(zero_copy_only=False))] = at[len(bases.dictionary) + stops.indices.to_numpy()]
