@@ -160,29 +160,40 @@ ENCODERS: dict[str, Encoder] = {}
 
 
 def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``row`` and the packed ids of every row with the end id; written, since several passes read them."""
+    """``id``, ``row`` and the packed ids of every row with the end id; written, since several passes read them.
+
+    Every task adds a row with its counts of the ids (``seen``), so that they need not be unpacked for it.
+    """
     text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
     rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ENCODERS.get(path) or ENCODERS.setdefault(path, Encoder(path))
+        seen = np.zeros(max(len(encoder.width), end_id + 1), np.int64)
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for part in slices(batch, size=SLICE_BYTES):
                 ids, counts = encoder.encode(part.column("text"))
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id)
+                seen += np.bincount(ids, minlength=len(seen))
                 planes = [(ids >> np.uint32(8 * k)).astype(np.uint8).tobytes() for k in range(encoder.planes)]
                 ends = (ends + np.arange(1, len(ends) + 1)).tolist()
                 head = bytes([encoder.planes])
                 packed = [
                     head + packer.compress(b"".join([p[a:b] for p in planes])) for a, b in zip([0, *ends], ends)
                 ]
+                none = pa.nulls(part.num_rows, pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("row"), pa.array(packed, pa.binary())], ["id", "row", "packed"]
+                    [part.column("id"), part.column("row"), pa.array(packed, pa.binary()), none], names
                 )
+        # The task's last row has no document: how often it has seen each id.
+        last = [pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())]
+        yield pa.RecordBatch.from_arrays([*last, pa.array([seen.astype("<i8").tobytes()], pa.binary())], names)
 
-    schema = T.StructType([rows.schema["id"], T.StructField("row", T.LongType()), T.StructField("packed", T.BinaryType())])
+    binary = [T.StructField(n, T.BinaryType()) for n in ("packed", "seen")]
+    schema = T.StructType([rows.schema["id"], T.StructField("row", T.LongType()), *binary])
+    names, id_type = schema.names, to_arrow_type(schema["id"].dataType)
     return materialized(mapped(rows, run, schema), "token-ids")
 
 
@@ -202,17 +213,14 @@ def counted(ids: DataFrame) -> dict[int, int]:
     """How often each id occurs in the corpus: one number for each id of the vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(0, np.int64)
         for batch in batches:
-            for part in slices(batch, "packed"):
-                more = np.bincount(np.concatenate(unpacked(part)))
-                if len(more) > len(counts):
-                    counts, more = more, counts
-                counts[: len(more)] += more
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["token", "n"])
-
-    total = mapped(ids.select("packed"), run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+            for seen in batch.column("seen").to_pylist():
+                counts = np.frombuffer(seen, "<i8")
+                used = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["token", "n"])
+
+    seen = ids.select("seen").filter("seen is not null")
+    total = mapped(seen, run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     return {r["token"]: r["n"] for r in total.collect()}
 
 
@@ -292,6 +300,7 @@ def write_tokens(
     """The ids of all rows in files below ``path``: ``blocks``, and ``lengths`` with the code."""
     ids = encoded(docs, vocabulary, end_id, id_col, text_col)
     lengths = code_lengths(counted(ids))
+    ids = ids.filter("packed is not null")
     pairs = [(i, n) for i, n in sorted(lengths.items())]
     spark = docs.sparkSession
     spark.createDataFrame(pairs, "token long, bits int").coalesce(1).write.parquet(f"{path}/lengths")
