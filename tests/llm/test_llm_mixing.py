@@ -68,6 +68,32 @@ def test_skewed_sources_equal_sql(spark, tmp_path, folder):
     assert 0 < mixing.plan(rows).agg(F.max("epochs")).first()[0]
 
 
+def test_null_and_repeated_ids_keep_their_budget(spark):
+    """Downsampled sources whose rows have no id, share one, or do so in part, with equal and different texts."""
+    ids = {"none": "cast(null as bigint)", "one": "7L", "part": "if(i % 3 = 0, null, i)", "few": "i"}
+    docs = None
+    for source, doc_id in ids.items():
+        text = "'one two three four'" if source == "none" else "concat('one two three ', i % 50)"
+        rows = spark.range(0, 100 if source == "few" else 1500, 1, 3).withColumnRenamed("id", "i")
+        rows = rows.selectExpr(f"{doc_id} as doc_id", f"{text} as text", f"'{source}' as source", "i")
+        docs = rows if docs is None else docs.union(rows)
+    found = {r["source"]: r for r in mixing.plan(mixing.measured(docs)).collect()}
+    assert [found[s]["epochs"] for s in ("none", "one", "part")] == [0, 0, 0]
+    taken = mixing.mixed(docs).groupBy("source", "i").agg(F.count("*").alias("n")).collect()
+    for s, r in found.items():
+        each = [x["n"] for x in taken if x["source"] == s]
+        assert 0 <= r["quota"] - 4 * sum(each) < 4
+        assert set(each) <= {r["epochs"], r["epochs"] + 1}
+
+
+def test_permutation_of_copies_is_spread_over_blocks(spark, tmp_path):
+    docs = spark.range(4000).selectExpr("cast(null as bigint) as doc_id", "'a b' as text", "'s' as source")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    out = mixing.op3_mixing(spark, str(tmp_path))
+    assert out.count() == 4000
+    assert out.groupBy("block").count().agg(F.max("count")).first()[0] < 20
+
+
 def test_odd_rows(odd_docs, no_docs):
     out = mixing.mixed(odd_docs)
     assert out.columns == odd_docs.columns

@@ -11,18 +11,23 @@ No source is ever ordered as a whole. Blocks are summed first; only the one bloc
 in which its budget ends is looked at row by row.
 
 Defined cases: null sources are a source of their own; a source without words has weight zero
-and is left out; rows without words cost nothing. Rows with the same id stay together in a
-permutation, null ids as well. Ties cost their common sum. An empty table gives an empty result.
+and is left out; rows without words cost nothing. Rows that share their id within a source, or have
+none, get places of their own by a hash of their text and a number among equal rows, so that
+the permutation stays as fine as the rows. An empty table gives an empty result.
+
+``MIXING_SQL`` states the order for ids that are unique within their source.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import sized
 from tidemark.session import materialized
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -36,9 +41,39 @@ STEPS_A_JOB = 4
 
 
 def order_key(epoch: Column, id_col: str, seed: int) -> Column:
-    """A row's place in the permutation of one pass."""
+    """A row's place in the permutation of one pass; ``tie`` (see ``with_ties``) is left out where null."""
     parts = [F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))]
-    return F.md5(F.concat_ws(":", *parts))
+    return F.md5(F.concat_ws(":", *parts, F.col("tie")))
+
+
+def with_ties(rows: DataFrame) -> DataFrame:
+    """``rows`` (``id``, ``source``, ``text_hash``, ...) with ``tie``: null where no other row has the same source and id.
+
+    Elsewhere it is the hash of the text and a number among rows that agree in all three. These
+    are counted for each part of the input, so that no group of copies is numbered in one task.
+    """
+    seen = rows.groupBy("source", "id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    seen = materialized(seen.select(F.col("source").alias("_source"), F.col("id").alias("_id")), "repeated-ids")
+    if seen.isEmpty():
+        return rows.withColumn("tie", F.lit(None).cast("string")).drop("text_hash")
+    side = sized(seen, 64)
+    on = rows["source"].eqNullSafe(side["_source"]) & rows["id"].eqNullSafe(side["_id"])
+    alone = rows.join(side, on, "left_anti").withColumn("tie", F.lit(None).cast("string"))
+    # The upper bits of the number are those of the part that the row was read in.
+    dealt = rows.withColumn("_seq", F.monotonically_increasing_id())
+    on = dealt["source"].eqNullSafe(side["_source"]) & dealt["id"].eqNullSafe(side["_id"])
+    shared = dealt.join(side, on, "left_semi").withColumn("_part", F.shiftright("_seq", 33))
+    shared = materialized(shared, "repeated-rows")
+    same = ["source", "id", "text_hash"]
+    counts = shared.groupBy(*same, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    upto = W.partitionBy(*same).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0))).drop("_n")
+    before = before.select(*[F.col(c).alias(f"{c}_b") for c in before.columns])
+    on = [shared[c].eqNullSafe(before[f"{c}_b"]) for c in [*same, "_part"]]
+    number = F.col("_before_b") + F.row_number().over(W.partitionBy(*same, "_part").orderBy("_seq")) - 1
+    tie = F.concat_ws(":", "text_hash", number.cast("string"))
+    numbered = shared.join(before, reduce(lambda a, b: a & b, on)).withColumn("tie", tie)
+    return alone.unionByName(numbered.select(*alone.columns)).drop("text_hash")
 
 
 def spread(sources: DataFrame, exponents: list[float]) -> list[float]:
@@ -80,8 +115,10 @@ def exponent(sources: DataFrame, target_entropy: float, max_repetition: float, b
 
 def measured(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     n = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORDS)), F.lit(0)).cast("bigint")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n.alias("n_tokens"))
-    return materialized(rows, "measured")
+    text_hash = F.xxhash64(F.col(text_col)).alias("text_hash")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n.alias("n_tokens"), text_hash)
+    rows = with_ties(materialized(rows, "measured"))
+    return materialized(rows, "measured-ties")
 
 
 def plan(
@@ -93,7 +130,7 @@ def plan(
 ) -> DataFrame:
     """One row per source: its weight, its words to mix, whole passes and where the last one ends.
 
-    ``rows`` has ``id``, ``source`` and ``n_tokens`` of every document. A row is in the last pass if
+    ``rows`` has ``id``, ``tie``, ``source`` and ``n_tokens`` of every document. A row is in the last pass if
     its key is below ``cut_block`` or at most ``cut_key``.
     """
     totals = rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens")).filter("tokens > 0")
@@ -136,29 +173,30 @@ def plan(
     return materialized(out, "mixing-plan")
 
 
-def passes_of(rows: DataFrame, the_plan: DataFrame, id_col: str, source_col: str, seed: int) -> DataFrame:
-    """``rows`` repeated once for each pass that takes them, with ``_epoch`` and ``_key``."""
+def passes_of(rows: DataFrame, the_plan: DataFrame, seed: int) -> DataFrame:
+    """``rows`` (``id``, ``tie``, ``source``, ...) repeated once for each pass that takes them, with ``_epoch`` and ``_key``."""
     side = the_plan.select(F.col("source").alias("_source"), F.col("epochs").alias("_epochs"), "cut_block", "cut_key")
-    both = rows.join(side, rows[source_col].eqNullSafe(side["_source"]))
-    last = order_key(F.col("_epochs"), id_col, seed)
+    both = rows.join(side, rows["source"].eqNullSafe(side["_source"]))
+    last = order_key(F.col("_epochs"), "id", seed)
     taken = ((last < F.col("cut_block")) | (last <= F.col("cut_key"))).cast("bigint")
     # Not more than the repetition limit, rounded up.
     numbers = F.slice(F.sequence(F.lit(0).cast("bigint"), F.col("_epochs")), 1, (F.col("_epochs") + taken).cast("int"))
     out = both.withColumn("_epoch", F.explode(numbers))
-    return out.withColumn("_key", order_key(F.col("_epoch"), id_col, seed)).drop(*side.columns)
+    return out.withColumn("_key", order_key(F.col("_epoch"), "id", seed)).drop(*side.columns)
 
 
 def mixed(docs: DataFrame, seed: int = SEED, **targets) -> DataFrame:
     """``docs`` (with ``doc_id``, ``text``, ``source``) as the mixture has them: left out, once or repeated."""
     the_plan = plan(measured(docs), seed=seed, **targets)
-    rows = docs.select(F.struct("*").alias("_doc"), F.col("doc_id").alias("_id"), F.col("source").alias("_of"))
-    return passes_of(rows, the_plan, "_id", "_of", seed).select("_doc.*")
+    text_hash = F.xxhash64("text").alias("text_hash")
+    rows = docs.select(F.struct("*").alias("_doc"), F.col("doc_id").alias("id"), "source", text_hash)
+    return passes_of(with_ties(rows), the_plan, seed).select("_doc.*")
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     """The mixture of all documents: a row for every time one is taken, with its place."""
     rows = measured(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    out = passes_of(rows, plan(rows), "id", "source", SEED)
+    out = passes_of(rows, plan(rows), SEED)
     out = out.select("*", F.substring("_key", 1, BLOCK_DIGITS).alias("block"))
     place = W.partitionBy("source", "_epoch", "block").orderBy("_key", "id")
     out = out.repartition("source", "_epoch", "block").withColumn("place", F.row_number().over(place))
