@@ -52,6 +52,24 @@ def test_odd_rows(odd_docs, no_docs):
     assert shards(no_docs, 500) == []
 
 
+def test_one_key_is_split_into_parts(spark, tmp_path):
+    """A third of the rows has one id, another third is copies without an id; one row alone is too large."""
+    text = "if(id = 1, repeat('y', 5000), if(id % 3 = 2, 'copy', repeat('x', int(id % 40))))"
+    docs = spark.range(0, 900, 1, 4).selectExpr("if(id % 3 = 0, 7, if(id % 3 = 2, null, id)) as doc_id", f"{text} as text")
+    rows = sharding.sharded(docs, 400).select(F.col("row")["doc_id"].alias("doc_id"), "n_bytes", *sharding.SHARD_COLUMNS)
+    parts = defaultdict(list)
+    for r in rows.collect():
+        parts[r["shard"], r["part"]].append(r["n_bytes"])
+        assert (r["part"] > 0) == (r["doc_id"] == 7 or r["doc_id"] is None)
+    assert sum(map(len, parts.values())) == 900
+    assert all(sum(sizes) <= 400 or len(sizes) == 1 for sizes in parts.values())
+    sharding.write_shards(docs, str(tmp_path / "s"), 400)
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert back.select("doc_id", "text").exceptAll(docs).count() == 0 and back.count() == 900
+    sizes = back.groupBy("shard_bits").agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n"))
+    assert sizes.filter("b > 400 and n > 1").count() == 0
+
+
 def test_names_that_are_taken(odd_docs):
     out = sharding.with_shards(odd_docs, 1000)
     assert out.columns == [*odd_docs.columns, "shard_", *sharding.SHARD_COLUMNS[1:]]

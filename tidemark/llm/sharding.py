@@ -8,8 +8,11 @@ between in one go. The next round sees only cells that are still too large.
 
 Defined cases: null ids are placed by a hash of their text, null texts are zero bytes, rows with the
 same id share a shard. Only rows with one and the same hash can exceed the limit together (or a
-single row that does so alone): their shard has all 64 bits and ``fits`` false. An empty table gives an
-empty result.
+single row that does so alone): their shard has all 64 bits and ``fits`` false. Such rows are dealt
+into numbered parts of the shard by a running sum of their bytes, and only a part that is a single row
+exceeds the limit; ``part`` is 0 elsewhere. An empty table gives an empty result.
+
+The registered queries return the columns of their SQL, which has no parts.
 """
 
 from __future__ import annotations
@@ -18,12 +21,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import sized
 from tidemark.session import materialized
 
 SHARD_BYTES = 64 << 20
 ROUND_BITS = 8
 ALL_BITS = 64
-SHARD_COLUMNS = ["shard", "depth", "shard_bytes", "shard_rows", "fits"]
+QUERY_COLUMNS = ["shard", "depth", "shard_bytes", "shard_rows", "fits"]
+SHARD_COLUMNS = [*QUERY_COLUMNS, "part"]
 
 
 def place(id_col: str = "doc_id", text_col: str = "text") -> Column:
@@ -75,6 +80,27 @@ def directory(places: DataFrame, limit: int = SHARD_BYTES) -> list[DataFrame]:
     return rounds
 
 
+def parted(rows: DataFrame, limit: int) -> DataFrame:
+    """``rows`` (``_bits``, ``n_bytes``, ``_seq``; a written table) with their ``part`` of the shard, from 1.
+
+    Rows over half the limit are parts of their own. The bytes of the others are summed up, first
+    for each part of the input (the upper bits of ``_seq``) and then within it; those that begin in
+    the same half of a limit make a part, which then has no more than the limit.
+    """
+    large = F.col("n_bytes") * 2 > limit
+    rows = rows.withColumn("_from", F.shiftright("_seq", 33))
+    rows = rows.withColumns({"_small": F.when(large, 0).otherwise(F.col("n_bytes")), "_large": large.cast("bigint")})
+    sums = rows.groupBy("_bits", "_from").agg(F.sum("_small").alias("_s"), F.sum("_large").alias("_l"))
+    above = W.partitionBy("_bits").orderBy("_from").rowsBetween(W.unboundedPreceding, -1)
+    before = [F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}0") for c in ("_s", "_l")]
+    inside = W.partitionBy("_bits", "_from").orderBy("_seq").rowsBetween(W.unboundedPreceding, -1)
+    both = rows.join(sums.select("_bits", "_from", *before), ["_bits", "_from"])
+    begins = {c: F.col(f"{c}0") + F.coalesce(F.sum(of).over(inside), F.lit(0)) for c, of in (("_s", "_small"), ("_l", "_large"))}
+    # Odd numbers for parts of several rows, even ones for single rows.
+    part = F.when(large, begins["_l"] * 2 + 2).otherwise(F.floor(begins["_s"] * 2 / F.lit(limit)) * 2 + 1)
+    return both.withColumn("part", part.cast("bigint")).drop("_from", "_small", "_large", "_s0", "_l0", "_seq")
+
+
 def sharded(
     docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -87,14 +113,24 @@ def sharded(
         root = {"shard": "", "depth": 0, "shard_bytes": total["b"], "shard_rows": total["n"]}
         rows = rows.withColumns({name: F.lit(value) for name, value in root.items()})
         rows = rows.withColumns({name: F.col(name).cast("bigint") for name in ("shard_bytes", "shard_rows")})
+        rows = rows.withColumn("part", F.lit(0).cast("bigint"))
     else:
-        leaves = []
-        for i, cells in enumerate(directory(places, limit)):
+        leaves, rounds = [], directory(places, limit)
+        leaf = F.col("leaf")
+        over = rounds[-1].filter((leaf["depth"] == ALL_BITS) & (leaf["shard_bytes"] > limit) & (leaf["shard_rows"] > 1))
+        rows = rows.withColumn("part", F.lit(0).cast("bigint"))
+        if len(rounds) * ROUND_BITS == ALL_BITS and not over.isEmpty():
+            side = sized(materialized(over.select(F.col("cell").alias("_over")), "overflow-cells"), 80)
+            hot = rows.drop("part").withColumn("_seq", F.monotonically_increasing_id())
+            hot = hot.join(side, hot["_bits"] == side["_over"], "left_semi")
+            rest = rows.join(side, rows["_bits"] == side["_over"], "left_anti")
+            rows = rest.unionByName(parted(materialized(hot, "overflow-rows"), limit))
+        for i, cells in enumerate(rounds):
             side = cells.select(F.col("cell").alias(f"_cell{i}"), F.col("leaf").alias(f"_leaf{i}"))
             rows = rows.join(side, F.substring(rows["_bits"], 1, (i + 1) * ROUND_BITS) == side[f"_cell{i}"], "left")
             leaves.append(F.col(f"_leaf{i}"))
-        rows = rows.withColumn("_leaf", F.coalesce(*leaves)).select("row", "n_bytes", "_leaf.*")
-    return rows.select("row", "n_bytes", *SHARD_COLUMNS[:-1], (F.col("shard_bytes") <= limit).alias("fits"))
+        rows = rows.withColumn("_leaf", F.coalesce(*leaves)).select("row", "n_bytes", "part", "_leaf.*")
+    return rows.withColumn("fits", F.col("shard_bytes") <= limit).select("row", "n_bytes", *SHARD_COLUMNS)
 
 
 def with_shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
@@ -109,21 +145,22 @@ def with_shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
-    """The columns of ``docs`` written below ``path``, a folder for each shard, each from one task."""
-    rows = sharded(docs, limit).select("row.*", F.concat(F.lit("b"), "shard").alias("shard_bits"))
+    """The columns of ``docs`` written below ``path``, a folder for each shard or part of one, each from one task."""
+    part = F.when(F.col("part") > 0, F.concat(F.lit("-"), F.col("part").cast("string"))).otherwise("")
+    rows = sharded(docs, limit).select("row.*", F.concat(F.lit("b"), "shard", part).alias("shard_bits"))
     rows.repartition("shard_bits").write.partitionBy("shard_bits").parquet(path)
 
 
 def op10_sharding(spark, sf_dir: str) -> DataFrame:
     """All documents with their shard, 64 MiB of text at most."""
     rows = sharded(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    return rows.select(F.col("row")["doc_id"].alias("doc_id"), "n_bytes", *SHARD_COLUMNS)
+    return rows.select(F.col("row")["doc_id"].alias("doc_id"), "n_bytes", *QUERY_COLUMNS)
 
 
 def sharding_fine(spark, sf_dir: str) -> DataFrame:
     """The same with shards of 64 KiB, so that small tables split too."""
     rows = sharded(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), 64 << 10)
-    return rows.select(F.col("row")["doc_id"].alias("doc_id"), "n_bytes", *SHARD_COLUMNS)
+    return rows.select(F.col("row")["doc_id"].alias("doc_id"), "n_bytes", *QUERY_COLUMNS)
 
 
 def sql(limit: int) -> str:
