@@ -31,7 +31,7 @@ from tidemark.llm.cuckoo import LiveKeys
 from tidemark.session import materialized
 
 BLANKS = "[\\x20\\x09-\\x0D]+"
-SHARD_KEYS = 1 << 14  # entries a shard is meant to hold; they fit a task many times over
+SHARD_KEYS = 1 << 10  # entries a shard is meant to hold; they fit a task many times over
 SALTS = 16  # places that the rows of one digest are counted in
 HOT_SHARE = 1024  # a text with more than this part of the rows is looked up by broadcast: fewer than so many texts
 DIGEST_BYTES = 64  # of one digest in a broadcast, generously
