@@ -59,6 +59,21 @@ def test_a_key_below_an_even_share_is_hot_above_the_task_limit(spark, same):
     same(asof.asof_join(*args, task_rows=50), asof.asof_join(*args))
 
 
+@pytest.mark.parametrize("keys", [1, 4, 20])
+def test_no_slice_exceeds_the_limit(spark, keys):
+    """More hot keys than pieces of a global order, too; a third of all rows have one key."""
+    rows = spark.range(keys * 500).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % keys).alias("k"), F.hash("id").alias("t")
+    )
+    hot = hot_keys(rows, ["k"], 50)
+    assert hot.count() == keys
+    cut = asof.slices(rows, ["k"], "t", hot)
+    assert cut.count() == rows.count()
+    loads = [r["count"] for r in cut.groupBy("k", "_seg").count().collect()]
+    assert max(loads) <= 50 * 1.5
+    assert len(loads) <= 2 * keys * 500 / 50
+
+
 def test_null_can_be_hot(spark):
     df = spark.range(1000).select(F.when(F.col("id") > 700, F.col("id")).alias("k"))
     assert [r["k"] for r in hot_keys(df, ["k"], 10).collect()] == [None]

@@ -12,35 +12,53 @@ from tidemark.session import materialized, split_count
 TIMELINE = ["_t", "_side", "_seq"]
 
 
-def slices(rows: DataFrame, by: list[str], order: str) -> DataFrame:
-    """Adds ``_seg``, the slice of ``order`` a row is in, cut at the key's own quantiles.
-
-    Meant for the rows of hot keys, fewer than n of them. A key gets slices by its share of these
-    rows, fewer than 2 * n in all, so cut points and slice ends are small to broadcast. The slice
-    depends on the value only: equal values never part, and a task run again cuts the same way.
-    ``_heavy`` marks values that fill a slice of their own: those cut at more than once.
-    The result is written, as its several readers should not each place the rows anew.
+# Points of the time line of the hottest key, for each of its slices: others' slices end at the nearest one.
+POINTS_A_SLICE = 4
+
+
+def cut_points(rows: DataFrame, by: list[str], order: str, hot: DataFrame) -> DataFrame:
+    """``_cuts`` of every hot key, where its slices begin, and ``_again``, those that occur more than once.
+
+    A key gets as many slices as its rows need so that none is above what a task may carry. There are at most twice
+    as many slices in all as the table has such loads. Written, so Spark knows its size.
     """
-    n = split_count(rows.sparkSession)
-    probs = F.array(*[F.lit(i / n) for i in range(1, n)])
-    per_key = rows.groupBy(*by).agg(
-        F.percentile_approx(order, probs, max(10_000, 10 * n)).alias("_all"), F.count(F.lit(1)).alias("_n")
-    )
-    stride = F.floor(F.sum("_n").over(W.partitionBy(F.lit(0))) / F.col("_n")).cast("int")
-    cuts = per_key.withColumn("_stride", stride).select(
-        *by, F.filter("_all", lambda c, i: (i + 1) % F.col("_stride") == 0).alias("_cuts")
-    )
+    wanted = F.ceil(F.col("_n") / F.col("_limit")).cast("int")
+    needs = prefixed(hot.select(*by, wanted.alias("_k")), by, "_w_")
+    points = POINTS_A_SLICE * needs.agg(F.max("_k")).first()[0]
+    grid = F.array(*[F.lit(i / points) for i in range(1, points)])
+    per_key = rows.groupBy(*by).agg(F.percentile_approx(order, grid, max(10_000, 10 * points)).alias("_all"))
+    # Slice i of k begins at the point nearest to i / k of the rows.
+    at = lambda i: F.round(i * F.lit(points) / F.col("_k")).cast("int") - 1
+    begins = F.transform(F.filter(F.sequence(F.lit(1), F.col("_k")), lambda i: i < F.col("_k")), lambda i: F.get("_all", at(i)))
+    joined = per_key.join(needs, same_key(per_key, needs, by, "_w_"))
+    cuts = joined.select(*by, begins.alias("_cuts"))
     again = F.filter("_cuts", lambda c, i: (i > 0) & (c == F.get(F.col("_cuts"), i - 1)))
-    cuts = prefixed(cuts.withColumn("_again", again), by, "_c_")
-    out = rows.join(F.broadcast(cuts), same_key(rows, cuts, by, "_c_"), "left")
-    value = F.col(order)
-    placed = out.withColumns(
-        {
-            "_seg": F.size(F.filter("_cuts", lambda c: value >= c)),
-            "_heavy": F.coalesce(F.exists("_again", lambda c: value == c), F.lit(False)),
-        }
-    )
-    return materialized(placed.drop("_cuts", "_again", *[f"_c_{c}" for c in by]), "hot-rows")
+    return materialized(cuts.withColumn("_again", F.array_distinct(again)), "cut-points")
+
+
+def placed(rows: DataFrame, by: list[str], order: Column, cuts: DataFrame) -> DataFrame:
+    """Adds ``_seg``, the slice of its key that a row is in (0 for keys without cuts), and ``_heavy``.
+
+    The slice depends on the value only: equal values never part, and a task run again cuts the
+    same way. ``_heavy`` marks values that fill a slice of their own: those cut at more than once.
+    """
+    side = prefixed(cuts, by, "_c_")
+    out = rows.join(side, same_key(rows, side, by, "_c_"), "left").withColumn("_at", order)
+    passed = F.size(F.filter("_cuts", lambda c: F.col("_at") >= c))
+    heavy = F.exists("_again", lambda c: F.col("_at") == c)
+    found = {"_seg": F.when(F.col("_cuts").isNull() | F.col("_at").isNull(), 0).otherwise(passed), "_heavy": F.coalesce(heavy, F.lit(False))}
+    return out.withColumns(found).drop("_cuts", "_again", "_at", *[f"_c_{c}" for c in by])
+
+
+def slices(rows: DataFrame, by: list[str], order: str, hot: DataFrame) -> DataFrame:
+    """The ``rows`` of ``hot`` keys with their slice, written, as its several readers should not each place them anew."""
+    rows = materialized(rows, "heated")
+    return materialized(placed(rows, by, F.col(order), cut_points(rows, by, order, hot)), "hot-rows")
+
+
+def small(df: DataFrame, name: str) -> DataFrame:
+    """A frame with a row or few for each slice, written: from its size Spark knows whether to broadcast it."""
+    return materialized(df, name)
 
 
 def slice_ends(cut: DataFrame, by: list[str], order: list[str], value: Column) -> DataFrame:
@@ -50,21 +68,21 @@ def slice_ends(cut: DataFrame, by: list[str], order: list[str], value: Column) -
     as a whole.
     """
     known = value.isNotNull()
-    newest = cut.groupBy(*by, "_seg").agg(F.max(F.when(known, F.col(order[0]))).alias("_at"))
+    newest = small(cut.groupBy(*by, "_seg").agg(F.max(F.when(known, F.col(order[0]))).alias("_at")), "newest")
     side = prefixed(newest, [*by, "_seg"], "_n_")
     at = same_key(cut, side, [*by, "_seg"], "_n_") & (cut[order[0]] == side["_at"])
-    last = cut.join(F.broadcast(side), at).filter(known).groupBy(*by, "_seg")
+    last = cut.join(side, at).filter(known).groupBy(*by, "_seg")
     ends = prefixed(last.agg(F.max_by(value, F.struct(*order)).alias("_end")), [*by, "_seg"], "_l_")
     on = same_key(newest, ends, [*by, "_seg"], "_l_")
-    return newest.join(F.broadcast(ends), on, "left").select(*by, "_seg", "_end")
+    return newest.join(ends, on, "left").select(*by, "_seg", "_end")
 
 
 def inherit(rows: DataFrame, ends: DataFrame, by: list[str]) -> DataFrame:
     """``_here``, or where that is null what the slices before the row's own end with."""
     before = W.partitionBy(*by).orderBy("_seg").rowsBetween(W.unboundedPreceding, -1)
     carry = ends.select(*by, "_seg", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
-    carry = prefixed(carry, [*by, "_seg"], "_e_")
-    out = rows.join(F.broadcast(carry), same_key(rows, carry, [*by, "_seg"], "_e_"), "left")
+    carry = prefixed(small(carry, "carry"), [*by, "_seg"], "_e_")
+    out = rows.join(carry, same_key(rows, carry, [*by, "_seg"], "_e_"), "left")
     return out.withColumn("_here", F.coalesce("_here", "_carry"))
 
 
@@ -90,7 +108,7 @@ def running_last(
     if heat is None:
         return last_in_window(rows, by, order, value)
     cold, hot = split_by_heat(rows, by, heat)
-    sliced = last_in_slices(slices(hot, by, order[0]), by, order, value).select(*rows.columns)
+    sliced = last_in_slices(slices(hot, by, order[0], heat), by, order, value).select(*rows.columns)
     return last_in_window(cold, by, order, value).unionByName(sliced)
 
 
@@ -134,7 +152,8 @@ def asof_join(
     the last write wins. ``inclusive=False`` looks strictly before.
 
     Both sides go through one shuffle by key as one event list, then a running last value; no
-    left row is paired with its history. The list of a hot key is cut into slices. Where one time
+    left row is paired with its history. Keys are counted on the key columns alone, and only the
+    rows of hot keys are written. The list of a hot key is cut into slices. Where one time
     fills a slice of its own, its last write and one probe stand for all rows of that time, and
     the left rows get the probe's answer: neither a heavy key nor a heap of equal rows lands in
     one task.
@@ -147,15 +166,14 @@ def asof_join(
             *[F.col("_snap")[c].alias(c) for c in values],
         )
 
-    # Written once: the keys are counted on it, and both sides are read no more.
-    timeline = materialized(_timeline(left, right, *spec), "timeline")
+    timeline = _timeline(left, right, *spec)
     hot = hot_keys(timeline, by, task_rows)
     if hot is None:
         return result(last_in_window(timeline, by, TIMELINE, "_snap"), left.columns)
     cold, heated = split_by_heat(timeline, by, hot)
     plain = result(last_in_window(cold, by, TIMELINE, "_snap"), left.columns)
 
-    cut = slices(heated, by, "_t")
+    cut = slices(heated, by, "_t", hot)
     is_probe = F.col("_own").isNotNull()
     heap = cut.filter(F.col("_heavy"))
     at = [*by, "_t", "_side", "_seg"]
@@ -170,8 +188,9 @@ def asof_join(
 
     asked = heap.filter(is_probe).select(*by, "_t", "_own")
     stand_in = F.col("_own").isNull() & (F.col("_side") == (1 if inclusive else 0))
-    answers = prefixed(filled.filter(stand_in).select(*by, "_t", "_snap"), [*by, "_t"], "_f_")
-    answered = asked.join(F.broadcast(answers), same_key(asked, answers, [*by, "_t"], "_f_"), "left")
+    answers = small(filled.filter(stand_in).select(*by, "_t", "_snap"), "answers")
+    answers = prefixed(answers, [*by, "_t"], "_f_")
+    answered = asked.join(answers, same_key(asked, answers, [*by, "_t"], "_f_"), "left")
     parts = (plain, result(filled, left.columns), result(answered, left.columns))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -223,7 +242,7 @@ def previous_value(
     if heat is None:
         return df.withColumn(alias, F.lag(value).over(per_key))
     cold, hot = split_by_heat(df, by, heat)
-    cut = slices(hot, by, order)
+    cut = slices(hot, by, order, heat)
     local = W.partitionBy(*by, "_seg").orderBy(order, seq)
     here = cut.withColumn("_here", F.lag(F.struct(value)).over(local))
     ends = slice_ends(cut, by, [order, seq], F.struct(value))

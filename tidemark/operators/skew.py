@@ -14,17 +14,19 @@ TASK_ROWS = 5_000_000
 
 
 def hot_keys(df: DataFrame, by: list[str], task_rows: int = TASK_ROWS) -> DataFrame | None:
-    """Keys (nulls included) that would overload a task; None if no key does.
+    """Keys (nulls included) that would overload a task, and what a task may carry; None if no key does.
 
-    A key is hot above ``task_rows`` rows, or above an even share of one partition if that is less.
-    So there are at most as many hot keys as the table has such loads. The rows are counted per key
-    once, combined on the map side; hand in written tables, not long plans.
+    A key is hot above ``task_rows`` rows, or above an even share of one partition if that is less
+    (``_limit``). So there are at most as many hot keys as the table has such loads. Only the key columns
+    are read, counts combine on the map side, and only the hot keys are written, with their rows (``_n``).
     """
     n = split_count(df.sparkSession)
-    counts = materialized(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    hot = counts.filter(F.col("_n") > min(total / n, task_rows)).select(*by)
-    return None if hot.isEmpty() else materialized(hot, "hot-keys")
+    counts = df.select(*by).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    # Both uses of the counts share one shuffle.
+    share = counts.agg((F.sum("_n") / n).alias("share")).scalar()
+    loads = counts.withColumn("_limit", F.least(share, F.lit(float(task_rows))))
+    hot = materialized(loads.filter(F.col("_n") > F.col("_limit")), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def prefixed(df: DataFrame, columns: list[str], tag: str) -> DataFrame:
@@ -39,7 +41,7 @@ def same_key(left: DataFrame, right: DataFrame, by: list[str], tag: str, null_sa
 
 def split_by_heat(df: DataFrame, by: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows of ordinary keys and the rows of ``hot`` keys, a written table: Spark knows its size."""
-    keys = prefixed(hot, by, "_h_")
+    keys = prefixed(hot.select(*by), by, "_h_")
     on = same_key(df, keys, by, "_h_")
     return df.join(keys, on, "left_anti"), df.join(keys, on, "left_semi")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.functions import scalars as S
-from tidemark.operators import asof, drift, gates, metrics, models, registry, routing, running, sampling, store
+from tidemark.operators import asof, drift, gates, history, metrics, models, registry, routing, running, sampling, store
 from tidemark.operators.skew import lookup_join
 from tidemark.plans import jobs
 from tidemark.session import materialized, scratch_dir
@@ -77,9 +77,9 @@ def sink_dlq(spark, folder):
 
 def _write_history(spark, folder, write) -> None:
     """Two writes, the first half of the month and the rest."""
-    history = views.feature_history(spark, folder)
+    rows = views.feature_history(spark, folder)
     first = F.col("ts") < F.lit(views.DRIFT_SPLIT).cast("timestamp_ntz")
-    for part in (history.filter(first), history.filter(~first)):
+    for part in (rows.filter(first), rows.filter(~first)):
         write(part)
 
 
@@ -304,6 +304,27 @@ def pit_training_set(spark, folder):
     return asof.pit_training_set(views.label_events(spark, folder), views.feature_history(spark, folder))
 
 
+def _prepared_history(spark, folder) -> history.PreparedHistory:
+    """The first half of the month, prepared, and the rest appended."""
+    parts = []
+    _write_history(spark, folder, parts.append)
+    first, rest = (p.withColumn("feature_ts", F.col("ts")) for p in parts)
+    prepared = history.prepare(first, ["entity_id"], "ts", "write_seq", ["feature_ts", "spend", "k"])
+    history.append(prepared, rest)
+    return prepared
+
+
+@query("pit_join_prepared")
+def pit_join_prepared(spark, folder):
+    """The labels against bucketed history: only the labels are shuffled."""
+    return history.asof(views.label_events(spark, folder), _prepared_history(spark, folder), "label_timestamp")
+
+
+@query("pit_training_set_prepared")
+def pit_training_set_prepared(spark, folder):
+    return pit_join_prepared(spark, folder).filter(F.col("feature_ts").isNotNull())
+
+
 @query("leakage_report")
 def leakage_report(spark, folder):
     out = store.leakage_report(views.label_events(spark, folder), views.feature_history(spark, folder))
@@ -632,8 +653,8 @@ def eval_slices(spark, folder):
 @query("latest_per_entity")
 def latest_per_entity(spark, folder):
     """The newest value by event time, and the current value by write order."""
-    history = views.feature_history(spark, folder)
-    by_time = asof.latest(history, ["entity_id"], ["ts", "write_seq"]).withColumn("basis", F.lit("time"))
+    rows = views.feature_history(spark, folder)
+    by_time = asof.latest(rows, ["entity_id"], ["ts", "write_seq"]).withColumn("basis", F.lit("time"))
     by_write = _online(spark, folder).withColumn("basis", F.lit("write"))
     return by_time.unionByName(by_write)
 
@@ -641,8 +662,7 @@ def latest_per_entity(spark, folder):
 @query("asof_frame")
 def asof_frame(spark, folder):
     """The running last known high spend of each entity, at every snapshot."""
-    history = views.feature_history(spark, folder)
-    marked = history.withColumn("last_high", F.when(F.col("spend") >= 50, F.col("spend")))
+    marked = views.feature_history(spark, folder).withColumn("last_high", F.when(F.col("spend") >= 50, F.col("spend")))
     return asof.running_last(marked, ["entity_id"], ["ts", "write_seq"], "last_high").select(
         "entity_id", "ts", "write_seq", "last_high"
     )
@@ -731,14 +751,21 @@ def hash_sample_n(spark, folder):
 @query("promote")
 def promote(spark, folder):
     """The weaker model against the stronger one and the other way round, dry and for real."""
-    metrics_of = materialized(registry.slice_metrics(_two_model_scores(spark, folder)), "slice-metrics")
+    metrics_of = materialized(registry.slice_metrics(_two_model_scores(spark, folder), "n"), "slice-metrics")
     out = None
     for version, champion in (("challenger", "champion"), ("champion", "challenger")):
-        per_slice = registry.champion_challenger(metrics_of, version, champion)
+        per_slice = materialized(registry.champion_challenger(metrics_of, version, champion), "contest")
+        worst = per_slice.agg(
+            F.struct(
+                F.min("challenger_ap").alias("challenger_ap"),
+                F.min("champion_ap").alias("champion_ap"),
+                F.max("regression").alias("regression"),
+            )
+        ).scalar()
         for dry in (False, True):
-            part = registry.promotion(per_slice, version, dry)
+            part = registry.promotion(per_slice, version, dry).withColumn("_w", worst).select("*", "_w.*").drop("_w")
             out = part if out is None else out.unionByName(part)
-    return out
+    return rounded(rounded(out, "challenger_ap", "champion_ap"), "regression", digits=5)
 
 
 @query("gate_chain")

@@ -431,6 +431,8 @@ BODIES: dict[str, str] = {
         FROM ({ks_view('shifted_long')}) k JOIN ({psi_view('shifted_long')}) p ON k.feature = p.feature""",
     "pit_join": "SELECT * FROM pit",
     "pit_training_set": "SELECT * FROM pit WHERE feature_ts IS NOT NULL",
+    "pit_join_prepared": "SELECT * FROM pit",
+    "pit_training_set_prepared": "SELECT * FROM pit WHERE feature_ts IS NOT NULL",
     "leakage_report": f"""SELECT n_labels, n_differ, n_future,
         (SELECT round(greatest(roc_auc, 1 - roc_auc), 6) FROM ({ranking_sql('''(SELECT c.spend AS score, l.label
             FROM label_events l JOIN by_time c ON l.entity_id = c.entity_id)''')})) AS auc_leaky,
@@ -576,10 +578,12 @@ BODIES: dict[str, str] = {
     "hash_sample_n": """SELECT entity_id, avg_message_length, label FROM features_clean
         ORDER BY sha256('1:' || entity_id), entity_id LIMIT 2000""",
     "promote": " UNION ALL ".join(
-        promotion_sql(version, passed, dry)
-        for version, passed in (
-            ("challenger", "passed"),
-            ("champion", f"challenger_ap - champion_ap <= {num(config.MAX_AP_REGRESSION)}"),
+        f"""SELECT d.*, w.* FROM ({promotion_sql(version, passed, dry)}) d, (SELECT round(min({version}_ap), 6)
+            AS challenger_ap, round(min({other}_ap), 6) AS champion_ap,
+            round(max({other}_ap - {version}_ap), 5) AS regression FROM contest) w"""
+        for version, other, passed in (
+            ("challenger", "champion", "passed"),
+            ("champion", "challenger", f"challenger_ap - champion_ap <= {num(config.MAX_AP_REGRESSION)}"),
         )
         for dry in (False, True)
     ),
