@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.functions import scalars as S
 from tidemark.operators.metrics import DECILES
-from tidemark.operators.running import exact_quantiles, running_totals
+from tidemark.operators.running import CUT_ACCURACY, CUT_POINTS, bucket_of, exact_quantiles, rough_quantiles, running_totals
 from tidemark.operators.skew import join_group_values
-from tidemark.session import materialized
+from tidemark.session import materialized, split_count
 
 SERIES_TERMS = 100
 PSI_FLOOR = 1e-6
@@ -61,6 +62,59 @@ def ks_distance(long: DataFrame, by: list[str], value: str = "value", live: str
     )
 
 
+def baseline_ranks(baseline: DataFrame, value: str) -> DataFrame:
+    """Every distinct ``value`` of the baseline with its count ``n``, the count up to it, the total, and the piece
+    of the value range that it is in (``_cuts`` are the ends of all pieces). Written once, for many windows."""
+    pieces = split_count(baseline.sparkSession)
+    usable = baseline.filter(F.col(value).isNotNull() & ~F.isnan(value))
+    counts = materialized(usable.groupBy(F.col(value).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n")), "baseline-counts")
+    ends = [(i + 1) / pieces for i in range(pieces - 1)]
+    cuts = rough_quantiles(counts, "value", ends, points=max(CUT_POINTS, 2 * pieces), accuracy=max(CUT_ACCURACY, 10 * pieces))
+    ranked = running_totals(counts, "value", ["n"]).withColumn("_cuts", cuts.select("points").scalar())
+    return materialized(ranked.withColumn("_piece", bucket_of(F.col("value"), "_cuts", pieces - 1)), "baseline-ranks")
+
+
+def ks_against(counts: DataFrame, ranks: DataFrame, by: list[str]) -> DataFrame:
+    """D of every group of (by, value, n) against the baseline of :func:`baseline_ranks`, exactly.
+
+    Between two of its values a group's own distribution is flat, so the greatest gap is at or just below one of
+    them: only there are the baseline's counts looked up, for all groups in one pass over the pieces of the range.
+    """
+    pieces = split_count(ranks.sparkSession)
+    # One row a piece: where the count stands before it.
+    ends = materialized(ranks.groupBy("_piece").agg(F.max("cum_n").alias("_upto")), "piece-ends")
+    cuts = ranks.agg(F.first("_cuts").alias("c"), F.max("all_n").alias("total"))
+    own = running_totals(counts, "value", ["n"], by)
+    whole = cuts.select(F.struct("c", "total").alias("_b")).scalar()
+    own = own.withColumn("_b", whole).withColumns({"_cuts": F.col("_b.c"), "n_baseline": F.coalesce("_b.total", F.lit(0))})
+    own = own.withColumn("_piece", bucket_of(F.col("value"), "_cuts", pieces - 1))
+    seen = F.struct("value", "n", "cum_n").alias("_seen")
+    line = ranks.select("_piece", "value", F.lit(0).alias("_side"), seen).unionByName(
+        own.select("_piece", "value", F.lit(1).alias("_side"), F.struct(*by, "n", "cum_n", "all_n", "n_baseline").alias("_own")),
+        allowMissingColumns=True,
+    )
+    upto = W.partitionBy("_piece").orderBy("value", "_side").rowsBetween(W.unboundedPreceding, 0)
+    met = line.withColumn("_seen", F.last("_seen", ignorenulls=True).over(upto)).filter(F.col("_own").isNotNull())
+    before = ends.select(F.col("_piece").alias("_p"), "_upto")
+    before = before.select((F.col("_p") + 1).alias("_piece"), F.max("_upto").over(W.orderBy("_p")).alias("_before"), F.lead("_p").over(W.orderBy("_p")).alias("_next"))
+    spans = before.select(F.explode(F.sequence("_piece", F.coalesce("_next", F.lit(pieces)))).alias("_piece"), "_before")
+    met = met.join(spans, "_piece", "left").withColumn("_before", F.coalesce("_before", F.lit(0)))
+    at = F.coalesce("_seen.cum_n", "_before")
+    below = F.when(F.col("_seen.value") == F.col("value"), at - F.col("_seen.n")).otherwise(at)
+    share = lambda top, bottom: top.cast("double") / F.nullif(F.col(bottom).cast("double"), F.lit(0.0))
+    gaps = met.select(
+        *[F.col("_own")[c].alias(c) for c in by],
+        F.col("_own.all_n").alias("n_live"),
+        F.col("_own.n_baseline").alias("n_baseline"),
+        at.alias("_at"), below.alias("_below"), F.col("_own.cum_n").alias("_cum"), F.col("_own.n").alias("_n"),
+    )
+    high = F.abs(share(F.col("_at"), "n_baseline") - share(F.col("_cum"), "n_live"))
+    low = F.abs(share(F.col("_below"), "n_baseline") - share(F.col("_cum") - F.col("_n"), "n_live"))
+    return gaps.groupBy(*by).agg(
+        F.max("n_baseline").alias("n_baseline"), F.max("n_live").alias("n_live"), F.max(F.greatest(high, low)).alias("d")
+    )
+
+
 def ks_drift(long: DataFrame, by: list[str]) -> DataFrame:
     """KS statistic, p-value and drift flag per group; too few live rows give no verdict."""
     out = ks_distance(long, by)

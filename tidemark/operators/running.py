@@ -22,31 +22,42 @@ def bucket_of(value: Column, cuts: str, n: int) -> Column:
     return passed + F.size(F.filter(fine, lambda c: value >= c))
 
 
-# Slices that the rows are sketched in, and points that each sketch hands on.
+# Places that sketches meet in (or as many as the session has shuffle partitions, if more), and points that each
+# place hands on: many where ranks are looked for, few where ranges only have to be of similar size.
 SKETCHES = 64
 SKETCH_POINTS = 2_000
 SKETCH_ACCURACY = 10_000
+CUT_POINTS = 200
+CUT_ACCURACY = 1_000
 # A rough quantile is off by half a point and the sketch's own error; twice that is left over.
 BAND = 10 / SKETCH_ACCURACY
 # With fewer values a band would be about one rank wide.
 FEW = int(2 / BAND)
 
 
-def rough_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None) -> DataFrame:
+def rough_quantiles(
+    df: DataFrame,
+    value: str,
+    probs: list[float],
+    by: list[str] | None = None,
+    points: int = SKETCH_POINTS,
+    accuracy: int = SKETCH_ACCURACY,
+) -> DataFrame:
     """Approximate quantiles (``points``) and the number of values ``n``, one row (per group).
 
-    Scan tasks sketch their rows, and sketches meet in SKETCHES places, not in one. Each hands on a fixed
+    Scan tasks sketch their rows, and sketches meet in many places, not in one. Each hands on a fixed
     number of points, the ends included, with its weight; only these, whatever the table's size, are put in one order.
     """
     by = by or []
-    grid = F.array(*[F.lit(i / (SKETCH_POINTS - 1)) for i in range(SKETCH_POINTS)])
-    places = df.groupBy(*by, F.pmod(F.spark_partition_id(), F.lit(SKETCHES)).alias("_place")).agg(
-        F.percentile_approx(value, grid, SKETCH_ACCURACY).alias("_grid"), F.count(value).alias("_n")
+    grid = F.array(*[F.lit(i / (points - 1)) for i in range(points)])
+    meet = max(SKETCHES, split_count(df.sparkSession))
+    places = df.groupBy(*by, F.pmod(F.spark_partition_id(), F.lit(meet)).alias("_place")).agg(
+        F.percentile_approx(value, grid, accuracy).alias("_grid"), F.count(value).alias("_n")
     )
     spread = places.filter("_n > 0").select(*by, "_n", F.explode("_grid").alias("_v"))
     ends = F.array(*[F.lit(float(p)) for p in probs])
     # Every point stands for the share of its place: its weight is that place's count.
-    total = F.floor(F.sum("_n") / SKETCH_POINTS).alias("n")
+    total = F.floor(F.sum("_n") / points).alias("n")
     return spread.groupBy(*by).agg(F.percentile("_v", ends, F.col("_n")).alias("points"), total)
 
 
@@ -69,7 +80,8 @@ def running_totals(
     """
     by = by or []
     n = (pieces or split_count(counts.sparkSession)) - 1
-    cuts = rough_quantiles(counts, value, [(i + 1) / (n + 1) for i in range(n)])
+    ends = [(i + 1) / (n + 1) for i in range(n)]
+    cuts = rough_quantiles(counts, value, ends, points=max(CUT_POINTS, 2 * n), accuracy=max(CUT_ACCURACY, 10 * n))
     rows = counts.withColumn("_cuts", cuts.select("points").scalar())
     rows = rows.withColumn("_piece", bucket_of(F.col(value), "_cuts", n)).drop("_cuts")
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import config
@@ -11,6 +13,7 @@ from tidemark.operators.asof import latest, pit_join, previous_value
 from tidemark.operators.metrics import precision_recall_f1, ranking_metrics
 from tidemark.operators.skew import lookup_join
 from tidemark.session import materialized
+from tidemark.sources.sinks import children, drop_days
 
 
 def newest_log_rows(log: DataFrame, limit: int = config.LOG_READ_LIMIT) -> DataFrame:
@@ -18,6 +21,41 @@ def newest_log_rows(log: DataFrame, limit: int = config.LOG_READ_LIMIT) -> DataF
     return log.orderBy(F.desc("request_ts"), F.desc("request_id")).limit(limit)
 
 
+def logged_days(spark: SparkSession, path: str) -> list[str]:
+    """The days of a log partitioned by ``date``, from its folders."""
+    return [name.removeprefix("date=") for name in children(spark, path, "date=")]
+
+
+def newest_logged(spark: SparkSession, path: str, limit: int = config.LOG_READ_LIMIT) -> DataFrame:
+    """The newest rows of a log partitioned by day, from its newest days only.
+
+    Days are taken in, twice as many each time, until they hold ``limit`` rows; older ones are not opened.
+    """
+    days = logged_days(spark, path)
+    log = spark.read.parquet(path)
+    take = 1
+    while take < len(days) and log.filter(F.col("date") >= F.lit(days[-take]).cast("date")).count() < limit:
+        take *= 2
+    since = days[-take:][:1]
+    return newest_log_rows(log.filter(F.col("date") >= F.lit(since[0]).cast("date")) if since else log, limit)
+
+
+def retained(spark: SparkSession, path: str, days: int = config.RETENTION_DAYS) -> DataFrame:
+    """The log's last ``days`` days, counted from its newest one: whole partitions, no row is looked at."""
+    there = logged_days(spark, path)
+    log = spark.read.parquet(path)
+    return log.filter(F.col("date") >= F.date_sub(F.lit(there[-1]).cast("date"), days)) if there else log
+
+
+def drop_expired(spark: SparkSession, path: str, days: int = config.RETENTION_DAYS) -> list[str]:
+    """Deletes the days that :func:`retained` leaves out; returns them."""
+    there = logged_days(spark, path)
+    if not there:
+        return []
+    first = dt.date.fromisoformat(there[-1]) - dt.timedelta(days=days)
+    return drop_days(spark, path, first.isoformat())
+
+
 def log_to_predictions(log: DataFrame) -> DataFrame:
     return log.select("entity_id", "calibrated_score", "tier").filter(F.col("entity_id").isNotNull())
 

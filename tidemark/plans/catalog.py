@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -98,6 +98,36 @@ def sink_online_upsert(spark, folder):
     return sinks.read_online(spark, path)
 
 
+@query("sink_online_merge")
+def sink_online_merge(spark, folder):
+    """The table after two batches and the first one again; and how many files more the last merge had to read than
+    the one before it."""
+    path, parts = scratch_dir(spark, "online-merge"), []
+    _write_history(spark, folder, parts.append)
+    files = [sinks.upsert_online(part, path) for part in (*parts, parts[0])]
+    rows = spark.read.parquet(path).drop("bucket")
+    return rows.withColumn("files_more", F.greatest(F.lit(0), F.lit(files[2] - files[1])))
+
+
+def _log_by_day(spark, folder) -> str:
+    path = scratch_dir(spark, "log-by-day")
+    sinks.append_log(views.inference_log(spark, folder).select(*LOG_COLUMNS), path)
+    return path
+
+
+@query("scan_log_by_day")
+def scan_log_by_day(spark, folder):
+    return store.newest_logged(spark, _log_by_day(spark, folder), LOG_ROWS_READ).select(*LOG_COLUMNS)
+
+
+@query("log_retention_by_day")
+def log_retention_by_day(spark, folder):
+    """The expired days are dropped from the table; the rest is read back."""
+    path = _log_by_day(spark, folder)
+    store.drop_expired(spark, path)
+    return store.retained(spark, path).select(*LOG_COLUMNS)
+
+
 @query("sink_inference_log")
 def sink_inference_log(spark, folder):
     path = scratch_dir(spark, "log")
@@ -1099,6 +1129,67 @@ def stream_label_delay_join(spark, folder):
     )
 
 
+def _land_in_turn(parts: list[DataFrame], path: str) -> Iterator[None]:
+    """Lands one part after the other; the stream runs in between, from where it stopped."""
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        yield
+
+
+def _thirds(df: DataFrame, at: Column, cuts: tuple[str, str]) -> list[DataFrame]:
+    first, second = (F.lit(c).cast("timestamp_ntz") for c in cuts)
+    return [df.filter(at < first), df.filter((at >= first) & (at < second)), df.filter(at >= second)]
+
+
+LANDINGS = ("1996-01-01", "1999-01-01")
+
+
+@query("stream_label_outcomes")
+def stream_label_outcomes(spark, folder):
+    """Predictions and labels land in three parts by their time, and the stream goes on after each."""
+    root = scratch_dir(spark, "stream-outcomes")
+    lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    landings = zip(
+        _land_in_turn(_thirds(lines, F.col("l_shipdate"), LANDINGS), f"{root}/lines"),
+        _land_in_turn(_thirds(orders, S.label_available_at(F.col("o_orderdate")), LANDINGS), f"{root}/orders"),
+    )
+    for _ in landings:
+        out = streams.label_outcomes(
+            _prediction_rows(stream_folder(spark, f"{root}/lines", "lineitem")),
+            _label_rows(stream_folder(spark, f"{root}/orders", "orders")),
+            root,
+        )
+    return out
+
+
+ROLLOUT_DAYS = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-01-29"]
+
+
+@query("stream_canary_rollout")
+def stream_canary_rollout(spark, folder):
+    """The rollout's four weeks as they happen: events land in three parts."""
+    root = scratch_dir(spark, "stream-rollout")
+    stages = list(zip(config.CANARY_STAGES, ROLLOUT_DAYS, ROLLOUT_DAYS[1:]))
+    for _ in _land_in_turn(_thirds(table(spark, folder, "events"), F.col("ts"), ("2024-01-10", "2024-01-20")), f"{root}/events"):
+        log = views.inference_log_of(stream_folder(spark, f"{root}/events", "events"))
+        out = streams.rollout(log.select("entity_id", "request_ts", "is_error"), root, stages, STREAM_DELAY)
+    return rounded(out, "error_rate", digits=9)
+
+
+@query("stream_window_ks")
+def stream_window_ks(spark, folder):
+    """The live half of the month lands in three parts; every window's exact distance from the first half."""
+    split = F.lit(views.DRIFT_SPLIT).cast("timestamp_ntz")
+    events = table(spark, folder, "events")
+    root = scratch_dir(spark, "stream-ks")
+    parts = _thirds(events.filter(F.col("ts") >= split), F.col("ts"), ("2024-01-19", "2024-01-25"))
+    baseline = events.filter(F.col("ts") < split).select("value")
+    for _ in _land_in_turn(parts, f"{root}/events"):
+        live = stream_folder(spark, f"{root}/events", "events").select("ts", "value")
+        out = streams.windowed_ks(baseline, live, "value", "ts", root, 10, DRIFT_WIDTH)
+    return rounded(out, "d")
+
+
 @query("stream_canary_sla")
 def stream_canary_sla(spark, folder):
     log = _log_stream(spark, folder).select("request_ts", "served_by", "is_error")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tidemark import config
 from tidemark.operators.metrics import COARSE_GRID, COST_GRID, DECILES
-from tidemark.plans.catalog import FEATURE_SPLIT, LOG_ROWS_READ, NOW
+from tidemark.plans.catalog import FEATURE_SPLIT, LOG_ROWS_READ, NOW, ROLLOUT_DAYS
 from tidemark.sources import views
 
 
@@ -56,8 +56,14 @@ def scored_view(weight: float) -> str:
 
 
 def folds_sql(source: str) -> str:
-    return f"""SELECT *, CASE WHEN NOT {hash_mod_sql('entity_id', 42)} < 3000 THEN 'train'
-        WHEN {hash_mod_sql('entity_id', 7)} < 5000 THEN 'test' ELSE 'calibration' END AS fold FROM {source}"""
+    rank = lambda seed: f"sha256('{seed}:' || entity_id), entity_id"
+    return f"""SELECT * EXCLUDE (held, n_held, place, n, place_held), CASE WHEN NOT held THEN 'train'
+        WHEN place_held <= floor(n_held * 0.5e0 + 0.5e0) THEN 'test' ELSE 'calibration' END AS fold
+    FROM (SELECT *, count(*) FILTER (WHERE held) OVER (PARTITION BY label) AS n_held,
+        row_number() OVER (PARTITION BY label, held ORDER BY {rank(7)}) AS place_held
+        FROM (SELECT *, place <= floor(n * 0.3e0 + 0.5e0) AS held
+            FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {rank(42)}) AS place,
+                count(*) OVER (PARTITION BY label) AS n FROM {source})))"""
 
 
 def long_view(factor: float) -> str:
@@ -388,6 +394,10 @@ BODIES: dict[str, str] = {
     "sink_offline_append": f"""SELECT {HISTORY} FROM feature_history QUALIFY row_number() OVER
         (PARTITION BY entity_id, ts ORDER BY write_seq DESC) = 1""",
     "sink_online_upsert": f"SELECT {HISTORY} FROM by_write",
+    "sink_online_merge": f"SELECT {HISTORY}, CAST(0 AS INTEGER) AS files_more FROM by_write",
+    "scan_log_by_day": f"""SELECT * FROM log_rows ORDER BY request_ts DESC, request_id DESC LIMIT {LOG_ROWS_READ}""",
+    "log_retention_by_day": f"""SELECT * FROM log_rows WHERE CAST(request_ts AS DATE) >=
+        (SELECT max(CAST(request_ts AS DATE)) - {config.RETENTION_DAYS} FROM log_rows)""",
     "sink_inference_log": "SELECT * FROM log_rows",
     "scan_inference_log": f"""SELECT * FROM log_rows ORDER BY request_ts DESC, request_id DESC
         LIMIT {LOG_ROWS_READ}""",
@@ -680,6 +690,49 @@ BODIES |= {
 }
 
 
+LABEL_MARK = f"""(SELECT least((SELECT max(predicted_at) FROM {PREDICTION_ROWS}),
+    (SELECT max(label_observed_at) FROM {LABEL_ROWS})) - INTERVAL 1 DAY - INTERVAL {config.LABEL_DELAY_DAYS} DAY)"""
+WEEKS = " ".join(
+    f"WHEN request_ts >= TIMESTAMP '{a}' AND request_ts < TIMESTAMP '{b}' THEN {pct}"
+    for pct, a, b in zip(config.CANARY_STAGES, ROLLOUT_DAYS, ROLLOUT_DAYS[1:])
+)
+SLA = num(config.CANARY_ERROR_SLA)
+BODIES |= {
+    "stream_label_outcomes": f"""SELECT p.entity_id, calibrated_score, predicted_at, label, label_observed_at,
+            CASE WHEN label_observed_at IS NULL THEN 'no_label_in_time' ELSE 'labelled' END AS outcome
+        FROM {PREDICTION_ROWS} p LEFT JOIN {LABEL_ROWS} l ON p.entity_id = l.entity_id AND label_observed_at >= predicted_at
+            AND label_observed_at <= predicted_at + INTERVAL {config.LABEL_DELAY_DAYS} DAY
+        WHERE label_observed_at IS NOT NULL OR predicted_at < {LABEL_MARK}""",
+    "stream_canary_rollout": f"""SELECT variant, stage_pct, requests, errors, round(rate, 9) AS error_rate,
+            CASE WHEN rate > {SLA} THEN 'BREACH' ELSE 'OK' END AS status,
+            NOT coalesce(bool_or(rate > {SLA}) OVER (PARTITION BY variant ORDER BY stage_pct
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS reached
+        FROM (SELECT *, CASE WHEN requests = 0 THEN 0.0e0 ELSE errors / CAST(requests AS DOUBLE) END AS rate
+            FROM (SELECT v.variant, s.stage_pct, count(l.variant) AS requests,
+                count(l.variant) FILTER (WHERE is_error = 1) AS errors
+                FROM (SELECT unnest(['canary', 'stable']) AS variant) v
+                CROSS JOIN (SELECT unnest({config.CANARY_STAGES}) AS stage_pct) s
+                LEFT JOIN (SELECT stage_pct, is_error, CASE WHEN bucket < stage_pct THEN 'canary' ELSE 'stable' END AS variant
+                    FROM (SELECT is_error, {bucket_sql('entity_id')} AS bucket, CASE {WEEKS} END AS stage_pct
+                        FROM inference_log) WHERE stage_pct IS NOT NULL) l
+                ON l.variant = v.variant AND l.stage_pct = s.stage_pct GROUP BY 1, 2))""",
+    "stream_window_ks": f"""SELECT window_start, window_start + INTERVAL 6 HOUR AS window_end, n_baseline, n_live,
+            round(max(abs(cb / CAST(n_baseline AS DOUBLE) - cl / CAST(n_live AS DOUBLE))), 6) AS d
+        FROM (SELECT window_start, n_baseline, n_live, sum(b) OVER w AS cb, sum(l) OVER w AS cl
+            FROM (SELECT g.window_start, g.n_live, (SELECT count(*) FROM {DRIFT_BASE}) AS n_baseline, v.value,
+                (v.window_start IS NULL)::INT AS b, 1 - b AS l
+                FROM (SELECT time_bucket(INTERVAL 6 HOUR, ts) AS window_start, count(*) AS n_live FROM events
+                    WHERE ts >= TIMESTAMP '{views.DRIFT_SPLIT}' GROUP BY 1) g
+                JOIN (SELECT NULL AS window_start, value FROM {DRIFT_BASE}
+                    UNION ALL SELECT time_bucket(INTERVAL 6 HOUR, ts), value FROM events
+                    WHERE ts >= TIMESTAMP '{views.DRIFT_SPLIT}') v
+                ON v.window_start IS NULL OR v.window_start = g.window_start)
+            WINDOW w AS (PARTITION BY window_start ORDER BY value))
+        GROUP BY window_start, n_baseline, n_live
+        HAVING window_start + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+}
+
+
 TRAIN, HELD = "(SELECT * FROM folds WHERE fold = 'train')", "(SELECT * FROM folds WHERE fold <> 'train')"
 FOLD_SIZE = "count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_pos"
 RANKED_FACTS = "true AS beats_chance, true AS in_range"

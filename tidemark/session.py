@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +48,20 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hands this package to the Python workers through Spark, unless they find it by themselves."""
+    root, context = Path(__file__).resolve().parents[1], spark.sparkContext
+    found = [Path.cwd(), *map(Path, os.environ.get("PYTHONPATH", "").split(os.pathsep))]
+    if root in [p.resolve() for p in found] or context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    # Spark copies the archive to wherever the workers run.
+    context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/tidemark", "zip", root, "tidemark"))
+
+
 def split_count(spark: SparkSession) -> int:
     """How many pieces to cut a global order or a hot key into: as many as the session has shuffle partitions."""
     return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.asof import latest
 from tidemark.operators.gates import clean_rows, quarantined_rows
+from tidemark.session import materialized
 
 
 def write_clean(df: DataFrame, path: str, key: str = "entity_id") -> DataFrame:
@@ -61,5 +62,54 @@ def compact_online(spark: SparkSession, path: str, target: str) -> None:
     read_online(spark, path).write.mode("overwrite").parquet(f"{target}/batch_id=0")
 
 
+ONLINE_BUCKETS = 64
+
+
+def upsert_online(
+    df: DataFrame, path: str, key: str = "entity_id", seq: str = "write_seq", buckets: int = ONLINE_BUCKETS
+) -> int:
+    """Merges a batch into the online table at ``path``: one row per key, one file per bucket of keys.
+
+    Only the buckets that the batch touches are read and rewritten, and however many batches came before, a
+    bucket is one file. The merged rows are written aside first, then take the place of their buckets. A batch that
+    comes again, or is cut off and starts anew, gives the same table, as the greatest ``seq`` of a key
+    always wins. Returns the number of files that were read.
+    """
+    spark = df.sparkSession
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+    batch = materialized(latest(df, [key], [seq]).select("*", bucket), "online-batch")
+    touched = [r["bucket"] for r in batch.select("bucket").distinct().collect()]  # at most ``buckets``
+    there = children(spark, path, "bucket=")
+    read = [b for b in touched if f"bucket={b}" in there]
+    rows, n_files = batch, 0
+    if read:
+        old = spark.read.schema(batch.schema).option("basePath", path).parquet(*[f"{path}/bucket={b}" for b in read])
+        n_files = len(old.inputFiles())
+        rows = latest(batch.unionByName(old), [key], [seq])
+    merged = materialized(rows.repartition(len(touched) or 1, "bucket"), "online-merged")
+    out = merged.repartition(len(touched) or 1, "bucket").write.mode("overwrite")
+    out.option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    return n_files
+
+
+def children(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Names of the entries below a folder, in whatever store it is; none if it does not exist."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not store.exists(folder):
+        return []
+    names = (entry.getPath().getName() for entry in store.listStatus(folder))
+    return sorted(name for name in names if name.startswith(prefix))
+
+
+def drop_days(spark: SparkSession, path: str, before: str) -> list[str]:
+    """Deletes the days of a table partitioned by ``date`` that lie before the given one. No row is read."""
+    gone = [name for name in children(spark, path, "date=") if name < f"date={before}"]
+    for name in gone:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+    return gone
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)

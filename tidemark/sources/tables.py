@@ -46,6 +46,9 @@ def stream_table(spark: SparkSession, folder: str, name: str, files_a_batch: int
     return reader.parquet(folder)
 
 
-def stream_folder(spark: SparkSession, path: str, name: str, files_a_batch: int) -> DataFrame:
-    """All files of a folder with the columns of table ``name`` as a stream, so many files a batch."""
-    return spark.readStream.schema(schema_of(name)).option("maxFilesPerTrigger", files_a_batch).parquet(path)
+def stream_folder(spark: SparkSession, path: str, name: str, files_a_batch: int | None = None) -> DataFrame:
+    """All files of a folder with the columns of table ``name`` as a stream, in one batch or so many files a batch."""
+    reader = spark.readStream.schema(schema_of(name))
+    if files_a_batch:
+        reader = reader.option("maxFilesPerTrigger", files_a_batch)
+    return reader.parquet(path)

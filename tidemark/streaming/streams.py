@@ -6,16 +6,19 @@ source cuts, and ends. Started again on the same folder it goes on where it stop
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark import config
 from tidemark.functions import scalars as S
 from tidemark.operators import gates
-from tidemark.operators.drift import psi_from_shares
+from tidemark.operators.drift import baseline_ranks, ks_against, psi_from_shares
 from tidemark.operators.metrics import DECILES
 from tidemark.operators.running import exact_quantiles
 from tidemark.operators.skew import lookup_join
@@ -83,12 +86,14 @@ def dual_write(stream: DataFrame, root: str) -> None:
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        path = f"{root}/history"
-        rows = sinks.by_day(batch, "ts").withColumn("batch_id", F.lit(batch_id))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch_id").parquet(path)
-        schema = T.StructType([*stream.schema, T.StructField("date", T.DateType()), T.StructField("batch_id", T.IntegerType())])
-        written = batch.sparkSession.read.schema(schema).parquet(path).filter(F.col("batch_id") == batch_id)
-        sinks.append_online(written.select(*stream.columns), f"{root}/online", str(batch_id))
+        # Both sinks read what was landed for this batch; no days of other batches are listed.
+        landed = f"{root}/landed/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(landed)
+        written = batch.sparkSession.read.schema(T.StructType([*stream.schema])).parquet(landed)
+        rows = sinks.by_day(written, "ts").withColumn("batch_id", F.lit(batch_id))
+        history = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        history.partitionBy("date", "batch_id").parquet(f"{root}/history")
+        sinks.append_online(written, f"{root}/online", str(batch_id))
 
     run_batches(stream, root, write)
 
@@ -154,6 +159,124 @@ def canary_windows(log: DataFrame, root: str, delay: str = "10 minutes", width:
     )
 
 
+def rollout(
+    log: DataFrame, root: str, stages: list[tuple[int, str, str]], delay: str = "10 minutes", sla: float = config.CANARY_ERROR_SLA
+) -> DataFrame:
+    """A staged rollout that judges each stage at its end and stops at the first breach, per variant.
+
+    ``stages`` are (share of traffic, begin, end). Requests are first counted per day and variant, so the state
+    machine of a variant sees a row a day, whatever the traffic is. It holds the counts of the stages, and
+    a timer for the end of each; what it emits is a stage's verdict, and whether the rollout got that far.
+    """
+    spark = log.sparkSession
+    share, begin = F.lit(None).cast("int"), [F.lit(b).cast("timestamp") for _, b, _ in stages]
+    # Marked before any row is left out: traffic after the last stage still moves the clock.
+    rows = event_time(log, "request_ts").withWatermark("request_ts", delay)
+    for (pct, _, end), start in zip(stages, begin):
+        inside = (F.col("request_ts") >= start) & (F.col("request_ts") < F.lit(end).cast("timestamp"))
+        share = F.when(inside, F.lit(pct)).otherwise(share)
+    canary = S.sticky_bucket(F.col("entity_id")) < F.col("stage_pct")
+    counted = (
+        rows.withColumn("stage_pct", share)
+        .filter(F.col("stage_pct").isNotNull())
+        .groupBy(F.window("request_ts", "1 day").alias("w"), "stage_pct", F.when(canary, F.lit("canary")).otherwise(F.lit("stable")).alias("variant"))
+        .agg(F.count(F.lit(1)).alias("requests"), F.sum(F.col("is_error").cast("bigint")).alias("errors"))
+        .select("variant", "stage_pct", "requests", "errors", F.window_time("w").alias("day"))
+    )
+    ends = [(pct, int(dt.datetime.fromisoformat(end).replace(tzinfo=dt.timezone.utc).timestamp() * 1000)) for pct, _, end in stages]
+    schema = "variant string, stage_pct int, requests bigint, errors bigint, error_rate double, status string, reached boolean"
+    judged = counted.groupBy("variant").transformWithStateInPandas(
+        stage_machine(ends, sla), outputStructType=schema, outputMode="Append", timeMode="EventTime"
+    )
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        return run_to_table(judged, root)
+    finally:
+        spark.conf.set(provider, before)
+
+
+def stage_machine(ends: list[tuple[int, int]], sla: float) -> StatefulProcessor:
+    """The state machine of :func:`rollout`. ``ends``: share and end of the stages, in milliseconds, in order.
+
+    Defined here, not in the module, so that it travels to the workers whole.
+    """
+
+    class Stages(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.started = handle.getValueState("started", "yes boolean")
+            self.counts = handle.getMapState("counts", "stage_pct int", "requests bigint, errors bigint")
+
+        def handleInputRows(self, key, rows, timerValues):
+            if not self.started.exists():
+                self.started.update((True,))
+                for _, end in ends:
+                    self.handle.registerTimer(end)
+            for frame in rows:
+                for pct, part in frame.groupby("stage_pct"):
+                    had = self.counts.getValue((int(pct),)) if self.counts.containsKey((int(pct),)) else (0, 0)
+                    sums = had[0] + int(part["requests"].sum()), had[1] + int(part["errors"].sum())
+                    self.counts.updateValue((int(pct),), sums)
+            return iter([])
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            reached = True
+            for pct, end in ends:
+                had = self.counts.getValue((pct,)) if self.counts.containsKey((pct,)) else (0, 0)
+                rate = had[1] / had[0] if had[0] else 0.0
+                if end == expiredTimerInfo.getExpiryTimeInMs():
+                    status = "BREACH" if rate > sla else "OK"
+                    row = {"variant": [key[0]], "stage_pct": [pct], "requests": [had[0]], "errors": [had[1]]}
+                    yield pd.DataFrame({**row, "error_rate": [rate], "status": [status], "reached": [reached]})
+                    return
+                reached = reached and rate <= sla
+
+        def close(self) -> None:
+            pass
+
+    return Stages()
+
+
+def windowed_ks(
+    baseline: DataFrame, live: DataFrame, value: str, ts: str, root: str, delay_minutes: int, width: str
+) -> DataFrame:
+    """The exact two-sample KS distance of each window against a fixed baseline.
+
+    A micro-batch adds its counts per window and value to a table, under its own id: they add up whatever the batches
+    were, and a replay replaces its own. When the watermark passes the end of a window, its counts are put together and
+    ranked against the baseline, whose running counts were written before the stream began.
+    """
+    spark = live.sparkSession
+    ranks = baseline_ranks(baseline, value)
+    rows = live.select(F.window(F.col(ts).cast("timestamp"), width).alias("w"), F.col(value).alias("value"), F.col(ts).alias("_ts"))
+    rows = plain_time(rows.select("w.start", "w.end", "value", "_ts"), "start", "end").filter("value is not null and not isnan(value)")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy(F.to_date("start").alias("day"), "start", "end", "value").agg(
+            F.count(F.lit(1)).alias("n"), F.max("_ts").alias("newest")
+        )
+        counts.write.mode("overwrite").parquet(f"{root}/counts/batch_id={batch_id}")
+        seen = spark.read.parquet(f"{root}/counts")
+        # A batch only closes what no earlier one has: windows whose end the watermark passed with it.
+        upto = lambda ids: F.max(F.when(ids, F.col("newest"))) - F.expr(f"interval {int(delay_minutes)} minutes")
+        marks = seen.agg(upto(F.col("batch_id") <= batch_id).alias("now"), upto(F.col("batch_id") < batch_id).alias("was")).first()
+        closed = seen.filter((F.col("batch_id") <= batch_id) & (F.col("end") <= F.lit(marks["now"])))
+        if marks["was"]:
+            # Rows for windows that are closed already are late.
+            closed = closed.filter(F.col("end") > F.lit(marks["was"]))
+        if marks["now"]:
+            merged = closed.groupBy("start", "end", "value").agg(F.sum("n").alias("n"))
+            found = ks_against(merged, ranks, ["start", "end"])
+            found.write.mode("overwrite").parquet(f"{root}/windows/batch_id={batch_id}")
+
+    run_batches(rows, root, write)
+    return spark.read.parquet(f"{root}/windows").select(
+        F.col("start").alias("window_start"), F.col("end").alias("window_end"), "n_baseline", "n_live", "d"
+    )
+
+
 def windowed_drift(
     baseline: DataFrame, live: DataFrame, value: str, ts: str, root: str, delay: str, width: str
 ) -> DataFrame:
@@ -192,27 +315,58 @@ def windowed_drift(
 # ---- joins and de-duplication ------------------------------------------------------------------
 
 
+# Places that the state of one entity is spread over in stream joins.
+JOIN_SALTS = 4
+
+
+def _labelled(predictions: DataFrame, labels: DataFrame, how: str, delay: str, days: int, salts: int) -> DataFrame:
+    """The interval join of both streams. An entity's predictions are dealt over ``salts`` places, its labels are in each."""
+    left = event_time(predictions, "predicted_at").withWatermark("predicted_at", delay)
+    left = left.withColumn("_salt", F.pmod(F.xxhash64("predicted_at", "calibrated_score"), F.lit(salts)).cast("int"))
+    right = event_time(labels, "label_observed_at").withWatermark("label_observed_at", delay)
+    places = F.explode(F.array(*[F.lit(i) for i in range(salts)])).alias("_place")
+    right = right.withColumnRenamed("entity_id", "_entity").select("*", places)
+    in_time = (F.col("label_observed_at") >= F.col("predicted_at")) & (
+        F.col("label_observed_at") <= F.col("predicted_at") + F.expr(f"interval {int(days)} days")
+    )
+    same = (F.col("entity_id") == F.col("_entity")) & (F.col("_salt") == F.col("_place"))
+    return left.join(right, same & in_time, how).drop("_entity", "_salt", "_place")
+
+
 def label_delay_join(
     predictions: DataFrame,
     labels: DataFrame,
     root: str,
     delay: str = "1 day",
     days: int = config.LABEL_DELAY_DAYS,
+    salts: int = JOIN_SALTS,
 ) -> DataFrame:
     """Predictions with the label of their entity that arrives within the delay.
 
     Both sides are watermarked, so state is dropped once no partner can come.
     """
-    left = event_time(predictions, "predicted_at").withWatermark("predicted_at", delay)
-    right = event_time(labels, "label_observed_at").withWatermark("label_observed_at", delay)
-    right = right.withColumnRenamed("entity_id", "_entity")
-    in_time = (F.col("label_observed_at") >= F.col("predicted_at")) & (
-        F.col("label_observed_at") <= F.col("predicted_at") + F.expr(f"interval {int(days)} days")
-    )
-    joined = left.join(right, (F.col("entity_id") == F.col("_entity")) & in_time, "inner").drop("_entity")
+    joined = _labelled(predictions, labels, "inner", delay, days, salts)
     return plain_time(run_to_table(joined, root), "predicted_at", "label_observed_at")
 
 
+def label_outcomes(
+    predictions: DataFrame,
+    labels: DataFrame,
+    root: str,
+    delay: str = "1 day",
+    days: int = config.LABEL_DELAY_DAYS,
+    salts: int = JOIN_SALTS,
+) -> DataFrame:
+    """Every prediction's outcome: its label if one comes in time, else, once, that none did.
+
+    A labelled prediction is written as soon as both are there. One without a label is held back until the
+    watermark says that none can come any more; a label that comes later still changes nothing.
+    """
+    joined = _labelled(predictions, labels, "left_outer", delay, days, salts)
+    rows = plain_time(run_to_table(joined, root), "predicted_at", "label_observed_at")
+    return rows.withColumn("outcome", F.when(F.col("label_observed_at").isNull(), F.lit("no_label_in_time")).otherwise(F.lit("labelled")))
+
+
 def dedup_log(log: DataFrame, root: str, key: str, ts: str, delay: str = "1 day") -> DataFrame:
     """At-least-once deliveries reduced to one row per id, within the watermark."""
     once = event_time(log, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
