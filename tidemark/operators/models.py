@@ -22,6 +22,8 @@ from tidemark.session import materialized, scratch_dir
 BOOSTED = {"rounds": 200, "depth": 4, "step": 0.05, "seed": 42}
 LINEAR_C = 0.5
 PLATT_C = 1.0
+# Training rows that a partition holds at least, if there are so many.
+PARTITION_ROWS = 50_000
 
 
 def with_vector(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -53,13 +55,14 @@ def fit_linear(train: DataFrame, penalty: str, c: float = LINEAR_C, iterations:
 def fit_boosted(train: DataFrame, rounds: int = BOOSTED["rounds"]) -> GBTClassificationModel:
     """Boosted trees with the positives weighted up to balance the classes.
 
-    The lineage of the residuals is cut every ten rounds, in the shared folder.
+    The lineage of the residuals is cut every ten rounds, in the shared folder. Every round runs several short jobs
+    over all rows, so few rows are put into few partitions: their scheduling would be most of the time.
     """
     context = train.sparkSession.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(scratch_dir(train.sparkSession, "boosting"))
-    _, weight = balance(train)
-    weighted = with_vector(train).withColumn(
+    n_rows, weight = balance(train)
+    weighted = with_vector(train.coalesce(1 + n_rows // PARTITION_ROWS)).withColumn(
         "weight", F.when(F.col("label") == 1, F.lit(float(weight))).otherwise(F.lit(1.0))
     )
     gbt = GBTClassifier(

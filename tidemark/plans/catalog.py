@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,10 +11,11 @@ from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.functions import scalars as S
-from tidemark.operators import asof, drift, gates, history, metrics, models, registry, routing, running, sampling, store
+from tidemark.operators import asof, drift, gates, history, metrics, models, registry, routing, running, sampling
+from tidemark.operators import store, trees
 from tidemark.operators.skew import lookup_join
 from tidemark.plans import jobs
-from tidemark.session import materialized, scratch_dir
+from tidemark.session import materialized, scratch_dir, scratch_root
 from tidemark.sources import sinks, views
 from tidemark.sources.tables import stream_folder, stream_table, table
 from tidemark.streaming import streams
@@ -829,22 +831,27 @@ def gate_chain(spark, folder):
 
 # ---- models ------------------------------------------------------------------------------------
 
-# What a fit finds cannot be written down in SQL, but what must hold of it can. These queries return the
-# facts: sizes, class weights, settings read back, and whether scores, tiers and calibration are as they must be.
+# What boosting finds cannot be written down in SQL, but what must hold of it can: those queries return facts. A
+# committee of one-cut trees can: its nodes, scores, tiers and metrics are compared number by number.
 
 DATA_VERSION = "catalogue"
-_RUNS: dict[tuple[str, str], tuple[str, list]] = {}
 
 
-def _run(spark, folder) -> tuple[str, list]:
-    """A full run over ``folder``, from landed rows to a promoted model, once a session: its root and steps."""
-    name = (spark.sparkContext.applicationId, folder)
-    if name not in _RUNS:
-        root = scratch_dir(spark, "registry")
-        landed = views.features_clean(spark, folder)
-        steps = jobs.full_run(landed, landed.select("entity_id", "label"), root, DATA_VERSION)
-        _RUNS[name] = root, [tuple(r) for r in steps.collect()]
-    return _RUNS[name]
+def _keyed(spark, folder) -> DataFrame:
+    """The rows that gate one lets through: orders without lines have lost their key."""
+    return views.features_clean(spark, folder).filter(F.col("n_lines") > 0)
+
+
+def _run(spark, folder) -> tuple[str, DataFrame]:
+    """A full run over ``folder``, from landed rows to a promoted model: its root and steps.
+
+    The run is the session's: a query that needs it starts it, or goes on with it, by its ledger.
+    """
+    run = f"{spark.sparkContext.applicationId}-{zlib.crc32(folder.encode()):08x}"
+    root = f"{scratch_root(spark)}/registry-{run}"
+    features = views.features_clean(spark, folder)
+    landed = features.withColumn("entity_id", F.when(F.col("n_lines") > 0, F.col("entity_id"))).drop("n_lines")
+    return root, jobs.full_run(landed, views.labels_delayed(spark, folder), root, DATA_VERSION)
 
 
 def _registered(spark, folder) -> tuple[str, str]:
@@ -855,18 +862,40 @@ def _registered(spark, folder) -> tuple[str, str]:
 
 @query("full_run")
 def full_run(spark, folder):
-    _, steps = _run(spark, folder)
-    return spark.createDataFrame(steps, "position int, step string, status string")
+    return _run(spark, folder)[1]
+
+
+def _committee(spark, folds: DataFrame, root: str, version: str, train: DataFrame) -> tuple[Column, tuple[float, float]]:
+    """Fits a committee, sets its thresholds, registers it, and loads it again: its score and thresholds."""
+    nodes = materialized(trees.committee(train, config.FEATURES), "nodes")
+    score = trees.score_column(nodes, trees.MEAN)
+    cuts = metrics.cascade_thresholds(models.fold(folds, "calibration").select("label", score.alias("score"))).first()
+    trees.register_nodes(nodes, root, version, trees.MEAN, (cuts["t_low"], cuts["t_high"]))
+    loaded, link, thresholds = trees.load_nodes(spark, root, version)
+    return trees.score_column(loaded, link), thresholds
+
+
+def _one_committee(spark, folder) -> tuple[DataFrame, str, Column, tuple[float, float]]:
+    folds, root = _folds(spark, folder), scratch_dir(spark, "committee")
+    return folds, root, *_committee(spark, folds, root, "whole", models.fold(folds, "train"))
 
 
 @query("promote_registered")
 def promote_registered(spark, folder):
-    """The registered version contested once more, against itself in production, as a dry run."""
-    root, version = _registered(spark, folder)
-    decision = jobs.contest_and_promote(_folds(spark, folder), root, version, dry_run=True)
-    return decision.select(
-        "passed", "dry_run", "stage", "alert", (F.col("version") == version).alias("in_production")
+    """A version that learned from young customers alone, in production, against one that learned from all."""
+    folds, root = _folds(spark, folder), scratch_dir(spark, "committees")
+    train = models.fold(folds, "train")
+    young, _ = _committee(spark, folds, root, "v1", train.filter(F.col("tenure_days") < 1000))
+    whole, _ = _committee(spark, folds, root, "v2", train)
+    holdout = registry.eval_slices(materialized(models.fold(folds, "calibration", "test"), "holdout"))
+    both = F.array(*[F.struct(F.lit(v).alias("version"), c.alias("score")) for v, c in (("v1", young), ("v2", whole))])
+    scores = holdout.select("slice", "label", F.inline(both))
+    per_slice = materialized(
+        registry.champion_challenger(registry.slice_metrics(scores), "v2", "v1"), "contest"
     )
+    move = registry.promotion(per_slice, "v2").select(F.struct("stage", "alert").alias("m")).scalar()
+    out = per_slice.withColumn("_m", move).select("*", "_m.stage", "_m.alert").drop("_m")
+    return rounded(rounded(out, *AP_COLUMNS), "regression", digits=5)
 
 
 @query("score_psi")
@@ -889,7 +918,7 @@ def _bundle(spark, folder) -> models.Bundle:
 
 
 def _folds(spark, folder) -> DataFrame:
-    return models.folds(views.features_clean(spark, folder))
+    return models.folds(_keyed(spark, folder))
 
 
 def _within(score: str) -> Column:
@@ -980,28 +1009,29 @@ def isotonic(spark, folder):
 
 @query("batch_score")
 def batch_score(spark, folder):
-    """Every entity once, with a probability and the tier and flag that its thresholds give."""
-    bundle = _bundle(spark, folder)
-    score, low, high = F.col("calibrated_score"), F.lit(bundle.t_low), F.lit(bundle.t_high)
-    first, second, third = config.TIERS
-    tier = F.when(score < low, F.lit(first)).when(score < high, F.lit(second)).otherwise(F.lit(third))
-    near = F.least(F.abs(score - low), F.abs(score - high)) <= config.LOW_CONFIDENCE_BAND
-    return bundle.score(views.features_clean(spark, folder)).select(
-        "entity_id",
-        score.between(0.0, 1.0).alias("in_range"),
-        (F.col("tier") == tier).alias("tier_agrees"),
-        (F.col("low_confidence") == near).alias("flag_agrees"),
-    )
+    """Every entity with the registered committee's score, tier and flag."""
+    _, _, score, (low, high) = _one_committee(spark, folder)
+    scored = views.features_clean(spark, folder).select("entity_id", score.alias("calibrated_score"))
+    score = F.col("calibrated_score")
+    out = scored.withColumns({"tier": S.tier(score, low, high), "low_confidence": S.low_confidence(score, F.lit(low), F.lit(high))})
+    return rounded(out, "calibrated_score", digits=9)
+
+
+def _eval_sets() -> Column:
+    both = F.array(F.lit("holdout"), F.lit("untouched"))
+    return F.explode(F.when(F.col("fold") == "test", both).otherwise(F.array(F.lit("holdout")))).alias("eval_set")
 
 
 @query("evaluate_on")
 def evaluate_on(spark, folder):
-    """On the whole holdout, whose first half set calibrator and thresholds, and on the rest alone."""
-    folds = _folds(spark, folder)
-    scored = _bundle(spark, folder).score(models.fold(folds, "calibration", "test"))
-    sets = F.when(F.col("fold") == "test", F.array(F.lit("holdout"), F.lit("untouched"))).otherwise(F.array(F.lit("holdout")))
-    rows = scored.select("label", "calibrated_score", F.explode(sets).alias("eval_set"))
-    return _ranked_facts(rows, "calibrated_score", ["eval_set"])
+    """On the whole holdout, whose first half set calibrator and thresholds, and on the rest alone: the metrics of the
+    committee, and whether the boosted version beats chance."""
+    folds, _, score, _ = _one_committee(spark, folder)
+    held = models.fold(folds, "calibration", "test")
+    ranked = metrics.ranking_metrics(held.select("label", score.alias("score"), _eval_sets()), by=["eval_set"])
+    boosted = _bundle(spark, folder).score(held).select("label", "calibrated_score", _eval_sets())
+    facts = _ranked_facts(boosted, "calibrated_score", ["eval_set"]).select("eval_set", "beats_chance", "in_range")
+    return rounded(ranked.join(facts, "eval_set"), "average_precision", "roc_auc")
 
 
 @query("train_and_register")
@@ -1024,29 +1054,24 @@ def train_and_register(spark, folder):
 
 @query("registry_append")
 def registry_append(spark, folder):
-    """Loads the registered version back, twice, and scores with both."""
-    rows = views.features_clean(spark, folder)
-    once, twice = (
-        _bundle(spark, folder).score(rows).select("entity_id", F.col("calibrated_score").alias(name))
-        for name in ("a", "b")
-    )
-    root, _ = _registered(spark, folder)
-    both = once.join(twice, "entity_id")
-    cards = spark.read.parquet(f"{root}/cards").agg(F.count(F.lit(1))).scalar()
-    return both.agg(
-        F.count(F.lit(1)).alias("n_scored"),
-        F.bool_and(F.col("a") == F.col("b")).alias("scores_agree"),
-    ).withColumn("versions", cards)
+    """The nodes of a registered committee, read back."""
+    _, root, _, _ = _one_committee(spark, folder)
+    nodes, _, _ = trees.load_nodes(spark, root, "whole")
+    return rounded(nodes, "cut", "leaf", "weight", digits=9)
 
 
 @query("baseline_gaps")
 def baseline_gaps(spark, folder):
-    """The rule's average precision, and that the gaps to the fitted models add up."""
-    report = models.baseline_metrics(_folds(spark, folder), _bundle(spark, folder).model)
-    gaps = models.baseline_gaps(report)
+    """The average precision of the rule and of the committee, and that the gaps to the fitted models add up."""
+    folds, _, score, _ = _one_committee(spark, folder)
+    held = models.fold(folds, "calibration", "test").select("label", score.alias("score"))
+    own = metrics.ranking_metrics(held).select("average_precision").scalar()
+    gaps = models.baseline_gaps(models.baseline_metrics(folds, _bundle(spark, folder).model))
     whole = F.col("boosted_ap") - F.col("heuristic_ap")
     return gaps.select(
         F.round("heuristic_ap", 6).alias("heuristic_ap"),
+        F.round(own, 6).alias("committee_ap"),
+        F.round(own - F.col("heuristic_ap"), 6).alias("heuristic_to_committee"),
         (F.abs(F.col("heuristic_to_linear") + F.col("linear_to_boosted") - whole) < 1e-9).alias("gaps_add_up"),
         (F.col("boosted_ap") > F.col("heuristic_ap")).alias("trees_beat_the_rule"),
     )
@@ -1054,12 +1079,11 @@ def baseline_gaps(spark, folder):
 
 @query("feature_importance")
 def feature_importance(spark, folder):
-    rows = models.importances(spark, _bundle(spark, folder).model)
-    return rows.select(
-        "feature",
-        F.col("importance").between(0.0, 1.0).alias("in_range"),
-        F.round(F.sum("importance").over(W.partitionBy(F.lit(0))), 6).alias("total"),
-    )
+    """Each feature's share of what the committee's cuts take off the label's variance."""
+    train = models.fold(_folds(spark, folder), "train")
+    gains = trees.committee(train, config.FEATURES).filter("node = 0").select("feature", "gain")
+    share = F.col("gain") / F.nullif(F.sum("gain").over(W.partitionBy(F.lit(0))), F.lit(0.0))
+    return gains.select("feature", F.round(F.coalesce(share, F.lit(0.0)), 6).alias("importance"))
 
 
 # ---- streams -----------------------------------------------------------------------------------

@@ -158,14 +158,32 @@ def champion_score_psi(features: DataFrame, log: DataFrame, root: str) -> DataFr
 # ---- a full run --------------------------------------------------------------------------------
 
 
-def run_steps(spark: SparkSession, steps: list[tuple[str, Callable[[], bool]]]) -> DataFrame:
-    """Runs the steps in order up to the first that fails; one status row per step."""
-    status, failed = [], False
+_LEDGER = "step string, status string, position int"
+
+
+def ledger(spark: SparkSession, path: str) -> DataFrame:
+    """What is written of a run's steps; empty before the first one."""
+    if not sinks.children(spark, path, "position="):
+        return spark.createDataFrame([], _LEDGER)
+    return spark.read.schema(_LEDGER).option("basePath", path).parquet(path)
+
+
+def run_steps(spark: SparkSession, steps: list[tuple[str, Callable[[], bool]]], path: str) -> DataFrame:
+    """Runs the steps in order up to the first that fails; one status row per step, from the ledger at ``path``.
+
+    A step's outcome is written when it ends. A run that was cut off goes on behind the last step that passed, so
+    a step must stand being run again from its start. A failed step is tried again, too.
+    """
+    passed = {r["step"] for r in ledger(spark, path).filter(F.col("status") == "passed").collect()}
+    failed = False
     for position, (name, step) in enumerate(steps):
+        if name in passed and not failed:
+            continue
         state = "blocked" if failed else ("passed" if step() else "failed")
         failed = failed or state == "failed"
-        status.append((position, name, state))
-    return spark.createDataFrame(status, "position int, step string, status string")
+        row = spark.createDataFrame([(name, state)], "step string, status string")
+        row.coalesce(1).write.mode("overwrite").parquet(f"{path}/position={position}")
+    return ledger(spark, path).select("position", "step", "status")
 
 
 def full_run(
@@ -174,7 +192,8 @@ def full_run(
     """Landed rows to a promoted model: gate one, gate two, training, promotion.
 
     ``landed`` has the key, the features and the label. Gate one's clean rows are what gate two
-    and the training read; its quarantined rows go to the dead letters.
+    and the training read; its quarantined rows go to the dead letters. The ledger of the run is kept under the
+    batch's id: the same batch again goes on where it stopped.
     """
     spark = landed.sparkSession
     passed = lambda checks, column: bool(checks.agg(F.bool_and(column)).first()[0])
@@ -186,12 +205,33 @@ def full_run(
         sinks.write_clean(landed, clean_path)
         return passed(gates.ingestion_gate(landed), "batch_passed")
 
+    def train() -> bool:
+        # A version that this batch registered before it was cut off is not trained again.
+        if not registered_by(spark, root, batch_id):
+            models.train_and_register(clean(), root, batch_id, rounds)
+        return True
+
+    def promotion() -> bool:
+        version = registered_by(spark, root, batch_id)
+        if pointer(spark, root, "production") == version:
+            return True
+        return passed(contest_and_promote(models.folds(clean()), root, version), "passed")
+
     return run_steps(
         spark,
         [
             ("ingestion_gate", ingestion),
             ("transformation_gate", lambda: passed(gates.transformation_gate(clean(), labels), "passed")),
-            ("train", lambda: bool(models.train_and_register(clean(), root, batch_id, rounds))),
-            ("promotion_gate", lambda: passed(contest_and_promote(models.folds(clean()), root), "passed")),
+            ("train", train),
+            ("promotion_gate", promotion),
         ],
+        f"{root}/runs/batch_id={batch_id}",
     )
+
+
+def registered_by(spark: SparkSession, root: str, data_version: str) -> str | None:
+    """The newest version with a card that was trained on this data, or None."""
+    if not sinks.children(spark, f"{root}/cards"):
+        return None
+    cards = spark.read.parquet(f"{root}/cards").filter(F.col("data_version") == data_version)
+    return cards.agg(F.max("version")).first()[0]

@@ -164,6 +164,29 @@ def prf_sql(source: str, pre: str = "", group: str = "") -> str:
         count(*) FILTER (WHERE pred <> 1 AND label = 1) AS fn FROM {source} {group})"""
 
 
+def committee_sql(train: str) -> str:
+    """One row: of every feature the median (c), the shares of positives at or below it (l) and above it (h), and
+    what the cut takes off the variance (g)."""
+    cuts = ", ".join(f"quantile_cont({f}, 0.5e0) AS c{i}" for i, f in enumerate(config.FEATURES))
+    side = lambda f, i, no: f"avg(label) FILTER (WHERE {no} {f} <= c{i})"
+    parts = ", ".join(
+        f"c{i}, coalesce({side(f, i, '')}, avg(label)) AS l{i}, coalesce({side(f, i, 'NOT')}, avg(label)) AS h{i}, "
+        f"count(*) FILTER (WHERE {f} <= c{i}) AS n{i}"
+        for i, f in enumerate(config.FEATURES)
+    )
+    gains = ", ".join(f"(n{i} * (l{i} - p) ** 2 + (n - n{i}) * (h{i} - p) ** 2) / n AS g{i}" for i in range(len(config.FEATURES)))
+    group = ", ".join(f"c{i}" for i in range(len(config.FEATURES)))
+    return f"""SELECT *, {gains} FROM (SELECT {parts}, avg(label) AS p, CAST(count(*) AS DOUBLE) AS n
+        FROM (SELECT * FROM {train}), (SELECT {cuts} FROM {train}) GROUP BY {group})"""
+
+
+def committee_score(alias: str) -> str:
+    weight = num(1.0 / len(config.FEATURES))
+    return " + ".join(
+        f"{weight} * CASE WHEN {f} <= {alias}.c{i} THEN {alias}.l{i} ELSE {alias}.h{i} END" for i, f in enumerate(config.FEATURES)
+    )
+
+
 VIEWS: dict[str, str] = {
     "raw_landing": """SELECT event_id, CASE WHEN event_type = 'error' AND value < 5 THEN NULL
         ELSE printf('cust_%06d', user_id) END AS entity_id, ts AS event_timestamp, value AS monthly_spend FROM events""",
@@ -258,8 +281,15 @@ VIEWS: dict[str, str] = {
         FROM features_clean
         UNION ALL SELECT 'relationships(entity_id, features -> labels)', count(*) = 0, NULL, NULL, count(*) FROM orphans""",
     "folds": folds_sql("features_clean"),
+    "keyed_folds": folds_sql("(SELECT * FROM features_clean WHERE n_lines > 0)"),
+    "keyed_holdout": "SELECT * FROM keyed_folds WHERE fold <> 'train'",
+    "stumps": committee_sql("keyed_folds WHERE fold = 'train'"),
+    "stumps_young": committee_sql("keyed_folds WHERE fold = 'train' AND tenure_days < 1000"),
+    "voted": f"SELECT k.*, {committee_score('s')} AS score FROM keyed_folds k, stumps s",
+    "stump_costs": cost_rows("(SELECT * FROM voted WHERE fold = 'calibration')", COST_GRID),
+    "stump_cuts": cascade_sql("stump_costs"),
     "holdout": "SELECT * FROM folds WHERE fold <> 'train'",
-    "held_flagged": "SELECT pred, flagged.label FROM flagged JOIN (SELECT entity_id FROM holdout) USING (entity_id)",
+    "held_flagged": "SELECT pred, flagged.label FROM flagged JOIN (SELECT entity_id FROM keyed_holdout) USING (entity_id)",
     "drift_long": long_view(1.0),
     "shifted_long": long_view(1.35),
     "predictions": "SELECT entity_id, score AS calibrated_score FROM scored",
@@ -274,6 +304,18 @@ VIEWS: dict[str, str] = {
             max(roc_auc) FILTER (WHERE version = 'champion') AS champion_auc,
             max(average_precision) FILTER (WHERE version = 'challenger') AS challenger_ap,
             max(roc_auc) FILTER (WHERE version = 'challenger') AS challenger_auc FROM slice_metrics GROUP BY slice)""",
+    "contested": f"""SELECT label, version, slice, score FROM (SELECT label, unnest([{{'version': 'v1', 'score': {committee_score('y')}}},
+            {{'version': 'v2', 'score': {committee_score('s')}}}], recursive := true),
+        CASE WHEN support_tickets_30d >= (SELECT quantile_cont(support_tickets_30d, 0.75e0) FROM keyed_holdout)
+            THEN ['held_out', 'high_ticket_volume_slice'] ELSE ['held_out'] END AS slices
+        FROM keyed_holdout, stumps s, stumps_young y), LATERAL (SELECT unnest(slices) AS slice)""",
+    "registered_metrics": ranking_sql("contested", "version, slice"),
+    "registered_contest": f"""SELECT slice, champion_ap, champion_auc, challenger_ap, challenger_auc,
+            champion_ap - challenger_ap AS regression, champion_ap - challenger_ap <= {num(config.MAX_AP_REGRESSION)} AS passed
+        FROM (SELECT slice, max(average_precision) FILTER (WHERE version = 'v1') AS champion_ap,
+            max(roc_auc) FILTER (WHERE version = 'v1') AS champion_auc,
+            max(average_precision) FILTER (WHERE version = 'v2') AS challenger_ap,
+            max(roc_auc) FILTER (WHERE version = 'v2') AS challenger_auc FROM registered_metrics GROUP BY slice)""",
     "roc_points": f"""SELECT score AS threshold, cum_neg / CAST(all_neg AS DOUBLE) AS fpr,
             cum_pos / CAST(all_pos AS DOUBLE) AS tpr FROM ({ranked('scored')})
         UNION ALL SELECT CAST('inf' AS DOUBLE), 0.0e0, 0.0e0""",
@@ -733,7 +775,7 @@ BODIES |= {
 }
 
 
-TRAIN, HELD = "(SELECT * FROM folds WHERE fold = 'train')", "(SELECT * FROM folds WHERE fold <> 'train')"
+TRAIN, HELD = "(SELECT * FROM keyed_folds WHERE fold = 'train')", "(SELECT * FROM keyed_folds WHERE fold <> 'train')"
 FOLD_SIZE = "count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_pos"
 RANKED_FACTS = "true AS beats_chance, true AS in_range"
 
@@ -744,25 +786,54 @@ BODIES |= {
         FROM (SELECT {FOLD_SIZE} FROM {HELD}) h, (SELECT count(*) AS n_train,
             round(CAST(count(*) - sum(label) AS DOUBLE) / sum(label), 6) AS scale_pos_weight FROM {TRAIN}) t""",
     "platt_scaling": f"""SELECT {FOLD_SIZE}, true AS in_range, true AS adds_up, true AS increasing
-        FROM folds WHERE fold = 'calibration'""",
-    "isotonic": f"""SELECT {FOLD_SIZE}, true AS pools_are_means, true AS increasing FROM folds WHERE fold = 'calibration'""",
-    "batch_score": """SELECT entity_id, true AS in_range, true AS tier_agrees, true AS flag_agrees FROM features_clean""",
-    "evaluate_on": f"""SELECT 'holdout' AS eval_set, {FOLD_SIZE}, {RANKED_FACTS} FROM {HELD}
-        UNION ALL SELECT 'untouched', {FOLD_SIZE}, {RANKED_FACTS} FROM folds WHERE fold = 'test'""",
+        FROM keyed_folds WHERE fold = 'calibration'""",
+    "isotonic": f"""SELECT {FOLD_SIZE}, true AS pools_are_means, true AS increasing FROM keyed_folds WHERE fold = 'calibration'""",
+    "batch_score": f"""SELECT entity_id, round(score, 9) AS calibrated_score, {tier_sql('score', 't_low', 't_high')} AS tier,
+            {near_sql('score', 't_low', 't_high')} AS low_confidence
+        FROM (SELECT entity_id, {committee_score('s')} AS score FROM features_clean, stumps s), stump_cuts""",
+    "evaluate_on": f"""SELECT eval_set, n_rows, n_pos, round(average_precision, 6) AS average_precision,
+            round(roc_auc, 6) AS roc_auc, {RANKED_FACTS}
+        FROM ({ranking_sql("""(SELECT *, unnest(CASE WHEN fold = 'test' THEN ['holdout', 'untouched'] ELSE ['holdout'] END)
+            AS eval_set FROM voted WHERE fold <> 'train')""", 'eval_set')})""",
     "train_and_register": """SELECT 'catalogue' AS data_version, 'none' AS stage, 200 AS rounds,
         count(*) FILTER (WHERE fold = 'train') AS n_train, count(*) FILTER (WHERE fold = 'test') AS n_final_test,
         round(sum(label) FILTER (WHERE fold = 'train') / CAST(count(*) FILTER (WHERE fold = 'train') AS DOUBLE), 6)
-            AS positive_rate_train, true AS thresholds_ordered, true AS in_range FROM folds""",
-    "registry_append": """SELECT count(*) AS n_scored, true AS scores_agree, CAST(1 AS BIGINT) AS versions FROM features_clean""",
-    "baseline_gaps": f"""SELECT round(average_precision, 6) AS heuristic_ap, true AS gaps_add_up, true AS trees_beat_the_rule
-        FROM ({ranking_sql('(SELECT CAST(pred AS DOUBLE) AS score, label FROM held_flagged)')})""",
-    "full_run": """SELECT CAST(i AS INTEGER) AS position, step, 'passed' AS status FROM (VALUES (0, 'ingestion_gate'),
-        (1, 'transformation_gate'), (2, 'train'), (3, 'promotion_gate')) AS s(i, step)""",
-    "promote_registered": """SELECT true AS passed, true AS dry_run, CAST(NULL AS VARCHAR) AS stage,
-        CAST(NULL AS VARCHAR) AS alert, true AS in_production""",
+            AS positive_rate_train, true AS thresholds_ordered, true AS in_range FROM keyed_folds""",
+    "registry_append": " UNION ALL ".join(
+        f"""SELECT CAST({i} AS INTEGER) AS tree, CAST({node} AS INTEGER) AS node, {feature} AS feature, round({cut}, 9) AS cut,
+            CAST({below} AS INTEGER) AS below, CAST({above} AS INTEGER) AS above, round({leaf}, 9) AS leaf,
+            round({num(1.0 / len(config.FEATURES))}, 9) AS weight FROM stumps"""
+        for i, f in enumerate(config.FEATURES)
+        for node, feature, cut, below, above, leaf in (
+            (0, f"'{f}'", f"c{i}", 1, 2, "CAST(NULL AS DOUBLE)"),
+            (1, "CAST(NULL AS VARCHAR)", "CAST(NULL AS DOUBLE)", "NULL", "NULL", f"l{i}"),
+            (2, "CAST(NULL AS VARCHAR)", "CAST(NULL AS DOUBLE)", "NULL", "NULL", f"h{i}"),
+        )
+    ),
+    "baseline_gaps": f"""SELECT round(r.average_precision, 6) AS heuristic_ap, round(c.average_precision, 6) AS committee_ap,
+            round(c.average_precision - r.average_precision, 6) AS heuristic_to_committee,
+            true AS gaps_add_up, true AS trees_beat_the_rule
+        FROM ({ranking_sql('(SELECT CAST(pred AS DOUBLE) AS score, label FROM held_flagged)')}) r,
+            ({ranking_sql("(SELECT * FROM voted WHERE fold <> 'train')")}) c""",
+    "full_run": f"""SELECT CAST(position AS INTEGER) AS position, step, status FROM ({chain_sql(
+        "full",
+        [
+            ("ingestion_gate", f"""SELECT count(*) FILTER (WHERE n_lines = 0) / CAST(count(*) AS DOUBLE)
+                <= {num(config.MAX_QUARANTINE_RATE)} FROM features_clean"""),
+            ("transformation_gate", gate_two_sql(KEYED)),
+            ("train", TRAINABLE.replace("FROM folds", "FROM keyed_folds")),
+            ("promotion_gate", "SELECT true"),
+        ],
+    )})""",
+    "promote_registered": f"""SELECT slice, round(champion_ap, 6) AS champion_ap, round(champion_auc, 6) AS champion_auc,
+            round(challenger_ap, 6) AS challenger_ap, round(challenger_auc, 6) AS challenger_auc,
+            round(regression, 5) AS regression, c.passed, stage, alert
+        FROM registered_contest c, ({promotion_sql('v2', 'passed', False).replace('FROM contest', 'FROM registered_contest')}) d""",
     "score_psi": "SELECT 'checked' AS status, count(*) AS n_live, true AS not_negative, true AS band_agrees FROM events",
-    "feature_importance": f"""SELECT unnest([{', '.join(repr(c) for c in config.FEATURES)}]) AS feature, true AS in_range,
-        1.0e0 AS total""",
+    "feature_importance": " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, round(coalesce(g{i} / nullif({' + '.join(f'g{k}' for k in range(len(config.FEATURES)))}, 0), 0), 6) AS importance FROM stumps"
+        for i, f in enumerate(config.FEATURES)
+    ),
 }
 
 

@@ -34,7 +34,12 @@ def local_session(cores: int | str = 8, app: str = "tidemark", memory: str = "16
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder for one run, below the shared folder the session names.
+    """A new folder for one run, below the shared folder the session names."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """Where this package writes, below the shared folder the session names.
 
     A local session that was made elsewhere and names none gets a temporary folder, once: on a
     cluster the executors would not see it.
@@ -45,7 +50,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         name_of = spark.sparkContext.applicationId
         root = _LOCAL_SCRATCH.get(name_of) or _LOCAL_SCRATCH.setdefault(name_of, tempfile.mkdtemp(prefix="tidemark-"))
-    return f"{root.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/tidemark"
 
 
 _SHIPPED: set[str] = set()
