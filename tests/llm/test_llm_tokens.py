@@ -141,3 +141,12 @@ def test_token_counts_of_odd_rows(odd_docs, no_docs):
     want = [(r["doc_id"], len(library.encode(r["text"] or "", add_special_tokens=False).ids)) for r in odd_docs.collect()]
     assert found == sorted(want, key=str)
     assert token_counts.token_counts(no_docs, WORD_BPE).count() == 0
+
+
+def test_very_many_empty_texts(spark, tmp_path):
+    """A block of one id a document is written in time that grows with their number alone."""
+    docs = spark.range(300_000).selectExpr("id as doc_id", "if(id % 2 = 0, '', null) as text")
+    token_store.write_tokens(docs, str(tmp_path / "files"), BYTE_BPE)
+    found = token_store.read_tokens(spark, str(tmp_path / "files"))
+    assert found.count() == 300_000
+    assert found.filter("n_tokens <> 1 or start <> id").count() == 0

@@ -307,7 +307,7 @@ def write_tokens(
     code = Code(lengths)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, held, names = TaskContext.get().partitionId(), 0, [], []
+        part, number, held, names, size = TaskContext.get().partitionId(), 0, [], [], 0
 
         def block() -> pa.RecordBatch:
             bits, offsets = code.write(np.concatenate(held))
@@ -321,9 +321,10 @@ def write_tokens(
             for name, one in zip(part_of.column("id").to_pylist(), unpacked(part_of)):
                 held.append(one)
                 names.append(name)
-                if sum(map(len, held)) >= BLOCK_TOKENS:
+                size += len(one)
+                if size >= BLOCK_TOKENS:
                     yield block()
-                    number, held, names = number + 1, [], []
+                    number, held, names, size = number + 1, [], [], 0
         if held:
             yield block()
 
