@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import decontam
 
@@ -100,3 +101,12 @@ def test_index_misses_nothing_within_the_distance():
 def test_radius_beyond_the_index_is_refused(odd_docs, benchmark):
     with pytest.raises(ValueError):
         decontam.contamination(odd_docs, benchmark, max_distance=decontam.MAX_DISTANCE + 1)
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "decimal(9,0)", "date"])
+def test_item_ids_of_any_type(spark, odd_docs, kind):
+    item = spark.createDataFrame([("word",), ("two words",)], "text string")
+    item = item.withColumn("item_id", F.lit("2024-01-01").cast(kind) if kind == "date" else F.lit(7).cast(kind))
+    found = decontam.contamination(odd_docs, item.select("item_id", "text"))
+    assert found.schema["item_id"].dataType == item.schema["item_id"].dataType
+    assert {r["id"] for r in found.collect()} >= {6, 7}

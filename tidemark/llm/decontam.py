@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.common import mapped, row_key, without_rows
 from tidemark.llm.repeats import Rolling, slices
@@ -181,12 +182,13 @@ def contamination(
     size = benchmark.agg(F.sum(F.octet_length("text") + 16).alias("n")).first()["n"] or 0
     parts = 1 + size // BENCHMARK_BYTES
     part_of = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
-    found = [
-        matches(docs, benchmark.filter(part_of == i), min_similarity, max_distance, id_col, text_col)
-        for i in range(parts)
-    ]
-    out = found[0]
-    for more in found[1:]:
+    by_part = (
+        matches(docs, benchmark.filter(part_of == i), min_similarity, max_distance, id_col, text_col) for i in range(parts)
+    )
+    # Of several parts each is matched and written before the driver fetches the next.
+    found = by_part if parts == 1 else (materialized(part, "matches") for part in by_part)
+    out = next(found)
+    for more in found:
         out = out.unionByName(more)
     return out
 
@@ -232,7 +234,7 @@ def matches(
     longs = [T.StructField(n, T.LongType()) for n in ("start_word", "n_words")]
     last = [T.StructField("similarity", T.DoubleType()), T.StructField("distance", T.LongType())]
     schema = T.StructType([rows.schema["id"], T.StructField("key", T.LongType()), item_field, *longs, *last])
-    item_type = pa.int64() if isinstance(item_field.dataType, T.LongType) else pa.string()
+    item_type = to_arrow_type(item_field.dataType)
     return mapped(rows, run, schema)
 
 
