@@ -6,18 +6,16 @@ in id and text have the same key and are always treated alike.
 
 from __future__ import annotations
 
-import os
+import ctypes
 import random
-import shutil
-import tempfile
-from collections.abc import Callable
-from pathlib import Path
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.session import materialized
+from tidemark.session import materialized, ship
 
 # A side is broadcast only if it is known to be this small, else both sides meet in a shuffle.
 BROADCAST_BYTES = 32 << 20
@@ -27,24 +25,25 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
-_SHIPPED: set[str] = set()
+def mapped(rows: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """``rows`` through ``run``, an iterator over Arrow batches, on the Python workers."""
+    ship(rows.sparkSession)
 
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
 
-def ship(spark: SparkSession) -> None:
-    """Hands this package to the Python workers through Spark, unless they find it by themselves."""
-    root, context = Path(__file__).resolve().parents[2], spark.sparkContext
-    found = [Path.cwd(), *map(Path, os.environ.get("PYTHONPATH", "").split(os.pathsep))]
-    if root in [p.resolve() for p in found] or context.applicationId in _SHIPPED:
-        return
-    _SHIPPED.add(context.applicationId)
-    # Spark copies the archive to wherever the workers run.
-    context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/tidemark", "zip", root, "tidemark"))
+    return rows.mapInArrow(task, schema)
 
 
-def mapped(rows: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
-    """``rows`` through ``run``, an iterator over Arrow batches, on the Python workers."""
-    ship(rows.sparkSession)
-    return rows.mapInArrow(run, schema)
+def give_back() -> None:
+    """Hands free memory of a worker back to the system: the next task may be another operator's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def sized(side: DataFrame, row_bytes: int) -> DataFrame:
