@@ -192,7 +192,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
         yield pa.RecordBatch.from_arrays([*last, pa.array([seen.astype("<i8").tobytes()], pa.binary())], names)
 
     binary = [T.StructField(n, T.BinaryType()) for n in ("packed", "seen")]
-    schema = T.StructType([rows.schema["id"], T.StructField("row", T.LongType()), *binary])
+    schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("row", T.LongType()), *binary])
     names, id_type = schema.names, to_arrow_type(schema["id"].dataType)
     return materialized(mapped(rows, run, schema), "token-ids")
 
