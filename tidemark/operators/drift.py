@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.functions import scalars as S
+from tidemark.operators import laws
 from tidemark.operators.metrics import DECILES
 from tidemark.operators.running import CUT_ACCURACY, CUT_POINTS, bucket_of, exact_quantiles, rough_quantiles, running_totals
 from tidemark.operators.skew import join_group_values
-from tidemark.session import materialized, split_count
+from tidemark.session import materialized, ship, split_count
 
 SERIES_TERMS = 100
 PSI_FLOOR = 1e-6
@@ -115,11 +116,18 @@ def ks_against(counts: DataFrame, ranks: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def ks_drift(long: DataFrame, by: list[str]) -> DataFrame:
-    """KS statistic, p-value and drift flag per group; too few live rows give no verdict."""
+def ks_drift(long: DataFrame, by: list[str], exact: bool = False) -> DataFrame:
+    """KS statistic, p-value and drift flag per group; too few live rows give no verdict.
+
+    The p-value is asymptotic and stays in the engine, or with ``exact`` that of :mod:`tidemark.operators.laws`.
+    """
     out = ks_distance(long, by)
     enough = F.col("n_live") >= config.MIN_LOGGED_ROWS
     p = kolmogorov_p(F.col("d"), F.col("n_baseline"), F.col("n_live"))
+    if exact:
+        ship(long.sparkSession)
+        out = out.withColumn("_p", laws.p_value(F.col("d"), F.col("n_baseline"), F.col("n_live")))
+        p = F.col("_p")
     return out.select(
         *by,
         F.when(enough, F.lit(config.STATUS_CHECKED)).otherwise(F.lit(config.STATUS_FEW_ROWS)).alias("status"),

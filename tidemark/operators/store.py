@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.functions.scalars import predict_at
+from tidemark.operators import trees
 from tidemark.operators.asof import latest, pit_join, previous_value
 from tidemark.operators.metrics import precision_recall_f1, ranking_metrics
 from tidemark.operators.skew import lookup_join
@@ -114,6 +115,23 @@ def latest_value_join(labels: DataFrame, history: DataFrame, how: str = "left")
     return lookup_join(labels, current, ["entity_id"], how)
 
 
+def leakage_fitted(labels: DataFrame, history: DataFrame, features: list[str]) -> DataFrame:
+    """What a committee of one-cut trees learns from the leaky and from the point-in-time join (column ``view``).
+
+    Each is fitted on, and judged on, the labels that its own join has values for.
+    """
+    pit = materialized(pit_join(labels, history).select("entity_id", "label", *features), "pit")
+    current = latest(history, ["entity_id"], ["ts", "write_seq"]).select("entity_id", *features)
+    leaky = materialized(lookup_join(pit.select("entity_id", "label"), current, ["entity_id"]), "leaky")
+    scores = None
+    for view, rows in (("leaky", leaky), ("pit", pit)):
+        rows = rows.na.drop(subset=features)
+        nodes = materialized(trees.committee(rows, features), "nodes")
+        part = rows.select(F.lit(view).alias("view"), "label", trees.score_column(nodes, trees.MEAN).alias("score"))
+        scores = part if scores is None else scores.unionByName(part)
+    return ranking_metrics(scores, by=["view"])
+
+
 def leakage_report(labels: DataFrame, history: DataFrame) -> DataFrame:
     """How far the leaky join departs from the point-in-time join, and the AUC of each."""
     pit = pit_join(labels, history).select("entity_id", "label", "label_timestamp", "spend")

@@ -363,6 +363,13 @@ def leakage_report(spark, folder):
     return rounded(out, "auc_leaky", "auc_pit")
 
 
+@query("leakage_fitted")
+def leakage_fitted(spark, folder):
+    """A committee learned from each kind of join, and what it scores on its own rows."""
+    out = store.leakage_fitted(views.label_events(spark, folder), views.feature_history(spark, folder), SPEND_AND_K)
+    return rounded(out, "average_precision", "roc_auc")
+
+
 def _predictions(spark, folder) -> DataFrame:
     return views.scored(spark, folder).select("entity_id", F.col("score").alias("calibrated_score"))
 
@@ -574,6 +581,19 @@ def ks_two_sample(spark, folder):
     return out.withColumn("any_drift", F.bool_or("drifted").over(W.partitionBy(F.lit(0))))
 
 
+@query("ks_library_p")
+def ks_library_p(spark, folder):
+    """The same report with the p-values that statistics libraries give: exact for small samples, else finite-n."""
+    return drift.ks_drift(_features_long(spark, folder), ["feature"], exact=True)
+
+
+@query("ks_baseline_log")
+def ks_baseline_log(spark, folder):
+    """The features that were known when models were trained against those that requests were served with."""
+    both = drift.two_samples(views.feature_history(spark, folder), views.inference_log(spark, folder), SPEND_AND_K)
+    return drift.ks_drift(both, ["feature"])
+
+
 @query("psi")
 def psi(spark, folder):
     long = _events_long(spark, folder, factor=1.35).filter(F.col("feature") == "value")
@@ -612,6 +632,14 @@ def concept_vs_data_drift(spark, folder):
     return rounded(out, "f1_before", "f1_after")
 
 
+@query("concept_drift_fitted")
+def concept_drift_fitted(spark, folder):
+    """A committee learned before the split, with a cut at the positives' share, on both sides of it."""
+    live = F.col("event_timestamp") >= F.lit(views.CONCEPT_SPLIT).cast("timestamp_ntz")
+    out = jobs.concept_drift_fitted(views.features_clean(spark, folder), live, F.col("satisfaction_score") > 4.0)
+    return rounded(out, "f1_before", "f1_after")
+
+
 def _tiered(spark, folder) -> DataFrame:
     scored = views.scored(spark, folder)
     cuts = routing.as_struct(metrics.cascade_thresholds(scored)).scalar()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.functions import scalars as S
-from tidemark.operators import drift, gates, metrics, models, registry
+from tidemark.operators import drift, gates, metrics, models, registry, trees
 from tidemark.session import materialized
 from tidemark.sources import sinks
 
@@ -45,6 +45,26 @@ def concept_drift_report(df: DataFrame, is_live: Column, flipped: Column, featur
     )
 
 
+def concept_drift_fitted(df: DataFrame, is_live: Column, flipped: Column) -> DataFrame:
+    """As :func:`concept_drift_report` over all features, with a model learned before the live period.
+
+    The model is a committee; a row is predicted positive at or above the share of positives it learned from.
+    """
+    label = F.when(is_live & flipped, 1 - F.col("label")).otherwise(F.col("label"))
+    rows = materialized(df.select(*config.FEATURES, is_live.alias("is_live"), label.alias("label")), "concept")
+    before = rows.filter("not is_live")
+    nodes = materialized(trees.committee(before, config.FEATURES), "nodes")
+    cut = before.agg(F.avg(F.col("label").cast("double"))).first()[0]
+    preds = rows.select("is_live", "label", (trees.score_column(nodes, trees.MEAN) >= F.lit(cut)).cast("int").alias("pred"))
+    f1 = lambda side: F.max(F.when(F.col("is_live") == side, F.col("f1")))
+    both = metrics.precision_recall_f1(preds, by=["is_live"]).agg(f1(False).alias("f1_before"), f1(True).alias("f1_after"))
+    long = drift.unpivot(rows, ["is_live"], config.FEATURES).filter("value is not null")
+    moved = drift.ks_drift(long, ["feature"]).agg(F.bool_or("drifted")).scalar()
+    both = both.withColumn("drifted", moved)
+    verdict = drift.concept_verdict(F.col("drifted"), F.col("f1_before"), F.col("f1_after")).alias("verdict")
+    return both.select("drifted", "f1_before", "f1_after", verdict, (F.col("f1_after") < config.F1_ALERT).alias("f1_alert"))
+
+
 def gate_chain(name: str, steps: list[tuple[str, DataFrame]]) -> DataFrame:
     """One row per step: passed, failed, or blocked behind an earlier failure.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tidemark import config
 from tidemark.operators.metrics import COARSE_GRID, COST_GRID, DECILES
-from tidemark.plans.catalog import FEATURE_SPLIT, LOG_ROWS_READ, NOW, ROLLOUT_DAYS
+from tidemark.plans.catalog import FEATURE_SPLIT, LOG_ROWS_READ, NOW, ROLLOUT_DAYS, SPEND_AND_K
 from tidemark.sources import views
 
 
@@ -164,26 +164,26 @@ def prf_sql(source: str, pre: str = "", group: str = "") -> str:
         count(*) FILTER (WHERE pred <> 1 AND label = 1) AS fn FROM {source} {group})"""
 
 
-def committee_sql(train: str) -> str:
+def committee_sql(train: str, features: list[str] = config.FEATURES) -> str:
     """One row: of every feature the median (c), the shares of positives at or below it (l) and above it (h), and
     what the cut takes off the variance (g)."""
-    cuts = ", ".join(f"quantile_cont({f}, 0.5e0) AS c{i}" for i, f in enumerate(config.FEATURES))
+    cuts = ", ".join(f"quantile_cont({f}, 0.5e0) AS c{i}" for i, f in enumerate(features))
     side = lambda f, i, no: f"avg(label) FILTER (WHERE {no} {f} <= c{i})"
     parts = ", ".join(
         f"c{i}, coalesce({side(f, i, '')}, avg(label)) AS l{i}, coalesce({side(f, i, 'NOT')}, avg(label)) AS h{i}, "
         f"count(*) FILTER (WHERE {f} <= c{i}) AS n{i}"
-        for i, f in enumerate(config.FEATURES)
+        for i, f in enumerate(features)
     )
-    gains = ", ".join(f"(n{i} * (l{i} - p) ** 2 + (n - n{i}) * (h{i} - p) ** 2) / n AS g{i}" for i in range(len(config.FEATURES)))
-    group = ", ".join(f"c{i}" for i in range(len(config.FEATURES)))
+    gains = ", ".join(f"(n{i} * (l{i} - p) ** 2 + (n - n{i}) * (h{i} - p) ** 2) / n AS g{i}" for i in range(len(features)))
+    group = ", ".join(f"c{i}" for i in range(len(features)))
     return f"""SELECT *, {gains} FROM (SELECT {parts}, avg(label) AS p, CAST(count(*) AS DOUBLE) AS n
         FROM (SELECT * FROM {train}), (SELECT {cuts} FROM {train}) GROUP BY {group})"""
 
 
-def committee_score(alias: str) -> str:
-    weight = num(1.0 / len(config.FEATURES))
+def committee_score(alias: str, features: list[str] = config.FEATURES) -> str:
+    weight = num(1.0 / len(features))
     return " + ".join(
-        f"{weight} * CASE WHEN {f} <= {alias}.c{i} THEN {alias}.l{i} ELSE {alias}.h{i} END" for i, f in enumerate(config.FEATURES)
+        f"{weight} * CASE WHEN {f} <= {alias}.c{i} THEN {alias}.l{i} ELSE {alias}.h{i} END" for i, f in enumerate(features)
     )
 
 
@@ -364,6 +364,14 @@ CONCEPT_PREDS = f"""(SELECT {PERIOD} AS is_live, pred,
     CASE WHEN {PERIOD} AND satisfaction_score > 4 THEN 1 - label ELSE label END AS label FROM flagged)"""
 
 
+CONCEPT_FEATURES = "(" + " UNION ALL ".join(
+    f"SELECT {PERIOD} AS is_live, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM features_clean" for c in config.FEATURES
+) + ")"
+CONCEPT_FITTED = f"""(SELECT {PERIOD} AS is_live, CAST({committee_score('s')} >= s.p AS INTEGER) AS pred,
+    CASE WHEN {PERIOD} AND satisfaction_score > 4 THEN 1 - label ELSE label END AS label
+    FROM features_clean, ({committee_sql(f"features_clean WHERE NOT ({PERIOD})")}) s)"""
+
+
 def promotion_sql(version: str, passed: str, dry: bool) -> str:
     yes = "[ALERT] " + config.MESSAGE_PROMOTED % version
     no = "[CRITICAL ALERT] " + config.MESSAGE_NOT_PROMOTED % version
@@ -565,6 +573,23 @@ BODIES: dict[str, str] = {
     "quantile_bins": f"""SELECT CAST(unnest(range(0, 10)) AS INTEGER) AS position, round(unnest(q), 6) AS edge
         FROM (SELECT quantile_cont(monthly_spend, {numbers([*DECILES, 0.75])}) AS q FROM features_clean)""",
     "ks_two_sample": f"SELECT *, bool_or(drifted) OVER () AS any_drift FROM ({ks_view('features_long')})",
+    "ks_baseline_log": ks_view("""(SELECT false AS is_live, 'spend' AS feature, spend AS value FROM feature_history
+        UNION ALL SELECT false, 'k', k FROM feature_history UNION ALL SELECT true, 'spend', spend FROM inference_log
+        UNION ALL SELECT true, 'k', k FROM inference_log)"""),
+    "leakage_fitted": " UNION ALL ".join(
+        f"""SELECT '{view}' AS view, n_rows, n_pos, round(average_precision, 6) AS average_precision, round(roc_auc, 6) AS roc_auc
+        FROM ({ranking_sql(f"(SELECT label, {committee_score('s', SPEND_AND_K)} AS score FROM {rows}, ({committee_sql(rows, SPEND_AND_K)}) s)")})"""
+        for view, rows in (
+            ("leaky", "(SELECT l.label, c.spend, c.k FROM label_events l JOIN by_time c ON l.entity_id = c.entity_id)"),
+            ("pit", "(SELECT label, spend, k FROM pit WHERE spend IS NOT NULL AND k IS NOT NULL)"),
+        )
+    ),
+    "concept_drift_fitted": f"""SELECT drifted, round(b.f1, 6) AS f1_before, round(a.f1, 6) AS f1_after,
+            CASE WHEN drifted THEN 'data_drift' WHEN b.f1 - a.f1 > 0.05e0 THEN 'concept_drift' ELSE 'stable' END AS verdict,
+            a.f1 < {num(config.F1_ALERT)} AS f1_alert
+        FROM (SELECT bool_or(drifted) AS drifted FROM ({ks_view(CONCEPT_FEATURES)})),
+            ({prf_sql(f"(SELECT * FROM {CONCEPT_FITTED} WHERE NOT is_live)")}) b,
+            ({prf_sql(f"(SELECT * FROM {CONCEPT_FITTED} WHERE is_live)")}) a""",
     "psi": f"""SELECT status, n_live, psi, interpretation FROM ({psi_view('shifted_long')})
         WHERE feature = 'value'""",
     "reliability_curve": f"""SELECT CAST(len([e for e in edges if e < score]) AS INTEGER) AS bin, count(*) AS n_rows,
