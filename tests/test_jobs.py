@@ -79,3 +79,35 @@ def test_a_missing_score_has_no_tier(spark):
     df = spark.createDataFrame([(None,), (0.1,), (0.9,)], "s double")
     rows = df.select(scalars.tier(F.col("s"), 0.2, 0.6).alias("t")).collect()
     assert [r["t"] is None for r in rows] == [True, False, False]
+
+
+def test_a_killed_run_goes_on(spark, features, landed, monkeypatch):
+    """It is cut off in the training, then goes on behind the gates, and a finished run does nothing."""
+    root, labels = scratch_dir(spark, "t-resume"), views.labels_delayed(spark, SF)
+    trained, written = models.train_and_register, jobs.sinks.write_clean
+    runs = []
+    monkeypatch.setattr(jobs.sinks, "write_clean", lambda *a, **k: runs.append("clean") or written(*a, **k))
+
+    def killed(*args):
+        trained(*args)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(models, "train_and_register", killed)
+    with pytest.raises(KeyboardInterrupt):
+        jobs.full_run(landed, labels, root, "b1", rounds=2)
+    ledger = {r["step"]: r["status"] for r in jobs.ledger(spark, f"{root}/runs/batch_id=b1").collect()}
+    assert ledger == {"ingestion_gate": "passed", "transformation_gate": "passed"}
+
+    monkeypatch.setattr(models, "train_and_register", lambda *a: runs.append("train") or trained(*a))
+    for _ in range(2):
+        assert statuses(jobs.full_run(landed, labels, root, "b1", rounds=2)) == ["passed"] * 4
+    # The version that was registered before the kill is used; neither gate nor training ran again.
+    assert runs == ["clean"]
+    assert spark.read.parquet(f"{root}/cards").count() == 1 and jobs.pointer_log(spark, root).count() == 1
+
+
+def test_a_failed_step_is_tried_again(spark, tmp_path):
+    path, verdicts = str(tmp_path / "ledger"), iter([False, True])
+    steps = [("one", lambda: True), ("two", lambda: next(verdicts)), ("three", lambda: True)]
+    assert statuses(jobs.run_steps(spark, steps, path)) == ["passed", "failed", "blocked"]
+    assert statuses(jobs.run_steps(spark, steps, path)) == ["passed"] * 3
