@@ -111,8 +111,9 @@ def phrases(kind: Kind, units: np.ndarray, lengths: np.ndarray) -> Iterator[tupl
         at = np.arange(p0, p1)
         text = np.searchsorted(ends, at, "right")
         valid = at + kind.window <= ends[text]
-        # The place in the low bits: of equal hashes the first wins, in every copy alike.
-        low = np.uint64((1 << int(len(grams)).bit_length()) - 1)
+        # The place in the low bits: of equal hashes the first wins, in every copy alike. As many bits in every
+        # piece, however short it is: the same hash bits must decide wherever a window lies.
+        low = np.uint64((1 << (PIECE + extra).bit_length()) - 1)
         least = sliding_least((grams & ~low) | np.arange(len(grams), dtype=np.uint64), kind.grams)
         trigger = (least & low).astype(np.int64)
         new = valid.copy()
