@@ -246,10 +246,13 @@ def windowed_ks(
 
     A micro-batch adds its counts per window and value to a table, under its own id: they add up whatever the batches
     were, and a replay replaces its own. When the watermark passes the end of a window, its counts are put together and
-    ranked against the baseline, whose running counts were written before the stream began.
+    ranked against the baseline, whose running counts are written before the stream begins: a stream that goes on
+    keeps to them, and does not read the baseline again.
     """
     spark = live.sparkSession
-    ranks = baseline_ranks(baseline, value)
+    if "_SUCCESS" not in sinks.children(spark, f"{root}/baseline"):
+        baseline_ranks(baseline, value).write.mode("overwrite").parquet(f"{root}/baseline")
+    ranks = spark.read.parquet(f"{root}/baseline")
     rows = live.select(F.window(F.col(ts).cast("timestamp"), width).alias("w"), F.col(value).alias("value"), F.col(ts).alias("_ts"))
     rows = plain_time(rows.select("w.start", "w.end", "value", "_ts"), "start", "end").filter("value is not null and not isnan(value)")
 
