@@ -71,9 +71,11 @@ def test_latest_rows_are_found_without_sorting_the_input(spark, folder):
         assert "SortAggregate" not in plan(QUERIES[name](spark, folder)), name
 
 
-def test_point_in_time_join_reads_its_inputs_once(spark, folder):
+def test_point_in_time_join_shuffles_its_inputs_once(spark, folder):
+    """Without hot keys nothing is written before: each side is scanned where it lies, and one shuffle brings them together."""
     text = plan(asof.pit_join(views.label_events(spark, folder), views.feature_history(spark, folder)))
-    assert "events.parquet" not in text  # both sides were written as one time line
+    assert text.count("events.parquet]") == 2 and text.count("FileScan") == 2
+    assert text.count("Exchange") == 1
 
 
 def test_cost_curves_read_the_rows_once(spark, folder):
