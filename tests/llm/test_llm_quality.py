@@ -32,6 +32,17 @@ def test_base_rules(spark, folder, documents):
         assert tuple(found[r["doc_id"]][c] for c in COLUMNS) == base(r["text"])
 
 
+@pytest.mark.parametrize("bits", [64, 12, 0])
+def test_hashes_that_meet_change_nothing(documents, odd_docs, bits):
+    """With few or no hash bits most windows are candidates, and their words decide."""
+    for docs in (documents, odd_docs):
+        rows = docs.select("text", quality.words_of("text").alias("w"))
+        if bits == 0:
+            rows = rows.filter("size(w) < 2000")
+        found = rows.select("text", quality.repeat_words("w", bits).alias("n")).collect()
+        assert found and all(r["n"] == base(r["text"])[4] for r in found)
+
+
 @pytest.fixture(scope="module")
 def labels(spark):
     return spark.createDataFrame([(0, 1, 0), (0, 1, None), (15, 1, 1), (2, 0, 0), (None, 1, 0), (11, None, 0)], "doc_id long, quality int, toxic int")

@@ -40,31 +40,48 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def repeat_words(words: str) -> Column:
+def repeat_words(words: str, hash_bits: int = 64) -> Column:
     """How many words lie in three-word windows that occur twice or more in the array column ``words``.
 
     Each window is one long: its hash, with the low bits holding its place. Sorting these puts equal
-    windows side by side. Only as many bits as the places need are taken from the hash.
+    windows side by side. Only as many bits as the places need are taken from the hash, so windows that
+    have a neighbour of the same hash bits are candidates, and only they are ordered by their words.
+    ``hash_bits`` changes how many candidates there are, not the result.
     """
+    kept_bits = F.lit((1 << hash_bits) - 1 if hash_bits < 64 else -1).cast("bigint")
 
     def counted(w: Column, mask: Column) -> Column:
         def window(i: Column) -> Column:
             h = F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
-            return h.bitwiseAND(mask).bitwiseOR(i.cast("bigint"))
+            return h.bitwiseAND(kept_bits).bitwiseAND(mask).bitwiseOR(i.cast("bigint"))
 
-        def covered(x: Column) -> Column:
+        def spelled(x: Column) -> Column:
             i = x.bitwiseAND(F.bitwise_not(mask)).cast("int")
-            return F.array(i, i + 1, i + 2)
+            # Words hold no space, so different windows have different texts.
+            return F.struct(F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("text"), i.alias("place"))
+
+        def candidates(ordered: Column) -> Column:
+            def same(x: Column, k: Column) -> Column:
+                return F.get(ordered, k).bitwiseXOR(x).bitwiseAND(mask) == 0
+
+            return F.transform(F.filter(ordered, lambda x, j: either(same, x, j)), spelled)
 
         def repeated(ordered: Column) -> Column:
-            def twin(x: Column, j: Column) -> Column:
-                same = [F.coalesce(F.get(ordered, k).bitwiseXOR(x).bitwiseAND(mask) == 0, F.lit(False)) for k in (j - 1, j + 1)]
-                return same[0] | same[1]
+            def same(x: Column, k: Column) -> Column:
+                return F.get(ordered, k)["text"] == x["text"]
 
-            return F.size(F.array_distinct(F.flatten(F.transform(F.filter(ordered, twin), covered))))
+            def covered(x: Column) -> Column:
+                return F.array(x["place"], x["place"] + 1, x["place"] + 2)
+
+            found = F.filter(ordered, lambda x, j: either(same, x, j))
+            return F.size(F.array_distinct(F.flatten(F.transform(found, covered))))
 
         windows = F.transform(F.sequence(F.lit(0), F.size(w) - 3), window)
-        return F.when(F.size(w) >= 3, let(F.sort_array(windows), repeated)).otherwise(F.lit(0)).cast("bigint")
+        found = let(let(F.sort_array(windows), candidates), lambda x: let(F.sort_array(x), repeated))
+        return F.when(F.size(w) >= 3, found).otherwise(F.lit(0)).cast("bigint")
+
+    def either(same: Callable[[Column, Column], Column], x: Column, j: Column) -> Column:
+        return F.coalesce(same(x, j - 1), F.lit(False)) | F.coalesce(same(x, j + 1), F.lit(False))
 
     def masked(w: Column) -> Column:
         return let(F.call_function("shiftleft", F.lit(-1).cast("bigint"), F.length(F.bin(F.size(w)))), lambda m: counted(w, m))
