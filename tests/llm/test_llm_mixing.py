@@ -55,6 +55,28 @@ def test_budgets_are_kept(spark):
         assert set(each) <= {r["epochs"], r["epochs"] + 1}
 
 
+def test_small_weights_keep_their_digits(spark):
+    """A source far below a billionth of the mixture still gets its words."""
+    values = [0.123456789123, 1.0, 0.1, 3.00000000049e-13, 9.9999999999e-11, 4.2e-16]
+    found = spark.createDataFrame([(v,) for v in values], "w double").select("w", mixing.significant(F.col("w")).alias("s")).collect()
+    assert all(r["s"] == pytest.approx(float(f"{r['w']:.8e}"), rel=1e-15) for r in found)
+
+
+def test_blocks_follow_the_largest_source(spark):
+    rows = spark.range(1000).selectExpr("if(id < 900, 'a', 'b') as source")
+    assert [mixing.block_digits(rows, n) for n in (1 << 16, 1)] == [3, 3]
+    assert mixing.block_digits(rows.limit(0)) == 3
+    many = spark.range(5000).selectExpr("'a' as source")
+    assert mixing.block_digits(many, 1) == 4
+
+
+def test_finer_blocks_change_no_quota(spark):
+    docs = corpus(spark, {"a": 500, "b": 40, "c": 20, "d": 10})
+    rows = mixing.measured(docs)
+    taken = [sorted(tuple(r) for r in mixing.passes_of(rows, mixing.plan(rows, digits=n), mixing.SEED).select("id", "_epoch").collect()) for n in (1, 3, 5)]
+    assert taken[0] == taken[1] == taken[2]
+
+
 def test_skewed_sources_equal_sql(spark, tmp_path, folder):
     """With one source far above the others the exponent has to be searched for."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")

@@ -8,7 +8,11 @@ pass is a permutation of the source by a hash, cut into blocks by the first digi
 pass ends where the source's budget does.
 
 No source is ever ordered as a whole. Blocks are summed first; only the one block of each source
-in which its budget ends is looked at row by row.
+in which its budget ends is looked at row by row. Blocks get another digit whenever the largest source
+has more than ``BLOCK_ROWS`` rows for each, so no block grows with the corpus.
+
+Weights have nine significant digits, however small they are, and budgets are the nearest whole number of
+words, so that no source is rounded away.
 
 Defined cases: null sources are a source of their own; a source without words has weight zero
 and is left out; rows without words cost nothing. Rows that share their id within a source, or have
@@ -35,7 +39,9 @@ TARGET_ENTROPY = 0.95  # of the highest there is, that of equal weights
 MAX_REPETITION = 4.0
 BUDGET = 1.0  # words to mix, as a share of all words
 SEED = 7
-BLOCK_DIGITS = 3  # hexadecimal: 4096 blocks a pass
+BLOCK_DIGITS = 3  # hexadecimal: 4096 blocks a pass, or more
+BLOCK_ROWS = 1 << 16
+WEIGHT_DIGITS = 9
 STEPS = 40
 STEPS_A_JOB = 4
 
@@ -121,12 +127,28 @@ def measured(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     return materialized(rows, "measured-ties")
 
 
+def significant(weight: Column, digits: int = WEIGHT_DIGITS) -> Column:
+    """``weight`` (above zero) to that many significant digits."""
+    scale = F.pow(F.lit(10.0), digits - 1 - F.floor(F.log10(weight)))
+    return F.round(weight * scale) / scale
+
+
+def block_digits(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> int:
+    """How many digits of a key name its block, for the largest source of ``rows``."""
+    most = rows.groupBy("source").count().agg(F.max("count")).first()[0] or 0
+    digits = BLOCK_DIGITS
+    while most > block_rows * 16**digits:
+        digits += 1
+    return digits
+
+
 def plan(
     rows: DataFrame,
     target_entropy: float = TARGET_ENTROPY,
     max_repetition: float = MAX_REPETITION,
     budget: float = BUDGET,
     seed: int = SEED,
+    digits: int | None = None,
 ) -> DataFrame:
     """One row per source: its weight, its words to mix, whole passes and where the last one ends.
 
@@ -139,9 +161,9 @@ def plan(
     sources = materialized(totals.withColumn("share", F.col("tokens") / F.lit(float(max(whole, 1)))), "sources")
     power = exponent(sources, target_entropy, max_repetition, budget)
     z = spread(sources, [power])[0][0] or 1.0
-    weight = F.round(F.pow("share", F.lit(power)) / F.lit(z), 9)
+    weight = significant(F.pow("share", F.lit(power)) / F.lit(z))
     quotas = sources.select("source", "tokens", weight.alias("weight")).withColumn(
-        "quota", F.floor(F.col("weight") * F.lit(math.floor(whole * budget)))
+        "quota", F.round(F.col("weight") * F.lit(float(math.floor(whole * budget)))).cast("bigint")
     )
     quotas = quotas.withColumn("epochs", F.floor(F.col("quota") / F.col("tokens")))
     quotas = materialized(quotas.withColumn("rest", F.col("quota") - F.col("epochs") * F.col("tokens")), "quotas")
@@ -150,8 +172,8 @@ def plan(
     keyed = rows.join(side, rows["source"].eqNullSafe(side["_source"])).select(
         "source", "n_tokens", "rest", order_key(F.col("epochs"), "id", seed).alias("key")
     )
-    keyed = keyed.withColumn("block", F.substring("key", 1, BLOCK_DIGITS))
-    # At most 4096 blocks of each source.
+    keyed = keyed.withColumn("block", F.substring("key", 1, digits or block_digits(rows)))
+    # 4096 blocks of each source, or as many as its rows need: two numbers for every BLOCK_ROWS rows.
     blocks = keyed.groupBy("source", "block").agg(F.sum("n_tokens").alias("n"), F.max("rest").alias("rest"))
     upto = W.partitionBy("source").orderBy("block").rowsBetween(W.unboundedPreceding, 0)
     summed = blocks.withColumn("upto", F.sum("n").over(upto))
@@ -196,8 +218,9 @@ def mixed(docs: DataFrame, seed: int = SEED, **targets) -> DataFrame:
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     """The mixture of all documents: a row for every time one is taken, with its place."""
     rows = measured(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    out = passes_of(rows, plan(rows), SEED)
-    out = out.select("*", F.substring("_key", 1, BLOCK_DIGITS).alias("block"))
+    digits = block_digits(rows)
+    out = passes_of(rows, plan(rows, digits=digits), SEED)
+    out = out.select("*", F.substring("_key", 1, digits).alias("block"))
     place = W.partitionBy("source", "_epoch", "block").orderBy("_key", "id")
     out = out.repartition("source", "_epoch", "block").withColumn("place", F.row_number().over(place))
     return out.select(
@@ -233,15 +256,20 @@ e AS (
          ELSE (SELECT lo FROM flat WHERE i = {STEPS}) END,
     CASE WHEN {BUDGET} / least / k > {MAX_REPETITION} THEN (SELECT hi FROM steep WHERE i = {STEPS}) ELSE 0.0 END)::DOUBLE AS a
   FROM p),
-q AS (
-  SELECT source, tokens, floor(round(pow(tokens / whole::DOUBLE, a) / z, 9) * floor(whole * {BUDGET}))::BIGINT AS quota
+v AS (
+  SELECT source, tokens, whole, pow(tokens / whole::DOUBLE, a) / z AS weight
   FROM s, w, (SELECT a, list_sum(list_transform(ps, lambda x: pow(x, a))) AS z FROM e, p)),
+u AS (SELECT *, pow(10.0::DOUBLE, {WEIGHT_DIGITS} - 1 - floor(log10(weight))) AS scale FROM v),
+q AS (SELECT source, tokens, round(round(weight * scale) / scale * floor(whole * {BUDGET}))::BIGINT AS quota FROM u),
+g AS (
+  SELECT {BLOCK_DIGITS} + len(list_filter(range({BLOCK_DIGITS}, 15), lambda i: {BLOCK_ROWS} * pow(16, i) < most))::BIGINT AS digits
+  FROM (SELECT max(n) AS most FROM (SELECT count(*) AS n FROM d GROUP BY source))),
 r AS (SELECT source, quota // tokens AS epochs, quota % tokens AS rest FROM q),
 x AS (
   SELECT d.*, epochs, rest, unnest(range(epochs + 1)) AS epoch FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
 y AS (SELECT *, md5('{SEED}:' || epoch || ':' || coalesce(doc_id::VARCHAR, 'null')) AS key FROM x),
 t AS (SELECT *, sum(n_tokens) OVER (PARTITION BY source, epoch ORDER BY key RANGE UNBOUNDED PRECEDING) AS upto FROM y)
-SELECT doc_id, source, n_tokens, epoch, substr(key, 1, {BLOCK_DIGITS}) AS block,
-       row_number() OVER (PARTITION BY source, epoch, substr(key, 1, {BLOCK_DIGITS}) ORDER BY key, doc_id)::INTEGER AS place
-FROM t WHERE epoch < epochs OR upto <= rest
+SELECT doc_id, source, n_tokens, epoch, substr(key, 1, digits) AS block,
+       row_number() OVER (PARTITION BY source, epoch, substr(key, 1, digits) ORDER BY key, doc_id)::INTEGER AS place
+FROM t, g WHERE epoch < epochs OR upto <= rest
 """
