@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 import pytest
+from compare import connect, difference
 from pyspark.sql import functions as F
 
 from tidemark.llm import sharding
@@ -70,6 +71,19 @@ def test_one_key_is_split_into_parts(spark, tmp_path):
     assert sizes.filter("b > 400 and n > 1").count() == 0
 
 
+def test_parts_equal_sql(spark, folder, tmp_path):
+    """Ids that repeat, with equal and different texts, rows without an id, and rows over half the limit."""
+    text = "if(id % 5 = 0, 'copy', if(id % 97 = 1, repeat('z', 1500 + int(id)), repeat('xy', int(id % 40))))"
+    docs = spark.range(0, 1200, 1, 4).selectExpr("if(id % 3 = 0, 7, if(id % 3 = 2, null, id)) as doc_id", f"{text} as text")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    con = connect(folder)
+    con.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    rows = sharding.sharded(spark.read.parquet(str(tmp_path / "documents.parquet")), 2000)
+    rows = rows.select(F.col("row")["doc_id"].alias("doc_id"), "n_bytes", *sharding.SHARD_COLUMNS)
+    assert rows.agg(F.max("part")).first()[0] > 5
+    assert difference(rows, con, sharding.sql(2000)) is None
+
+
 def test_names_that_are_taken(odd_docs):
     out = sharding.with_shards(odd_docs, 1000)
     assert out.columns == [*odd_docs.columns, "shard_", *sharding.SHARD_COLUMNS[1:]]

@@ -9,10 +9,9 @@ between in one go. The next round sees only cells that are still too large.
 Defined cases: null ids are placed by a hash of their text, null texts are zero bytes, rows with the
 same id share a shard. Only rows with one and the same hash can exceed the limit together (or a
 single row that does so alone): their shard has all 64 bits and ``fits`` false. Such rows are dealt
-into numbered parts of the shard by a running sum of their bytes, and only a part that is a single row
-exceeds the limit; ``part`` is 0 elsewhere. An empty table gives an empty result.
-
-The registered queries return the columns of their SQL, which has no parts.
+into numbered parts of the shard by a running sum of their bytes in the order of a hash of id and text, and
+only a part that is a single row exceeds the limit; ``part`` is 0 elsewhere. Rows that agree in id and text
+are alike: it does not matter which of them goes where. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,8 +26,9 @@ from tidemark.session import materialized
 SHARD_BYTES = 64 << 20
 ROUND_BITS = 8
 ALL_BITS = 64
-QUERY_COLUMNS = ["shard", "depth", "shard_bytes", "shard_rows", "fits"]
-SHARD_COLUMNS = [*QUERY_COLUMNS, "part"]
+SHARD_COLUMNS = ["shard", "depth", "shard_bytes", "shard_rows", "fits", "part"]
+# Digits of the order hash that name a range of the running sum.
+RANGE_DIGITS = 3
 
 
 def place(id_col: str = "doc_id", text_col: str = "text") -> Column:
@@ -80,25 +80,47 @@ def directory(places: DataFrame, limit: int = SHARD_BYTES) -> list[DataFrame]:
     return rounds
 
 
+def order_hash(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """The order of rows within a shard that is cut into parts; equal for rows that agree in id and text."""
+    parts = [F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.coalesce(F.col(text_col), F.lit(""))]
+    return F.md5(F.concat_ws(":", *parts))
+
+
 def parted(rows: DataFrame, limit: int) -> DataFrame:
-    """``rows`` (``_bits``, ``n_bytes``, ``_seq``; a written table) with their ``part`` of the shard, from 1.
+    """``rows`` (``_bits``, ``_order``, ``n_bytes``, ``_seq``; a written table) with their ``part`` of the shard, from 1.
 
-    Rows over half the limit are parts of their own. The bytes of the others are summed up, first
-    for each part of the input (the upper bits of ``_seq``) and then within it; those that begin in
-    the same half of a limit make a part, which then has no more than the limit.
+    Rows over half the limit are parts of their own. The bytes of the others are summed up, and
+    those that begin in the same half of a limit make a part, which then has no more than the limit.
+    Sums run over ranges of the order first, then over its different values within a range; equal rows
+    are numbered for each part of the input (the upper bits of ``_seq``), and their sums follow from the numbers.
     """
     large = F.col("n_bytes") * 2 > limit
     rows = rows.withColumn("_from", F.shiftright("_seq", 33))
-    rows = rows.withColumns({"_small": F.when(large, 0).otherwise(F.col("n_bytes")), "_large": large.cast("bigint")})
-    sums = rows.groupBy("_bits", "_from").agg(F.sum("_small").alias("_s"), F.sum("_large").alias("_l"))
-    above = W.partitionBy("_bits").orderBy("_from").rowsBetween(W.unboundedPreceding, -1)
-    before = [F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}0") for c in ("_s", "_l")]
-    inside = W.partitionBy("_bits", "_from").orderBy("_seq").rowsBetween(W.unboundedPreceding, -1)
-    both = rows.join(sums.select("_bits", "_from", *before), ["_bits", "_from"])
-    begins = {c: F.col(f"{c}0") + F.coalesce(F.sum(of).over(inside), F.lit(0)) for c, of in (("_s", "_small"), ("_l", "_large"))}
+    same = ["_bits", "_order", "n_bytes"]
+    numbers = rows.groupBy(*same, "_from").agg(F.count(F.lit(1)).alias("_n"))
+    numbers = materialized(numbers, "overflow-counts")
+    groups = numbers.groupBy(*same).agg(F.sum("_n").alias("_n")).withColumn("_range", F.substring("_order", 1, RANGE_DIGITS))
+    groups = groups.withColumns(
+        {"_s": F.when(large, 0).otherwise(F.col("n_bytes") * F.col("_n")), "_l": F.when(large, F.col("_n")).otherwise(0)}
+    )
+    groups = materialized(groups, "overflow-groups")
+    # At most 4096 ranges of a shard.
+    ranges = groups.groupBy("_bits", "_range").agg(F.sum("_s").alias("_s"), F.sum("_l").alias("_l"))
+    above = W.partitionBy("_bits").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("_bits", "_range").orderBy("_order", "n_bytes").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy(*same).orderBy("_from").rowsBetween(W.unboundedPreceding, -1)
+    before = lambda c, window: F.coalesce(F.sum(c).over(window), F.lit(0))
+    ranges = ranges.select("_bits", "_range", before("_s", above).alias("_s0"), before("_l", above).alias("_l0"))
+    groups = groups.join(ranges, ["_bits", "_range"]).select(
+        *same, (F.col("_s0") + before("_s", inside)).alias("_s0"), (F.col("_l0") + before("_l", inside)).alias("_l0")
+    )
+    starts = numbers.select(*same, "_from", before("_n", earlier).alias("_n0")).join(groups, same)
+    both = rows.join(starts, [*same, "_from"])
+    k = F.col("_n0") + F.row_number().over(W.partitionBy(*same, "_from").orderBy("_seq")) - 1
     # Odd numbers for parts of several rows, even ones for single rows.
-    part = F.when(large, begins["_l"] * 2 + 2).otherwise(F.floor(begins["_s"] * 2 / F.lit(limit)) * 2 + 1)
-    return both.withColumn("part", part.cast("bigint")).drop("_from", "_small", "_large", "_s0", "_l0", "_seq")
+    begins = F.col("_s0") + k * F.col("n_bytes")
+    part = F.when(large, (F.col("_l0") + k) * 2 + 2).otherwise(F.call_function("div", begins * 2, F.lit(limit)) * 2 + 1)
+    return both.withColumn("part", part.cast("bigint")).drop("_from", "_n0", "_s0", "_l0", "_seq", "_order")
 
 
 def sharded(
@@ -123,6 +145,7 @@ def sharded(
             side = sized(materialized(over.select(F.col("cell").alias("_over")), "overflow-cells"), 80)
             hot = rows.drop("part").withColumn("_seq", F.monotonically_increasing_id())
             hot = hot.join(side, hot["_bits"] == side["_over"], "left_semi")
+            hot = hot.withColumn("_order", order_hash(f"row.{id_col}", f"row.{text_col}"))
             rest = rows.join(side, rows["_bits"] == side["_over"], "left_anti")
             rows = rest.unionByName(parted(materialized(hot, "overflow-rows"), limit))
         for i, cells in enumerate(rounds):
@@ -154,28 +177,36 @@ def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
 def op10_sharding(spark, sf_dir: str) -> DataFrame:
     """All documents with their shard, 64 MiB of text at most."""
     rows = sharded(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    return rows.select(F.col("row")["doc_id"].alias("doc_id"), "n_bytes", *QUERY_COLUMNS)
+    return rows.select(F.col("row")["doc_id"].alias("doc_id"), "n_bytes", *SHARD_COLUMNS)
 
 
 def sharding_fine(spark, sf_dir: str) -> DataFrame:
     """The same with shards of 64 KiB, so that small tables split too."""
     rows = sharded(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), 64 << 10)
-    return rows.select(F.col("row")["doc_id"].alias("doc_id"), "n_bytes", *QUERY_COLUMNS)
+    return rows.select(F.col("row")["doc_id"].alias("doc_id"), "n_bytes", *SHARD_COLUMNS)
 
 
 def sql(limit: int) -> str:
     return f"""
 WITH d AS (
-  SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
+  SELECT row_number() OVER () AS row, doc_id, coalesce(strlen(text), 0) AS n_bytes,
+         md5(coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(text, '')) AS sorted,
          lpad(bin(('0x' || substr(coalesce(md5(doc_id::VARCHAR), md5(text), md5('')), 1, 16))::UBIGINT), 64, '0') AS bits
   FROM documents),
 s AS (
   SELECT depth, substr(bits, 1, depth) AS shard, sum(n_bytes)::BIGINT AS shard_bytes, count(*) AS shard_rows
   FROM d, (SELECT unnest(range(65))::INTEGER AS depth) GROUP BY 1, 2),
 f AS (
-  SELECT d.doc_id, d.n_bytes, s.*,
-         row_number() OVER (PARTITION BY d.doc_id, d.bits ORDER BY shard_bytes > {limit}, 
+  SELECT d.doc_id, d.n_bytes, d.sorted, s.*,
+         row_number() OVER (PARTITION BY d.row ORDER BY shard_bytes > {limit},
                             CASE WHEN shard_bytes <= {limit} THEN s.depth ELSE -s.depth END) AS k
-  FROM d JOIN s ON s.shard = substr(d.bits, 1, s.depth))
-SELECT doc_id, n_bytes, shard, depth, shard_bytes, shard_rows, shard_bytes <= {limit} AS fits FROM f WHERE k = 1
+  FROM d JOIN s ON s.shard = substr(d.bits, 1, s.depth)),
+h AS (SELECT *, shard_bytes <= {limit} AS fits, n_bytes * 2 > {limit} AS large FROM f WHERE k = 1),
+r AS (
+  SELECT *, coalesce(sum(CASE WHEN large THEN 0 ELSE n_bytes END) OVER o, 0)::BIGINT AS begins,
+         coalesce(sum(large::INTEGER) OVER o, 0)::BIGINT AS singles
+  FROM h WINDOW o AS (PARTITION BY shard ORDER BY sorted, n_bytes ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT doc_id, n_bytes, shard, depth, shard_bytes, shard_rows, fits,
+       (CASE WHEN fits OR shard_rows = 1 THEN 0 WHEN large THEN singles * 2 + 2 ELSE begins * 2 // {limit} * 2 + 1 END)::BIGINT AS part
+FROM r
 """
