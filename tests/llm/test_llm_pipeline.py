@@ -39,5 +39,5 @@ def test_rows_without_text_go_first(odd_docs):
 
 def test_registered():
     names = [n for n in registry.QUERIES if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in registry.QUERIES and set(registry.SQL) <= set(registry.QUERIES)
