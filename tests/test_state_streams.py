@@ -1,6 +1,7 @@
 """Streams that hold something back: unlabelled predictions, rollout stages, windows that are still open."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +48,26 @@ def test_unlabelled_predictions_come_out_once(spark, tmp_path, salts):
     assert seen[3] == sorted(seen[1] + lost)
 
 
+@pytest.mark.parametrize("join", [streams.label_delay_join, streams.label_outcomes])
+def test_the_state_of_a_join_is_kept_on_disk(spark, tmp_path, join):
+    """Not in maps of the executors: it grows with the rows of both sides. Partners meet over batches all the same."""
+    p = lambda *rows: spark.createDataFrame(list(rows), "entity_id string, calibrated_score double, predicted_at timestamp_ntz")
+    l = lambda *rows: spark.createDataFrame(list(rows), "entity_id string, label int, label_observed_at timestamp_ntz")
+    before = {k: spark.conf.get(k, None) for k in streams.JOIN_STATE}
+    batches = [
+        (p(("a", 0.9, DAY(0)), ("b", 0.8, DAY(0)), (None, 0.7, DAY(0))), l(("z", 1, DAY(1)), (None, 1, DAY(1)))),
+        (p(("c", 0.6, DAY(40))), l(("a", 1, DAY(21)), ("b", 1, DAY(40)))),
+        (p(("d", 0.5, DAY(90))), l(("c", 0, DAY(50)), ("a", 1, DAY(20)))),
+    ]
+    root = str(tmp_path / "run")
+    for predictions, labels in batches:
+        out = join(landed(spark, str(tmp_path), predictions, "p"), landed(spark, str(tmp_path), labels, "l"), root)
+    assert sorted((r["entity_id"], r["label"]) for r in out.filter("label is not null").collect()) == [("a", 1), ("c", 0)]
+    kept = [f.name for f in Path(root, "checkpoint/state").rglob("*.*") if not f.name.startswith(".")]
+    assert any(f.endswith(".changelog") for f in kept) and not any(f.endswith(".delta") for f in kept)
+    assert before == {k: spark.conf.get(k, None) for k in before}
+
+
 def test_rollout_is_the_batch_report_stage_by_stage(spark, folder, tmp_path):
     """The canary's rows equal :func:`routing.canary_sla`, whatever the batches are; other days move the clock only."""
     events = table(spark, folder, "events")
