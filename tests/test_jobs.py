@@ -52,6 +52,18 @@ def test_full_run_promotes_then_contests(spark, features, landed):
     assert (row["status"], row["psi"], row["interpretation"]) == ("checked", 0.0, "stable")
 
 
+def test_a_run_reads_its_input_and_cuts_its_folds_once(spark, landed, monkeypatch):
+    """Gate one reads the written batch, and the contest the folds that the version was trained on."""
+    cut, read = [], []
+    split, gate = models.sampling.split_folds, jobs.gates.ingestion_gate
+    monkeypatch.setattr(models.sampling, "split_folds", lambda df, *a: cut.append(1) or split(df, *a))
+    monkeypatch.setattr(jobs.gates, "ingestion_gate", lambda df, *a: read.extend(df.inputFiles()) or gate(df, *a))
+    root, labels = scratch_dir(spark, "t-once"), views.labels_delayed(spark, SF)
+    assert statuses(jobs.full_run(landed, labels, root, "b1", rounds=1)) == ["passed"] * 4
+    assert len(cut) == 1
+    assert read and not any(f.endswith(("orders.parquet", "lineitem.parquet")) for f in read)
+
+
 def test_orphans_block_training(spark, features):
     root = scratch_dir(spark, "t-blocked")
     run = jobs.full_run(features.drop("n_lines"), views.labels_delayed(spark, SF), root, "b1", rounds=3)

@@ -74,17 +74,42 @@ def test_register_load_score(spark, table, bundle):
     assert a.exceptAll(b).count() == 0
 
 
-def test_feature_importance_asks_the_boosted_trees_too(spark, bundle, monkeypatch):
-    """Not the committee's cuts alone: the importances of the version in production are read."""
-    asked = []
-    monkeypatch.setattr(catalog, "_bundle", lambda *of: asked.append(of[1]) or bundle)
-    rows = catalog.QUERIES["feature_importance"](spark, "/root/testdata/sf0.01").collect()
-    assert asked == ["/root/testdata/sf0.01"]
-    assert sorted(r["feature"] for r in rows) == sorted(config.FEATURES)
-    assert all(r["in_range"] and r["total"] == 1.0 for r in rows)
-    assert abs(sum(r["importance"] for r in rows) - 1) < 1e-5
-    boosted = models.importances(spark, bundle.model).collect()
-    assert [r["importance"] for r in boosted] == sorted((r["importance"] for r in boosted), reverse=True)
+def test_feature_importance_asks_boosted_trees_too(spark, monkeypatch):
+    """Not the committee's cuts alone. Rows without a feature and rows that come twice do not stop it."""
+    columns = [(F.col("id") % (7 + i)).cast("double").alias(c) for i, c in enumerate(config.FEATURES)]
+    rows = spark.range(400).select((F.col("id") % 7 > 4).cast("int").alias("label"), F.lit("train").alias("fold"), *columns)
+    lost = rows.limit(30).withColumn(config.FEATURES[1], F.lit(None).cast("double"))
+    table = rows.union(rows.limit(50)).union(lost)
+    fitted, fit = [], models.fit_boosted
+    monkeypatch.setattr(catalog, "_folds", lambda *of: table)
+    monkeypatch.setattr(models, "fit_boosted", lambda train: fitted.append(train.count()) or fit(train, 2))
+    found = catalog.QUERIES["feature_importance"](spark, "").collect()
+    assert fitted == [450]
+    assert sorted(r["feature"] for r in found) == sorted(config.FEATURES)
+    assert all(r["in_range"] and r["total"] == 1.0 for r in found)
+    assert abs(sum(r["importance"] for r in found) - 1) < 1e-5
+    monkeypatch.setattr(catalog, "_folds", lambda *of: lost)
+    assert [r["total"] for r in catalog.QUERIES["feature_importance"](spark, "").collect()] == [None] * 5
+
+
+def test_training_rows_are_dealt_evenly_over_the_cores(spark, monkeypatch):
+    """A round waits for its slowest task: one large file beside small ones must not be one task."""
+    sizes = []
+
+    class Fit:
+        def __init__(self, **settings):
+            pass
+
+        def fit(self, df):
+            sizes.extend(df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+
+    monkeypatch.setattr(models, "GBTClassifier", Fit)
+    monkeypatch.setattr(models, "PARTITION_ROWS", 100)
+    rows = spark.range(0, 9000, numPartitions=1).union(spark.range(9000, 9100, numPartitions=5))
+    columns = [(F.col("id") % (7 + i)).cast("double").alias(c) for i, c in enumerate(config.FEATURES)]
+    models.fit_boosted(rows.select((F.col("id") % 2).cast("int").alias("label"), *columns))
+    assert len(sizes) == models.PARTITIONS_A_CORE * spark.sparkContext.defaultParallelism
+    assert sum(sizes) == 9100 and max(sizes) < 1.5 * 9100 / len(sizes)
 
 
 def test_a_sample_is_exact_and_repeatable(spark, table):
