@@ -150,3 +150,15 @@ def test_very_many_empty_texts(spark, tmp_path):
     found = token_store.read_tokens(spark, str(tmp_path / "files"))
     assert found.count() == 300_000
     assert found.filter("n_tokens <> 1 or start <> id").count() == 0
+
+
+def test_words_at_line_ends_and_before_marks_are_encoded_once():
+    library, encoder = Tokenizer.from_file(BYTE_BPE), token_store.Encoder(BYTE_BPE)
+    words = ["alpha", "Beta", "gamma", "délta"]
+    texts = [f"so {a}\n{b} {a}{m} {b}{m}\n{a}" for a in words for b in words for m in ("", "$$$", "!?", ".,#")]
+    encoder.encode(pa.array(texts))
+    assert len(encoder.number) <= 1 + 3 * len(words) + 3  # with a space, with a line end, and the marks
+    texts += ["a\n", "\na", "a\n\nb.\n c", "a\r\nb", "a<|endoftext|>#\n<|endoftext|>", "x|> y#>\nz", "日#\nb", " \nb"]
+    ids, counts = encoder.encode(pa.array(texts))
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert ids.tolist() == [i for each in want for i in each] and counts.tolist() == list(map(len, want))

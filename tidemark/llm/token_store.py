@@ -47,14 +47,17 @@ class Encoder:
     """Ids of texts, as the tokenizers library gives them for a byte-level vocabulary.
 
     Byte-level pre-tokenization never joins a character and the white space after it, so a text
-    may be cut there. Pieces between single spaces recur, and each is encoded once; the few texts
-    with a space after other white space go to the library whole.
+    may be cut there. Pieces between single spaces recur, and each is encoded once, the words on both
+    sides of a line end apart; the few texts with a space after other white space go to the library whole.
     """
 
     after_space = r"[\s\pZ\x0b\x1c-\x1f\x{85}] "
     space_at_end = r"[\s\pZ\x0b\x1c-\x1f\x{85}]$"
-    # Full stops and commas after such a letter begin a token of their own.
-    stop = r"[A-Za-z\x{e0}-\x{f6}\x{f8}-\x{ff}][.,]+$"
+    # The first line end that does not follow other white space.
+    line_end = r"^(?P<head>(?s:.*?)[^\s\pZ\x0b\x1c-\x1f\x{85}])(?P<tail>(?s:\n.*))$"
+    # Marks after such a letter begin a token of their own, unless a special string has them.
+    letter = r"[A-Za-z\x{e0}-\x{f6}\x{f8}-\x{ff}]"
+    marks = "!?;:#$%&*"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -68,8 +71,11 @@ class Encoder:
         self.width = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for word, i in words.items():
             self.width[i] = len(word)
-        for i, added in self.tokenizer.get_added_tokens_decoder().items():
-            self.width[i] = len(added.content.encode())
+        special = {i: added.content for i, added in self.tokenizer.get_added_tokens_decoder().items()}
+        for i, content in special.items():
+            self.width[i] = len(content.encode())
+        self.marks = ".," + "".join(c for c in self.marks if not any(c in content for content in special.values()))
+        self.stop = f"{self.letter}[{self.marks}]+$"
         self.planes = 2 if len(self.width) <= 1 << 16 else 4
         self.forget()
 
@@ -84,7 +90,7 @@ class Encoder:
     def library(self, joined: list[str], alone: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """How many ids each piece has, and all ids in a row.
 
-        The pieces of ``joined`` begin with a space and end without white space, and are encoded
+        The pieces of ``joined`` begin with a space or a line end and end without white space, and are encoded
         many in one text: the widths of the ids tell where each ends.
         """
         texts = ["".join(joined[k : k + JOINED]) for k in range(0, len(joined), JOINED)]
@@ -102,7 +108,8 @@ class Encoder:
         pieces = names.to_pylist()
         at = np.fromiter(map(self.number.get, pieces, repeat(-1)), np.int32, len(pieces))
         new = np.flatnonzero(at < 0)
-        joins = pc.and_not(pc.starts_with(names, " "), pc.match_substring_regex(names, self.space_at_end))
+        begins = pc.or_(pc.starts_with(names, " "), pc.starts_with(names, "\n"))
+        joins = pc.and_not(begins, pc.match_substring_regex(names, self.space_at_end))
         single = ~joins.to_numpy(zero_copy_only=False)[new]
         new = np.r_[new[~single], new[single]]
         names = [pieces[i] for i in new.tolist()]
@@ -113,6 +120,11 @@ class Encoder:
         at[new] = np.arange(begin, begin + len(names))
         return at
 
+    def numbered(self, names: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The distinct names, and the number of each name among them; -1 for none."""
+        coded = names.dictionary_encode()
+        return coded.dictionary, pc.fill_null(coded.indices, -1).to_numpy()
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts (none null) in a row, and how many each text has."""
         if len(self.number) > CACHED_PIECES:
@@ -124,23 +136,29 @@ class Encoder:
         first = np.cumsum(count) - count
         coded = flat.dictionary_encode()
         code = coded.indices.to_numpy().copy()
-        # All pieces but a text's first have their space back, and full stops and commas apart.
+        # All pieces but a text's first have their space back; what follows a line end, and marks, apart.
         begins = flat.take(pa.array(first)).dictionary_encode()
-        spaced = pc.binary_join_element_wise(" ", coded.dictionary, "")
+        spaced = pc.binary_join_element_wise(" ", coded.dictionary, "").cast(pa.string())
         code[first] = begins.indices.to_numpy() + len(spaced)
-        stopped = pc.match_substring_regex(spaced, self.stop)
-        bare = pc.if_else(stopped, pc.utf8_rtrim(spaced, ".,"), spaced)
-        stops = pc.replace_substring_regex(spaced.filter(stopped), r"^(?s:.*?)([.,]+)$", r"\1").dictionary_encode()
-        bases = pa.concat_arrays([bare.cast(pa.string()), begins.dictionary.cast(pa.string())]).dictionary_encode()
-        at = self.places(pa.concat_arrays([bases.dictionary, stops.dictionary.cast(pa.string())]))
-        base = at[bases.indices.to_numpy()]
-        stop = np.full(len(base), -1, np.int32)
-        stop[np.flatnonzero(stopped.to_numpy(zero_copy_only=False))] = at[len(bases.dictionary) + stops.indices.to_numpy()]
-        apart = (stop >= 0)[code]
-        last = np.cumsum(apart, dtype=np.int32) + np.arange(len(code), dtype=np.int32)
-        places = np.empty(len(code) + int(apart.sum()), np.int32)
-        places[last[apart]] = stop[code[apart]]
-        places[last - apart] = base[code]
+        pieces = pa.concat_arrays([spaced, begins.dictionary.cast(pa.string())])
+        cut = pc.extract_regex(pc.if_else(pc.match_substring(pieces, "\n"), pieces, None), self.line_end)
+        tails, tail = self.numbered(pc.struct_field(cut, "tail"))
+        heads = pc.coalesce(pc.struct_field(cut, "head"), pieces)
+        stopped = pc.match_substring_regex(heads.slice(0, len(spaced)), self.stop)
+        stopped = pa.concat_arrays([stopped, pa.array(np.zeros(len(begins.dictionary), bool))])
+        ends = pc.replace_substring_regex(pc.if_else(stopped, heads, None), f"^(?s:.*?)([{self.marks}]+)$", r"\1")
+        stops, stop = self.numbered(ends)
+        bases, base = self.numbered(pc.if_else(stopped, pc.utf8_rtrim(heads, self.marks), heads))
+        at = self.places(pa.concat_arrays([bases, stops, tails]))
+        parts = (1 + (stop >= 0) + (tail >= 0)).astype(np.int32)
+        last = np.cumsum(parts[code], dtype=np.int32) - 1
+        places = np.empty(int(last[-1]) + 1 if len(last) else 0, np.int32)
+        places[last - (parts - 1)[code]] = at[base][code]
+        # A stop lies before the tail, if there is one.
+        for which, after, offset in ((stop, tail >= 0, len(bases)), (tail, tail < -1, len(bases) + len(stops))):
+            has = np.flatnonzero((which >= 0)[code])
+            own = code[has]
+            places[last[has] - after[own]] = at[offset + which[own]]
 
         lengths = self.lengths[places]
         begin = (np.cumsum(self.lengths, dtype=np.int32) - self.lengths)[places]
