@@ -162,3 +162,19 @@ def test_words_at_line_ends_and_before_marks_are_encoded_once():
     ids, counts = encoder.encode(pa.array(texts))
     want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     assert ids.tolist() == [i for each in want for i in each] and counts.tolist() == list(map(len, want))
+
+
+def test_a_full_cache_keeps_the_pieces_that_came_again(monkeypatch):
+    monkeypatch.setattr(token_store, "CACHED_PIECES", 45)
+    library, encoder = Tokenizer.from_file(BYTE_BPE), token_store.Encoder(BYTE_BPE)
+    asked, encode = [], encoder.library
+    monkeypatch.setattr(encoder, "library", lambda joined, alone: asked.extend([*joined, *alone]) or encode(joined, alone))
+    for turn in range(6):
+        texts = [f"the common words and {turn}x{i} more, {i}\nthe end" for i in range(12)] + ["", "the end"] * (turn % 2)
+        ids, counts = encoder.encode(pa.array(texts))
+        want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert ids.tolist() == [i for each in want for i in each] and counts.tolist() == list(map(len, want))
+    assert asked.count(" common") == 1 and len(encoder.number) < 70
+    encoder.again = encoder.again[:0]
+    encoder.forget_rare()
+    assert encoder.number == {} and len(encoder.encode(pa.array(["a b", ""]))[0]) == 2

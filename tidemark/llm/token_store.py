@@ -83,6 +83,20 @@ class Encoder:
         self.number: dict[str, int] = {}
         self.lengths = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
+        self.again = np.zeros(0, np.int32)
+
+    def forget_rare(self) -> None:
+        """Keeps the pieces that came again in the slice looked at last."""
+        came = np.zeros(len(self.lengths), bool)
+        came[self.again] = True
+        kept = [(name, at) for name, at in self.number.items() if came[at]]
+        at = np.array([at for _, at in kept], np.int64)
+        first = (np.cumsum(self.lengths) - self.lengths)[at]
+        lengths = self.lengths[at]
+        within = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        ids = self.ids[np.repeat(first, lengths) + within]
+        self.forget()
+        self.number, self.lengths, self.ids = {name: i for i, (name, _) in enumerate(kept)}, lengths, ids
 
     def ids_of(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -107,6 +121,7 @@ class Encoder:
         """Where some pieces are in the cache; new ones are encoded, also one that comes twice."""
         pieces = names.to_pylist()
         at = np.fromiter(map(self.number.get, pieces, repeat(-1)), np.int32, len(pieces))
+        self.again = at[at >= 0]
         new = np.flatnonzero(at < 0)
         begins = pc.or_(pc.starts_with(names, " "), pc.starts_with(names, "\n"))
         joins = pc.and_not(begins, pc.match_substring_regex(names, self.space_at_end))
@@ -128,7 +143,7 @@ class Encoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts (none null) in a row, and how many each text has."""
         if len(self.number) > CACHED_PIECES:
-            self.forget()
+            self.forget_rare()
         whole = pc.match_substring_regex(texts, self.after_space).to_numpy(zero_copy_only=False)
         lists = pc.split_pattern(pc.if_else(pa.array(whole), "", texts) if whole.any() else texts, " ")
         flat = lists.flatten()
