@@ -1,9 +1,12 @@
 """Streams that hold something back: unlabelled predictions, rollout stages, windows that are still open."""
 
 import datetime as dt
+import random
+import time
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark import config
@@ -68,6 +71,123 @@ def test_the_state_of_a_join_is_kept_on_disk(spark, tmp_path, join):
     assert before == {k: spark.conf.get(k, None) for k in before}
 
 
+P_ROWS = "entity_id string, calibrated_score double, predicted_at timestamp_ntz"
+L_ROWS = "entity_id string, label int, label_observed_at timestamp_ntz"
+
+
+def outcomes_by_hand(batches, late_by=dt.timedelta(days=1), days=dt.timedelta(days=config.LABEL_DELAY_DAYS)):
+    """Pairs and unlabelled predictions: a batch's rows are late if the watermark of the batches before has passed them."""
+    mark, newest, ps, ls = dt.datetime(1970, 1, 1), [None, None], [], []
+    for batch in batches:
+        for k, (rows, kept) in enumerate(zip(batch, (ps, ls))):
+            kept += [r for r in rows if r[2] is not None and r[2] > mark]
+            newest[k] = max((t for t in (newest[k], *(r[2] for r in rows if r[0] is not None)) if t is not None), default=None)
+        mark = max(mark, min(newest) - late_by) if None not in newest else mark
+    pairs = [(*p, *l[1:]) for p in ps for l in ls if p[0] is not None and p[0] == l[0] and p[2] <= l[2] <= p[2] + days]
+    met = {p[:3] for p in pairs}
+    return pairs, [(*p, None, None) for p in ps if p[:3] not in met and p[2] + days < mark]
+
+
+def random_batches(seed, n=4, rows=300):
+    """Batches of some weeks that reach back into one another, with copies, nulls, rows at the very ends of the delay."""
+    draw, out, seen = random.Random(seed), [], [(None, DAY(0))]
+    for k in range(n):
+        at = lambda: draw.choice([None, *9 * [DAY(35 * k) + dt.timedelta(hours=draw.randint(-60, 24 * 50))]])
+        entity = lambda: draw.choice([None, *(f"e{draw.randint(0, 60)}" for _ in range(12))])
+        ps = [(entity(), round(draw.random(), 3), at()) for _ in range(rows)]
+        # Some entities whose predictions and labels meet to the second, or miss by one.
+        ends = [(f"x{k}-{i}", 0.5, DAY(35 * k + i)) for i in range(30)]
+        gap = lambda: dt.timedelta(days=draw.choice([0, config.LABEL_DELAY_DAYS]), seconds=draw.choice([-1, 0, 0, 1]))
+        ls = [(entity(), draw.randint(0, 1), at()) for _ in range(rows // 3)] + [(e, 1, t + gap()) for e, _, t in ends if draw.random() < 0.8]
+        seen += [(e, t) for e, _, t in ps if t]
+        ls += [(e, 0, t + gap()) for e, t in draw.sample(seen, min(20, len(seen)))]
+        out.append((ps + ends + ps[:5], ls + ls[:5]))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_joins_over_batches_lose_and_repeat_nothing(spark, tmp_path, seed):
+    """Whatever batch the partners come in: settled in one, or held over several."""
+    batches = random_batches(seed)
+    pairs, lost = outcomes_by_hand(batches)
+    assert len(pairs) > 100 and len(lost) > 100
+    for join, want in ((streams.label_delay_join, pairs), (streams.label_outcomes, pairs + lost)):
+        path = str(tmp_path / join.__name__)
+        for ps, ls in batches:
+            out = join(
+                landed(spark, path, spark.createDataFrame(ps, P_ROWS), "p"),
+                landed(spark, path, spark.createDataFrame(ls, L_ROWS), "l"),
+                f"{path}/run",
+            )
+        got = out.select("entity_id", "calibrated_score", "predicted_at", "label", "label_observed_at").collect()
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("join", [streams.label_outcomes])
+def test_only_what_a_batch_leaves_open_reaches_the_state(spark, tmp_path, join):
+    """A year of predictions in a batch: those whose days are over are settled without the state, whatever their outcome is."""
+    ps = [(f"e{i}", 0.5, DAY(i % 365)) for i in range(3650)]
+    ls = [(f"e{i}", i % 2, DAY(i % 365 + 7)) for i in range(0, 3650, 2)]
+    out = join(
+        landed(spark, str(tmp_path), spark.createDataFrame(ps, P_ROWS), "p"),
+        landed(spark, str(tmp_path), spark.createDataFrame(ls, L_ROWS), "l"),
+        f"{tmp_path}/run",
+    )
+    pairs, lost = outcomes_by_hand([(ps, ls)])
+    assert out.count() == len(pairs) + (len(lost) if join is streams.label_outcomes else 0)
+    state = spark.read.format("statestore").option("batchId", 0).option("path", f"{tmp_path}/run/checkpoint")
+    for side, most in (("left", 300), ("right", 4 * 200)):
+        assert 0 < state.option("joinSide", side).load().count() < most
+
+
+def test_a_backlog_in_many_batches_is_joined_as_one(spark, tmp_path):
+    """Files in the order of time, one a batch."""
+    ps = [(f"e{i}", 0.5, DAY(i // 10)) for i in range(1000)]
+    ls = [(f"e{i}", i % 2, DAY(i // 10 + i % 40)) for i in range(0, 1000, 2)]
+    for name, rows, schema in (("p", ps, P_ROWS), ("l", ls, L_ROWS)):
+        for k in range(4):
+            part = [r for r in rows if DAY(25 * k) <= r[2] < DAY(25 * (k + 1) if k < 3 else 999)]
+            landed(spark, str(tmp_path), spark.createDataFrame(part, schema), name)
+            time.sleep(0.05)
+    read = lambda name, schema: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/{name}")
+    out = streams.label_outcomes(read("p", P_ROWS), read("l", L_ROWS), f"{tmp_path}/run")
+    pairs, lost = outcomes_by_hand([(ps, ls)])
+    assert sorted(map(str, out.drop("outcome").select("entity_id", "calibrated_score", "predicted_at", "label", "label_observed_at").collect())) == sorted(
+        str(Row(entity_id=e, calibrated_score=s, predicted_at=p, label=l, label_observed_at=o)) for e, s, p, l, o in pairs + lost
+    )
+    assert len(list(Path(tmp_path, "run/settled").glob("batch_id=*"))) == 4
+
+
+@pytest.mark.parametrize("breaks_in", ["_labelled", "run_to_table"])
+def test_a_join_that_broke_off_goes_on_without_repeating(spark, tmp_path, monkeypatch, breaks_in):
+    """Once what is open has been handed on, in the same batch; and once before the join with state has seen it."""
+    batches = random_batches(3, n=2, rows=100)
+    pairs, lost = outcomes_by_hand(batches)
+    path, root, whole, broken = str(tmp_path), f"{tmp_path}/run", getattr(streams, breaks_in), []
+
+    def once(*args):
+        if not broken:
+            broken.append(True)
+            raise RuntimeError("broken off")
+        return whole(*args)
+
+    for k, (ps, ls) in enumerate(batches):
+        rows = lambda: (
+            spark.readStream.schema(P_ROWS).parquet(f"{path}/p"),
+            spark.readStream.schema(L_ROWS).parquet(f"{path}/l"),
+        )
+        landed(spark, path, spark.createDataFrame(ps, P_ROWS), "p")
+        landed(spark, path, spark.createDataFrame(ls, L_ROWS), "l")
+        if k:
+            with monkeypatch.context() as m:
+                m.setattr(streams, breaks_in, once)
+                with pytest.raises(Exception, match="broken off"):
+                    streams.label_outcomes(*rows(), root)
+        out = streams.label_outcomes(*rows(), root)
+    got = out.select("entity_id", "calibrated_score", "predicted_at", "label", "label_observed_at").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(pairs + lost, key=str)
+
+
 def test_rollout_is_the_batch_report_stage_by_stage(spark, folder, tmp_path):
     """The canary's rows equal :func:`routing.canary_sla`, whatever the batches are; other days move the clock only."""
     events = table(spark, folder, "events")
