@@ -123,7 +123,7 @@ def test_joins_over_batches_lose_and_repeat_nothing(spark, tmp_path, seed):
         assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("join", [streams.label_outcomes])
+@pytest.mark.parametrize("join", [streams.label_outcomes, streams.label_delay_join])
 def test_only_what_a_batch_leaves_open_reaches_the_state(spark, tmp_path, join):
     """A year of predictions in a batch: those whose days are over are settled without the state, whatever their outcome is."""
     ps = [(f"e{i}", 0.5, DAY(i % 365)) for i in range(3650)]
